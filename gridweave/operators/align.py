@@ -35,9 +35,9 @@ def stack_variables(fields: dict[str, DataFrame], keys: Sequence[str]) -> DataFr
     """
     names = list(fields)
     parts = [
-        df.select(
+        df.selectExpr(
             *keys,
-            *[(F.col("value") if n == name else F.lit(None).cast("double")).alias(n) for n in names],
+            *[f"{'value' if n == name else 'CAST(NULL AS DOUBLE)'} AS {n}" for n in names],
         )
         for name, df in fields.items()
     ]
@@ -46,13 +46,11 @@ def stack_variables(fields: dict[str, DataFrame], keys: Sequence[str]) -> DataFr
 
 def unmatched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Coordinates of only one side, labelled ``left`` or ``right``; one aggregation, no join."""
-    sides = left.select(*on, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
-        right.select(*on, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
-    )
-    seen = sides.groupBy(*on).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
-    return seen.where(F.col("_l") != F.col("_r")).select(
-        *on, F.when(F.col("_l") == 1, "left").otherwise("right").alias("side")
+    sides = left.selectExpr(*on, "'left' AS _side").unionByName(
+        right.selectExpr(*on, "'right' AS _side")
     )
+    seen = sides.groupBy(*on).agg(F.expr("min(_side) AS side"), F.expr("max(_side) AS _other"))
+    return seen.where("side = _other").drop("_other")
 
 
 def align_exact(
@@ -68,9 +66,9 @@ def fill_from(
     df: DataFrame, other: DataFrame, on: Sequence[str], value: str = "value"
 ) -> DataFrame:
     """Replace missing values by those of another field at the same coordinates."""
-    filler = other.select(*on, F.col(value).alias("_fill"))
+    filler = other.selectExpr(*on, f"{value} AS _fill")
     return df.join(filler, list(on), "left").withColumn(
-        value, F.coalesce(F.col(value), F.col("_fill"))
+        value, F.coalesce(value, "_fill")
     ).drop("_fill")
 
 
@@ -86,10 +84,7 @@ def missing_months(available: DataFrame, start_year: int, end_year: int) -> Data
     spark = available.sparkSession
     wanted = (
         spark.range(start_year, end_year + 1)
-        .select(
-            F.col("id").cast("int").alias("year"),
-            F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"),
-        )
+        .selectExpr("CAST(id AS INT) AS year", "explode(sequence(1, 12)) AS month")
     )
     have = available.select("year", "month").distinct()
     return wanted.join(have, ["year", "month"], "left_anti")

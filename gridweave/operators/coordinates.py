@@ -99,7 +99,7 @@ def standardize_dims(df: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 
 def clip_latitude(df: DataFrame, column: str = "lat") -> DataFrame:
-    return df.withColumn(column, coords.clip_latitude(F.col(column)))
+    return df.withColumn(column, F.expr(coords.clip_latitude(column)))
 
 
 def assign_levels(df: DataFrame, levels: DataFrame) -> DataFrame:
@@ -109,8 +109,8 @@ def assign_levels(df: DataFrame, levels: DataFrame) -> DataFrame:
 
 def with_coordinates(df: DataFrame, cell: str = "dst_id") -> DataFrame:
     """Latitude and longitude of a cell id column."""
-    return df.withColumns(
-        {"lat": coords.cell_lat(F.col(cell)), "lon": coords.cell_lon(F.col(cell))}
+    return df.selectExpr(
+        "*", f"{coords.cell_lat(cell)} AS lat", f"{coords.cell_lon(cell)} AS lon"
     )
 
 
@@ -123,8 +123,8 @@ def build_output(df: DataFrame, var: str, value: str) -> DataFrame:
         "time", *level, "lat", "lon",
         F.col(value).alias("value"),
         F.lit(var).alias("var"),
-        F.year("time").alias("year"),
-        F.month("time").alias("month"),
+        F.expr("year(time) AS year"),
+        F.expr("month(time) AS month"),
     )
 
 

@@ -23,22 +23,15 @@ def moment_correction(
     not vary. The statistics are one small row per group; a hot group of the model is split by
     adaptive execution when the join shuffles.
     """
-    sides = (
-        calibration.select(*by, F.col(value).alias("_m"), F.lit(None).cast("double").alias("_o"))
-        .unionByName(
-            observed.select(*by, F.lit(None).cast("double").alias("_m"), F.col(value).alias("_o"))
-        )
+    sides = calibration.selectExpr(*by, f"{value} AS _m").unionByName(
+        observed.selectExpr(*by, f"{value} AS _o"), allowMissingColumns=True
     )
     moments = sides.groupBy(*by).agg(
-        F.avg("_m").alias("_mm"), F.stddev_samp("_m").alias("_ms"),
-        F.avg("_o").alias("_om"), F.stddev_samp("_o").alias("_os"),
-    )
-    scale = F.coalesce(F.try_divide(F.col("_os"), F.col("_ms")), F.lit(1.0))
-    return (
-        model.join(moments, list(by), "left")
-        .withColumn("corrected", (F.col(value) - F.col("_mm")) * scale + F.col("_om"))
-        .drop("_mm", "_ms", "_om", "_os")
+        F.expr("avg(_m) AS _mm"), F.expr("stddev_samp(_m) AS _ms"),
+        F.expr("avg(_o) AS _om"), F.expr("stddev_samp(_o) AS _os"),
     )
+    corrected = f"({value} - _mm) * coalesce(try_divide(_os, _ms), 1D) + _om AS corrected"
+    return model.join(moments, list(by), "left").selectExpr(*model.columns, corrected)
 
 
 def _roots(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +86,9 @@ def multivariate_correction(
         for test in complete:
             df = df.where(test)
         # one row per time before anything is gathered, however often a time was written
-        return df.groupBy(*by, "time").agg(*[F.avg(v).alias(v) for v in names])
+        merged = df.groupBy(*by, "time").agg(*[F.avg(v).alias(v) for v in names])
+        # new columns on each side: both may come from one table
+        return merged.select(*[F.col(c).alias(c) for c in merged.columns])
 
     schema = side(model).schema
 

@@ -8,7 +8,7 @@ or thousands of numbers, whatever the size of the field.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.functions.coords import cell_id, clip_latitude, degree_key, wrap_longitude
@@ -16,55 +16,48 @@ from gridweave.functions.coords import cell_id, clip_latitude, degree_key, wrap_
 
 def scan_grid(field: DataFrame) -> DataFrame:
     """Distinct cells of a field."""
-    cells = field.select(
-        clip_latitude(F.col("lat")).alias("lat"), wrap_longitude(F.col("lon")).alias("lon")
-    ).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    return cells.groupBy(cell_id(F.col("lat"), F.col("lon")).alias("dst_id")).agg(
-        F.min("lat").alias("lat"), F.min("lon").alias("lon")
+    cells = field.selectExpr(
+        f"{clip_latitude('lat')} AS lat", f"{wrap_longitude('lon')} AS lon"
+    ).selectExpr(f"{cell_id('lat', 'lon')} AS dst_id", "lat", "lon")
+    return cells.where("dst_id IS NOT NULL").groupBy("dst_id").agg(
+        F.expr("min(lat) AS lat"), F.expr("min(lon) AS lon")
     )
 
 
 def grid_axes(field: DataFrame) -> DataFrame:
     """One row: sorted arrays ``lats`` and ``lons`` of a rectilinear field or grid."""
-    return field.agg(
-        F.array_sort(F.collect_set(clip_latitude(F.col("lat")))).alias("lats"),
-        F.array_sort(F.collect_set(wrap_longitude(F.col("lon")))).alias("lons"),
-    ).select(_distinct_values("lats"), _distinct_values("lons"))
+    sets = field.selectExpr(
+        f"array_sort(collect_set({clip_latitude('lat')})) AS lats",
+        f"array_sort(collect_set({wrap_longitude('lon')})) AS lons",
+    )
+    return sets.selectExpr(_distinct_values("lats"), _distinct_values("lons"))
 
 
-def _distinct_values(name: str) -> Column:
+def _distinct_values(a: str) -> str:
     """Sorted axis without values that differ by less than one id step."""
-    a = F.col(name)
-    return F.filter(
-        a, lambda x, i: (i == 0) | (degree_key(x) != degree_key(F.get(a, i - 1)))
-    ).alias(name)
+    same = f"{degree_key('x')} = {degree_key(f'get({a}, i - 1)')}"
+    return f"filter({a}, (x, i) -> i = 0 OR NOT ({same})) AS {a}"
 
 
-def axis_rows(axes: DataFrame, name: str) -> DataFrame:
-    """Rows (idx, x) of one axis array."""
-    return axes.select(F.posexplode(name).alias("idx", "x"))
+def known_axes(field: DataFrame) -> DataFrame:
+    """The same row, kept: latitudes and longitudes are used apart, the field is read once."""
+    return grid_axes(field).persist()
 
 
 def axis_segments(axes: DataFrame, name: str, periodic: bool = False) -> DataFrame:
     """Successive axis values as intervals (x0, x1) with the value before and after them.
 
-    Columns x_prev, x0, x1, x_next and ``first``. Periodic longitudes get one more interval
-    across the seam; its end is above 360 and stands for the first value plus 360.
+    Columns x_prev, x0, x1, x_next and ``first``. A periodic axis also has the interval across
+    the seam, at both of its places: its far ends lie outside [0, 360).
     """
-    base = axes.select(F.col(name).alias("a"))
-    if periodic:
-        base = base.select(
-            F.concat("a", F.array(F.get("a", F.lit(0)) + 360.0)).alias("a")
-        )
-    rows = base.select("a", F.posexplode("a").alias("i", "x0"))
-    a, i = F.col("a"), F.col("i")
-    return rows.select(
-        F.when(i > 0, F.get(a, i - 1)).alias("x_prev"),
-        "x0",
-        F.get(a, i + 1).alias("x1"),
-        F.get(a, i + 2).alias("x_next"),
-        (i == 0).alias("first"),
-    ).where(F.col("x1").isNotNull())
+    seam = f"concat(array(element_at({name}, -1) - 360D), {name}, array({name}[0] + 360D))"
+    rows = axes.selectExpr(f"{seam if periodic else name} AS a").selectExpr(
+        "a", "posexplode(a) AS (i, x0)"
+    )
+    return rows.selectExpr(
+        "get(a, i - 1) AS x_prev", "x0", "get(a, i + 1) AS x1", "get(a, i + 2) AS x_next",
+        "i = 0 AS first",
+    ).where("x1 IS NOT NULL")
 
 
 def axis_bounds(axes: DataFrame, name: str) -> DataFrame:
@@ -74,40 +67,37 @@ def axis_bounds(axes: DataFrame, name: str) -> DataFrame:
     clamped to the poles. Longitude bounds may pass 0 or 360. A single value spans the circle or
     the hemispheres.
     """
-    rows = axes.select(F.col(name).alias("a"), F.posexplode(name).alias("i", "x"))
-    a, i, x = F.col("a"), F.col("i"), F.col("x")
-    before = F.when(i > 0, F.get(a, i - 1))
-    after = F.get(a, i + 1)
-    half_lo = (x - F.coalesce(before, x + x - after)) / 2
-    half_hi = (F.coalesce(after, x + x - before) - x) / 2
-    whole = 90.0 if name == "lats" else 180.0
-    lo = x - F.coalesce(half_lo, F.lit(whole))
-    hi = x + F.coalesce(half_hi, F.lit(whole))
+    rows = axes.selectExpr(f"{name} AS a", f"posexplode({name}) AS (i, x)").selectExpr(
+        "x", "get(a, i - 1) AS p", "get(a, i + 1) AS n"
+    )
+    whole = "90D" if name == "lats" else "180D"
+    lo = f"x - coalesce((x - coalesce(p, x + x - n)) / 2, {whole})"
+    hi = f"x + coalesce((coalesce(n, x + x - p) - x) / 2, {whole})"
     if name == "lats":
-        lo, hi = F.greatest(lo, F.lit(-90.0)), F.least(hi, F.lit(90.0))
-    return rows.select("x", lo.alias("lo"), hi.alias("hi"))
+        lo, hi = f"greatest({lo}, -90D)", f"least({hi}, 90D)"
+    return rows.selectExpr("x", f"{lo} AS lo", f"{hi} AS hi")
 
 
 def split_at_seam(bounds: DataFrame) -> DataFrame:
     """Longitude bounds as pieces inside [0, 360]; a cell across the seam gives two pieces."""
-    lo, hi = F.col("lo"), F.col("hi")
-    pieces = F.array(
-        F.struct(F.greatest(lo, F.lit(0.0)).alias("lo"), F.least(hi, F.lit(360.0)).alias("hi")),
-        F.struct((lo + 360.0).alias("lo"), F.lit(360.0).alias("hi")),
-        F.struct(F.lit(0.0).alias("lo"), (hi - 360.0).alias("hi")),
+    pieces = (
+        "inline(array("
+        "named_struct('lo', greatest(lo, 0D), 'hi', least(hi, 360D)),"
+        "named_struct('lo', lo + 360D, 'hi', 360D),"
+        "named_struct('lo', 0D, 'hi', hi - 360D)))"
     )
-    return bounds.select("x", F.inline(pieces)).where(F.col("lo") < F.col("hi"))
+    return bounds.selectExpr("x", pieces).where("lo < hi")
 
 
-def bins(lo: Column, hi: Column, width: float = 1.0) -> Column:
-    """Numbers of the fixed-width bins an interval touches, for joining ranges by equality."""
-    return F.sequence(F.floor(lo / width), F.floor(hi / width))
+def bins(lo: str, hi: str) -> str:
+    """Numbers of the one-degree bins an interval touches, for joining ranges by equality."""
+    return f"explode(sequence(floor({lo}), floor({hi}))) AS _bin"
 
 
 def level_axis(field: DataFrame) -> DataFrame:
     """Level axis (lev_idx from 0, lev) of a field with level values."""
-    levels = field.agg(F.array_sort(F.collect_set("lev")).alias("levs"))
-    return levels.select(F.posexplode("levs").alias("lev_idx", "lev"))
+    levels = field.selectExpr("array_sort(collect_set(lev)) AS levs")
+    return levels.selectExpr("posexplode(levs) AS (lev_idx, lev)")
 
 
 def time_axis(field: DataFrame) -> DataFrame:

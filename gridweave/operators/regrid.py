@@ -20,14 +20,14 @@ def merge_weights(weights: Mapping[str, DataFrame]) -> DataFrame:
     names = list(weights)
     stacked = None
     for name in names:
-        part = weights[name].select(
+        part = weights[name].selectExpr(
             "dst_id", "src_id",
-            *[(F.col("w") if n == name else F.lit(None).cast("double")).alias(f"w_{n}") for n in names],
-            *[(F.col("n_src") if n == name else F.lit(None).cast("int")).alias(f"n_{n}") for n in names],
+            *[f"{'w' if n == name else 'CAST(NULL AS DOUBLE)'} AS w_{n}" for n in names],
+            *[f"{'n_src' if n == name else 'CAST(NULL AS INT)'} AS n_{n}" for n in names],
         )
         stacked = part if stacked is None else stacked.unionByName(part)
     return stacked.groupBy("dst_id", "src_id").agg(
-        *[F.max(f"{kind}_{n}").alias(f"{kind}_{n}") for kind in ("w", "n") for n in names]
+        *[F.expr(f"max({c}_{n}) AS {c}_{n}") for c in ("w", "n") for n in names]
     )
 
 
@@ -46,43 +46,30 @@ def regrid(
     any shuffle), partial sums on the map side, one exchange. Weights above the size bound
     shuffle instead.
     """
-    methods = dict(values) if isinstance(values, Mapping) else {v: None for v in values}
-    lookup = broadcast_if_small(weights, broadcast_rows)
-    source = field.select(
-        *by, cell_id(F.col("lat"), F.col("lon")).alias("src_id"), *methods
-    )
-    products = source.join(lookup, "src_id")
-
-    def names(method: str | None) -> tuple[str, str]:
-        return ("w", "n_src") if method is None else (f"w_{method}", f"n_{method}")
-
-    needed = sorted({names(m)[1] for m in methods.values()})
-    terms = products.select(
-        *by, "dst_id",
-        *[(F.col(v) * F.col(names(m)[0])).alias(v) for v, m in methods.items()],
-        *needed,
+    if isinstance(values, Mapping):
+        columns = {v: (f"w_{m}", f"n_{m}") for v, m in values.items()}
+    else:
+        columns = {v: ("w", "n_src") for v in values}
+    needed = sorted({n for _, n in columns.values()})
+    source = field.selectExpr(*by, f"{cell_id('lat', 'lon')} AS src_id", *columns)
+    terms = source.join(broadcast_if_small(weights, broadcast_rows), "src_id").selectExpr(
+        *by, "dst_id", *[f"{v} * {w} AS {v}" for v, (w, _) in columns.items()], *needed
     )
     if dense_grid is not None:
         # empty terms for every wanted cell, merged by the same aggregation instead of a join
-        empty = _every_cell(field.select(*by).distinct(), dense_grid).select(
+        empty = _every_cell(field.select(*by).distinct(), dense_grid).selectExpr(
             *by, "dst_id",
-            *[F.lit(None).cast("double").alias(v) for v in methods],
-            *[F.lit(None).cast("int").alias(n) for n in needed],
+            *[f"CAST(NULL AS DOUBLE) AS {v}" for v in columns],
+            *[f"CAST(NULL AS INT) AS {n}" for n in needed],
         )
         terms = terms.unionByName(empty)
     summed = terms.groupBy(*by, "dst_id").agg(
-        *[F.sum(v).alias(f"_s_{v}") for v in methods],
-        *[F.count(v).alias(f"_c_{v}") for v in methods],
-        *[F.max(n).alias(f"_n_{n}") for n in needed],
-    )
-    out = summed.select(
-        *by, "dst_id",
         *[
-            F.when(F.col(f"_c_{v}") == F.col(f"_n_{names(m)[1]}"), F.col(f"_s_{v}")).alias(v)
-            for v, m in methods.items()
-        ],
+            F.expr(f"CASE WHEN count({v}) = max({n}) THEN sum({v}) END AS {v}")
+            for v, (_, n) in columns.items()
+        ]
     )
-    return with_coordinates(out) if coordinates else out
+    return with_coordinates(summed) if coordinates else summed
 
 
 def _every_cell(steps: DataFrame, grid: DataFrame, parts: int = 64) -> DataFrame:
@@ -90,8 +77,6 @@ def _every_cell(steps: DataFrame, grid: DataFrame, parts: int = 64) -> DataFrame
 
     An equality join on the part number, so a large grid is shuffled in pieces.
     """
-    pieces = grid.select("dst_id", F.pmod(F.xxhash64("dst_id"), F.lit(parts)).alias("_part"))
-    numbered = steps.withColumn(
-        "_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
-    )
+    pieces = grid.selectExpr("dst_id", f"pmod(xxhash64(dst_id), {parts}L) AS _part")
+    numbered = steps.selectExpr("*", f"explode(sequence(0L, {parts - 1}L)) AS _part")
     return numbered.join(pieces, "_part").drop("_part")

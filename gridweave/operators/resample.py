@@ -20,22 +20,17 @@ def resample_mean(
     the first and the last time of the whole field, NULL where it had no data. Only partial sums
     are shuffled, so a group with very many rows costs no more than others.
     """
-    binned = df.select(
-        F.window("time", every)["start"].alias("_bin"),
-        *by,
-        *[nan_to_null(F.col(v)).alias(v) for v in values],
+    binned = df.selectExpr(
+        f"window(time, '{every}').start AS _bin", *by,
+        *[f"{nan_to_null(v)} AS {v}" for v in values],
     )
     if fill_gaps:
         # one empty row per bin and group, merged by the same aggregation instead of a join
-        axis = binned.agg(
-            F.sequence(F.min("_bin"), F.max("_bin"), F.expr(f"interval {every}"))
+        axis = binned.selectExpr(
+            f"sequence(min(_bin), max(_bin), interval {every}) AS axis"
         ).scalar()
-        spine = binned.select(*by).distinct().select(
-            F.explode(axis).alias("_bin"),
-            *by,
-            *[F.lit(None).cast("double").alias(v) for v in values],
-        )
-        binned = binned.unionByName(spine)
+        spine = binned.select(*by).distinct().select(F.explode(axis).alias("_bin"), *by)
+        binned = binned.unionByName(spine, allowMissingColumns=True)
     return binned.groupBy(F.col("_bin").alias("time"), *by).agg(
-        *[F.avg(v).alias(v) for v in values]
+        *[F.expr(f"avg({v}) AS {v}") for v in values]
     )

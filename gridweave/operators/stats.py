@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,9 +23,9 @@ def climatology(
 ) -> DataFrame:
     """Mean, standard deviation and number of values per group."""
     return df.groupBy(*by).agg(
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.count(value).alias("n"),
+        F.expr(f"avg({value}) AS mean"),
+        F.expr(f"stddev_samp({value}) AS std"),
+        F.expr(f"count({value}) AS n"),
     )
 
 
@@ -37,31 +37,23 @@ def lag1_autocorrelation(
     Each value is also written one step later; grouping by time then pairs neighbours. A gap in
     the series gives no pair.
     """
-    later = F.col("time") + F.expr(f"interval {step}")
-    now = df.select(*by, "time", F.col(value).alias("_a"), F.lit(None).cast("double").alias("_b"))
-    before = df.select(
-        *by, later.alias("time"), F.lit(None).cast("double").alias("_a"), F.col(value).alias("_b")
-    )
-    pairs = now.unionByName(before).groupBy(*by, "time").agg(
-        F.max("_a").alias("_a"), F.max("_b").alias("_b")
-    )
-    return _correlated(pairs, by, "lag1")
+    before = df.withColumn("time", F.expr(f"time + interval {step}"))
+    return _correlated(_paired(df, before, [*by, "time"], value), by, "lag1")
 
 
 def _correlated(pairs: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    both = pairs.where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    both = pairs.where("_a IS NOT NULL AND _b IS NOT NULL")
     return both.groupBy(*by).agg(
-        F.corr("_a", "_b").alias(name), F.count(F.lit(1)).alias("n")
+        F.expr(f"corr(_a, _b) AS {name}"), F.expr("count(*) AS n")
     )
 
 
 def _paired(left: DataFrame, right: DataFrame, on: Sequence[str], value: str) -> DataFrame:
     """Values of two fields at the same coordinates, as _a and _b."""
-    missing = F.lit(None).cast("double")
-    both = left.select(*on, F.col(value).alias("_a"), missing.alias("_b")).unionByName(
-        right.select(*on, missing.alias("_a"), F.col(value).alias("_b"))
+    both = left.selectExpr(*on, f"{value} AS _a").unionByName(
+        right.selectExpr(*on, f"{value} AS _b"), allowMissingColumns=True
     )
-    return both.groupBy(*on).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
+    return both.groupBy(*on).agg(F.expr("max(_a) AS _a"), F.expr("max(_b) AS _b"))
 
 
 def cross_correlation(
@@ -76,9 +68,9 @@ def mean_absolute_bias(
 ) -> DataFrame:
     """Mean absolute difference between model and observation per group."""
     pairs = _paired(model, observed, [*by, "time"], value)
-    both = pairs.where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    both = pairs.where("_a IS NOT NULL AND _b IS NOT NULL")
     return both.groupBy(*by).agg(
-        F.avg(F.abs(F.col("_a") - F.col("_b"))).alias("bias"), F.count(F.lit(1)).alias("n")
+        F.expr("avg(abs(_a - _b)) AS bias"), F.expr("count(*) AS n")
     )
 
 
@@ -86,10 +78,10 @@ def histogram(
     df: DataFrame, width: float, by: Sequence[str] = ("hour",), value: str = "value"
 ) -> DataFrame:
     """Number of values per bin of fixed width, labelled by the bin's lower end."""
-    low = F.floor(F.col(value) / width) * F.lit(float(width))
-    return df.where(F.col(value).isNotNull()).groupBy(*by, low.alias("low")).agg(
-        F.count(F.lit(1)).alias("n")
+    binned = df.where(f"{value} IS NOT NULL").selectExpr(
+        *by, f"floor({value} / {float(width)}D) * {float(width)}D AS low"
     )
+    return binned.groupBy(*by, "low").agg(F.expr("count(*) AS n"))
 
 
 def quantiles(
@@ -102,53 +94,41 @@ def quantiles(
     ranks, and only values of those bins are ranked, each bin on its own. So no group is ever
     sorted whole; ``width`` should give bins of at most some million distinct values.
     """
+    keys = ", ".join(by)
     counted = (
-        df.where(F.col(value).isNotNull())
+        df.where(f"{value} IS NOT NULL")
         .groupBy(*by, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / width))
+        .agg(F.expr("count(*) AS _n"))
+        .withColumn("_bin", F.expr(f"floor(_v / {float(width)}D)"))
     )
-    up_to = Window.partitionBy(*by).orderBy("_bin")
-    per_bin = (
-        counted.groupBy(*by, "_bin").agg(F.sum("_n").alias("_n"))
-        .withColumns(
-            {
-                "_end": F.sum("_n").over(up_to),
-                "_total": F.sum("_n").over(Window.partitionBy(*by)),
-            }
-        )
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+    per_bin = counted.groupBy(*by, "_bin").agg(F.expr("sum(_n) AS _n")).selectExpr(
+        *by, "_bin", "_n",
+        f"sum(_n) OVER (PARTITION BY {keys} ORDER BY _bin) AS _end",
+        f"sum(_n) OVER (PARTITION BY {keys}) AS _total",
     )
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    position = F.col("p") * (F.col("_total") - 1)
+    wanted = ", ".join(f"{float(p)}D" for p in probabilities)
     ranks = (
-        per_bin.withColumn("p", F.explode(wanted))
-        .withColumn("_share", position - F.floor(position))
-        .withColumn(
-            "_rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position))))
-        )
-        .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end")))
-        .withColumn("_low", F.col("_rank") == F.floor(position))
-        .select(*by, "_bin", "p", "_rank", "_share", "_low", "_start")
+        per_bin.selectExpr("*", "_end - _n AS _start", f"explode(array({wanted})) AS p")
+        .selectExpr("*", "p * (_total - 1) AS _at")
+        .selectExpr("*", "explode(array_distinct(array(floor(_at), ceil(_at)))) AS _rank")
+        .where("_rank >= _start AND _rank < _end")
+        .selectExpr(*by, "_bin", "_start", "p", "_rank", "_at - floor(_at) AS _share", "_rank <= _at AS _low")
     )
     needed = ranks.select(*by, "_bin", "_start").distinct()
-    inside = Window.partitionBy(*by, "_bin").orderBy("_v")
-    placed = counted.join(needed, [*by, "_bin"]).withColumn(
-        "_upto", F.col("_start") + F.sum("_n").over(inside)
+    placed = counted.join(needed, [*by, "_bin"]).selectExpr(
+        *by, "_bin", "_v", "_n",
+        f"_start + sum(_n) OVER (PARTITION BY {keys}, _bin ORDER BY _v) AS _upto",
     )
-    hits = ranks.drop("_start").join(
-        placed.select(*by, "_bin", "_v", "_n", "_upto"), [*by, "_bin"]
-    ).where(
-        (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
+    hits = ranks.drop("_start").join(placed, [*by, "_bin"]).where(
+        "_rank < _upto AND _rank >= _upto - _n"
     )
     ends = hits.groupBy(*by, "p").agg(
-        F.max(F.when(F.col("_low"), F.col("_v"))).alias("_a"),
-        F.max(F.when(~F.col("_low"), F.col("_v"))).alias("_b"),
-        F.max("_share").alias("_share"),
+        F.expr("max(CASE WHEN _low THEN _v END) AS _a"),
+        F.expr("max(CASE WHEN NOT _low THEN _v END) AS _b"),
+        F.expr("max(_share) AS _share"),
     )
-    return ends.select(
-        *by, "p",
-        (F.col("_a") + (F.coalesce("_b", "_a") - F.col("_a")) * F.col("_share")).alias("quantile"),
+    return ends.selectExpr(
+        *by, "p", "_a + (coalesce(_b, _a) - _a) * _share AS quantile"
     )
 
 

@@ -10,39 +10,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.functions import physics
-from gridweave.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 
 COLUMNS = ("time", "dst_id")
 
 
+def _levels(*names: str) -> str:
+    fields = ", ".join(f"'{n}', {n}" for n in ("lev_idx", *names))
+    return f"array_sort(collect_list(named_struct({fields})))"
+
+
 def pressure_levels(surface: DataFrame, coefficients: DataFrame, ps: str = "ps") -> DataFrame:
     """Pressure of every level over a surface-pressure field.
 
     The coefficients (lev_idx, ap, b) are one value per level. They reach the field as one array
     and each surface row is expanded into its levels.
     """
-    levels = coefficients.agg(
-        F.sort_array(F.collect_list(F.struct("lev_idx", "ap", "b")))
-    ).scalar()
+    levels = coefficients.selectExpr(_levels("ap", "b")).scalar()
     expanded = surface.select("*", F.inline(levels))
-    return expanded.withColumn(
-        "p", physics.hybrid_pressure(F.col("ap"), F.col("b"), F.col(ps))
-    ).drop("ap", "b")
+    p = physics.hybrid_pressure(F.col("ap"), F.col("b"), F.col(ps))
+    return expanded.withColumn("p", p).drop("ap", "b")
 
 
 def hybrid_heights(orography: DataFrame, coefficients: DataFrame, orog: str = "orog") -> DataFrame:
     """Height of every hybrid-height level over terrain; coefficients (lev_idx, a, b)."""
-    levels = coefficients.agg(
-        F.sort_array(F.collect_list(F.struct("lev_idx", "a", "b")))
-    ).scalar()
+    levels = coefficients.selectExpr(_levels("a", "b")).scalar()
     expanded = orography.select("*", F.inline(levels))
-    return expanded.withColumn(
-        "zfull", physics.hybrid_height(F.col("a"), F.col("b"), F.col(orog))
-    ).drop("a", "b")
+    z = physics.hybrid_height(F.col("a"), F.col("b"), F.col(orog))
+    return expanded.withColumn("zfull", z).drop("a", "b")
 
 
 def hypsometric_heights(
@@ -57,16 +55,17 @@ def hypsometric_heights(
     """
     if order not in ("lev_idx", "pressure_desc"):
         raise ValueError(f"unknown order: {order}")
-    by = F.col("lev_idx") if order == "lev_idx" else F.col(p).desc()
-    w = Window.partitionBy(*columns).orderBy(by)
-    below = {c: F.lag(c).over(w) for c in (p, t, q) if c}
+    by = "lev_idx" if order == "lev_idx" else f"{p} DESC"
+    over = f"OVER (PARTITION BY {', '.join(columns)} ORDER BY {by})"
+    below = df.selectExpr("*", *[f"lag({c}) {over} AS _{c}" for c in (p, t, q) if c])
     layer = physics.layer_thickness(
-        below[p], F.col(p), below[t], F.col(t),
-        *((below[q], F.col(q)) if q else ()),
+        F.col(f"_{p}"), F.col(p), F.col(f"_{t}"), F.col(t),
+        *((F.col(f"_{q}"), F.col(q)) if q else ()),
+    )
+    running = over.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    return below.withColumn("_dz", layer).selectExpr(
+        *df.columns, f"sum(coalesce(_dz, 0D)) {running} AS {out}"
     )
-    with_layers = df.withColumn("_dz", F.coalesce(layer, F.lit(0.0)))
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return with_layers.withColumn(out, F.sum("_dz").over(running)).drop("_dz")
 
 
 def adjust_edges(
@@ -76,34 +75,26 @@ def adjust_edges(
 
     Levels are numbered anew: 0 for the added bottom, 1..n inside, n+1 for the added top.
     """
-    w = Window.partitionBy(*columns).orderBy("lev_idx")
-    rows = df.select(
-        *columns,
-        F.row_number().over(w).alias("_i"),
-        F.col(z).alias("_z"),
-        F.lag(z).over(w).alias("_below"),
-        F.lead(z).over(w).alias("_above"),
-        F.lead(F.lit(1)).over(w).alias("_more"),
+    over = f"OVER (PARTITION BY {', '.join(columns)} ORDER BY lev_idx)"
+    rows = df.selectExpr(
+        *columns, f"{z} AS _z", f"row_number() {over} AS _i", f"lag({z}) {over} AS _below",
+        f"lead({z}) {over} AS _above", f"lead(1) {over} IS NULL AS _top",
     )
 
-    def level(i: Column, height: Column) -> Column:
-        return F.struct(i.cast("int").alias("lev_idx"), height.alias(z))
-
-    z0, i = F.col("_z"), F.col("_i")
-    own = F.array(level(i, z0))
-    bottom = F.when(i == 1, F.array(level(F.lit(0), z0 - (F.col("_above") - z0))))
-    top = F.when(F.col("_more").isNull(), F.array(level(i + 1, z0 + (z0 - F.col("_below")))))
-    nothing = F.filter(own, lambda _: F.lit(False))
-    return rows.select(
-        *columns,
-        F.inline(F.concat(F.coalesce(bottom, nothing), own, F.coalesce(top, nothing))),
-    )
+    def level(i: str, height: str) -> str:
+        return f"array(named_struct('lev_idx', {i}, '{z}', {height}))"
+
+    own = level("_i", "_z")
+    none = f"filter({own}, e -> false)"
+    levels = f"""concat(
+        CASE WHEN _i = 1 THEN {level('0', '_z - (_above - _z)')} ELSE {none} END, {own},
+        CASE WHEN _top THEN {level('_i + 1', '_z + (_z - _below)')} ELSE {none} END)"""
+    return rows.selectExpr(*columns, f"inline({levels})")
 
 
 def vertical_interpolation(
     source: DataFrame, targets: DataFrame, value: str = "value", z: str = "z", x: str = "x",
     columns: Sequence[str] = COLUMNS, above: str = "null",
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Values of each source column at the target heights of the same column.
 
@@ -119,102 +110,80 @@ def vertical_interpolation(
     """
     if above not in ("null", "extrapolate"):
         raise ValueError(f"unknown rule above the top: {above}")
-    static = [c for c in columns if c not in targets.columns]
-    points = source.select(
-        *columns, F.col(z).cast("double").alias("_h"), F.col(value).cast("double").alias("_v")
-    ).where(F.col("_h").isNotNull() & F.col("_v").isNotNull())
     carried = [c for c in targets.columns if c not in columns]
-    if static:
-        merged = _with_static_targets(points, targets, columns, carried, x, broadcast_rows)
-    else:
-        merged = _with_targets(points, targets, columns, carried, x)
+    points = source.selectExpr(
+        *columns, f"CAST({z} AS DOUBLE) AS _h", f"CAST({value} AS DOUBLE) AS _v"
+    ).where("_h IS NOT NULL AND _v IS NOT NULL")
+    merge = _with_targets if set(columns) <= set(targets.columns) else _with_static_targets
+    merged = merge(points, targets, columns, carried, x)
 
     # Going down from the top, the segment seen last is the one around the target, and under the
     # lowest level it is still the lowest one. On equal heights the level comes before the target.
-    down = Window.partitionBy(*columns).orderBy(
-        F.col("_h").desc_nulls_last(), F.col("_seen").desc(), F.col("_v").desc()
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    segment = F.last("_seg", ignorenulls=True).over(down)
+    column = f"PARTITION BY {', '.join(columns)}"
+    use = f"""last(_seg, true) OVER ({column} ORDER BY _h DESC, _level DESC, _v DESC
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
     if above == "extrapolate":
-        top = F.max(F.when(F.col("_seg").isNotNull(), F.struct("_h", "_seg"))).over(
-            Window.partitionBy(*columns)
-        )
-        segment = F.coalesce(segment, top["_seg"])
-    picked = merged.withColumn("_use", segment).where(F.col("_seen") == 0)
-    use = F.col("_use")
-    line = physics.linear(F.col("_h"), use["x0"], use["y0"], use["x1"], use["y1"])
-    return picked.select(
-        *columns, *[F.col(f"_t.{c}").alias(c) for c in carried], line.alias(value)
+        top = "max(CASE WHEN _seg IS NOT NULL THEN named_struct('h', _h, 'seg', _seg) END)"
+        use = f"coalesce({use}, ({top} OVER ({column})).seg)"
+    picked = merged.selectExpr(
+        *columns, "_h", "_level", "_t", f"{use} AS _use"
+    ).where("NOT _level")
+    line = "_use.y0 + (_use.y1 - _use.y0) * try_divide(_h - _use.x0, _use.x1 - _use.x0)"
+    return picked.selectExpr(
+        *columns, *[f"_t.{c} AS {c}" for c in carried], f"{line} AS {value}"
     )
 
 
-def _segment(columns: Sequence[str]) -> Column:
+def _carry(carried: Sequence[str]) -> str:
+    return f"named_struct({', '.join(f'{c!r}, {c}' for c in carried)})"
+
+
+def _segment(below_x: str, below_y: str) -> str:
     """The line from the level below to this level; NULL on the lowest level of a column."""
-    up = Window.partitionBy(*columns).orderBy("_h", "_v")
-    x0, y0 = F.lag("_h").over(up), F.lag("_v").over(up)
-    return F.when(
-        x0.isNotNull(),
-        F.struct(x0.alias("x0"), y0.alias("y0"), F.col("_h").alias("x1"), F.col("_v").alias("y1")),
-    )
+    return f"""CASE WHEN {below_x} IS NOT NULL THEN
+        named_struct('x0', {below_x}, 'y0', {below_y}, 'x1', _h, 'y1', _v) END AS _seg"""
 
 
 def _with_targets(
     points: DataFrame, targets: DataFrame, columns: Sequence[str], carried: list[str], x: str
 ) -> DataFrame:
     """Levels and targets in one table, each level with the segment under it."""
-    kept = F.struct(*carried)
-    wanted = targets.select(
-        *columns, F.col(x).cast("double").alias("_h"), F.lit(None).cast("double").alias("_v"),
-        F.lit(0).alias("_seen"), kept.alias("_t"),
+    wanted = targets.selectExpr(
+        *columns, f"CAST({x} AS DOUBLE) AS _h", "CAST(NULL AS DOUBLE) AS _v", "false AS _level",
+        f"{_carry(carried)} AS _t",
+    )
+    levels = points.selectExpr("*", "true AS _level")
+    merged = levels.unionByName(wanted, allowMissingColumns=True)
+    below = f"""last(CASE WHEN _level THEN named_struct('x', _h, 'y', _v) END, true) OVER (
+        PARTITION BY {', '.join(columns)} ORDER BY _h, _level, _v
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+    return merged.selectExpr("*", f"CASE WHEN _level THEN {below} END AS _below").selectExpr(
+        *columns, "_h", "_v", "_level", "_t", _segment("_below.x", "_below.y")
     )
-    levels = points.withColumns({"_seen": F.lit(1), "_t": F.lit(None).cast(wanted.schema["_t"].dataType)})
-    merged = levels.unionByName(wanted)
-    up = Window.partitionBy(*columns).orderBy(
-        F.col("_h").asc_nulls_first(), F.col("_seen"), F.col("_v")
-    ).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.last(
-        F.when(F.col("_seen") == 1, F.struct(F.col("_h").alias("x"), F.col("_v").alias("y"))),
-        ignorenulls=True,
-    ).over(up)
-    return merged.withColumn("_below", below).withColumn(
-        "_seg",
-        F.when(
-            (F.col("_seen") == 1) & F.col("_below").isNotNull(),
-            F.struct(
-                F.col("_below.x").alias("x0"), F.col("_below.y").alias("y0"),
-                F.col("_h").alias("x1"), F.col("_v").alias("y1"),
-            ),
-        ),
-    ).drop("_below")
 
 
 def _with_static_targets(
-    points: DataFrame, targets: DataFrame, columns: Sequence[str], carried: list[str], x: str,
-    broadcast_rows: int,
+    points: DataFrame, targets: DataFrame, columns: Sequence[str], carried: list[str], x: str
 ) -> DataFrame:
     """Levels of each column, its lowest row followed by the target rows of its cell."""
     shared = [c for c in columns if c in targets.columns]
     lists = targets.groupBy(*shared).agg(
-        F.collect_list(
-            F.struct(F.col(x).cast("double").alias("_h"), F.struct(*carried).alias("_t"))
-        ).alias("_targets")
+        F.expr(f"collect_list(named_struct('h', CAST({x} AS DOUBLE), 't', {_carry(carried)})) AS _list")
     )
-    first = F.row_number().over(Window.partitionBy(*columns).orderBy("_h", "_v")) == 1
-    levels = points.withColumns({"_seg": _segment(columns), "_first": first})
-    joined = levels.join(broadcast_if_small(lists, broadcast_rows // 64), shared)
-    itself = F.array(F.lit(None).cast(lists.schema["_targets"].dataType.elementType))
-    rows = joined.select(
-        *columns, "_h", "_v", "_seg",
-        F.explode(
-            F.when(F.col("_first"), F.concat(itself, "_targets")).otherwise(itself)
-        ).alias("_target"),
+    over = f"OVER (PARTITION BY {', '.join(columns)} ORDER BY _h, _v)"
+    levels = points.selectExpr(
+        "*", f"lag(_h) {over} AS _bx", f"lag(_v) {over} AS _by", f"row_number() {over} AS _n"
     )
-    level = F.col("_target").isNull()
-    return rows.select(
-        *columns,
-        F.when(level, F.col("_h")).otherwise(F.col("_target._h")).alias("_h"),
-        F.when(level, F.col("_v")).alias("_v"),
-        F.when(level, F.col("_seg")).alias("_seg"),
-        F.when(level, 1).otherwise(0).alias("_seen"),
-        F.col("_target._t").alias("_t"),
+    itself = "array(if(false, _list[0], NULL))"
+    return (
+        levels.join(lists, shared)
+        .selectExpr(
+            *columns, "_h", "_v", _segment("_bx", "_by"),
+            f"explode(if(_n = 1, concat({itself}, _list), {itself})) AS _w",
+        )
+        .selectExpr(
+            *columns,
+            "if(_w IS NULL, _h, _w.h) AS _h", "if(_w IS NULL, _v, NULL) AS _v",
+            "if(_w IS NULL, _seg, NULL) AS _seg", "_w IS NULL AS _level", "_w.t AS _t",
+        )
     )

@@ -10,105 +10,79 @@ range, so every join here is a hash join whose candidates lie within a degree or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.functions.coords import cell_id, clip_latitude, degree_key, wrap_longitude
 from gridweave.operators.grids import (
     axis_bounds,
-    axis_rows,
     axis_segments,
     bins,
-    grid_axes,
+    known_axes,
     scan_grid,
     split_at_seam,
 )
 
+METHODS = (
+    "bilinear", "conservative", "conservative_normed", "nearest_s2d", "nearest_d2s", "patch",
+)
+
 
 def normalized(grid: DataFrame) -> DataFrame:
     """Grid with clamped latitudes and longitudes in [0, 360)."""
-    return grid.select(
-        "dst_id",
-        clip_latitude(F.col("lat")).alias("lat"),
-        wrap_longitude(F.col("lon")).alias("lon"),
+    return grid.selectExpr(
+        "dst_id", f"{clip_latitude('lat')} AS lat", f"{wrap_longitude('lon')} AS lon"
     )
 
 
-def _bracket(points: DataFrame, segments: DataFrame, coord: str, periodic: bool) -> DataFrame:
-    """Add the segment (x_prev, x0, x1, x_next) that holds each point, as a struct column."""
-    seg = segments.select(
-        F.struct("x_prev", "x0", "x1", "x_next").alias(f"{coord}_seg"),
-        "first",
-        F.explode(bins(F.col("x0"), F.col("x1"))).alias("_bin"),
+def _bracket(points: DataFrame, axes: DataFrame, coord: str, periodic: bool = False) -> DataFrame:
+    """Add the segment that holds each point and the share ``f`` of its upper end, as a struct."""
+    segments = axis_segments(axes, f"{coord}s", periodic).selectExpr(
+        "x_prev", "x0", "x1", "x_next", "first", bins("x0", "x1")
     )
-    x = F.col(coord)
-    if periodic:
-        # a point before the first value is looked for one turn later, across the seam
-        lowest = segments.agg(F.min("x0")).scalar()
-        x = F.when(x < lowest, x + 360.0).otherwise(x)
-    left = points.withColumn("_x", x).withColumn("_bin", F.floor("_x"))
-    x0, x1 = F.col(f"{coord}_seg.x0"), F.col(f"{coord}_seg.x1")
-    inside = (F.col("_x") <= x1) & ((F.col("_x") > x0) | (F.col("first") & (F.col("_x") == x0)))
-    return (
-        left.join(seg, "_bin")
-        .where(inside)
-        .withColumn(f"{coord}_f", (F.col("_x") - x0) / (x1 - x0))
-        .drop("_bin", "_x", "first")
+    near = points.withColumn("_bin", F.expr(f"floor({coord})")).join(segments, "_bin")
+    inside = near.where(f"{coord} <= x1 AND ({coord} > x0 OR (first AND {coord} = x0))")
+    return inside.selectExpr(
+        *points.columns,
+        f"""named_struct('x', {coord}, 'p', x_prev, 'a', x0, 'b', x1, 'n', x_next,
+                         'f', ({coord} - x0) / (x1 - x0)) AS {coord}_seg""",
     )
 
 
-def _outer(lat_nodes: Column, lon_nodes: Column) -> Column:
-    """All pairs of two short node arrays, with the product of their weights."""
-    return F.flatten(
-        F.transform(
-            lat_nodes,
-            lambda a: F.transform(
-                lon_nodes,
-                lambda b: F.struct(
-                    cell_id(a["x"], b["x"]).alias("src_id"), (a["w"] * b["w"]).alias("w")
-                ),
-            ),
-        )
-    )
+def _bracketed(src_axes: DataFrame, grid: DataFrame, periodic: bool) -> DataFrame:
+    return _bracket(_bracket(normalized(grid), src_axes, "lat"), src_axes, "lon", periodic)
 
 
-def _nodes(*pairs: tuple[Column, Column]) -> Column:
+def _nodes(*pairs: tuple[str, str]) -> str:
     """Axis nodes (x, w) without zero weights."""
-    nodes = F.array(*[F.struct(x.alias("x"), w.alias("w")) for x, w in pairs])
-    return F.filter(nodes, lambda n: n["x"].isNotNull() & (n["w"] != 0.0))
-
+    nodes = ", ".join(f"named_struct('x', {x}, 'w', {w})" for x, w in pairs)
+    return f"filter(array({nodes}), e -> e.x IS NOT NULL AND e.w != 0)"
 
-def _from_nodes(points: DataFrame, lat_nodes: Column, lon_nodes: Column) -> DataFrame:
-    nodes = points.select("dst_id", lat_nodes.alias("a"), lon_nodes.alias("b"))
-    return nodes.select(
-        "dst_id",
-        (F.size("a") * F.size("b")).alias("n_src"),
-        F.inline(_outer(F.col("a"), F.col("b"))),
-    ).select("dst_id", "src_id", "w", "n_src")
 
-
-def _bracketed(src_axes: DataFrame, grid: DataFrame, periodic: bool) -> DataFrame:
-    points = _bracket(normalized(grid), axis_segments(src_axes, "lats"), "lat", False)
-    return _bracket(points, axis_segments(src_axes, "lons", periodic), "lon", periodic)
+def _from_nodes(points: DataFrame, lat_nodes: str, lon_nodes: str) -> DataFrame:
+    """All pairs of the two short node lists of a target cell, with the product of weights."""
+    pairs = f"""flatten(transform(a, p -> transform(b, q ->
+        named_struct('src_id', {cell_id('p.x', 'q.x')}, 'w', p.w * q.w))))"""
+    return (
+        points.selectExpr("dst_id", f"{lat_nodes} AS a", f"{lon_nodes} AS b")
+        .selectExpr("dst_id", "size(a) * size(b) AS n_src", f"inline({pairs})")
+        .select("dst_id", "src_id", "w", "n_src")
+    )
 
 
 def weights_bilinear(src_axes: DataFrame, grid: DataFrame, periodic: bool = False) -> DataFrame:
     """Four-corner weights. Targets outside the source hull get none."""
 
-    def nodes(coord: str) -> Column:
-        seg, f = F.col(f"{coord}_seg"), F.col(f"{coord}_f")
-        return _nodes((seg["x0"], 1.0 - f), (seg["x1"], f))
+    def nodes(s: str) -> str:
+        return _nodes((f"{s}.a", f"1 - {s}.f"), (f"{s}.b", f"{s}.f"))
 
-    return _from_nodes(_bracketed(src_axes, grid, periodic), nodes("lat"), nodes("lon"))
+    points = _bracketed(src_axes, grid, periodic)
+    return _from_nodes(points, nodes("lat_seg"), nodes("lon_seg"))
 
 
-def _quadratic(x: Column, a: Column, b: Column, c: Column) -> tuple[Column, Column, Column]:
-    """Weights at x of the parabola through three nodes."""
-    return (
-        (x - b) * (x - c) / ((a - b) * (a - c)),
-        (x - a) * (x - c) / ((b - a) * (b - c)),
-        (x - a) * (x - b) / ((c - a) * (c - b)),
-    )
+def _parabola(x: str, at: str, other: str, another: str) -> str:
+    """Weight at x of one of the three nodes of a parabola."""
+    return f"({x} - {other}) * ({x} - {another}) / (({at} - {other}) * ({at} - {another}))"
 
 
 def weights_patch(src_axes: DataFrame, grid: DataFrame, periodic: bool = False) -> DataFrame:
@@ -118,29 +92,29 @@ def weights_patch(src_axes: DataFrame, grid: DataFrame, periodic: bool = False)
     result is bilinear.
     """
 
-    def nodes(coord: str) -> Column:
-        seg, f = F.col(f"{coord}_seg"), F.col(f"{coord}_f")
-        p, a, b, n = seg["x_prev"], seg["x0"], seg["x1"], seg["x_next"]
-        x = a + f * (b - a)
-        low, high = _quadratic(x, p, a, b), _quadratic(x, a, b, n)
-        share = F.when(n.isNull(), 0.0).when(p.isNull(), 1.0).otherwise(f)
-
-        def blend(u: Column | None, v: Column | None, straight: Column) -> Column:
-            parts = F.lit(0.0)
-            if u is not None:
-                parts = parts + F.coalesce((1.0 - share) * u, F.lit(0.0))
-            if v is not None:
-                parts = parts + F.coalesce(share * v, F.lit(0.0))
-            return F.when(p.isNull() & n.isNull(), straight).otherwise(parts)
+    def nodes(s: str) -> str:
+        x, p, a, b, n, f = (f"{s}.{c}" for c in ("x", "p", "a", "b", "n", "f"))
+        upper = f"CASE WHEN {n} IS NULL THEN 0D WHEN {p} IS NULL THEN 1D ELSE {f} END"
+        straight = f"{p} IS NULL AND {n} IS NULL"
+
+        def low(at: str, other: str, another: str) -> str:
+            return f"coalesce((1 - {upper}) * {_parabola(x, at, other, another)}, 0D)"
+
+        def high(at: str, other: str, another: str) -> str:
+            return f"coalesce({upper} * {_parabola(x, at, other, another)}, 0D)"
+
+        def inner(plain: str, *terms: str) -> str:
+            return f"CASE WHEN {straight} THEN {plain} ELSE {' + '.join(terms)} END"
 
         return _nodes(
-            (p, blend(low[0], None, F.lit(0.0))),
-            (a, blend(low[1], high[0], 1.0 - f)),
-            (b, blend(low[2], high[1], f)),
-            (n, blend(None, high[2], F.lit(0.0))),
+            (p, low(p, a, b)),
+            (a, inner(f"1 - {f}", low(a, p, b), high(a, b, n))),
+            (b, inner(f, low(b, p, a), high(b, a, n))),
+            (n, high(n, a, b)),
         )
 
-    return _from_nodes(_bracketed(src_axes, grid, periodic), nodes("lat"), nodes("lon"))
+    points = _bracketed(src_axes, grid, periodic)
+    return _from_nodes(points, nodes("lat_seg"), nodes("lon_seg"))
 
 
 def _overlaps(src: DataFrame, dst: DataFrame) -> DataFrame:
@@ -149,50 +123,31 @@ def _overlaps(src: DataFrame, dst: DataFrame) -> DataFrame:
     Both sides are listed in every bin they touch; a pair is taken only in the first bin the two
     share, so it appears once without a distinct.
     """
-    s = src.select(
-        F.col("x").alias("src"), F.col("lo").alias("slo"), F.col("hi").alias("shi"),
-        F.explode(bins(F.col("lo"), F.col("hi"))).alias("_bin"),
-    )
-    d = dst.select(
-        F.col("x").alias("dst"), F.col("lo").alias("dlo"), F.col("hi").alias("dhi"),
-        F.explode(bins(F.col("lo"), F.col("hi"))).alias("_bin"),
-    )
-    first_shared = F.greatest(F.floor("slo"), F.floor("dlo"))
+    s = src.selectExpr("x AS src", "lo AS slo", "hi AS shi", bins("lo", "hi"))
+    d = dst.selectExpr("x AS dst", "lo AS dlo", "hi AS dhi", bins("lo", "hi"))
     return (
         s.join(d, "_bin")
-        .where(
-            (F.col("slo") < F.col("dhi"))
-            & (F.col("dlo") < F.col("shi"))
-            & (F.col("_bin") == first_shared)
-        )
-        .select(
-            "dst", "src",
-            F.greatest("slo", "dlo").alias("lo"),
-            F.least("shi", "dhi").alias("hi"),
-        )
+        .where("slo < dhi AND dlo < shi AND _bin = greatest(floor(slo), floor(dlo))")
+        .selectExpr("dst", "src", "greatest(slo, dlo) AS lo", "least(shi, dhi) AS hi")
     )
 
 
-def _overlap_fractions(src: DataFrame, dst: DataFrame, measure, normed: bool) -> DataFrame:
-    """Rows (dst, nodes): per target value its source values and the covered fractions."""
-    total = dst.groupBy("x").agg(F.sum(measure(F.col("lo"), F.col("hi"))).alias("total"))
-    parts = _overlaps(src, dst).groupBy("dst", "src").agg(
-        F.sum(measure(F.col("lo"), F.col("hi"))).alias("part")
-    )
-    shares = parts.join(total, F.col("dst") == F.col("x")).select(
-        "dst", "src", (F.col("part") / F.col("total")).alias("w")
-    ).where(F.col("w") > 0)
+def _overlap_nodes(src: DataFrame, dst: DataFrame, measure: str, normed: bool) -> DataFrame:
+    """Rows (dst, nodes): per target value its source values and the covered shares.
+
+    ``measure`` gives the size of an interval from its ends ``lo`` and ``hi``.
+    """
+    total = dst.groupBy(F.col("x").alias("dst")).agg(F.expr(f"sum({measure}) AS total"))
+    parts = _overlaps(src, dst).groupBy("dst", "src").agg(F.expr(f"sum({measure}) AS part"))
+    shares = parts.join(total, "dst").selectExpr("dst", "src", "part / total AS w").where("w > 0")
     grouped = shares.groupBy("dst").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("src").alias("x"), "w"))).alias("nodes"),
-        F.sum("w").alias("covered"),
+        F.expr("array_sort(collect_list(named_struct('x', src, 'w', w))) AS nodes"),
+        F.expr("sum(w) AS covered"),
     )
     if not normed:
         return grouped.select("dst", "nodes")
-    return grouped.select(
-        "dst",
-        F.transform(
-            "nodes", lambda n: F.struct(n["x"].alias("x"), (n["w"] / F.col("covered")).alias("w"))
-        ).alias("nodes"),
+    return grouped.selectExpr(
+        "dst", "transform(nodes, e -> named_struct('x', e.x, 'w', e.w / covered)) AS nodes"
     )
 
 
@@ -207,73 +162,57 @@ def weights_conservative(
     """
     if norm not in ("dst", "frac"):
         raise ValueError(f"unknown norm: {norm}")
-    normed = norm == "frac"
-    lat = _overlap_fractions(
+    lat = _overlap_nodes(
         axis_bounds(src_axes, "lats"), axis_bounds(dst_axes, "lats"),
-        lambda lo, hi: F.sin(F.radians(hi)) - F.sin(F.radians(lo)), normed,
+        "sin(radians(hi)) - sin(radians(lo))", norm == "frac",
     )
-    lon = _overlap_fractions(
+    lon = _overlap_nodes(
         split_at_seam(axis_bounds(src_axes, "lons")), split_at_seam(axis_bounds(dst_axes, "lons")),
-        lambda lo, hi: hi - lo, normed,
+        "hi - lo", norm == "frac",
     )
     cells = (
         normalized(grid)
-        .select("dst_id", degree_key(F.col("lat")).alias("_lat"), degree_key(F.col("lon")).alias("_lon"))
-        .join(lat.select(degree_key(F.col("dst")).alias("_lat"), F.col("nodes").alias("a")), "_lat")
-        .join(lon.select(degree_key(F.col("dst")).alias("_lon"), F.col("nodes").alias("b")), "_lon")
+        .selectExpr("dst_id", f"{degree_key('lat')} AS _lat", f"{degree_key('lon')} AS _lon")
+        .join(lat.selectExpr(f"{degree_key('dst')} AS _lat", "nodes AS lat_nodes"), "_lat")
+        .join(lon.selectExpr(f"{degree_key('dst')} AS _lon", "nodes AS lon_nodes"), "_lon")
     )
-    return _from_nodes(cells, F.col("a"), F.col("b"))
+    return _from_nodes(cells, "lat_nodes", "lon_nodes")
 
 
-def _nearest_axis(axes: DataFrame, name: str) -> DataFrame:
-    """Catchment (lo, hi] of every axis value: up to the midpoints, open at the ends.
+def _nearest(points: DataFrame, axes: DataFrame, coord: str) -> DataFrame:
+    """Add the nearest axis value of each point as ``near_<coord>``.
 
-    Longitudes also get their values one turn away, so the nearest one is found across the seam.
+    Every axis value has a catchment (lo, hi] up to the midpoints, open at the ends. Longitudes
+    also have their values one turn away, so the nearest one is found across the seam.
     """
-    base = axes.select(F.col(name).alias("a"))
-    if name == "lons":
-        base = base.select(
-            F.array_distinct(
-                F.concat(
-                    F.array(F.element_at("a", -1) - 360.0), "a", F.array(F.get("a", F.lit(0)) + 360.0)
-                )
-            ).alias("a")
+    name = f"{coord}s"
+    a, low, high = name, "-91D", "91D"
+    if coord == "lon":
+        turn = f"array(element_at({name}, -1) - 360D), {name}, array({name}[0] + 360D)"
+        a, low, high = f"array_distinct(concat({turn}))", "-1D", "361D"
+    catchments = (
+        axes.selectExpr(f"{a} AS a").selectExpr("a", "posexplode(a) AS (i, x)")
+        .selectExpr(
+            f"x AS near_{coord}",
+            f"coalesce(greatest((x + get(a, i - 1)) / 2, {low}), {low}) AS lo",
+            f"coalesce(least((x + get(a, i + 1)) / 2, {high}), {high}) AS hi",
         )
-    rows = base.select("a", F.posexplode("a").alias("i", "x"))
-    a, i, x = F.col("a"), F.col("i"), F.col("x")
-    end = F.lit(180.0 if name == "lats" else 720.0)
-    lo = F.when(i > 0, (x + F.get(a, i - 1)) / 2).otherwise(-end)
-    hi = F.coalesce((x + F.get(a, i + 1)) / 2, end)
-    return rows.select("x", lo.alias("lo"), hi.alias("hi"))
-
-
-def _nearest(points: DataFrame, axes: DataFrame, coord: str, name: str, out: str) -> DataFrame:
-    catchment = _nearest_axis(axes, name)
-    # only the part of a catchment that coordinates can reach needs bins
-    low, high = (-90.0, 90.0) if name == "lats" else (0.0, 360.0)
-    side = catchment.select(
-        F.col("x").alias(out), "lo", "hi",
-        F.explode(
-            bins(F.greatest("lo", F.lit(low - 1)), F.least("hi", F.lit(high + 1)))
-        ).alias("_bin"),
-    ).where(F.col("hi") > F.col("lo"))
+        .where("lo < hi")
+        .selectExpr("*", bins("lo", "hi"))
+    )
     return (
-        points.withColumn("_bin", F.floor(coord))
-        .join(side, "_bin")
-        .where((F.col(coord) > F.col("lo")) & (F.col(coord) <= F.col("hi")))
+        points.withColumn("_bin", F.expr(f"floor({coord})"))
+        .join(catchments, "_bin")
+        .where(f"{coord} > lo AND {coord} <= hi")
         .drop("_bin", "lo", "hi")
     )
 
 
 def weights_nearest(src_axes: DataFrame, grid: DataFrame) -> DataFrame:
     """Every target takes its nearest source value. Ties go to the smaller coordinate."""
-    points = _nearest(normalized(grid), src_axes, "lat", "lats", "_lat")
-    points = _nearest(points, src_axes, "lon", "lons", "_lon")
-    return points.select(
-        "dst_id",
-        cell_id(F.col("_lat"), F.col("_lon")).alias("src_id"),
-        F.lit(1.0).alias("w"),
-        F.lit(1).alias("n_src"),
+    points = _nearest(_nearest(normalized(grid), src_axes, "lat"), src_axes, "lon")
+    return points.selectExpr(
+        "dst_id", f"{cell_id('near_lat', 'near_lon')} AS src_id", "1D AS w", "1 AS n_src"
     )
 
 
@@ -282,10 +221,10 @@ def weights_nearest_reverse(src_grid: DataFrame, dst_axes: DataFrame) -> DataFra
 
     ``src_grid`` has the same columns as a target grid; its ``dst_id`` is the source cell.
     """
-    sent = weights_nearest(dst_axes, src_grid).select(
-        F.col("src_id").alias("dst_id"), F.col("dst_id").alias("src_id"), "w"
+    sent = weights_nearest(dst_axes, src_grid).selectExpr(
+        "src_id AS dst_id", "dst_id AS src_id", "w"
     )
-    counts = sent.groupBy("dst_id").agg(F.count(F.lit(1)).cast("int").alias("n_src"))
+    counts = sent.groupBy("dst_id").agg(F.expr("CAST(count(*) AS INT) AS n_src"))
     return sent.join(counts, "dst_id").select("dst_id", "src_id", "w", "n_src")
 
 
@@ -298,32 +237,18 @@ def build_weights(
     ``box_grid`` restricts the target cells before any weight is made, so source cells that only
     serve other cells never leave the scan stage.
     """
+    if method not in METHODS:
+        raise ValueError(f"unknown method: {method}")
     grid = box_grid if box_grid is not None else scan_grid(target)
+    if method == "nearest_d2s":
+        reverse = weights_nearest_reverse(scan_grid(source), known_axes(target))
+        return reverse.join(grid.select("dst_id"), "dst_id", "left_semi")
+    axes = known_axes(source)
     if method == "bilinear":
-        return weights_bilinear(grid_axes(source), grid, periodic)
+        return weights_bilinear(axes, grid, periodic)
     if method == "patch":
-        return weights_patch(grid_axes(source), grid, periodic)
-    if method == "conservative":
-        return weights_conservative(grid_axes(source), grid_axes(target), grid, "dst")
-    if method == "conservative_normed":
-        return weights_conservative(grid_axes(source), grid_axes(target), grid, "frac")
+        return weights_patch(axes, grid, periodic)
     if method == "nearest_s2d":
-        return weights_nearest(grid_axes(source), grid)
-    if method == "nearest_d2s":
-        wanted = grid.select("dst_id")
-        return weights_nearest_reverse(scan_grid(source), grid_axes(target)).join(
-            wanted, "dst_id", "left_semi"
-        )
-    raise ValueError(f"unknown method: {method}")
-
-
-__all__ = [
-    "axis_rows",
-    "build_weights",
-    "normalized",
-    "weights_bilinear",
-    "weights_conservative",
-    "weights_nearest",
-    "weights_nearest_reverse",
-    "weights_patch",
-]
+        return weights_nearest(axes, grid)
+    norm = "frac" if method == "conservative_normed" else "dst"
+    return weights_conservative(axes, known_axes(target), grid, norm)

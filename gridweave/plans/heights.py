@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gridweave.functions import physics
 from gridweave.functions.coords import cell_id
 from gridweave.operators.regrid import regrid
-from gridweave.operators.sizing import broadcast_if_small
 from gridweave.operators.vertical import hypsometric_heights
 
 # Standard names of vertical coordinates
@@ -18,7 +17,7 @@ HYBRID_SIGMA_PRESSURE = ("atmosphere_hybrid_sigma_pressure_coordinate",)
 
 def with_cells(df: DataFrame) -> DataFrame:
     """Replace lat and lon by the cell id."""
-    return df.withColumn("dst_id", cell_id(F.col("lat"), F.col("lon"))).drop("lat", "lon")
+    return df.withColumn("dst_id", F.expr(cell_id("lat", "lon"))).drop("lat", "lon")
 
 
 def sigma_heights(
@@ -29,7 +28,7 @@ def sigma_heights(
     ``model`` has time, lev_idx, dst_id, ``ta``, ``ps`` (repeated on every level) and, for moist
     heights, the column ``q``. ``coefficients`` are lev_idx, ap, b.
     """
-    coef = broadcast_if_small(coefficients.select("lev_idx", "ap", "b"))
+    coef = coefficients.select("lev_idx", "ap", "b")
     on_levels = model.join(coef, "lev_idx").withColumn(
         "p", physics.hybrid_pressure(F.col("ap"), F.col("b"), F.col("ps"))
     )

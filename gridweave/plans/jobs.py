@@ -20,7 +20,7 @@ from gridweave.operators.grids import scan_grid
 from gridweave.operators.regrid import merge_weights, regrid
 from gridweave.operators.resample import resample_mean
 from gridweave.operators.selection import Box, filter_bbox, filter_synoptic, filter_years
-from gridweave.operators.sizing import BROADCAST_ROWS, broadcast_if_small
+from gridweave.operators.sizing import BROADCAST_ROWS
 from gridweave.operators.vertical import vertical_interpolation
 from gridweave.operators.weights import build_weights
 from gridweave.plans.heights import regrid_heights, with_cells
@@ -118,17 +118,9 @@ def interpolate_and_fill(
     profiles = moved.withColumn("z", geopotential_height(F.col("geopotential")))
     points = with_cells(inside.select(*POINT, F.col("value").alias("own")))
     keys = [c for c in ("time", "dst_id", "lev_idx") if c in heights.columns]
-    wanted = points.join(
-        broadcast_if_small(heights.select(*keys, "zfull"), broadcast_rows)
-        if "time" not in keys
-        else heights.select(*keys, "zfull"),
-        keys,
-        "left",
-    )
+    wanted = points.join(heights.select(*keys, "zfull"), keys, "left")
     lines = vertical_interpolation(profiles, wanted, x="zfull")
-    return lines.select(
-        "time", "dst_id", "lev_idx", F.coalesce("value", "own").alias("value")
-    )
+    return lines.selectExpr("time", "dst_id", "lev_idx", "coalesce(value, own) AS value")
 
 
 @dataclass(frozen=True)
@@ -215,7 +207,7 @@ def run_interpolation(
         )
         levels = target.select("lev_idx", "lev").distinct()
         out = build_output(
-            filled.join(broadcast_if_small(levels), "lev_idx", "left"), target_var, "value"
+            filled.join(levels, "lev_idx", "left"), target_var, "value"
         )
         attrs = {"interpolation_to": job.target_name}
         write_field(attach_attrs(out, "value", attrs), job.output_path)

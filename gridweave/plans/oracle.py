@@ -7,12 +7,13 @@ TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 # Shared tables -------------------------------------------------------------------------------
 
 SRC = """src AS (
-  SELECT make_timestamp(year(l_shipdate), month(l_shipdate), 1, 3*(l_orderkey%2), 0, 0) AS time,
-         l_linenumber AS lev_idx, -90e0 + 45*(l_suppkey%5) AS lat, 45e0*(l_partkey%8) AS lon,
-         avg(l_extendedprice)*0.00031415926535e0 AS value,
-         9.80665e0*(500e0*l_linenumber*l_linenumber + avg(l_quantity)) AS geopotential,
-         avg(l_quantity)*0.00031415926535e0 AS humidity
-  FROM lineitem GROUP BY ALL)"""
+  SELECT time, lev_idx, lat, lon, price*0.00031415926535e0 AS value,
+         9.80665e0*(500e0*lev_idx*lev_idx + qty) AS geopotential,
+         qty*0.00031415926535e0 AS humidity
+  FROM (SELECT make_timestamp(year(l_shipdate), month(l_shipdate), 1, 3*(l_orderkey%2), 0, 0) AS time,
+               l_linenumber AS lev_idx, -90e0 + 45*(l_suppkey%5) AS lat, 45e0*(l_partkey%8) AS lon,
+               avg(l_extendedprice) AS price, avg(l_quantity) AS qty
+        FROM lineitem GROUP BY ALL))"""
 
 _TGT_KEYS = """1 + (o_orderkey//24)%5 AS lev_idx, -75e0 + 30*(o_custkey%6) AS lat,
          30e0*((o_orderkey//2)%12) AS lon"""
@@ -416,9 +417,9 @@ ORACLE: dict[str, str] = {
     + f"SELECT {_FIELD} FROM rg",
     "regrid_mixed_methods": with_(
         SRC, TGT, bilinear("src", "tgt", "b"), conservative("c"),
-        regridded("rb", "b", ["geopotential"]), regridded("rc", "c", ["humidity"]),
+        regridded("rb", "b", ["value"]), regridded("rc", "c", ["humidity"]),
     )
-    + f"""SELECT {t()}, {_LEV}, lat, lon, {r('humidity', 'humidity')}, {r('geopotential', 'geopotential', 3)}
+    + f"""SELECT {t()}, {_LEV}, lat, lon, {r('humidity', 'humidity')}, {r('value', 'value')}
   FROM rb FULL JOIN rc USING (time, lev_idx, lat, lon)""",
     "regrid_null_guard": with_(
         SRC, TGT, bilinear(),

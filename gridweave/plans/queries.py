@@ -9,9 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gridweave.functions import physics
+from gridweave.functions import coords, physics
 from gridweave.operators import (
     align,
     coordinates,
@@ -44,14 +43,14 @@ def query(fn: Query) -> Query:
 def shown(df: DataFrame, **digits: int) -> DataFrame:
     """Rounded doubles and times as text, for comparison between engines."""
     columns = []
-    for f in df.schema:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits.get(f.name, 6))
-        elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        columns.append(c.alias(f.name))
-    return df.select(*columns)
+    for name, kind in df.dtypes:
+        if kind == "double":
+            columns.append(f"round({name}, {digits.get(name, 6)}) AS {name}")
+        elif kind.startswith("timestamp"):
+            columns.append(f"date_format({name}, 'yyyy-MM-dd HH:mm:ss') AS {name}")
+        else:
+            columns.append(name)
+    return df.selectExpr(*columns)
 
 
 def on_map(df: DataFrame) -> DataFrame:
@@ -64,18 +63,11 @@ def weights_between_cells(spark: SparkSession, sf: str, method: str) -> DataFram
 
 
 def shown_weights(w: DataFrame) -> DataFrame:
-    src = w.withColumns(
-        {"src_lat": grids_lat("src_id"), "src_lon": grids_lon("src_id")}
-    ).drop("src_id")
-    return shown(on_map(src), w=9)
-
-
-def grids_lat(cell: str):
-    return coordinates.coords.cell_lat(F.col(cell))
-
-
-def grids_lon(cell: str):
-    return coordinates.coords.cell_lon(F.col(cell))
+    named = w.selectExpr(
+        "dst_id", "w", "n_src",
+        f"{coords.cell_lat('src_id')} AS src_lat", f"{coords.cell_lon('src_id')} AS src_lon",
+    )
+    return shown(on_map(named), w=9)
 
 
 # Selection, names, coordinates -------------------------------------------------------------
@@ -348,9 +340,9 @@ def regrid_mixed_methods(spark, sf):
         {m: weights_between_cells(spark, sf, m) for m in ("bilinear", "conservative")}
     )
     out = regrid(
-        t.source_field(spark, sf), w, {"humidity": "conservative", "geopotential": "bilinear"}
+        t.source_field(spark, sf), w, {"humidity": "conservative", "value": "bilinear"}
     )
-    return shown(on_map(out), geopotential=3)
+    return shown(on_map(out))
 
 
 @query
@@ -361,7 +353,7 @@ def regrid_null_guard(spark, sf):
         "value",
         F.when(F.col("value") < 14.0, F.col("value")).when(F.col("value") > 17.0, F.lit(float("nan"))),
     )
-    clean = holes.withColumn("value", coordinates.coords.nan_to_null(F.col("value")))
+    clean = holes.withColumn("value", F.expr(coords.nan_to_null("value")))
     out = regrid(clean, weights_between_cells(spark, sf, "bilinear"))
     return shown(on_map(out))
 

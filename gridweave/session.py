@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a re-run replaces only the (var, year, month) partitions it produces
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # building a plan does not record the Python line of every expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -34,13 +34,13 @@ def scan_field(
             df = df.where(F.col("month").isin(list(months)))
         pieces.append(df)
     field = combine_by_coords(pieces, ["time", "lev_idx", "lat", "lon"], check=len(pieces) > 1)
-    return field.withColumn("value", nan_to_null(F.col("value")))
+    return field.withColumn("value", F.expr(nan_to_null("value")))
 
 
 def scan_static(spark: SparkSession, path: str, var: str) -> DataFrame:
     """A field without time."""
     df = spark.read.schema(schema.STATIC_FIELD).parquet(path).where(F.col("var") == var)
-    return df.withColumn("value", nan_to_null(F.col("value")))
+    return df.withColumn("value", F.expr(nan_to_null("value")))
 
 
 def scan_heights(

@@ -7,7 +7,7 @@ rounding ties.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the test fields
@@ -21,154 +21,133 @@ SIGMA_LEVELS = [(1, 0.0, 0.99), (2, 1500.0, 0.83), (3, 6200.0, 0.51), (4, 9800.0
 HYBRID_LEVELS = [(1, 20.0, 0.99), (2, 300.0, 0.91), (3, 1900.0, 0.62), (4, 7400.0, 0.13), (5, 21000.0, 0.0)]
 
 
+# Declared columns of the tables used, so that no file is opened to learn them
+COLUMNS = {
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz""",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "events": "ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _month_and_hour(date: Column, key: Column) -> Column:
+def _month_and_hour(date: str, key: str) -> str:
     """First of the month, at 00 or 03 hours."""
-    hour = (F.lit(3) * (key % 2)).cast("int")
-    return F.make_timestamp_ntz(
-        F.year(date), F.month(date), F.lit(1), hour, F.lit(0), F.lit(0).cast("decimal(16,6)")
-    )
+    hour = f"CAST(3 * ({key} % 2) AS INT)"
+    return f"make_timestamp_ntz(year({date}), month({date}), 1, {hour}, 0, 0) AS time"
+
+
+_SOURCE_TIME = _month_and_hour("l_shipdate", "l_orderkey")
+_SOURCE_CELL = ("-90D + 45 * (l_suppkey % 5) AS lat", "45D * (l_partkey % 8) AS lon")
+_TARGET_TIME = _month_and_hour("o_orderdate", "o_orderkey")
+_TARGET_LEVEL = "CAST(1 + (o_orderkey div 24) % 5 AS INT) AS lev_idx"
+_TARGET_CELL = ("-75D + 30 * (o_custkey % 6) AS lat", "30D * ((o_orderkey div 2) % 12) AS lon")
+
+
+def _mean_at(df: DataFrame, keys: tuple[str, ...], **values: str) -> DataFrame:
+    """Means of columns at the points given by key expressions."""
+    points = df.selectExpr(*keys, *values.values())
+    names = [k.rsplit(" AS ", 1)[1] for k in keys]
+    return points.groupBy(*names).agg(*[F.expr(f"avg({c}) AS {n}") for n, c in values.items()])
 
 
 def source_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-dimensional source: value, geopotential, humidity on 7 levels, 5 x 8 cells."""
-    li = table(spark, sf_dir, "lineitem")
-    lev = F.col("lev_idx")
-    return (
-        li.groupBy(
-            _month_and_hour(F.col("l_shipdate"), F.col("l_orderkey")).alias("time"),
-            F.col("l_linenumber").alias("lev_idx"),
-            (F.lit(-90.0) + 45 * (F.col("l_suppkey") % 5)).alias("lat"),
-            (F.lit(45.0) * (F.col("l_partkey") % 8)).alias("lon"),
-        )
-        .agg(F.avg("l_extendedprice").alias("_p"), F.avg("l_quantity").alias("_q"))
-        .select(
-            "time", "lev_idx", "lat", "lon",
-            (F.col("_p") * VALUE_FACTOR).alias("value"),
-            (F.lit(9.80665) * (F.lit(500.0) * lev * lev + F.col("_q"))).alias("geopotential"),
-            (F.col("_q") * VALUE_FACTOR).alias("humidity"),
-        )
+    means = _mean_at(
+        table(spark, sf_dir, "lineitem"),
+        (_SOURCE_TIME, "l_linenumber AS lev_idx", *_SOURCE_CELL),
+        price="l_extendedprice", quantity="l_quantity",
+    )
+    return means.selectExpr(
+        "time", "lev_idx", "lat", "lon", f"price * {VALUE_FACTOR}D AS value",
+        "9.80665D * (500D * lev_idx * lev_idx + quantity) AS geopotential",
+        f"quantity * {VALUE_FACTOR}D AS humidity",
     )
 
 
 def source_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells (lat, lon) of the source field."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        (F.lit(-90.0) + 45 * (F.col("l_suppkey") % 5)).alias("lat"),
-        (F.lit(45.0) * (F.col("l_partkey") % 8)).alias("lon"),
-    ).distinct()
+    """Cells (lat, lon) of the source field, one row per row of the table."""
+    return table(spark, sf_dir, "lineitem").selectExpr(*_SOURCE_CELL)
 
 
 def target_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells (lat, lon) of the target field."""
-    _, lat, lon = _target_keys()
-    return table(spark, sf_dir, "orders").select(lat, lon).distinct()
-
-
-def _target_keys() -> list[Column]:
-    key = F.col("o_orderkey")
-    return [
-        (F.lit(1) + F.floor(key / 24) % 5).cast("int").alias("lev_idx"),
-        (F.lit(-75.0) + 30 * (F.col("o_custkey") % 6)).alias("lat"),
-        (F.lit(30.0) * (F.floor(key / 2) % 12)).alias("lon"),
-    ]
+    """Cells (lat, lon) of the target field, one row per row of the table."""
+    return table(spark, sf_dir, "orders").selectExpr(*_TARGET_CELL)
 
 
 def target_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target model: value and surface pressure on 5 levels, 6 x 12 cells."""
-    orders = table(spark, sf_dir, "orders")
-    return (
-        orders.groupBy(
-            _month_and_hour(F.col("o_orderdate"), F.col("o_orderkey")).alias("time"), *_target_keys()
-        )
-        .agg(F.avg("o_totalprice").alias("_p"))
-        .select("time", "lev_idx", "lat", "lon", (F.col("_p") * TARGET_FACTOR).alias("value"))
-    )
+    """Target model: a value on 5 levels, 6 x 12 cells."""
+    keys = (_TARGET_TIME, _TARGET_LEVEL, *_TARGET_CELL)
+    means = _mean_at(table(spark, sf_dir, "orders"), keys, price="o_totalprice")
+    return means.selectExpr("time", "lev_idx", "lat", "lon", f"price * {TARGET_FACTOR}D AS value")
 
 
 def target_surface_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Surface pressure (time, lat, lon, ps) of the target model."""
-    orders = table(spark, sf_dir, "orders")
-    _, lat, lon = _target_keys()
-    return orders.groupBy(
-        _month_and_hour(F.col("o_orderdate"), F.col("o_orderkey")).alias("time"), lat, lon
-    ).agg((F.lit(95000.0) + F.avg("o_totalprice") * HEIGHT_FACTOR).alias("ps"))
+    means = _mean_at(
+        table(spark, sf_dir, "orders"), (_TARGET_TIME, *_TARGET_CELL), price="o_totalprice"
+    )
+    return means.selectExpr("time", "lat", "lon", f"95000D + price * {HEIGHT_FACTOR}D AS ps")
 
 
 def static_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heights (lev_idx, lat, lon, zfull) of the target levels, from about 100 m to 37 km."""
-    orders = table(spark, sf_dir, "orders")
-    lev = F.col("lev_idx").cast("double")
-    return (
-        orders.groupBy(*_target_keys())
-        .agg(F.avg("o_totalprice").alias("_p"))
-        .select(
-            "lev_idx", "lat", "lon",
-            (F.lit(60.0) * lev * lev * lev * lev + F.col("_p") * HEIGHT_FACTOR).alias("zfull"),
-        )
+    means = _mean_at(
+        table(spark, sf_dir, "orders"), (_TARGET_LEVEL, *_TARGET_CELL), price="o_totalprice"
     )
+    rise = "60D * lev_idx * lev_idx * lev_idx * lev_idx"
+    return means.selectExpr("lev_idx", "lat", "lon", f"{rise} + price * {HEIGHT_FACTOR}D AS zfull")
 
 
 def wind_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells (lat, lon) of a staggered grid, half a cell off the target's."""
-    orders = table(spark, sf_dir, "orders")
-    return orders.select(
-        (F.lit(-60.0) + 30 * (F.col("o_custkey") % 5)).alias("lat"),
-        (F.lit(15.0) + 30 * (F.floor(F.col("o_orderkey") / 2) % 11)).alias("lon"),
-    ).distinct()
+    return table(spark, sf_dir, "orders").selectExpr(
+        "-60D + 30 * (o_custkey % 5) AS lat", "15D + 30 * ((o_orderkey div 2) % 11) AS lon"
+    )
 
 
 def surface_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Surface field of the source cells: all levels of the source table averaged."""
-    li = table(spark, sf_dir, "lineitem")
-    return (
-        li.groupBy(
-            _month_and_hour(F.col("l_shipdate"), F.col("l_orderkey")).alias("time"),
-            (F.lit(-90.0) + 45 * (F.col("l_suppkey") % 5)).alias("lat"),
-            (F.lit(45.0) * (F.col("l_partkey") % 8)).alias("lon"),
-        )
-        .agg((F.avg("l_extendedprice") * VALUE_FACTOR).alias("value"))
+    means = _mean_at(
+        table(spark, sf_dir, "lineitem"), (_SOURCE_TIME, *_SOURCE_CELL), price="l_extendedprice"
     )
+    return means.selectExpr("time", "lat", "lon", f"price * {VALUE_FACTOR}D AS value")
 
 
 def events_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time series: variable, cell and value of every event."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        F.col("ts").alias("time"), F.col("event_type").alias("var"),
-        F.col("user_id").alias("cell"), (F.col("value") * SERIES_FACTOR).alias("value"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "ts AS time", "event_type AS var", "user_id AS cell", f"value * {SERIES_FACTOR}D AS value"
     )
 
 
 def station_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of seven cells, dense enough for time statistics."""
-    return events_series(spark, sf_dir).withColumn("cell", F.col("cell") % 7)
+    return table(spark, sf_dir, "events").selectExpr(
+        "ts AS time", "event_type AS var", "user_id % 7 AS cell",
+        f"value * {SERIES_FACTOR}D AS value",
+    )
 
 
 def embedding_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One 64-level column per vector: height rising with the level, value from the vector."""
     vectors = table(spark, sf_dir, "embeddings")
-    rows = vectors.select("vec_id", "label", F.posexplode("embedding").alias("lev_idx", "e"))
-    return rows.select(
-        "vec_id", "label", "lev_idx",
-        (F.lit(100.0) * F.col("lev_idx") + 40.0 * F.col("e").cast("double")).alias("z"),
-        (F.col("e").cast("double") * 314.15926535).alias("value"),
+    rows = vectors.selectExpr("vec_id", "label", "posexplode(embedding) AS (lev_idx, e)")
+    return rows.selectExpr(
+        "vec_id", "label", "lev_idx", "100D * lev_idx + 40D * CAST(e AS DOUBLE) AS z",
+        "CAST(e AS DOUBLE) * 314.15926535D AS value",
     )
 
 
 def embedding_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eleven target heights per vector: below, inside and above its profile."""
     vectors = table(spark, sf_dir, "embeddings")
-    return vectors.select(
-        "vec_id", "label", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("lev_idx")
-    ).select(
-        "vec_id", "lev_idx",
-        (F.lit(-150.0) + 670.0 * F.col("lev_idx") + 3.7 * F.col("label")).alias("x"),
-    )
+    rows = vectors.selectExpr("vec_id", "label", "explode(sequence(0, 10)) AS lev_idx")
+    return rows.selectExpr("vec_id", "lev_idx", "-150D + 670D * lev_idx + 3.7D * label AS x")
 
 
 def sigma_levels(spark: SparkSession) -> DataFrame:
