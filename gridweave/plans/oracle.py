@@ -300,6 +300,8 @@ def lines(
 
 
 COLUMN = ["time", "lat", "lon"]
+# a correlation that does not exist (one pair, no spread) is NULL, not NaN
+CORR = "nullif(corr(a.value, b.value), 'NaN'::DOUBLE)"
 RG_Z = """prof AS (SELECT time, lev_idx, lat, lon, value, geopotential/9.80665e0 AS z FROM rg)"""
 
 MODEL = """model AS (
@@ -540,11 +542,11 @@ ORACLE: dict[str, str] = {
   {r('avg(value)', 'mean')}, {r('stddev_samp(value)', 'std')}, count(value) AS n
   FROM series GROUP BY 1, 2, 3, 4""",
     "lag1_autocorr": with_(STATIONS, SIX)
-    + f"""SELECT a.var, a.cell, {r('corr(a.value, b.value)', 'lag1')}, count(*) AS n
+    + f"""SELECT a.var, a.cell, {r(CORR, 'lag1')}, count(*) AS n
   FROM six a JOIN six b ON a.var = b.var AND a.cell = b.cell AND a.time = b.time + INTERVAL '6 hours'
   GROUP BY 1, 2""",
     "cross_corr": with_(STATIONS, SIX)
-    + f"""SELECT a.cell, {r('corr(a.value, b.value)', 'correlation')}, count(*) AS n
+    + f"""SELECT a.cell, {r(CORR, 'correlation')}, count(*) AS n
   FROM six a JOIN six b ON a.cell = b.cell AND a.time = b.time
   WHERE a.var = 'view' AND b.var = 'click' GROUP BY 1""",
     "mean_abs_bias": with_(STATIONS, SIX)

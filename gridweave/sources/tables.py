@@ -37,8 +37,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _month_and_hour(date: str, key: str) -> str:
     """First of the month, at 00 or 03 hours."""
-    hour = f"CAST(3 * ({key} % 2) AS INT)"
-    return f"make_timestamp_ntz(year({date}), month({date}), 1, {hour}, 0, 0) AS time"
+    month = f"CAST(trunc({date}, 'MM') AS TIMESTAMP_NTZ)"
+    return f"{month} + make_dt_interval(0, CAST(3 * ({key} % 2) AS INT)) AS time"
 
 
 _SOURCE_TIME = _month_and_hour("l_shipdate", "l_orderkey")
