@@ -110,80 +110,59 @@ def vertical_interpolation(
     """
     if above not in ("null", "extrapolate"):
         raise ValueError(f"unknown rule above the top: {above}")
-    carried = [c for c in targets.columns if c not in columns]
     points = source.selectExpr(
-        *columns, f"CAST({z} AS DOUBLE) AS _h", f"CAST({value} AS DOUBLE) AS _v"
+        *columns, f"CAST({z} AS DOUBLE) AS _h", f"CAST({value} AS DOUBLE) AS _v", "true AS _level"
     ).where("_h IS NOT NULL AND _v IS NOT NULL")
-    merge = _with_targets if set(columns) <= set(targets.columns) else _with_static_targets
-    merged = merge(points, targets, columns, carried, x)
-
-    # Going down from the top, the segment seen last is the one around the target, and under the
-    # lowest level it is still the lowest one. On equal heights the level comes before the target.
-    column = f"PARTITION BY {', '.join(columns)}"
-    use = f"""last(_seg, true) OVER ({column} ORDER BY _h DESC, _level DESC, _v DESC
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    carried = [c for c in targets.columns if c not in (*columns, x)]
+    wanted = targets.selectExpr(
+        *[c for c in columns if c in targets.columns], *carried, f"CAST({x} AS DOUBLE) AS _h"
+    )
+    if set(columns) <= set(targets.columns):
+        wanted = wanted.selectExpr("*", "false AS _level")
+        merged = points.unionByName(wanted, allowMissingColumns=True)
+    else:
+        merged = _with_static_targets(points, wanted, columns, carried)
+
+    # Levels and targets in one order by height, a target before a level of equal height: the
+    # lines come from the levels next to the target, found by one pass over one sort.
+    level = "CASE WHEN _level THEN named_struct('h', _h, 'v', _v) END"
+    over = f"IGNORE NULLS OVER (PARTITION BY {', '.join(columns)} ORDER BY _h, _level, _v)"
+    near = [f"lag({level}, 1) {over} AS _a", f"lead({level}, 1) {over} AS _b", f"lead({level}, 2) {over} AS _c"]
     if above == "extrapolate":
-        top = "max(CASE WHEN _seg IS NOT NULL THEN named_struct('h', _h, 'seg', _seg) END)"
-        use = f"coalesce({use}, ({top} OVER ({column})).seg)"
-    picked = merged.selectExpr(
-        *columns, "_h", "_level", "_t", f"{use} AS _use"
-    ).where("NOT _level")
-    line = "_use.y0 + (_use.y1 - _use.y0) * try_divide(_h - _use.x0, _use.x1 - _use.x0)"
-    return picked.selectExpr(
-        *columns, *[f"_t.{c} AS {c}" for c in carried], f"{line} AS {value}"
+        near.append(f"lag({level}, 2) {over} AS _z")
+    beside = merged.selectExpr("*", *near).where("NOT _level")
+    top = line("_h", "_z", "_a") if above == "extrapolate" else "CAST(NULL AS DOUBLE)"
+    return beside.selectExpr(
+        *columns, *[f"_h AS {c}" if c == x else c for c in targets.columns if c not in columns],
+        f"""CASE WHEN _a IS NULL THEN {line('_h', '_b', '_c')}
+                 WHEN _b IS NULL THEN {top} ELSE {line('_h', '_a', '_b')} END AS {value}""",
     )
 
 
-def _carry(carried: Sequence[str]) -> str:
-    return f"named_struct({', '.join(f'{c!r}, {c}' for c in carried)})"
-
-
-def _segment(below_x: str, below_y: str) -> str:
-    """The line from the level below to this level; NULL on the lowest level of a column."""
-    return f"""CASE WHEN {below_x} IS NOT NULL THEN
-        named_struct('x0', {below_x}, 'y0', {below_y}, 'x1', _h, 'y1', _v) END AS _seg"""
-
-
-def _with_targets(
-    points: DataFrame, targets: DataFrame, columns: Sequence[str], carried: list[str], x: str
-) -> DataFrame:
-    """Levels and targets in one table, each level with the segment under it."""
-    wanted = targets.selectExpr(
-        *columns, f"CAST({x} AS DOUBLE) AS _h", "CAST(NULL AS DOUBLE) AS _v", "false AS _level",
-        f"{_carry(carried)} AS _t",
-    )
-    levels = points.selectExpr("*", "true AS _level")
-    merged = levels.unionByName(wanted, allowMissingColumns=True)
-    below = f"""last(CASE WHEN _level THEN named_struct('x', _h, 'y', _v) END, true) OVER (
-        PARTITION BY {', '.join(columns)} ORDER BY _h, _level, _v
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
-    return merged.selectExpr("*", f"CASE WHEN _level THEN {below} END AS _below").selectExpr(
-        *columns, "_h", "_v", "_level", "_t", _segment("_below.x", "_below.y")
-    )
+def line(x: str, p: str, q: str) -> str:
+    """Point x on the line through two levels; NULL when they have the same height."""
+    return f"{p}.v + ({q}.v - {p}.v) * try_divide({x} - {p}.h, {q}.h - {p}.h)"
 
 
 def _with_static_targets(
-    points: DataFrame, targets: DataFrame, columns: Sequence[str], carried: list[str], x: str
+    points: DataFrame, wanted: DataFrame, columns: Sequence[str], carried: Sequence[str]
 ) -> DataFrame:
     """Levels of each column, its lowest row followed by the target rows of its cell."""
-    shared = [c for c in columns if c in targets.columns]
-    lists = targets.groupBy(*shared).agg(
-        F.expr(f"collect_list(named_struct('h', CAST({x} AS DOUBLE), 't', {_carry(carried)})) AS _list")
-    )
+    shared = [c for c in columns if c in wanted.columns]
+    fields = ", ".join(f"'{c}', {c}" for c in ("_h", *carried))
+    lists = wanted.groupBy(*shared).agg(F.expr(f"collect_list(named_struct({fields})) AS _list"))
     over = f"OVER (PARTITION BY {', '.join(columns)} ORDER BY _h, _v)"
-    levels = points.selectExpr(
-        "*", f"lag(_h) {over} AS _bx", f"lag(_v) {over} AS _by", f"row_number() {over} AS _n"
-    )
     itself = "array(if(false, _list[0], NULL))"
     return (
-        levels.join(lists, shared)
+        points.selectExpr("*", f"row_number() {over} AS _n")
+        .join(lists, shared)
         .selectExpr(
-            *columns, "_h", "_v", _segment("_bx", "_by"),
+            *columns, "_h", "_v",
             f"explode(if(_n = 1, concat({itself}, _list), {itself})) AS _w",
         )
         .selectExpr(
-            *columns,
-            "if(_w IS NULL, _h, _w.h) AS _h", "if(_w IS NULL, _v, NULL) AS _v",
-            "if(_w IS NULL, _seg, NULL) AS _seg", "_w IS NULL AS _level", "_w.t AS _t",
+            *columns, *[f"_w.{c} AS {c}" for c in carried],
+            "if(_w IS NULL, _h, _w._h) AS _h", "if(_w IS NULL, _v, NULL) AS _v",
+            "_w IS NULL AS _level",
         )
     )

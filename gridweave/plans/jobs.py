@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave.functions.physics import geopotential_height
-from gridweave.operators.align import require_nonempty, stack_variables, unmatched
+from gridweave.operators.align import stack_variables, unmatched
 from gridweave.operators.coordinates import (
     build_output,
     clip_latitude,
@@ -24,7 +24,12 @@ from gridweave.operators.sizing import BROADCAST_ROWS
 from gridweave.operators.vertical import vertical_interpolation
 from gridweave.operators.weights import build_weights
 from gridweave.plans.heights import regrid_heights, with_cells
-from gridweave.sources.fields import discover_months, scan_field
+from gridweave.sources.fields import (
+    available_months,
+    discover_months,
+    first_month,
+    scan_field,
+)
 from gridweave.sources.store import (
     attach_attrs,
     attrs_table,
@@ -34,6 +39,7 @@ from gridweave.sources.store import (
 )
 
 WIND = ("ua", "va")
+ALL_YEARS = (0, 9999)
 POINT = ("time", "lev_idx", "lat", "lon")
 
 
@@ -140,7 +146,7 @@ class Job:
     years: tuple[int, int] = (1982, 2012)
     box: Box | None = field(default=None)
     periodic: bool = False
-    strict: bool = True
+    strict: bool = False
 
 
 def _weights_key(method: str, job: Job) -> str:
@@ -153,14 +159,15 @@ def run_surface(
     """Regrid and store a surface variable; returns the months of the period without input."""
     input_var = map_variable(target_var, job.input_model)
     source = scan_field(spark, job.input_path, input_var, job.years)
-    target = scan_field(spark, job.target_path, target_var)
     method = regrid_method(input_var)
-    src_grid, dst_grid = scan_grid(clip_latitude(source)), scan_grid(target)
+    source_month = first_month(spark, job.input_path, input_var, job.years)
+    target_month = first_month(spark, job.target_path, target_var, ALL_YEARS)
+    dst_grid = scan_grid(target_month)
     weights = load_or_make_weights(
-        spark, job.weights_path, _weights_key(method, job), src_grid, [dst_grid],
-        lambda: build_weights(method, source, target, dst_grid, job.periodic),
+        spark, job.weights_path, _weights_key(method, job), scan_grid(source_month), [dst_grid],
+        lambda: build_weights(method, source_month, target_month, dst_grid, job.periodic),
     )
-    out = regrid_surface(source, target, method, weights)
+    out = regrid_surface(source, target_month, method, weights)
     write_field(build_output(out, target_var, "value"), job.output_path)
     return discover_months(spark, job.input_path, input_var, *job.years)
 
@@ -171,44 +178,47 @@ def run_interpolation(
     """Interpolate and store every variable of the job, all years and months in one plan each.
 
     ``heights`` has lat, lon, lev_idx, zfull and maybe time, on the grid of the mass variables;
-    for the staggered variables they are regridded first. An empty input or target is an error.
+    for the staggered variables they are regridded first. A month of the target without input
+    is an error. Coordinates come from the first stored month, so finding them does not read
+    the fields.
     """
     for target_var in job.target_vars:
         input_var = map_variable(target_var, job.input_model)
         method = regrid_method(input_var)
-        values = require_nonempty(
-            scan_field(spark, job.input_path, input_var, job.years), f"variable {input_var}"
-        )
-        geopotential = require_nonempty(
-            scan_field(spark, job.geopotential_path, job.geopotential_var, job.years),
-            f"variable {job.geopotential_var}",
-        )
-        target = require_nonempty(
-            scan_field(spark, job.target_path, target_var, job.years), f"variable {target_var}"
-        )
-        inside = filter_bbox(target, job.box) if job.box else target
-        grid, whole_grid = scan_grid(inside), scan_grid(target)
-        src_grid = scan_grid(values)
-
-        def stored(method: str, source: DataFrame, src_grid: DataFrame) -> DataFrame:
+        target_month = first_month(spark, job.target_path, target_var, job.years)
+        source_month = first_month(spark, job.input_path, input_var, job.years)
+        wanted = filter_years(available_months(spark, job.target_path, target_var), *job.years)
+        for path, var in (
+            (job.input_path, input_var), (job.geopotential_path, job.geopotential_var),
+        ):
+            lacking = wanted.join(available_months(spark, path, var), ["year", "month"], "left_anti")
+            if not lacking.isEmpty():
+                raise ValueError(f"No data available for some target months in variable {var}.")
+
+        values = scan_field(spark, job.input_path, input_var, job.years)
+        geopotential = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)
+        target = scan_field(spark, job.target_path, target_var, job.years)
+        inside = filter_bbox(target_month, job.box) if job.box else target_month
+        grid, whole_grid = scan_grid(inside), scan_grid(target_month)
+
+        def stored(method: str, source: DataFrame) -> DataFrame:
             return load_or_make_weights(
-                spark, job.weights_path, _weights_key(method, job), src_grid, [grid, whole_grid],
-                lambda: build_weights(method, source, target, grid, job.periodic),
+                spark, job.weights_path, _weights_key(method, job), scan_grid(source),
+                [grid, whole_grid],
+                lambda: build_weights(method, source, target_month, grid, job.periodic),
             )
 
-        weights = {m: stored(m, values, src_grid) for m in {"bilinear", method}}
+        weights = {m: stored(m, source_month) for m in {"bilinear", method}}
         if target_var in stagger:
-            on_grid = regrid_heights(heights, stored(method, heights, scan_grid(heights)))
+            on_grid = regrid_heights(heights, stored(method, heights))
         else:
             on_grid = with_cells(heights)
         filled = interpolate_and_fill(
             combine_source(values, geopotential), target, on_grid, method, job.box, job.years,
             weights, job.periodic, job.strict,
         )
-        levels = target.select("lev_idx", "lev").distinct()
-        out = build_output(
-            filled.join(levels, "lev_idx", "left"), target_var, "value"
-        )
+        levels = target_month.select("lev_idx", "lev").distinct()
+        out = build_output(filled.join(levels, "lev_idx", "left"), target_var, "value")
         attrs = {"interpolation_to": job.target_name}
         write_field(attach_attrs(out, "value", attrs), job.output_path)
         write_attrs(attrs_table(spark, target_var, attrs), f"{job.output_path}_attrs")
