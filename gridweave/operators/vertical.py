@@ -18,6 +18,12 @@ from gridweave.functions import physics
 COLUMNS = ("time", "dst_id")
 
 
+def _column(columns: Sequence[str]) -> str:
+    """PARTITION BY clause. The cell goes first: it tells rows apart better than the time, and
+    sorting looks at the first key before it compares whole rows."""
+    return f"PARTITION BY {', '.join(reversed(columns))}"
+
+
 def _levels(*names: str) -> str:
     fields = ", ".join(f"'{n}', {n}" for n in ("lev_idx", *names))
     return f"array_sort(collect_list(named_struct({fields})))"
@@ -56,7 +62,7 @@ def hypsometric_heights(
     if order not in ("lev_idx", "pressure_desc"):
         raise ValueError(f"unknown order: {order}")
     by = "lev_idx" if order == "lev_idx" else f"{p} DESC"
-    over = f"OVER (PARTITION BY {', '.join(columns)} ORDER BY {by})"
+    over = f"OVER ({_column(columns)} ORDER BY {by})"
     below = df.selectExpr("*", *[f"lag({c}) {over} AS _{c}" for c in (p, t, q) if c])
     layer = physics.layer_thickness(
         F.col(f"_{p}"), F.col(p), F.col(f"_{t}"), F.col(t),
@@ -75,7 +81,7 @@ def adjust_edges(
 
     Levels are numbered anew: 0 for the added bottom, 1..n inside, n+1 for the added top.
     """
-    over = f"OVER (PARTITION BY {', '.join(columns)} ORDER BY lev_idx)"
+    over = f"OVER ({_column(columns)} ORDER BY lev_idx)"
     rows = df.selectExpr(
         *columns, f"{z} AS _z", f"row_number() {over} AS _i", f"lag({z}) {over} AS _below",
         f"lead({z}) {over} AS _above", f"lead(1) {over} IS NULL AS _top",
@@ -126,7 +132,7 @@ def vertical_interpolation(
     # Levels and targets in one order by height, a target before a level of equal height: the
     # lines come from the levels next to the target, found by one pass over one sort.
     level = "CASE WHEN _level THEN named_struct('h', _h, 'v', _v) END"
-    over = f"IGNORE NULLS OVER (PARTITION BY {', '.join(columns)} ORDER BY _h, _level, _v)"
+    over = f"IGNORE NULLS OVER ({_column(columns)} ORDER BY _h, _level, _v)"
     near = [f"lag({level}, 1) {over} AS _a", f"lead({level}, 1) {over} AS _b", f"lead({level}, 2) {over} AS _c"]
     if above == "extrapolate":
         near.append(f"lag({level}, 2) {over} AS _z")
@@ -151,7 +157,7 @@ def _with_static_targets(
     shared = [c for c in columns if c in wanted.columns]
     fields = ", ".join(f"'{c}', {c}" for c in ("_h", *carried))
     lists = wanted.groupBy(*shared).agg(F.expr(f"collect_list(named_struct({fields})) AS _list"))
-    over = f"OVER (PARTITION BY {', '.join(columns)} ORDER BY _h, _v)"
+    over = f"OVER ({_column(columns)} ORDER BY _h, _v)"
     itself = "array(if(false, _list[0], NULL))"
     return (
         points.selectExpr("*", f"row_number() {over} AS _n")
