@@ -125,7 +125,8 @@ def vertical_interpolation(
     )
     if set(columns) <= set(targets.columns):
         wanted = wanted.selectExpr("*", "false AS _level")
-        merged = points.unionByName(wanted, allowMissingColumns=True)
+        # exchanged here, so that the structs made for the window below are not part of the rows
+        merged = points.unionByName(wanted, allowMissingColumns=True).repartition(*reversed(columns))
     else:
         merged = _with_static_targets(points, wanted, columns, carried)
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.functions import physics
 from gridweave.functions.coords import cell_id
 from gridweave.operators.regrid import regrid
-from gridweave.operators.vertical import hypsometric_heights
+from gridweave.operators.sizing import broadcast_if_small
+from gridweave.operators.vertical import COLUMNS, hypsometric_heights
 
 # Standard names of vertical coordinates
 HYBRID_HEIGHT = ("atmosphere_hybrid_height_coordinate", "hybrid height coordinate")
@@ -21,19 +24,20 @@ def with_cells(df: DataFrame) -> DataFrame:
 
 
 def sigma_heights(
-    model: DataFrame, coefficients: DataFrame, q: str | None = None, order: str = "lev_idx"
+    model: DataFrame, coefficients: DataFrame, q: str | None = None, order: str = "lev_idx",
+    columns: Sequence[str] = COLUMNS,
 ) -> DataFrame:
-    """Heights (time, dst_id, lev_idx, zfull) of hybrid sigma-pressure levels.
+    """The rows of ``model`` with the height ``zfull`` of their hybrid sigma-pressure level.
 
-    ``model`` has time, lev_idx, dst_id, ``ta``, ``ps`` (repeated on every level) and, for moist
-    heights, the column ``q``. ``coefficients`` are lev_idx, ap, b.
+    ``model`` has ``columns``, lev_idx, ``ta``, ``ps`` (repeated on every level) and, for moist
+    heights, the column ``q``; other columns are kept. ``coefficients`` are lev_idx, ap, b.
     """
-    coef = coefficients.select("lev_idx", "ap", "b")
+    # counted and broadcast: shuffling a field by its few level numbers would be badly skewed
+    coef = broadcast_if_small(coefficients.select("lev_idx", "ap", "b"))
     on_levels = model.join(coef, "lev_idx").withColumn(
         "p", physics.hybrid_pressure(F.col("ap"), F.col("b"), F.col("ps"))
     )
-    heights = hypsometric_heights(on_levels, "p", "ta", q, order=order)
-    return heights.select("time", "dst_id", "lev_idx", "zfull")
+    return hypsometric_heights(on_levels, "p", "ta", q, columns, order).drop("ap", "b", "p")
 
 
 def target_heights(
@@ -55,7 +59,8 @@ def target_heights(
             return stored
         if model is None or coefficients is None:
             raise ValueError("sigma-pressure levels need temperature, pressure and coefficients")
-        return sigma_heights(model, coefficients, q, order)
+        heights = sigma_heights(model, coefficients, q, order)
+        return heights.select("time", "dst_id", "lev_idx", "zfull")
     raise ValueError(f"unknown vertical coordinate: {standard_name}")
 
 

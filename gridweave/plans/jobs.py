@@ -20,7 +20,7 @@ from gridweave.operators.grids import scan_grid
 from gridweave.operators.regrid import merge_weights, regrid
 from gridweave.operators.resample import resample_mean
 from gridweave.operators.selection import Box, filter_bbox, filter_synoptic, filter_years
-from gridweave.operators.sizing import BROADCAST_ROWS
+from gridweave.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 from gridweave.operators.vertical import vertical_interpolation
 from gridweave.operators.weights import build_weights
 from gridweave.plans.heights import regrid_heights, with_cells
@@ -82,7 +82,7 @@ def interpolate_to_levels(
 
 
 def interpolate_and_fill(
-    source: DataFrame, target: DataFrame, heights: DataFrame, method: str = "bilinear",
+    source: DataFrame, target: DataFrame, heights: DataFrame | None, method: str = "bilinear",
     box: Box | None = None, years: tuple[int, int] | None = None,
     weights: dict[str, DataFrame] | None = None, periodic: bool = False, strict: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
@@ -91,7 +91,7 @@ def interpolate_and_fill(
 
     ``source`` has time, lev_idx, lat, lon, value, geopotential (see ``combine_source``);
     ``target`` has time, lev_idx, lat, lon, value; ``heights`` has dst_id, lev_idx, zfull and
-    maybe time. The geopotential is always moved bilinearly. The result has the rows of the
+    maybe time, or is None when ``target`` has the column zfull itself. The geopotential is always moved bilinearly. The result has the rows of the
     target inside the box and period: time, dst_id, lev_idx, value. ``strict`` raises when
     source and target do not have the same times.
 
@@ -122,9 +122,12 @@ def interpolate_and_fill(
             broadcast_rows=broadcast_rows,
         )
     profiles = moved.withColumn("z", geopotential_height(F.col("geopotential")))
-    points = with_cells(inside.select(*POINT, F.col("value").alias("own")))
-    keys = [c for c in ("time", "dst_id", "lev_idx") if c in heights.columns]
-    wanted = points.join(heights.select(*keys, "zfull"), keys, "left")
+    if heights is None:
+        wanted = with_cells(inside.selectExpr(*POINT, "value AS own", "zfull"))
+    else:
+        points = with_cells(inside.selectExpr(*POINT, "value AS own"))
+        keys = [c for c in ("time", "dst_id", "lev_idx") if c in heights.columns]
+        wanted = points.join(heights.select(*keys, "zfull"), keys, "left")
     lines = vertical_interpolation(profiles, wanted, x="zfull")
     return lines.selectExpr("time", "dst_id", "lev_idx", "coalesce(value, own) AS value")
 
@@ -217,7 +220,8 @@ def run_interpolation(
             combine_source(values, geopotential), target, on_grid, method, job.box, job.years,
             weights, job.periodic, job.strict,
         )
-        levels = target_month.select("lev_idx", "lev").distinct()
+        # one label per level, counted: shuffling the result by its few levels would be skewed
+        levels = broadcast_if_small(target_month.groupBy("lev_idx").agg(F.expr("min(lev) AS lev")))
         out = build_output(filled.join(levels, "lev_idx", "left"), target_var, "value")
         attrs = {"interpolation_to": job.target_name}
         write_field(attach_attrs(out, "value", attrs), job.output_path)

@@ -575,3 +575,5 @@ ORACLE: dict[str, str] = {
              FROM stations WHERE var = 'purchase' GROUP BY ALL) o
     ON o.cell = s.cell AND o.mo = month(s.time) AND o.h = hour(s.time)""",
 }
+# heights joined from a table or computed on the way give the same result
+ORACLE["interp3d_v2_stored_heights"] = ORACLE["interp3d_v2_sigma"]

@@ -47,7 +47,7 @@ def shown(df: DataFrame, **digits: int) -> DataFrame:
         if kind == "double":
             columns.append(f"round({name}, {digits.get(name, 6)}) AS {name}")
         elif kind.startswith("timestamp"):
-            columns.append(f"date_format({name}, 'yyyy-MM-dd HH:mm:ss') AS {name}")
+            columns.append(f"left(CAST({name} AS STRING), 19) AS {name}")
         else:
             columns.append(name)
     return df.selectExpr(*columns)
@@ -544,6 +544,18 @@ def interp3d_v2_humidity(spark, sf):
 
 @query
 def interp3d_v2_sigma(spark, sf):
+    model = t.target_field(spark, sf).join(t.target_surface_pressure(spark, sf), list(CELL))
+    model = model.withColumn("ta", F.lit(230.0) + F.col("value"))
+    target = heights.sigma_heights(model, t.sigma_levels(spark), columns=CELL)
+    out = jobs.interpolate_and_fill(
+        t.source_field(spark, sf), target, None,
+        weights={"bilinear": weights_between_cells(spark, sf, "bilinear")},
+    )
+    return shown(on_map(out))
+
+
+@query
+def interp3d_v2_stored_heights(spark, sf):
     out = jobs.interpolate_and_fill(
         t.source_field(spark, sf), t.target_field(spark, sf), _sigma_heights(spark, sf),
         weights={"bilinear": weights_between_cells(spark, sf, "bilinear")},
