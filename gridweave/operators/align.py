@@ -19,11 +19,18 @@ def combine_by_coords(
 ) -> DataFrame:
     """One field out of several pieces. Overlapping pieces are an error when checked.
 
-    The check is one aggregation over the keys alone; other columns are not read for it.
+    The check first looks only at the first key (time): pieces without a common time cannot
+    overlap. Whole coordinates are compared just for the times that several pieces have.
     """
     whole = reduce(lambda a, b: a.unionByName(b), pieces)
-    if check and not duplicate_coords(whole, keys).isEmpty():
-        raise ValueError("pieces overlap: a coordinate occurs more than once")
+    if check and len(pieces) > 1:
+        first = keys[0]
+        each = [p.select(first).distinct() for p in pieces]
+        shared = duplicate_coords(reduce(lambda a, b: a.unionByName(b), each), [first])
+        if not shared.isEmpty():
+            again = whole.select(*keys).join(shared.select(first), first, "left_semi")
+            if not duplicate_coords(again, keys).isEmpty():
+                raise ValueError("pieces overlap: a coordinate occurs more than once")
     return whole
 
 

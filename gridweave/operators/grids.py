@@ -15,10 +15,10 @@ from gridweave.functions.coords import cell_id, clip_latitude, degree_key, wrap_
 
 
 def scan_grid(field: DataFrame) -> DataFrame:
-    """Distinct cells of a field."""
+    """Distinct cells of a field; longitudes stay as they are written, for box filters."""
     cells = field.selectExpr(
-        f"{clip_latitude('lat')} AS lat", f"{wrap_longitude('lon')} AS lon"
-    ).selectExpr(f"{cell_id('lat', 'lon')} AS dst_id", "lat", "lon")
+        f"{cell_id('lat', 'lon')} AS dst_id", f"{clip_latitude('lat')} AS lat", "lon"
+    )
     return cells.where("dst_id IS NOT NULL").groupBy("dst_id").agg(
         F.expr("min(lat) AS lat"), F.expr("min(lon) AS lon")
     )

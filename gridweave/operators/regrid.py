@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.functions.coords import cell_id
+from gridweave.functions.coords import cell_id, nan_to_null
 from gridweave.operators.coordinates import with_coordinates
 from gridweave.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 
@@ -51,7 +51,9 @@ def regrid(
     else:
         columns = {v: ("w", "n_src") for v in values}
     needed = sorted({n for _, n in columns.values()})
-    source = field.selectExpr(*by, f"{cell_id('lat', 'lon')} AS src_id", *columns)
+    source = field.selectExpr(
+        *by, f"{cell_id('lat', 'lon')} AS src_id", *[f"{nan_to_null(v)} AS {v}" for v in columns]
+    )
     terms = source.join(broadcast_if_small(weights, broadcast_rows), "src_id").selectExpr(
         *by, "dst_id", *[f"{v} * {w} AS {v}" for v, (w, _) in columns.items()], *needed
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.functions import physics
+from gridweave.functions.coords import nan_to_null
 
 COLUMNS = ("time", "dst_id")
 
@@ -70,7 +71,7 @@ def hypsometric_heights(
     )
     running = over.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     return below.withColumn("_dz", layer).selectExpr(
-        *df.columns, f"sum(coalesce(_dz, 0D)) {running} AS {out}"
+        *df.columns, f"sum(coalesce({nan_to_null('_dz')}, 0D)) {running} AS {out}"
     )
 
 
@@ -117,11 +118,11 @@ def vertical_interpolation(
     if above not in ("null", "extrapolate"):
         raise ValueError(f"unknown rule above the top: {above}")
     points = source.selectExpr(
-        *columns, f"CAST({z} AS DOUBLE) AS _h", f"CAST({value} AS DOUBLE) AS _v", "true AS _level"
+        *columns, f"{number(z)} AS _h", f"{number(value)} AS _v", "true AS _level"
     ).where("_h IS NOT NULL AND _v IS NOT NULL")
     carried = [c for c in targets.columns if c not in (*columns, x)]
     wanted = targets.selectExpr(
-        *[c for c in columns if c in targets.columns], *carried, f"CAST({x} AS DOUBLE) AS _h"
+        *[c for c in columns if c in targets.columns], *carried, f"{number(x)} AS _h"
     )
     if set(columns) <= set(targets.columns):
         wanted = wanted.selectExpr("*", "false AS _level")
@@ -146,6 +147,10 @@ def vertical_interpolation(
     )
 
 
+def number(c: str) -> str:
+    return nan_to_null(f"CAST({c} AS DOUBLE)")
+
+
 def line(x: str, p: str, q: str) -> str:
     """Point x on the line through two levels; NULL when they have the same height."""
     return f"{p}.v + ({q}.v - {p}.v) * try_divide({x} - {p}.h, {q}.h - {p}.h)"

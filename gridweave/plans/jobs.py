@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave.functions.physics import geopotential_height
-from gridweave.operators.align import stack_variables, unmatched
+from gridweave.operators.align import require_nonempty, stack_variables, unmatched
 from gridweave.operators.coordinates import (
     build_output,
     clip_latitude,
@@ -27,7 +27,6 @@ from gridweave.plans.heights import regrid_heights, with_cells
 from gridweave.sources.fields import (
     available_months,
     discover_months,
-    first_month,
     scan_field,
 )
 from gridweave.sources.store import (
@@ -39,7 +38,6 @@ from gridweave.sources.store import (
 )
 
 WIND = ("ua", "va")
-ALL_YEARS = (0, 9999)
 POINT = ("time", "lev_idx", "lat", "lon")
 
 
@@ -163,14 +161,13 @@ def run_surface(
     input_var = map_variable(target_var, job.input_model)
     source = scan_field(spark, job.input_path, input_var, job.years)
     method = regrid_method(input_var)
-    source_month = first_month(spark, job.input_path, input_var, job.years)
-    target_month = first_month(spark, job.target_path, target_var, ALL_YEARS)
-    dst_grid = scan_grid(target_month)
+    src_grid = scan_grid(source).persist()
+    dst_grid = scan_grid(scan_field(spark, job.target_path, target_var)).persist()
     weights = load_or_make_weights(
-        spark, job.weights_path, _weights_key(method, job), scan_grid(source_month), [dst_grid],
-        lambda: build_weights(method, source_month, target_month, dst_grid, job.periodic),
+        spark, job.weights_path, _weights_key(method, job), src_grid, [dst_grid],
+        lambda: build_weights(method, src_grid, dst_grid, dst_grid, job.periodic),
     )
-    out = regrid_surface(source, target_month, method, weights)
+    out = regrid_surface(source, dst_grid, method, weights)
     write_field(build_output(out, target_var, "value"), job.output_path)
     return discover_months(spark, job.input_path, input_var, *job.years)
 
@@ -182,15 +179,14 @@ def run_interpolation(
 
     ``heights`` has lat, lon, lev_idx, zfull and maybe time, on the grid of the mass variables;
     for the staggered variables they are regridded first. A month of the target without input
-    is an error. Coordinates come from the first stored month, so finding them does not read
-    the fields.
+    is an error. Finding the cells is one pass over the coordinate columns of input and target;
+    the cells are then kept, being few.
     """
     for target_var in job.target_vars:
         input_var = map_variable(target_var, job.input_model)
         method = regrid_method(input_var)
-        target_month = first_month(spark, job.target_path, target_var, job.years)
-        source_month = first_month(spark, job.input_path, input_var, job.years)
         wanted = filter_years(available_months(spark, job.target_path, target_var), *job.years)
+        require_nonempty(wanted, f"variable {target_var}")
         for path, var in (
             (job.input_path, input_var), (job.geopotential_path, job.geopotential_var),
         ):
@@ -201,19 +197,18 @@ def run_interpolation(
         values = scan_field(spark, job.input_path, input_var, job.years)
         geopotential = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)
         target = scan_field(spark, job.target_path, target_var, job.years)
-        inside = filter_bbox(target_month, job.box) if job.box else target_month
-        grid, whole_grid = scan_grid(inside), scan_grid(target_month)
+        src_grid, whole_grid = scan_grid(values).persist(), scan_grid(target).persist()
+        grid = filter_bbox(whole_grid, job.box) if job.box else whole_grid
 
-        def stored(method: str, source: DataFrame) -> DataFrame:
+        def stored(method: str, cells: DataFrame) -> DataFrame:
             return load_or_make_weights(
-                spark, job.weights_path, _weights_key(method, job), scan_grid(source),
-                [grid, whole_grid],
-                lambda: build_weights(method, source, target_month, grid, job.periodic),
+                spark, job.weights_path, _weights_key(method, job), cells, [grid, whole_grid],
+                lambda: build_weights(method, cells, whole_grid, grid, job.periodic),
             )
 
-        weights = {m: stored(m, source_month) for m in {"bilinear", method}}
+        weights = {m: stored(m, src_grid) for m in {"bilinear", method}}
         if target_var in stagger:
-            on_grid = regrid_heights(heights, stored(method, heights))
+            on_grid = regrid_heights(heights, stored(method, scan_grid(heights).persist()))
         else:
             on_grid = with_cells(heights)
         filled = interpolate_and_fill(
@@ -221,7 +216,7 @@ def run_interpolation(
             weights, job.periodic, job.strict,
         )
         # one label per level, counted: shuffling the result by its few levels would be skewed
-        levels = broadcast_if_small(target_month.groupBy("lev_idx").agg(F.expr("min(lev) AS lev")))
+        levels = broadcast_if_small(target.groupBy("lev_idx").agg(F.expr("min(lev) AS lev")))
         out = build_output(filled.join(levels, "lev_idx", "left"), target_var, "value")
         attrs = {"interpolation_to": job.target_name}
         write_field(attach_attrs(out, "value", attrs), job.output_path)

@@ -577,3 +577,11 @@ ORACLE: dict[str, str] = {
 }
 # heights joined from a table or computed on the way give the same result
 ORACLE["interp3d_v2_stored_heights"] = ORACLE["interp3d_v2_sigma"]
+ORACLE["discover_months"] = ORACLE["missing_months"]
+ORACLE["stored_weights"] = ORACLE["weights_bilinear"]
+ORACLE["store_and_scan"] = with_(TGT) + f"""SELECT {_FIELD}, 'ta' AS var,
+  year(time)::INTEGER AS year, month(time)::INTEGER AS month
+  FROM tgt WHERE year(time) BETWEEN 1996 AND 1997 AND month(time) IN (1, 2, 6)"""
+ORACLE["stored_job"] = ORACLE["interp3d_v2"].replace(
+    "lev_idx::INTEGER AS lev_idx,", "lev_idx::INTEGER AS lev_idx, lev_idx*10e0 AS lev,"
+)

@@ -353,8 +353,7 @@ def regrid_null_guard(spark, sf):
         "value",
         F.when(F.col("value") < 14.0, F.col("value")).when(F.col("value") > 17.0, F.lit(float("nan"))),
     )
-    clean = holes.withColumn("value", F.expr(coords.nan_to_null("value")))
-    out = regrid(clean, weights_between_cells(spark, sf, "bilinear"))
+    out = regrid(holes, weights_between_cells(spark, sf, "bilinear"))
     return shown(on_map(out))
 
 
@@ -563,6 +562,65 @@ def interp3d_v2_stored_heights(spark, sf):
     return shown(on_map(out))
 
 
+# Stored fields ----------------------------------------------------------------------------------
+
+
+def _stored(spark, sf, folder):
+    """Source and target written as stored fields."""
+    source = t.source_field(spark, sf)
+    for var, value in (("t", "value"), ("z", "geopotential")):
+        store.write_field(coordinates.build_output(source, var, value), f"{folder}/source")
+    target = t.target_field(spark, sf).withColumn("lev", F.col("lev_idx") * 10.0)
+    store.write_field(coordinates.build_output(target, "ta", "value"), f"{folder}/target")
+
+
+@query
+def store_and_scan(spark, sf):
+    folder = store.shared_folder(spark, "scan")
+    store.write_field(
+        coordinates.build_output(t.target_field(spark, sf), "ta", "value"), folder
+    )
+    scanned = fields.scan_field(spark, folder, "ta", (1996, 1997), (1, 2, 6))
+    return shown(scanned.drop("lev"))
+
+
+@query
+def discover_months(spark, sf):
+    folder = store.shared_folder(spark, "months")
+    store.write_field(
+        coordinates.build_output(t.target_field(spark, sf), "ta", "value"), folder
+    )
+    return fields.discover_months(spark, folder, "ta", 1995, 2001)
+
+
+@query
+def stored_weights(spark, sf):
+    folder = store.shared_folder(spark, "weights")
+    source, target = t.source_cells(spark, sf), t.target_cells(spark, sf)
+
+    def load():
+        return store.load_or_make_weights(
+            spark, folder, "bilinear", grids.scan_grid(source), [grids.scan_grid(target)],
+            lambda: weights.build_weights("bilinear", source, target),
+        )
+
+    load()
+    return shown_weights(load())
+
+
+@query
+def stored_job(spark, sf):
+    folder = store.shared_folder(spark, "job")
+    _stored(spark, sf, folder)
+    job = jobs.Job(
+        f"{folder}/source", f"{folder}/source", f"{folder}/target", f"{folder}/out",
+        f"{folder}/weights", ("ta",), years=(1996, 2000), box=BOX,
+    )
+    jobs.run_interpolation(spark, job, t.static_heights(spark, sf))
+    out = fields.scan_field(spark, job.output_path, "ta")
+    return shown(out.select("time", "lev_idx", "lev", "lat", "lon", "value"))
+
+
 # Evaluation and correction ----------------------------------------------------------------------
 
 

@@ -33,7 +33,7 @@ def scan_field(
         if months is not None:
             df = df.where(F.col("month").isin(list(months)))
         pieces.append(df)
-    field = combine_by_coords(pieces, ["time", "lev_idx", "lat", "lon"], check=len(pieces) > 1)
+    field = combine_by_coords(pieces, ["time", "lev_idx", "lat", "lon"])
     return field.withColumn("value", F.expr(nan_to_null("value")))
 
 
@@ -57,18 +57,6 @@ def available_months(spark: SparkSession, path: str, var: str) -> DataFrame:
     return df.select("year", "month").distinct()
 
 
-def first_month(spark: SparkSession, path: str, var: str, years: tuple[int, int]) -> DataFrame:
-    """The first stored month of a variable in a period.
-
-    All months of a field have the same cells and levels, so coordinates are taken from one.
-    """
-    months = filter_years(available_months(spark, path, var), *years)
-    first = months.selectExpr("min(struct(year, month)) AS m").first()["m"]
-    if first is None:
-        raise ValueError(f"No data available for {years[0]}-{years[1]} in variable {var}.")
-    return scan_field(spark, path, var, (first["year"], first["year"]), [first["month"]])
-
-
 def discover_months(
     spark: SparkSession, path: str, var: str, start_year: int, end_year: int
 ) -> DataFrame:

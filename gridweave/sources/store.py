@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,25 @@ def write_field(df: DataFrame, path: str) -> None:
     )
 
 
+def reformat(
+    df: DataFrame, names: Mapping[str, str], attrs: Mapping[str, str], path: str
+) -> None:
+    """Store corrected fields under the variable names and attributes of the original model."""
+    field = df.replace(dict(names), subset=["var"])
+    write_field(field, path)
+    tables = [attrs_table(df.sparkSession, var, attrs) for var in sorted(set(names.values()))]
+    write_attrs(reduce(lambda a, b: a.unionByName(b), tables), f"{path}_attrs")
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder all executors reach: in the session's checkpoint folder, where it names one.
+
+    Only a session without that setting, as in tests, gets a folder on this machine.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridweave-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
 def _without_level(df: DataFrame) -> DataFrame:
     columns = {"lev": F.lit(None).cast("double")}
     if "lev_idx" not in df.columns:
