@@ -8,7 +8,7 @@ TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 
 SRC = """src AS (
   SELECT time, lev_idx, lat, lon, price*0.00031415926535e0 AS value,
-         9.80665e0*(500e0*lev_idx*lev_idx + qty) AS geopotential,
+         9.80665e0*(500e0*lev_idx*lev_idx + qty*0.98765432101e0) AS geopotential,
          qty*0.00031415926535e0 AS humidity
   FROM (SELECT make_timestamp(year(l_shipdate), month(l_shipdate), 1, 3*(l_orderkey%2), 0, 0) AS time,
                l_linenumber AS lev_idx, -90e0 + 45*(l_suppkey%5) AS lat, 45e0*(l_partkey%8) AS lon,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 VALUE_FACTOR = 0.00031415926535
 TARGET_FACTOR = 0.000031415926535
 HEIGHT_FACTOR = 0.00031415926535
+RISE_FACTOR = 0.98765432101
 SERIES_FACTOR = 0.031415926535
 # level, ap, b of a five-level sigma-pressure axis
 SIGMA_LEVELS = [(1, 0.0, 0.99), (2, 1500.0, 0.83), (3, 6200.0, 0.51), (4, 9800.0, 0.17), (5, 4100.0, 0.0)]
@@ -64,7 +65,7 @@ def source_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return means.selectExpr(
         "time", "lev_idx", "lat", "lon", f"price * {VALUE_FACTOR}D AS value",
-        "9.80665D * (500D * lev_idx * lev_idx + quantity) AS geopotential",
+        f"9.80665D * (500D * lev_idx * lev_idx + quantity * {RISE_FACTOR}D) AS geopotential",
         f"quantity * {VALUE_FACTOR}D AS humidity",
     )
 
