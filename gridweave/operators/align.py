@@ -82,7 +82,7 @@ def fill_from(
 def require_nonempty(df: DataFrame, what: str) -> DataFrame:
     """Raise when there are no rows (reads at most one)."""
     if df.isEmpty():
-        raise ValueError(f"No data available for {what}.")
+        raise ValueError(f"nothing to read: {what}")
     return df
 
 

@@ -13,7 +13,12 @@ from gridweave.functions import coords
 # Short names, long names, variable names and their order
 LONG_NAMES = {"lon": "longitude", "lat": "latitude", "lev": "level"}
 STANDARD_DIMS = ("time", "lat", "lon", "lev")
-LEVEL_WORDS = ("lev", "level", "height", "depth")
+# standard name, words that tell it, and the largest absolute value that tells it
+DIM_RULES = (
+    ("lat", ("lat",), 90),
+    ("lon", ("lon",), 180),
+    ("lev", ("lev", "level", "height", "depth"), None),
+)
 REANALYSIS_NAMES = {"hus": "q", "ta": "t", "ua": "u", "va": "v", "tos": "sst"}
 
 
@@ -79,22 +84,22 @@ def standardize_dims(df: DataFrame, dims: Sequence[str]) -> DataFrame:
         lo, hi = ranges.get(dim, (None, None))
         return lo is not None and -bound <= lo and hi <= bound
 
-    taken = {d for d in dims if d in STANDARD_DIMS}
+    def guess(dim: str) -> str | None:
+        if dim in times:
+            return "time"
+        for name, words, bound in DIM_RULES:
+            named = any(word in dim.lower() for word in words)
+            if named or (bound is not None and within(dim, bound)):
+                return name
+        return None
+
+    free = [n for n in STANDARD_DIMS if n not in dims]
     renames: dict[str, str] = {}
     for dim in unknown:
-        name = dim.lower()
-        guess = None
-        if dim in times:
-            guess = "time"
-        elif "lat" in name or within(dim, 90):
-            guess = "lat"
-        elif "lon" in name or within(dim, 180):
-            guess = "lon"
-        elif any(word in name for word in LEVEL_WORDS):
-            guess = "lev"
-        if guess and guess not in taken:
-            renames[dim] = guess
-            taken.add(guess)
+        name = guess(dim)
+        if name in free:
+            free.remove(name)
+            renames[dim] = name
     return df.withColumnsRenamed(renames)
 
 

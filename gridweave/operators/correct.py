@@ -9,8 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.operators.stats import climatology
-
 
 def moment_correction(
     model: DataFrame, calibration: DataFrame, observed: DataFrame,
@@ -106,6 +104,3 @@ def multivariate_correction(
         .cogroup(side(observed).groupBy(*by))
         .applyInPandas(correct, schema)
     )
-
-
-__all__ = ["climatology", "moment_correction", "multivariate_correction"]

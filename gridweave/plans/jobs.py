@@ -141,7 +141,6 @@ class Job:
     weights_path: str
     target_vars: tuple[str, ...] = ("hus", "ta", "ua", "va")
     input_model: str = "reanalysis"
-    input_name: str = "reanalysis"
     target_name: str = "gcm"
     geopotential_var: str = "z"
     years: tuple[int, int] = (1982, 2012)
@@ -192,7 +191,7 @@ def run_interpolation(
         ):
             lacking = wanted.join(available_months(spark, path, var), ["year", "month"], "left_anti")
             if not lacking.isEmpty():
-                raise ValueError(f"No data available for some target months in variable {var}.")
+                raise ValueError(f"target months without input of variable {var}")
 
         values = scan_field(spark, job.input_path, input_var, job.years)
         geopotential = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)

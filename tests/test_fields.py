@@ -149,8 +149,9 @@ def test_stored_job_end_to_end(spark, tmp_path):
     store.write_field(small_field(spark, "t", value), source)
     store.write_field(small_field(spark, "u", value), source)
     store.write_field(small_field(spark, "z", lambda k, a, b: 9.80665 * height(k)), source)
+    store.write_field(small_field(spark, "q", lambda k, a, b: 3.0), source)
     lats, lons = (5.0, 12.0), (2.5, 7.5)
-    for var in ("ta", "ua"):
+    for var in ("ta", "ua", "hus"):
         store.write_field(small_field(spark, var, lambda k, a, b: -5.0, lats=lats, lons=lons, levels=3), target)
     xs = {0: 50.0, 1: 250.0, 2: 900.0}
     mass_lats, mass_lons = (4.0, 14.0), (2.0, 8.0)
@@ -163,22 +164,49 @@ def test_stored_job_end_to_end(spark, tmp_path):
         "lat double, lon double, lev_idx int, zfull double",
     )
     job = jobs.Job(
-        source, source, target, out, cache, ("ta",), years=(2000, 2000),
+        source, source, target, out, cache, ("ta", "hus"), years=(2000, 2000),
         box=selection.Box(0.0, 50.0, 0.0, 50.0), target_name="gcm",
     )
     jobs.run_interpolation(spark, job, same)
     jobs.run_interpolation(spark, jobs.Job(**{**job.__dict__, "target_vars": ("ua",)}), zfull)
-    for var in ("ta", "ua"):
+    for var in ("ta", "ua", "hus"):
         rows = fields.scan_field(spark, out, var).collect()
         assert len(rows) == 2 * 2 * 3 * 4
         for r in rows:
-            want = -5.0 if r["lev_idx"] == 2 else 2.0 * xs[r["lev_idx"]] + r["lat"]
+            below = 3.0 if var == "hus" else 2.0 * xs[r["lev_idx"]] + r["lat"]
+            want = -5.0 if r["lev_idx"] == 2 else below
             assert r["value"] == pytest.approx(want), (var, r)
             assert r["lev"] == r["lev_idx"]
     attrs = spark.read.parquet(out + "_attrs").collect()
     assert {(r["var"], r["key"], r["value"]) for r in attrs} == {
-        ("ta", "interpolation_to", "gcm"), ("ua", "interpolation_to", "gcm")
+        (var, "interpolation_to", "gcm") for var in ("ta", "ua", "hus")
     }
+    with pytest.raises(ValueError):  # a target month without input
+        store.write_field(
+            small_field(spark, "ta", lambda k, a, b: 1.0, (7,), lats, lons, levels=3), target
+        )
+        jobs.run_interpolation(spark, job, same)
+
+
+def test_reformat_restores_names(spark, tmp_path):
+    path = str(tmp_path / "back")
+    store.reformat(small_field(spark, "t", lambda k, a, b: 1.0), {"t": "ta"}, {"units": "K"}, path)
+    assert fields.scan_field(spark, path, "ta").count() == 144
+    assert spark.read.parquet(path + "_attrs").first()["var"] == "ta"
+
+
+def test_gcm_input_keeps_its_names(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("in", "gcm", "out", "w")]
+    store.write_field(small_field(spark, "ta", lambda k, a, b: k + a), paths[0])
+    store.write_field(small_field(spark, "zg", lambda k, a, b: 9.80665 * 10 * k), paths[0])
+    store.write_field(small_field(spark, "ta", lambda k, a, b: 0.0, lats=(5.0,), lons=(5.0,), levels=1), paths[1])
+    zfull = spark.createDataFrame([(5.0, 5.0, 0, 15.0)], "lat double, lon double, lev_idx int, zfull double")
+    job = jobs.Job(
+        paths[0], paths[0], paths[1], paths[2], paths[3], ("ta",), input_model="gcm",
+        geopotential_var="zg", years=(2000, 2000), strict=False,
+    )
+    jobs.run_interpolation(spark, job, zfull)
+    assert {round(r["value"], 9) for r in fields.scan_field(spark, paths[2], "ta").collect()} == {6.5}
 
 
 def test_stored_surface_job(spark, tmp_path):

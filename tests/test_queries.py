@@ -26,3 +26,17 @@ def test_query(spark, con, name):
     want_names, want = sql_rows(con, ORACLE[name])
     assert names == want_names
     assert rows == want
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_pair_of_everything(spark, name):
+    """No plan compares or pairs all rows of two sides."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_entry(spark):
+    from __spark_entry__ import entry, oracle_sql, queries
+
+    assert entry(spark).count() > 0
+    assert set(oracle_sql()) <= set(queries())
