@@ -1,6 +1,6 @@
 """Similarity join of documents on sets of word shingles, by a forest of count-vector R-trees.
 
-Shingles are hashed into 16 groups; a document's point holds its count in each. The overlap of two
+Shingles are hashed into 64 groups; a document's point holds its count in each. The overlap of two
 documents is at most the sum of the smaller counts, and for a tree node the sum over the largest
 counts in it, so points and whole nodes that cannot reach the needed overlap are left out. Pairs
 that survive are verified on the shingle sets.
@@ -30,9 +30,9 @@ from gridweave.llm.common import written
 from gridweave.llm.components import components
 from gridweave.llm.textvec import mix, shingle_sets
 
-GROUPS = 16
+GROUPS = 64
 CELLS = 1 << 18  # of the table of shingle frequencies
-NEEDED = 1 << 23  # bits of the table of documents whose sets are needed
+NEEDED = 1 << 23  # bits of the table of documents whose sets are to be verified
 LEAF = 256
 _LOCAL = 1 << 17  # sets a task remembers, so that it sends a copied set once
 _RARE = 6  # frequency classes below this count as rare
@@ -44,39 +44,50 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _set_key(s: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit digests of a set; the first names it."""
-    name = mix(s.sum(keepdims=True) + np.uint64(len(s)))
-    check = np.bitwise_xor.reduce(mix(s + np.uint64(11)), keepdims=True)
-    return int(name.view(np.int64)[0]), int(check.view(np.int64)[0])
+def _name(s: np.ndarray) -> int:
+    """A 64-bit digest that names a set."""
+    return int(mix(s.sum(keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
+
+
+def _group(s: np.ndarray) -> np.ndarray:
+    return (s & np.uint64(GROUPS - 1)).astype(np.int64)
 
 
 def _cell(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(64 - 18)).astype(np.int64)
 
 
+SCANNED = "doc_id long, n_shingles long, name long, point array<int>, cell int, times long"
+
+
 def _scan(k: int) -> Callable[[Batches], Batches]:
-    """Per text its set's size and digests; at the end of a task its counts of shingles by cell."""
+    """Per text its set's size, name and point; at the end of a task its counts of shingles by cell."""
+    names = [part.split()[0] for part in SCANNED.split(", ")]
 
     def run(batches: Batches) -> Batches:
         counts = np.zeros(CELLS, np.int64)
         for batch in batches:
-            n, rows = batch.num_rows, []
-            for _, s in shingle_sets(batch["text"], k):
-                np.add.at(counts, _cell(s), 1)
-                rows.append((len(s), *(_set_key(s) if len(s) else (0, 0))))
-            got = np.array(rows, np.int64).reshape(n, 3)
+            n = batch.num_rows
+            got = np.zeros((n, 2), np.int64)
+            points = np.zeros((n, GROUPS), np.int32)
+            for i, s in shingle_sets(batch["text"], k):
+                if len(s):
+                    np.add.at(counts, _cell(s), 1)
+                    got[i] = len(s), _name(s)
+                    points[i] = np.bincount(_group(s), minlength=GROUPS)
+            at = pa.array(np.arange(0, n * GROUPS + 1, GROUPS, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(got[:, 0]), pa.array(got[:, 1]), pa.array(got[:, 2])]
+                [batch["doc_id"], pa.array(got[:, 0]), pa.array(got[:, 1])]
+                + [pa.ListArray.from_arrays(at, pa.array(points.ravel()))]
                 + [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
-                ["doc_id", "n_shingles", "name", "proof", "cell", "times"],
+                names,
             )
         used = np.flatnonzero(counts)
         if len(used):
-            none = [pa.nulls(len(used), pa.int64()) for _ in range(4)]
+            none = [pa.nulls(len(used), pa.int64()) for _ in range(3)]
+            none.append(pa.nulls(len(used), pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(
-                none + [pa.array(used.astype(np.int32)), pa.array(counts[used])],
-                ["doc_id", "n_shingles", "name", "proof", "cell", "times"],
+                none + [pa.array(used.astype(np.int32)), pa.array(counts[used])], names
             )
 
     return run
@@ -105,7 +116,7 @@ def _keys(k: int, share: float, classes: bytes) -> Callable[[Batches], Batches]:
             for _, s in shingle_sets(batch["text"], k):
                 if not len(s):
                     continue
-                name, _ = _set_key(s)
+                name = _name(s)
                 if name in seen:
                     continue
                 if len(seen) >= _LOCAL:
@@ -140,26 +151,23 @@ def _key_rows(out: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBa
 
 
 def _wanted(k: int, bits: bytes) -> Callable[[Batches], Batches]:
-    """The sets and points of the texts whose name is marked; a task sends equal ones once."""
+    """Name and set of the marked texts; a task sends equal ones once."""
 
     def run(batches: Batches) -> Batches:
         marked = np.frombuffer(bits, np.uint8)
         seen: set[int] = set()
         for batch in batches:
-            out: list[tuple[int, np.ndarray, np.ndarray]] = []
+            cell = batch["cell"].to_numpy()
+            batch = batch.filter(pa.array((marked[cell >> 3] >> (cell & 7) & 1).astype(bool)))
+            out: list[tuple[int, np.ndarray]] = []
             size = 0
             for _, s in shingle_sets(batch["text"], k):
-                if not len(s):
-                    continue
-                name, _ = _set_key(s)
-                at = name & (NEEDED - 1)
-                if name in seen or not marked[at >> 3] >> (at & 7) & 1:
+                if not len(s) or (name := _name(s)) in seen:
                     continue
                 if len(seen) >= _LOCAL:
                     seen.clear()
                 seen.add(name)
-                group = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-                out.append((name, s, group))
+                out.append((name, s))
                 size += len(s)
                 if size > 500_000:
                     yield _set_rows(out)
@@ -170,18 +178,35 @@ def _wanted(k: int, bits: bytes) -> Callable[[Batches], Batches]:
     return run
 
 
-def _set_rows(out: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _set_rows(out: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     offsets = np.cumsum([0] + [len(x[1]) for x in out]).astype(np.int32)
+    items = _signed(np.concatenate([x[1] for x in out]))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.array([x[0] for x in out], np.int64)),
-            pa.ListArray.from_arrays(pa.array(offsets), _signed(np.concatenate([x[1] for x in out]))),
-            pa.array([x[2].tolist() for x in out], pa.list_(pa.int32())),
+            pa.ListArray.from_arrays(pa.array(offsets), items),
         ],
-        ["name", "items", "point"],
+        ["name", "items"],
     )
 
 
+def _marks(ids: DataFrame) -> bytes:
+    """A table of fixed size with a bit for the cell of every id."""
+    parts = (
+        ids.selectExpr("cast(cell >> 3 as int) byte", "1 << cast(cell & 7 as int) bit")
+        .groupBy("byte")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    bits = np.zeros(NEEDED // 8, np.uint8)
+    bits[parts["byte"].to_numpy()] = parts["bits"].to_numpy().astype(np.uint8)
+    return bits.tobytes()
+
+
+def _id_cell(doc_id: str) -> Column:
+    return F.expr(f"xxhash64({doc_id}) & {NEEDED - 1}")
+
+
 def needed_overlap(n_a: Column, n_b: Column, share: int) -> Column:
     """The least overlap o with 100 o >= share (n_a + n_b - o)."""
     return F.ceil((n_a + n_b) * share / F.lit(100.0 + share) - 1e-9)
@@ -192,22 +217,31 @@ def overlap_bound(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+def _verified(pairs: DataFrame, names: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
     """Pairs (a, b) whose points allow the overlap and whose sets have it."""
-    points = sets.select("name", F.size("items").alias("n"), "point")
-    left = points.select(F.col("name").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("p_a"))
-    right = points.select(F.col("name").alias("b"), F.col("n").alias("n_b"), F.col("point").alias("p_b"))
-    need = needed_overlap(F.col("n_a"), F.col("n_b"), share)
-    close = (
-        pairs.join(left, "a").join(right, "b")
-        .filter((100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")))
-        .filter(overlap_bound("p_a", "p_b") >= need)
-        .select("a", "b")
+    of = lambda x: names.select(*[F.col(c).alias(f"{c}_{x}") for c in names.columns])
+    close = written(
+        pairs.join(of("a"), F.col("a") == F.col("name_a"))
+        .join(of("b"), F.col("b") == F.col("name_b"))
+        .filter(100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b"))
+        .filter(
+            overlap_bound("point_a", "point_b") >= needed_overlap(F.col("n_a"), F.col("n_b"), share)
+        )
+        .select("a", "b", "least_a", "least_b"),
+        "close",
+    )
+    # the sets are made anew from the texts of the smallest ids only
+    ids = close.select(_id_cell("least_a").alias("cell")).union(close.select(_id_cell("least_b")))
+    sets = (
+        texts.select("text", _id_cell("doc_id").alias("cell"))
+        .mapInArrow(_wanted(k, _marks(ids)), "name long, items array<long>")
+        .dropDuplicates(["name"])
     )
     common = F.size(F.array_intersect("s_a", "s_b"))
     return (
-        close.join(sets.select(F.col("name").alias("a"), F.col("items").alias("s_a")), "a")
+        close.select("a", "b")
         .join(sets.select(F.col("name").alias("b"), F.col("items").alias("s_b")), "b")
+        .join(sets.select(F.col("name").alias("a"), F.col("items").alias("s_a")), "a")
         .filter(100 * common >= share * (F.size("s_a") + F.size("s_b") - common))
         .select("a", "b")
     )
@@ -245,7 +279,7 @@ def _arrays(leaf: pa.Scalar) -> tuple[np.ndarray, ...]:
     return flat("name"), flat("label"), flat("n").astype(np.int64), points.reshape(-1, GROUPS)
 
 
-def _rest(members: DataFrame, sets: DataFrame, labels: DataFrame, share: int) -> DataFrame:
+def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -> DataFrame:
     """Candidate pairs across components, in the trees that hold several."""
     named = members.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
         "key", "salt", "name", F.coalesce("label", "name").alias("label")
@@ -265,8 +299,7 @@ def _rest(members: DataFrame, sets: DataFrame, labels: DataFrame, share: int) ->
         .agg(F.min("key").alias("key"))
         .select("key")
     )
-    points = sets.select("name", F.size("items").alias("n"), "point")
-    rows = named.join(trees, "key").join(points, "name")
+    rows = named.join(trees, "key").join(names.drop("least"), "name")
     # leaves: neighbours by size, then by point, so that their boxes are narrow
     order = Window.partitionBy("key", "salt").orderBy("n", "point", "name")
     number = F.floor((F.row_number().over(order) - 1) / LEAF)
@@ -304,24 +337,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
     shared k-word shingles reach `share` times their united ones. Texts of fewer words have one
     shingle, the whole; null, empty and wordless texts have none and link with nothing: their
     component is their own id. Rows that share a doc_id are each judged by their own text. Rows
-    without doc_id get a result row whose component is the smallest id linked, or null. Equal sets
-    are one node, found by a 64-bit digest; shingles are compared by 64-bit hashes. An empty table
+    without doc_id link with nothing and have a null component. Equal sets are one node, named by a
+    64-bit digest; shingles are compared by 64-bit hashes. An empty table
     gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    only_text = docs.select("text")
-    seen = written(
-        texts.mapInArrow(
-            _scan(k),
-            "doc_id long, n_shingles long, name long, proof long, cell int, times long",
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = every.filter("doc_id is not null")
+    seen = written(every.mapInArrow(_scan(k), SCANNED), "scanned")
+    rows = seen.filter("cell is null").select("doc_id", "n_shingles", "name", "point")
+    classes = frequency_classes(seen.filter("cell is not null")).tobytes()
+    names = written(
+        rows.filter("n_shingles > 0 and doc_id is not null")
+        .groupBy("name")
+        .agg(
+            F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.max("point").alias("point")
         ),
-        "sets",
+        "names",
     )
-    rows = seen.filter("cell is null").select("doc_id", "n_shingles", "name")
-    classes = frequency_classes(seen.filter("cell is not null")).tobytes()
 
-    keys = only_text.mapInArrow(_keys(k, share / 100, classes), "key long, name long, common boolean")
+    keys = texts.select("text").mapInArrow(
+        _keys(k, share / 100, classes), "key long, name long, common boolean"
+    )
     # trees of common keys are dealt out in pieces with pivots of their own
     pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salt = F.when(F.col("common"), F.pmod(F.hash("name"), F.lit(pieces))).otherwise(0)
@@ -346,38 +383,26 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
         .select(F.col("pivot").alias("a"), F.col("name").alias("b"))
     )
 
-    # which sets are needed, as marks in a table of fixed size
-    marks = (
-        members.select(F.expr(f"name & {NEEDED - 1}").alias("cell"))
-        .selectExpr("cast(cell >> 3 as int) byte", "1 << cast(cell & 7 as int) bit")
-        .groupBy("byte")
-        .agg(F.bit_or("bit").alias("bits"))
-    )
-    bits = np.zeros(NEEDED // 8, np.uint8)
-    got = marks.toArrow()
-    bits[got["byte"].to_numpy()] = got["bits"].to_numpy().astype(np.uint8)
-    sets = written(
-        only_text.mapInArrow(
-            _wanted(k, bits.tobytes()), "name long, items array<long>, point array<int>"
-        ).dropDuplicates(["name"]),
-        "items",
-    )
-    links = written(_verified(stars.distinct(), sets, share), "links")
+    links = written(_verified(stars.distinct(), names, texts, k, share), "links")
     labels = components(links)
-    more = _verified(_rest(members.filter("m > 2 or common").select("key", "salt", "name"), sets, labels, share), sets, share)
-    more = written(more, "links")
-    star_edges = labels.select(F.col("label").alias("a"), F.col("node").alias("b"))
-    labels = components(star_edges.union(more)) if more.limit(1).count() else labels
-
-    own = rows.filter("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("least"))
-    class_of = own.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn(
-        "label", F.coalesce("label", "name")
+    large = members.filter("m > 2 or common").select("key", "salt", "name")
+    rest = written(_rest(large, names, labels, share), "rest")
+    if rest.limit(1).count():
+        more = _verified(rest, names, texts, k, share)
+        labels = components(links.union(more))
+
+    class_of = (
+        names.select("name", "least")
+        .join(labels.withColumnRenamed("node", "name"), "name", "left")
+        .withColumn("label", F.coalesce("label", "name"))
     )
     smallest = class_of.groupBy("label").agg(F.min("least").alias("component_id"))
     found = class_of.join(smallest, "label").select("name", "component_id")
-    some = rows.filter("n_shingles > 0").join(found, "name").select("doc_id", "n_shingles", "component_id")
-    none = rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return some.unionByName(none)
+    rows = rows.drop("point")
+    some = rows.filter("n_shingles > 0 and doc_id is not null").join(found, "name")
+    none = rows.filter("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return some.select(*columns).union(none.select(*columns))
 
 
 def keep_one(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
