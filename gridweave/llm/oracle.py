@@ -4,13 +4,13 @@ ORACLE = {
     "op8_ngram_jaccard": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[ \t\n\x0B\x0C\r]+'), x -> x <> '') AS ws
+         '[ \t\n\x0B\x0C\r]+'), lambda x: x <> '') AS ws
   FROM documents),
 s AS (
   SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
     WHEN len(ws) < 5 THEN [list_aggregate(ws, 'string_agg', ' ')]
     ELSE list_distinct(list_transform(range(1, len(ws) - 3),
-           i -> list_aggregate(ws[i:i + 4], 'string_agg', ' '))) END) AS g
+           lambda i: list_aggregate(ws[i:i + 4], 'string_agg', ' '))) END) AS g
   FROM w WHERE ws IS NOT NULL),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 o AS (

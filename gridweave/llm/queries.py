@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridweave.llm.common import table
 from gridweave.llm.ngram_jaccard import jaccard_components
+from gridweave.llm.toxicity import toxicity
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op10_toxicity": op10_toxicity,
 }
