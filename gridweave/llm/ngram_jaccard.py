@@ -252,7 +252,7 @@ def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for x, y in zip(batch["x"], batch["y"], strict=True):
+            for x, y, t in zip(batch["x"], batch["y"], batch["times"], strict=True):
                 a, b = _arrays(x), _arrays(y)
                 least = np.zeros((len(a[0]), len(b[0])), np.int64)
                 for g in range(GROUPS):
@@ -265,8 +265,12 @@ def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
                 if len(i):
                     left, right = a[0][i], b[0][j]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))],
-                        ["a", "b"],
+                        [
+                            pa.array(np.minimum(left, right)),
+                            pa.array(np.maximum(left, right)),
+                            pa.array(np.full(len(left), t.as_py(), np.int64)),
+                        ],
+                        ["a", "b", "times"],
                     )
 
     return run
@@ -280,7 +284,11 @@ def _arrays(leaf: pa.Scalar) -> tuple[np.ndarray, ...]:
 
 
 def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -> DataFrame:
-    """Candidate pairs across components, in the trees that hold several."""
+    """Candidate pairs across components, in the trees that hold several.
+
+    A pair's shared keys are counted over all its trees: behind the shorter-reaching of two lists
+    of keys lie at most n minus its length more shared shingles, so few shared keys rule a pair out.
+    """
     named = members.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
         "key", "salt", "name", F.coalesce("label", "name").alias("label")
     )
@@ -296,8 +304,8 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
         )
         .filter("low <> high")
         .groupBy("m", "x1", "x2")
-        .agg(F.min("key").alias("key"))
-        .select("key")
+        .agg(F.min("key").alias("key"), F.count("*").alias("times"))
+        .select("key", "times")
     )
     rows = named.join(trees, "key").join(names.drop("least"), "name")
     # leaves: neighbours by size, then by point, so that their boxes are narrow
@@ -305,7 +313,7 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
     number = F.floor((F.row_number().over(order) - 1) / LEAF)
     leaves = (
         rows.withColumn("leaf", F.col("salt") * F.lit(1 << 32) + number)
-        .groupBy("key", "leaf")
+        .groupBy("key", "times", "leaf")
         .agg(
             F.collect_list(F.struct("name", "label", "n", "point")).alias("rows"),
             F.min("n").alias("low"),
@@ -316,7 +324,8 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
         )
     )
     x = leaves.select("key", *[F.col(c).alias(f"{c}_x") for c in leaves.columns if c != "key"])
-    y = leaves.select("key", *[F.col(c).alias(f"{c}_y") for c in leaves.columns if c != "key"])
+    y = leaves.drop("times")
+    y = y.select("key", *[F.col(c).alias(f"{c}_y") for c in y.columns if c != "key"])
     met = (
         x.join(y, "key")
         .filter("leaf_x <= leaf_y")
@@ -325,9 +334,24 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
         .filter(
             overlap_bound("box_x", "box_y") >= needed_overlap(F.col("low_x"), F.col("low_y"), share)
         )
-        .select(F.col("rows_x").alias("x"), F.col("rows_y").alias("y"))
+        .select(F.col("rows_x").alias("x"), F.col("rows_y").alias("y"), F.col("times_x").alias("times"))
+    )
+    found = (
+        met.mapInArrow(_leaf_pairs(share), "a long, b long, times long")
+        .groupBy("a", "b")
+        .agg(F.sum("times").alias("shared"))
+    )
+    size = names.select("name", "n")
+    behind = lambda n: F.ceil(F.col(n) * share / 100 - 1e-9) - 1
+    return (
+        found.join(size.toDF("a", "n_a"), "a")
+        .join(size.toDF("b", "n_b"), "b")
+        .filter(
+            F.col("shared") + F.greatest(behind("n_a"), behind("n_b"))
+            >= needed_overlap(F.col("n_a"), F.col("n_b"), share)
+        )
+        .select("a", "b")
     )
-    return met.mapInArrow(_leaf_pairs(share), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
@@ -385,8 +409,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
 
     links = written(_verified(stars.distinct(), names, texts, k, share), "links")
     labels = components(links)
-    large = members.filter("m > 2 or common").select("key", "salt", "name")
-    rest = written(_rest(large, names, labels, share), "rest")
+    rest = written(_rest(members.select("key", "salt", "name"), names, labels, share), "rest")
     if rest.limit(1).count():
         more = _verified(rest, names, texts, k, share)
         labels = components(links.union(more))
