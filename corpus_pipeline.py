@@ -1,21 +1,48 @@
-"""The corpus pipeline: stages over `documents`, each a filter or transformation of the one before."""
+"""The corpus pipeline: stages over `documents`, each working on all that the one before kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridweave.llm import decontaminate, ngram_jaccard, quality, sentencepiece, toxicity
 from gridweave.llm.common import table, written
-from gridweave.llm.ngram_jaccard import keep_one
 
 
-def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that of the smallest doc_id."""
-    return keep_one(docs)
+def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold, by a model of the labelled ones."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("n-gram Jaccard join", jaccard)]
+def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly trained scorer takes for good."""
+    return quality.keep_good(docs)
 
-#: hashed classifiers have no counterpart in SQL; tests hold each stage against a plain version
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that of the smallest doc_id."""
+    return ngram_jaccard.keep_one(docs)
+
+
+def free_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return sentencepiece.encode(docs)
+
+
+STAGES = [
+    ("toxicity", clean_of_toxicity),
+    ("quality classifier", of_good_quality),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", free_of_benchmark),
+    ("SentencePiece encoding and decoding", as_pieces),
+]
+
+#: fitted classifiers and piece search have no counterpart in SQL; tests hold every stage against
+#: a plain version
 ORACLE_SQL = None
 
 

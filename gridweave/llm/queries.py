@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridweave.llm.common import table
+from gridweave.llm.decontaminate import contamination
 from gridweave.llm.ngram_jaccard import jaccard_components
+from gridweave.llm.quality import quality
+from gridweave.llm.sentencepiece import encode
 from gridweave.llm.toxicity import toxicity
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -18,6 +33,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op5_decontamination": op5_decontamination,
+    "op6_sentencepiece": op6_sentencepiece,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_toxicity": op10_toxicity,
 }

@@ -186,20 +186,24 @@ def keep_clean(
 ) -> DataFrame:
     """The rows of `docs`, all columns, whose score stays below the threshold."""
     weights, bias = train(docs, labels, per_class=per_class)
-    return filter_by(docs, weights, bias, lambda s: s < threshold)
+    return filter_by_features(docs, word_features, weights, bias, lambda s: s < threshold)
 
 
-def filter_by(
-    docs: DataFrame, weights: np.ndarray, bias: float, wanted: Callable[[np.ndarray], np.ndarray]
+def filter_by_features(
+    docs: DataFrame,
+    features: Callable,
+    weights: np.ndarray,
+    bias: float,
+    wanted: Callable[[np.ndarray], np.ndarray],
 ) -> DataFrame:
-    """The rows whose text's score is wanted, without a join: rows keep their order and columns."""
+    """The rows whose text's score is wanted, without a join: rows keep all their columns."""
     packed = weights.astype(np.float32).tobytes()
 
     def run(batches: Batches) -> Batches:
         w = np.frombuffer(packed, np.float32).astype(np.float64)
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for a, b, numbers, offsets in word_features(batch["text"]):
+            for a, b, numbers, offsets in features(batch["text"]):
                 keep[a:b] = wanted(sigmoid(row_sums(w[numbers], offsets) + bias))
             yield batch.filter(pa.array(keep))
 
