@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridweave.llm.common import table
 from gridweave.llm.decontaminate import contamination
+from gridweave.llm.language import language
 from gridweave.llm.ngram_jaccard import jaccard_components
+from gridweave.llm.pivot_topk import top_k
 from gridweave.llm.quality import quality
 from gridweave.llm.sentencepiece import encode
 from gridweave.llm.toxicity import toxicity
@@ -16,6 +19,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +45,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_pivot_topk": op2_pivot_topk,
+    "op3_language": op3_language,
     "op5_decontamination": op5_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_ngram_jaccard": op8_ngram_jaccard,
