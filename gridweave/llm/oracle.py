@@ -38,5 +38,19 @@ r(doc_id, other) AS (
 c AS (SELECT doc_id, min(other) AS low FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.low, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+""",
+    "op9_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS hex, sha256(coalesce(html, '')) AS strong
+  FROM pages),
+h AS (SELECT strong, max(page_id) AS head FROM p GROUP BY strong)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, (5 * (i // 4) + 1)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = head THEN NULL ELSE head END AS refers_to
+FROM p JOIN h USING (strong)
 """,
 }

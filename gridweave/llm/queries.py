@@ -13,6 +13,7 @@ from gridweave.llm.pivot_topk import top_k
 from gridweave.llm.quality import quality
 from gridweave.llm.sentencepiece import encode
 from gridweave.llm.toxicity import toxicity
+from gridweave.llm.warc import archive_digest
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_digest(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,5 +55,6 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
 }
