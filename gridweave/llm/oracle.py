@@ -13,6 +13,76 @@ s AS (
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op4_url_templates": r"""
+WITH u AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/') THEN 'net/' END AS rule
+  FROM u),
+s AS (
+  SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS said
+  FROM r),
+t0 AS (
+  SELECT page_id, host, path, rule, said,
+    CASE said WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS known,
+    CASE WHEN path = '' THEN [] ELSE string_split(substr(path, 2), '/') END AS segments,
+    host AS parent, host AS template
+  FROM s),
+c1 AS (SELECT template, segments[1] AS value, count(*) AS n FROM t0 WHERE len(segments) >= 1 GROUP BY 1, 2),
+k1 AS (SELECT template, value FROM (SELECT *, sum(n) OVER (PARTITION BY template) AS total FROM c1)
+  WHERE n >= 5 AND 50 * n >= total),
+t1 AS (
+  SELECT page_id, host, path, rule, said, known, segments,
+    CASE WHEN len(segments) < 1 THEN t0.parent ELSE t0.template END AS parent,
+    CASE WHEN len(segments) < 1 THEN t0.template
+         ELSE t0.template || '/' || CASE WHEN k1.value IS NULL THEN '*' ELSE k1.value END END AS template
+  FROM t0 LEFT JOIN k1 ON t0.template = k1.template AND t0.segments[1] = k1.value),
+c2 AS (SELECT template, segments[2] AS value, count(*) AS n FROM t1 WHERE len(segments) >= 2 GROUP BY 1, 2),
+k2 AS (SELECT template, value FROM (SELECT *, sum(n) OVER (PARTITION BY template) AS total FROM c2)
+  WHERE n >= 5 AND 50 * n >= total),
+t2 AS (
+  SELECT page_id, host, path, rule, said, known, segments,
+    CASE WHEN len(segments) < 2 THEN t1.parent ELSE t1.template END AS parent,
+    CASE WHEN len(segments) < 2 THEN t1.template
+         ELSE t1.template || '/' || CASE WHEN k2.value IS NULL THEN '*' ELSE k2.value END END AS template
+  FROM t1 LEFT JOIN k2 ON t1.template = k2.template AND t1.segments[2] = k2.value),
+c3 AS (SELECT template, segments[3] AS value, count(*) AS n FROM t2 WHERE len(segments) >= 3 GROUP BY 1, 2),
+k3 AS (SELECT template, value FROM (SELECT *, sum(n) OVER (PARTITION BY template) AS total FROM c3)
+  WHERE n >= 5 AND 50 * n >= total),
+t3 AS (
+  SELECT page_id, host, path, rule, said, known, segments,
+    CASE WHEN len(segments) < 3 THEN t2.parent ELSE t2.template END AS parent,
+    CASE WHEN len(segments) < 3 THEN t2.template
+         ELSE t2.template || '/' || CASE WHEN k3.value IS NULL THEN '*' ELSE k3.value END END AS template
+  FROM t2 LEFT JOIN k3 ON t2.template = k3.template AND t2.segments[3] = k3.value),
+t AS (
+  SELECT page_id, host, path, rule, said, known,
+    CASE WHEN len(segments) > 3 THEN template ELSE parent END AS parent,
+    CASE WHEN len(segments) > 3 THEN template || '/**' ELSE template END AS template
+  FROM t3),
+o AS (SELECT parent, template, count(known) AS n, coalesce(sum(known), 0) AS b FROM t GROUP BY 1, 2),
+a AS (SELECT *, sum(n) OVER (PARTITION BY parent) AS an, sum(b) OVER (PARTITION BY parent) AS ab FROM o),
+m AS (
+  SELECT *, n > 0 AND NOT (an::DOUBLE * (b * (an - n) - (ab - b) * n)::DOUBLE * (b * (an - n) - (ab - b) * n)::DOUBLE
+    > 3.84 * (n::DOUBLE * (an - n) * ab * (an - ab))) AS merged
+  FROM a),
+g AS (
+  SELECT parent, template,
+    CASE WHEN merged THEN sum(n) FILTER (merged) OVER (PARTITION BY parent) ELSE n END AS labelled,
+    CASE WHEN merged THEN sum(b) FILTER (merged) OVER (PARTITION BY parent) ELSE b END AS blocked
+  FROM m)
+SELECT page_id, host, path, rule, template,
+  coalesce(said, CASE WHEN 10 * (2 * blocked + 4) >= 16 * (labelled + 4) THEN 'block' ELSE 'allow' END) AS verdict
+FROM t JOIN g USING (parent, template)
 """,
     "op8_ngram_jaccard": r"""
 WITH RECURSIVE w AS (
