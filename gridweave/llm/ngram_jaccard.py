@@ -1,6 +1,6 @@
 """Similarity join of documents on sets of word shingles, by a forest of count-vector R-trees.
 
-Shingles are hashed into 64 groups; a document's point holds its count in each. The overlap of two
+Shingles are hashed into 256 groups; a document's point holds its count in each. The overlap of two
 documents is at most the sum of the smaller counts, and for a tree node the sum over the largest
 counts in it, so points and whole nodes that cannot reach the needed overlap are left out. Pairs
 that survive are verified on the shingle sets.
@@ -8,11 +8,11 @@ that survive are verified on the shingle sets.
 One tree over all documents would not scale: points of unrelated long texts lie close together. So
 the documents are dealt to many trees, losslessly: of n shingles, the n - ceil(0.75 n) + 1 first in
 one fixed order are a document's keys, and two documents that link share a key. The order puts
-shingles of few documents first (counted over all documents in a fixed-size table), so common
-lines and passages are keys of hardly any document.
+shingles of few documents first (counted over all documents), so common lines and passages are keys
+of hardly any document.
 
-Every tree is worked in two steps. First its smallest member is its pivot and meets all others.
-What then hangs together needs no more pairs: only in trees that hold several components are
+Every tree is worked in two steps. First its pivot meets all other members: the one with the fewest
+rarer shingles, which of a text and its changed copies is the text itself. What then hangs together needs no more pairs: only in trees that hold several components are
 members of different components compared, leaf by leaf.
 """
 
@@ -30,12 +30,13 @@ from gridweave.llm.common import written
 from gridweave.llm.components import components
 from gridweave.llm.textvec import mix, shingle_sets
 
-GROUPS = 64
-CELLS = 1 << 18  # of the table of shingle frequencies
+GROUPS = 256
+CELLS = 1 << 22  # of the table of shingle frequencies
+RARE = 8  # documents that share a trial key, up to which it is not common
 NEEDED = 1 << 23  # bits of the table of documents whose sets are to be verified
-LEAF = 256
+LEAF = 128
 _LOCAL = 1 << 17  # sets a task remembers, so that it sends a copied set once
-_RARE = 6  # frequency classes below this count as rare
+_COMMON = 7  # frequency class from which a key's tree is dealt out in pieces
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -53,82 +54,100 @@ def _group(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64(GROUPS - 1)).astype(np.int64)
 
 
-def _cell(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(64 - 18)).astype(np.int64)
-
-
-SCANNED = "doc_id long, n_shingles long, name long, point array<int>, cell int, times long"
+SCANNED = "doc_id long, n_shingles long, name long, point binary"
 
 
 def _scan(k: int) -> Callable[[Batches], Batches]:
-    """Per text its set's size, name and point; at the end of a task its counts of shingles by cell."""
+    """Per text its set's size, name and point."""
     names = [part.split()[0] for part in SCANNED.split(", ")]
 
     def run(batches: Batches) -> Batches:
-        counts = np.zeros(CELLS, np.int64)
         for batch in batches:
             n = batch.num_rows
             got = np.zeros((n, 2), np.int64)
-            points = np.zeros((n, GROUPS), np.int32)
+            points = [b""] * n
             for i, s in shingle_sets(batch["text"], k):
                 if len(s):
-                    np.add.at(counts, _cell(s), 1)
                     got[i] = len(s), _name(s)
-                    points[i] = np.bincount(_group(s), minlength=GROUPS)
-            at = pa.array(np.arange(0, n * GROUPS + 1, GROUPS, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(got[:, 0]), pa.array(got[:, 1])]
-                + [pa.ListArray.from_arrays(at, pa.array(points.ravel()))]
-                + [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
-                names,
-            )
-        used = np.flatnonzero(counts)
-        if len(used):
-            none = [pa.nulls(len(used), pa.int64()) for _ in range(3)]
-            none.append(pa.nulls(len(used), pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(
-                none + [pa.array(used.astype(np.int32)), pa.array(counts[used])], names
-            )
+                    points[i] = np.minimum(np.bincount(_group(s), minlength=GROUPS), 255).astype(np.uint8).tobytes()
+            columns = [pa.array(got[:, 0]), pa.array(got[:, 1]), pa.array(points, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names)
+
+    return run
+
+
+def _new_sets(batch: pa.RecordBatch, k: int, seen: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Names and sets of a batch that this task has not had lately: a copied set goes out once."""
+    for _, s in shingle_sets(batch["text"], k):
+        if not len(s) or (name := _name(s)) in seen:
+            continue
+        if len(seen) >= _LOCAL:
+            seen.clear()
+        seen.add(name)
+        yield name, s
+
+
+def _first(n: int, share: int) -> int:
+    """How many keys a set of n shingles needs to share one with every set it can link with."""
+    return n - -(-share * n // 100) + 1
+
+
+def _trial(k: int, share: int) -> Callable[[Batches], Batches]:
+    """Half the hash of what would be the sets' keys in the order of the hashes alone."""
+
+    def run(batches: Batches) -> Batches:
+        seen: set[int] = set()
+        for batch in batches:
+            out, size = [], 0
+            for _, s in _new_sets(batch, k, seen):
+                out.append(s[: _first(len(s), share)].astype(np.uint32))
+                size += len(out[-1])
+                if size > 1_000_000:
+                    yield _halves(out)
+                    out, size = [], 0
+            if out:
+                yield _halves(out)
 
     return run
 
 
-def frequency_classes(cells: DataFrame) -> np.ndarray:
-    """Per cell the log of how far its count stands out; the table has a fixed size."""
-    total = cells.groupBy("cell").agg(F.sum("times").alias("times")).collect()
-    counts = np.zeros(CELLS)
-    for cell, times in total:
-        counts[cell] = times
-    middle = np.median(counts)
-    excess = counts - middle - 4 * np.sqrt(middle + 1)
-    return np.floor(np.log2(np.maximum(excess, 1))).astype(np.uint8)
+def _halves(out: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int32))], ["half"])
+
 
+def frequency_classes(texts: DataFrame, k: int, share: int) -> np.ndarray:
+    """Per cell of a table of fixed size the log of the most documents that share a trial key there.
 
-def _keys(k: int, share: float, classes: bytes) -> Callable[[Batches], Batches]:
+    All documents are counted. The classes only order the keys: a shingle that falls into the cell
+    of a common one by chance is ordered behind others, no link is lost.
+    """
+    halves = texts.select("text").mapInArrow(_trial(k, share), "half int").groupBy("half").count()
+    cells = (
+        halves.filter(F.col("count") > RARE)
+        .select(F.col("half").bitwiseAND(CELLS - 1).alias("cell"), F.log2("count").cast("int").alias("c"))
+        .groupBy("cell")
+        .agg(F.max("c").alias("c"))
+        .toArrow()
+    )
+    table = np.zeros(CELLS, np.uint8)
+    table[cells["cell"].to_numpy()] = cells["c"].to_numpy()
+    return table
+
+
+def _keys(k: int, share: int, classes: bytes) -> Callable[[Batches], Batches]:
     """Each set's keys: its first shingles by class of frequency, then by hash."""
 
     def run(batches: Batches) -> Batches:
         klass = np.frombuffer(classes, np.uint8)
         seen: set[int] = set()
         for batch in batches:
-            out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+            out: list[tuple[int, np.ndarray, np.ndarray, int]] = []
             size = 0
-            for _, s in shingle_sets(batch["text"], k):
-                if not len(s):
-                    continue
-                name = _name(s)
-                if name in seen:
-                    continue
-                if len(seen) >= _LOCAL:
-                    seen.clear()
-                seen.add(name)
-                n = len(s)
-                # exact: the least overlap with a set of any size that can link
-                first = n - -(-int(round(share * 100)) * n // 100) + 1
-                c = klass[_cell(s)]
-                order = np.argsort(c, kind="stable")[:first]
-                out.append((name, n, s[order], c[order]))
-                size += first
+            for name, s in _new_sets(batch, k, seen):
+                c = klass[(s & np.uint64(CELLS - 1)).astype(np.int64)]
+                order = np.argsort(c, kind="stable")[: _first(len(s), share)]
+                out.append((name, s[order], c[order], len(s)))
+                size += len(order)
                 if size > 500_000:
                     yield _key_rows(out)
                     out, size = [], 0
@@ -138,15 +157,17 @@ def _keys(k: int, share: float, classes: bytes) -> Callable[[Batches], Batches]:
     return run
 
 
-def _key_rows(out: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    lengths = [len(x[2]) for x in out]
+def _key_rows(out: list[tuple[int, np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
+    lengths = [len(x[1]) for x in out]
     return pa.RecordBatch.from_arrays(
         [
-            _signed(np.concatenate([x[2] for x in out])),
+            _signed(np.concatenate([x[1] for x in out])),
             pa.array(np.repeat(np.array([x[0] for x in out], np.int64), lengths)),
-            pa.array(np.concatenate([x[3] for x in out]) >= _RARE),
+            pa.array(np.repeat(np.array([x[3] for x in out], np.int32), lengths)),
+            pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])),
+            pa.array(np.concatenate([x[2] for x in out]) >= _COMMON),
         ],
-        ["key", "name", "common"],
+        ["key", "name", "n", "place", "common"],
     )
 
 
@@ -161,12 +182,7 @@ def _wanted(k: int, bits: bytes) -> Callable[[Batches], Batches]:
             batch = batch.filter(pa.array((marked[cell >> 3] >> (cell & 7) & 1).astype(bool)))
             out: list[tuple[int, np.ndarray]] = []
             size = 0
-            for _, s in shingle_sets(batch["text"], k):
-                if not len(s) or (name := _name(s)) in seen:
-                    continue
-                if len(seen) >= _LOCAL:
-                    seen.clear()
-                seen.add(name)
+            for name, s in _new_sets(batch, k, seen):
                 out.append((name, s))
                 size += len(s)
                 if size > 500_000:
@@ -207,14 +223,15 @@ def _id_cell(doc_id: str) -> Column:
     return F.expr(f"xxhash64({doc_id}) & {NEEDED - 1}")
 
 
-def needed_overlap(n_a: Column, n_b: Column, share: int) -> Column:
-    """The least overlap o with 100 o >= share (n_a + n_b - o)."""
-    return F.ceil((n_a + n_b) * share / F.lit(100.0 + share) - 1e-9)
-
+def can_link(a: str, b: str, share: int) -> Column:
+    """Whether sizes and the place of a shared key allow a link, for columns n_a, place_a and so on.
 
-def overlap_bound(a: str, b: str) -> Column:
-    """Sum of the smaller group counts."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    If the key is the first that two sets share in the order of keys, all they share lies at or
+    behind its place in both; the first key of every link passes.
+    """
+    total = F.col(f"n_{a}") + F.col(f"n_{b}")
+    behind = lambda x: F.col(f"n_{x}") - F.col(f"place_{x}")
+    return (100 + share) * F.least(behind(a), behind(b)) >= share * total
 
 
 def _verified(pairs: DataFrame, names: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
@@ -223,11 +240,8 @@ def _verified(pairs: DataFrame, names: DataFrame, texts: DataFrame, k: int, shar
     close = written(
         pairs.join(of("a"), F.col("a") == F.col("name_a"))
         .join(of("b"), F.col("b") == F.col("name_b"))
-        .filter(100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b"))
-        .filter(
-            overlap_bound("point_a", "point_b") >= needed_overlap(F.col("n_a"), F.col("n_b"), share)
-        )
-        .select("a", "b", "least_a", "least_b"),
+        .select("a", "b", "least_a", "least_b", "n_a", "n_b", "point_a", "point_b")
+        .mapInArrow(_bounded(share), "a long, b long, least_a long, least_b long"),
         "close",
     )
     # the sets are made anew from the texts of the smallest ids only
@@ -247,111 +261,118 @@ def _verified(pairs: DataFrame, names: DataFrame, texts: DataFrame, k: int, shar
     )
 
 
+def _counts(points: pa.Array) -> np.ndarray:
+    """Group counts of points, a row each; a full byte stands for any larger count."""
+    rows = np.frombuffer(b"".join(points.to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int32)
+    rows[rows == 255] = 1 << 20
+    return rows
+
+
+def _bounded(share: int) -> Callable[[Batches], Batches]:
+    """Pairs whose summed coordinate minima reach the needed overlap."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                least = np.minimum(_counts(part["point_a"]), _counts(part["point_b"])).sum(axis=1)
+                total = part["n_a"].to_numpy() + part["n_b"].to_numpy()
+                keep[lo : lo + len(least)] = (100 + share) * least >= share * total
+            yield batch.filter(pa.array(keep)).select(["a", "b", "least_a", "least_b"])
+
+    return run
+
+
 def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
-    """Members of two leaves that lie in different components and whose points allow the overlap."""
+    """Members of two leaves that lie in different components and that points and places allow to
+    link. Leaves whose boxes cannot reach the overlap are passed over."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for x, y, t in zip(batch["x"], batch["y"], batch["times"], strict=True):
+            for x, y in zip(batch["x"], batch["y"], strict=True):
                 a, b = _arrays(x), _arrays(y)
-                least = np.zeros((len(a[0]), len(b[0])), np.int64)
-                for g in range(GROUPS):
-                    least += np.minimum(a[3][:, g][:, None], b[3][:, g][None, :])
-                total = a[2][:, None] + b[2][None, :]
-                ok = (100 + share) * least >= share * total
-                ok &= a[1][:, None] != b[1][None, :]
-                ok &= a[0][:, None] < b[0][None, :] if x.equals(y) else True
+                need = share * (a["n"][:, None] + b["n"][None, :])
+                room = np.minimum(a["behind"][:, None], b["behind"][None, :])
+                ok = (100 + share) * room >= need
+                ok &= a["label"][:, None] != b["label"][None, :]
+                if x.equals(y):
+                    ok &= a["name"][:, None] < b["name"][None, :]
+                box = np.minimum(a["point"].max(axis=0), b["point"].max(axis=0)).sum()
+                if (100 + share) * box < need.min() or not ok.any():
+                    continue
                 i, j = np.nonzero(ok)
-                if len(i):
-                    left, right = a[0][i], b[0][j]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.minimum(left, right)),
-                            pa.array(np.maximum(left, right)),
-                            pa.array(np.full(len(left), t.as_py(), np.int64)),
-                        ],
-                        ["a", "b", "times"],
-                    )
+                good = []
+                for lo in range(0, len(i), 4096):
+                    p, q = i[lo : lo + 4096], j[lo : lo + 4096]
+                    least = np.minimum(a["point"][p], b["point"][q]).sum(axis=1)
+                    good.append((100 + share) * least >= need[p, q])
+                good = np.concatenate(good)
+                left, right = a["name"][i[good]], b["name"][j[good]]
+                if len(left):
+                    low, high = np.minimum(left, right), np.maximum(left, right)
+                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
     return run
 
 
-def _arrays(leaf: pa.Scalar) -> tuple[np.ndarray, ...]:
+def _arrays(leaf: pa.Scalar) -> dict[str, np.ndarray]:
     rows = leaf.values
-    flat = lambda name: rows.field(name).to_numpy(zero_copy_only=False)
-    points = rows.field("point").flatten().to_numpy(zero_copy_only=False)
-    return flat("name"), flat("label"), flat("n").astype(np.int64), points.reshape(-1, GROUPS)
+    flat = {c: rows.field(c).to_numpy(zero_copy_only=False) for c in ("name", "label", "n", "place")}
+    size = flat["n"].astype(np.int64)
+    return flat | {"n": size, "behind": size - flat["place"], "point": _counts(rows.field("point"))}
 
 
 def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -> DataFrame:
-    """Candidate pairs across components, in the trees that hold several.
-
-    A pair's shared keys are counted over all its trees: behind the shorter-reaching of two lists
-    of keys lie at most n minus its length more shared shingles, so few shared keys rule a pair out.
-    """
+    """Candidate pairs across components, in the trees of more than two that hold several."""
     named = members.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
-        "key", "salt", "name", F.coalesce("label", "name").alias("label")
+        "key", "salt", "name", "n", "place", F.coalesce("label", "name").alias("label")
     )
-    # many trees have the same members: one of them is enough
+    # many trees have the same members: the one of the first of their keys is enough
     trees = (
         named.groupBy("key")
         .agg(
             F.min("label").alias("low"),
             F.max("label").alias("high"),
             F.count("*").alias("m"),
+            F.min("place").alias("place"),
             F.bit_xor(F.xxhash64("name")).alias("x1"),
             F.bit_xor(F.xxhash64("name", F.lit(7))).alias("x2"),
         )
-        .filter("low <> high")
+        .filter("low <> high and m > 2")
         .groupBy("m", "x1", "x2")
-        .agg(F.min("key").alias("key"), F.count("*").alias("times"))
-        .select("key", "times")
+        .agg(F.min(F.struct("place", "key"))["key"].alias("key"))
+        .select("key")
     )
-    rows = named.join(trees, "key").join(names.drop("least"), "name")
+    rows = named.join(trees, "key").join(names.select("name", "point"), "name")
     # leaves: neighbours by size, then by point, so that their boxes are narrow
     order = Window.partitionBy("key", "salt").orderBy("n", "point", "name")
     number = F.floor((F.row_number().over(order) - 1) / LEAF)
     leaves = (
         rows.withColumn("leaf", F.col("salt") * F.lit(1 << 32) + number)
-        .groupBy("key", "times", "leaf")
+        .groupBy("key", "leaf")
         .agg(
-            F.collect_list(F.struct("name", "label", "n", "point")).alias("rows"),
+            F.collect_list(F.struct("name", "label", "n", "place", "point")).alias("rows"),
             F.min("n").alias("low"),
             F.max("n").alias("high"),
+            F.max(F.col("n") - F.col("place")).alias("behind"),
             F.min("label").alias("label_low"),
             F.max("label").alias("label_high"),
-            F.array(*[F.max(F.col("point")[g]) for g in range(GROUPS)]).alias("box"),
         )
     )
     x = leaves.select("key", *[F.col(c).alias(f"{c}_x") for c in leaves.columns if c != "key"])
-    y = leaves.drop("times")
-    y = y.select("key", *[F.col(c).alias(f"{c}_y") for c in y.columns if c != "key"])
+    y = leaves.select("key", *[F.col(c).alias(f"{c}_y") for c in leaves.columns if c != "key"])
+    room = F.least("behind_x", "behind_y")
     met = (
         x.join(y, "key")
         .filter("leaf_x <= leaf_y")
         .filter(100 * F.col("high_x") >= share * F.col("low_y"))
+        .filter(100 * F.col("high_y") >= share * F.col("low_x"))
+        .filter((100 + share) * room >= share * (F.col("low_x") + F.col("low_y")))
         .filter("not (label_low_x = label_high_y and label_high_x = label_low_y)")
-        .filter(
-            overlap_bound("box_x", "box_y") >= needed_overlap(F.col("low_x"), F.col("low_y"), share)
-        )
-        .select(F.col("rows_x").alias("x"), F.col("rows_y").alias("y"), F.col("times_x").alias("times"))
-    )
-    found = (
-        met.mapInArrow(_leaf_pairs(share), "a long, b long, times long")
-        .groupBy("a", "b")
-        .agg(F.sum("times").alias("shared"))
-    )
-    size = names.select("name", "n")
-    behind = lambda n: F.ceil(F.col(n) * share / 100 - 1e-9) - 1
-    return (
-        found.join(size.toDF("a", "n_a"), "a")
-        .join(size.toDF("b", "n_b"), "b")
-        .filter(
-            F.col("shared") + F.greatest(behind("n_a"), behind("n_b"))
-            >= needed_overlap(F.col("n_a"), F.col("n_b"), share)
-        )
-        .select("a", "b")
+        .select(F.col("rows_x").alias("x"), F.col("rows_y").alias("y"))
     )
+    return met.mapInArrow(_leaf_pairs(share), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
@@ -369,8 +390,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = every.filter("doc_id is not null")
     seen = written(every.mapInArrow(_scan(k), SCANNED), "scanned")
-    rows = seen.filter("cell is null").select("doc_id", "n_shingles", "name", "point")
-    classes = frequency_classes(seen.filter("cell is not null")).tobytes()
+    rows = seen
+    classes = frequency_classes(texts, k, share).tobytes()
     names = written(
         rows.filter("n_shingles > 0 and doc_id is not null")
         .groupBy("name")
@@ -381,7 +402,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
     )
 
     keys = texts.select("text").mapInArrow(
-        _keys(k, share / 100, classes), "key long, name long, common boolean"
+        _keys(k, share, classes), "key long, name long, n int, place int, common boolean"
     )
     # trees of common keys are dealt out in pieces with pivots of their own
     pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -390,26 +411,37 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
     met = (
         keys.withColumn("salt", salt)
         .select(
-            "key", "salt", "name", "common",
-            F.min("name").over(piece).alias("pivot"),
-            F.max("name").over(piece).alias("last"),
-            F.count("*").over(piece).alias("m"),
+            "key", "salt", "name", "n", "place", "common",
+            F.min(F.struct("place", "name", "n")).over(piece).alias("head"),
+            F.min("name").over(piece).alias("low"),
+            F.max("name").over(piece).alias("high"),
         )
-        .filter("pivot <> last or common")
+        .filter("low <> high or common")
     )
-    members = written(met.select("key", "salt", "name", "common", "pivot", "m"), "members")
-    heads = members.filter("common and name = pivot").select("key", "name").distinct()
-    first = heads.groupBy("key").agg(F.min("name").alias("pivot"))
+    members = written(met.drop("low", "high"), "members")
+    heads = members.filter("common and name = head.name").select("key", "name", "n", "place").distinct()
+    first = heads.groupBy("key").agg(F.min(F.struct("place", "name", "n")).alias("head"))
     stars = (
-        members.select("pivot", "name")
-        .union(heads.join(first, "key").select("pivot", "name"))
-        .filter("name <> pivot")
-        .select(F.col("pivot").alias("a"), F.col("name").alias("b"))
+        members.select("head", "name", "n", "place")
+        .union(heads.join(first, "key").select("head", "name", "n", "place"))
+        .filter("name <> head.name")
+        .select(
+            F.least("name", "head.name").alias("a"),
+            F.greatest("name", "head.name").alias("b"),
+            F.col("head.n").alias("n_a"),
+            F.col("n").alias("n_b"),
+            F.col("head.place").alias("place_a"),
+            F.col("place").alias("place_b"),
+        )
+        .filter(100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b"))
+        .filter(can_link("a", "b", share))
+        .select("a", "b")
+        .distinct()
     )
 
-    links = written(_verified(stars.distinct(), names, texts, k, share), "links")
+    links = written(_verified(stars, names, texts, k, share), "links")
     labels = components(links)
-    rest = written(_rest(members.select("key", "salt", "name"), names, labels, share), "rest")
+    rest = written(_rest(members.drop("head", "common"), names, labels, share), "rest")
     if rest.limit(1).count():
         more = _verified(rest, names, texts, k, share)
         labels = components(links.union(more))
