@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 SECONDS = {"seconds": 1, "minutes": 60, "hours": 3600, "days": 86400}
 STANDARD = ("standard", "gregorian", "proleptic_gregorian")
 NOLEAP = ("noleap", "365_day")
+ALL_LEAP = ("all_leap", "366_day")
+DAYS_360 = ("360_day",)
 
 _UNITS = re.compile(r"^\s*(\w+?)s?\s+since\s+(\d+)-(\d+)-(\d+)(?:[ T](\d+):(\d+)(?::(\d+))?)?")
 
@@ -50,6 +52,24 @@ def decode_time_parts(offset: Column, units: str, calendar: str = "standard") ->
         years = F.floor(total / F.lit(365.0))
         date = F.date_add(template, (total - years * F.lit(365).cast("long")).cast("int"))
         year = (F.lit(base[0]) + years).cast("int")
+    elif calendar in ALL_LEAP:
+        # every year looks like 2000
+        template = F.make_date(F.lit(2000), F.lit(1), F.lit(1))
+        base_day = F.dayofyear(F.make_date(F.lit(2000), F.lit(base[1]), F.lit(base[2]))) - F.lit(1)
+        total = day + base_day
+        years = F.floor(total / F.lit(366.0))
+        date = F.date_add(template, (total - years * F.lit(366).cast("long")).cast("int"))
+        year = (F.lit(base[0]) + years).cast("int")
+    elif calendar in DAYS_360:
+        total = day + F.lit((base[1] - 1) * 30 + base[2] - 1)
+        years = F.floor(total / F.lit(360.0))
+        rest = total - years * F.lit(360).cast("long")
+        return {
+            "year": (F.lit(base[0]) + years).cast("int"),
+            "month": (F.floor(rest / F.lit(30.0)) + 1).cast("int"),
+            "day": (rest % F.lit(30) + 1).cast("int"),
+            "second_of_day": second.cast("int"),
+        }
     else:
         raise ValueError(f"calendar not supported: {calendar}")
     return {
@@ -61,10 +81,11 @@ def decode_time_parts(offset: Column, units: str, calendar: str = "standard") ->
 
 
 def decode_time(offset: Column, units: str, calendar: str = "standard") -> Column:
-    """Encoded time to timestamp without zone. Every noleap day is also a standard day."""
+    """Encoded time to timestamp without zone; NULL for a day that the standard calendar lacks (30
+    February, 29 February of most years). Every noleap day is also a standard day."""
     parts = decode_time_parts(offset, units, calendar)
     second = parts["second_of_day"]
-    return F.make_timestamp_ntz(
+    return F.try_make_timestamp_ntz(
         parts["year"], parts["month"], parts["day"],
         F.floor(second / F.lit(3600.0)).cast("int"),
         (F.floor(second / F.lit(60.0)) % F.lit(60)).cast("int"),

@@ -37,8 +37,3 @@ def layer_thickness(
         temperature = temperature * (F.lit(1.0) + F.lit(VIRTUAL_TEMPERATURE_FACTOR) * humidity)
     ratio = F.try_divide(p, p_next)
     return F.lit(DRY_AIR_GAS_CONSTANT / GRAVITY) * temperature * F.ln(ratio)
-
-
-def linear(x: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """Point x on the line through two points; NULL when they share x."""
-    return y0 + (y1 - y0) * F.try_divide(x - x0, x1 - x0)

@@ -39,68 +39,89 @@ def _roots(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (vectors * np.sqrt(values)) @ vectors.T, (vectors / np.sqrt(values)) @ vectors.T
 
 
-def _recursion(series: np.ndarray, model: dict, observed: dict) -> np.ndarray:
-    """Standardized series with the observed lag-0 and lag-1 dependence."""
+def _recursion(series: np.ndarray, follows: np.ndarray, model: dict, observed: dict) -> np.ndarray:
+    """Standardized series with the observed lag-0 and lag-1 dependence.
+
+    ``follows`` marks rows one step after the row before; every other row begins anew.
+    """
     g0, g1, h0, h1 = model["m0"], model["m1"], observed["m0"], observed["m1"]
     f, c = g1 @ np.linalg.pinv(g0), h1 @ np.linalg.pinv(h0)
     _, whiten = _roots(g0 - f @ g1.T)
     colour, _ = _roots(h0 - c @ h1.T)
     first_in, first_out = _roots(g0)[1], _roots(h0)[0]
-    noise = np.empty_like(series)
-    noise[0] = series[0]
-    noise[1:] = (series[1:] - series[:-1] @ f.T) @ whiten.T
-    out = np.empty_like(series)
-    out[0] = first_out @ (first_in @ series[0])
-    shocks = noise @ colour.T
-    for t in range(1, len(series)):
-        out[t] = c @ out[t - 1] + shocks[t]
+    out = series @ first_in.T @ first_out.T
+    shocks = (series[1:] - series[:-1] @ f.T) @ whiten.T @ colour.T
+    for t in np.flatnonzero(follows):
+        out[t] = c @ out[t - 1] + shocks[t - 1]
     return out
 
 
-def _moments(values: np.ndarray) -> dict:
+def _moments(values: np.ndarray, follows: np.ndarray) -> dict | None:
+    """Means, spreads, and dependence at one time and over one step; None from too few rows."""
+    t = np.flatnonzero(follows)
+    if len(values) < 3 or len(t) < 2:
+        return None
     mean, std = values.mean(axis=0), values.std(axis=0, ddof=1)
     std = np.where(std > 0, std, 1.0)
     z = (values - mean) / std
-    n = len(z)
-    return {"mean": mean, "std": std, "m0": z.T @ z / (n - 1), "m1": z[1:].T @ z[:-1] / (n - 1)}
+    return {"mean": mean, "std": std, "m0": z.T @ z / (len(z) - 1), "m1": z[t].T @ z[t - 1] / len(t)}
 
 
 def multivariate_correction(
     model: DataFrame, observed: DataFrame, variables: Sequence[str],
-    by: Sequence[str] = ("cell",),
+    by: Sequence[str] = ("cell",), step: str = "6 hours", calibration: DataFrame | None = None,
 ) -> DataFrame:
     """Correct several variables of a cell together, with their lag-0 and lag-1 dependence.
 
-    Both fields have ``by``, ``time`` and a column per variable. The series of a cell is
+    All fields have ``by``, ``time`` and a column per variable. The series of a cell is
     standardized, freed of the model's auto- and cross-dependence, given the observed one by a
-    first-order recursion, and brought to the observed mean and spread. The recursion needs a
-    cell's series in time order, so a task holds one cell: one row per time step of the record.
-    Times with a missing variable are left out. Cells need three complete rows on both sides.
+    first-order recursion, and brought to the observed mean and spread. The model's statistics are
+    those of ``calibration``, the model over the observed period, by default of ``model`` itself.
+    Only rows one ``step`` apart count as neighbours, for the statistics and for the recursion.
+
+    The result has every row of ``model`` with a column ``corrected_<variable>`` each: the
+    correction of the mean of the rows at its time, NULL at times that lack a variable and in cells
+    with fewer than three complete rows or two neighbours on a side. The recursion needs a cell's
+    series in time order, so a task holds one cell: one row per time step of the record.
     """
     names = list(variables)
-    complete = [F.col(v).isNotNull() for v in names]
 
-    def side(df: DataFrame) -> DataFrame:
-        for test in complete:
-            df = df.where(test)
+    def side(df: DataFrame, kind: str) -> DataFrame:
         # one row per time before anything is gathered, however often a time was written
         merged = df.groupBy(*by, "time").agg(*[F.avg(v).alias(v) for v in names])
         # new columns on each side: both may come from one table
-        return merged.select(*[F.col(c).alias(c) for c in merged.columns])
+        return merged.select(*[F.col(c).alias(c) for c in merged.columns], F.lit(kind).alias("_kind"))
+
+    others = side(observed, "observed")
+    calibrated = calibration is not None
+    if calibrated:
+        others = others.unionByName(side(calibration, "calibration"))
+    corrected = [f"corrected_{v}" for v in names]
+    types = {f.name: f.dataType.simpleString() for f in model.schema}
+    schema = ", ".join(
+        [f"{c} {types[c]}" for c in (*by, "time")] + [f"{c} double" for c in corrected]
+    )
 
-    schema = side(model).schema
+    def series(df: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+        df = df.dropna(subset=[*names, "time"]).sort_values("time")
+        follows = (df["time"].diff() == pd.Timedelta(step)).to_numpy()
+        return df, df[names].to_numpy(dtype=float), follows
 
     def correct(m: pd.DataFrame, o: pd.DataFrame) -> pd.DataFrame:
-        if len(m) < 3 or len(o) < 3:
-            return m.iloc[0:0]
-        m, o = m.sort_values("time"), o.sort_values("time")
-        got, want = _moments(m[names].to_numpy()), _moments(o[names].to_numpy())
-        z = (m[names].to_numpy() - got["mean"]) / got["std"]
-        m[names] = _recursion(z, got, want) * want["std"] + want["mean"]
-        return m
-
-    return (
-        side(model).groupBy(*by)
-        .cogroup(side(observed).groupBy(*by))
-        .applyInPandas(correct, schema)
+        rows, values, follows = series(m)
+        want = _moments(*series(o[o["_kind"] == "observed"])[1:])
+        own = (values, follows)
+        if calibrated:
+            own = series(o[o["_kind"] == "calibration"])[1:]
+        got = _moments(*own)
+        out = rows[[*by, "time"]].copy()
+        if got is None or want is None:
+            return out.iloc[0:0].reindex(columns=[*by, "time", *corrected])
+        z = (values - got["mean"]) / got["std"]
+        out[corrected] = _recursion(z, follows, got, want) * want["std"] + want["mean"]
+        return out
+
+    done = (
+        side(model, "model").groupBy(*by).cogroup(others.groupBy(*by)).applyInPandas(correct, schema)
     )
+    return model.join(done, [*by, "time"], "left").select(*model.columns, *corrected)

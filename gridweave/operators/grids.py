@@ -92,14 +92,3 @@ def split_at_seam(bounds: DataFrame) -> DataFrame:
 def bins(lo: str, hi: str) -> str:
     """Numbers of the one-degree bins an interval touches, for joining ranges by equality."""
     return f"explode(sequence(floor({lo}), floor({hi}))) AS _bin"
-
-
-def level_axis(field: DataFrame) -> DataFrame:
-    """Level axis (lev_idx from 0, lev) of a field with level values."""
-    levels = field.selectExpr("array_sort(collect_set(lev)) AS levs")
-    return levels.selectExpr("posexplode(levs) AS (lev_idx, lev)")
-
-
-def time_axis(field: DataFrame) -> DataFrame:
-    """Distinct times."""
-    return field.select("time").distinct()

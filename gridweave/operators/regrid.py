@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.functions.coords import cell_id, nan_to_null
 from gridweave.operators.coordinates import with_coordinates
-from gridweave.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 
 
 def merge_weights(weights: Mapping[str, DataFrame]) -> DataFrame:
@@ -31,10 +31,42 @@ def merge_weights(weights: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def _terms(
+    field: DataFrame, weights: DataFrame, columns: Mapping[str, tuple[str, str]], by: Sequence[str]
+) -> DataFrame:
+    """Weighted source values of a field, with the number of sources each target needs."""
+    source = field.selectExpr(
+        *by, f"{cell_id('lat', 'lon')} AS src_id", *[f"{nan_to_null(v)} AS {v}" for v in columns]
+    )
+    return source.join(weights, "src_id").selectExpr(
+        *by, "dst_id", *[f"{v} * {w} AS {v}" for v, (w, _) in columns.items()],
+        *[f"{n} AS _n_{v}" for v, (_, n) in columns.items()],
+    )
+
+
+def _summed(terms: DataFrame, values: Sequence[str], by: Sequence[str]) -> DataFrame:
+    return terms.groupBy(*by, "dst_id").agg(
+        *[F.expr(f"CASE WHEN count({v}) = max(_n_{v}) THEN sum({v}) END AS {v}") for v in values]
+    )
+
+
+def regrid_streams(
+    streams: Sequence[tuple[DataFrame, DataFrame, Sequence[str]]],
+    by: Sequence[str] = ("time", "lev_idx"),
+) -> DataFrame:
+    """Fields on grids of their own, (field, weights, value columns) each, in one aggregation."""
+    terms = [
+        _terms(field, weights, {v: ("w", "n_src") for v in values}, by)
+        for field, weights, values in streams
+    ]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), terms)
+    return _summed(every, [v for _, _, values in streams for v in values], by)
+
+
 def regrid(
     field: DataFrame, weights: DataFrame, values: Mapping[str, str] | Sequence[str] = ("value",),
     by: Sequence[str] = ("time", "lev_idx"), coordinates: bool = False,
-    dense_grid: DataFrame | None = None, broadcast_rows: int = BROADCAST_ROWS,
+    dense_grid: DataFrame | None = None,
 ) -> DataFrame:
     """Weighted sums of source values per target cell.
 
@@ -42,43 +74,29 @@ def regrid(
     target value is NULL unless every one of its source values is there. Target cells without
     weights have no rows, unless ``dense_grid`` lists the cells that must be there.
 
-    Plan: scan, broadcast hash join with the weights (drops source cells no target needs before
-    any shuffle), partial sums on the map side, one exchange. Weights above the size bound
-    shuffle instead.
+    Plan: scan, join with the weights (drops source cells no target needs), partial sums on the
+    map side, one exchange. Stored weights have an exact size, by which Spark chooses the join.
     """
     if isinstance(values, Mapping):
         columns = {v: (f"w_{m}", f"n_{m}") for v, m in values.items()}
     else:
         columns = {v: ("w", "n_src") for v in values}
-    needed = sorted({n for _, n in columns.values()})
-    source = field.selectExpr(
-        *by, f"{cell_id('lat', 'lon')} AS src_id", *[f"{nan_to_null(v)} AS {v}" for v in columns]
-    )
-    terms = source.join(broadcast_if_small(weights, broadcast_rows), "src_id").selectExpr(
-        *by, "dst_id", *[f"{v} * {w} AS {v}" for v, (w, _) in columns.items()], *needed
-    )
+    terms = _terms(field, weights, columns, by)
     if dense_grid is not None:
         # empty terms for every wanted cell, merged by the same aggregation instead of a join
-        empty = _every_cell(field.select(*by).distinct(), dense_grid).selectExpr(
-            *by, "dst_id",
-            *[f"CAST(NULL AS DOUBLE) AS {v}" for v in columns],
-            *[f"CAST(NULL AS INT) AS {n}" for n in needed],
-        )
-        terms = terms.unionByName(empty)
-    summed = terms.groupBy(*by, "dst_id").agg(
-        *[
-            F.expr(f"CASE WHEN count({v}) = max({n}) THEN sum({v}) END AS {v}")
-            for v, (_, n) in columns.items()
-        ]
-    )
+        empty = at_every_step(field.select(*by).distinct(), dense_grid.select("dst_id"))
+        terms = terms.unionByName(empty.select(*by, "dst_id"), allowMissingColumns=True)
+    summed = _summed(terms, list(columns), by)
     return with_coordinates(summed) if coordinates else summed
 
 
-def _every_cell(steps: DataFrame, grid: DataFrame, parts: int = 64) -> DataFrame:
-    """Each row of ``steps`` with every cell of the grid, spread over ``parts`` parts of the grid.
+def at_every_step(steps: DataFrame, grid: DataFrame) -> DataFrame:
+    """Each row of ``steps`` with every row of the grid, which is what a dense result has.
 
-    An equality join on the part number, so a large grid is shuffled in pieces.
+    An equality join on a part of the grid, as many parts as shuffles have partitions, so a large
+    grid is shuffled in pieces.
     """
-    pieces = grid.selectExpr("dst_id", f"pmod(xxhash64(dst_id), {parts}L) AS _part")
+    parts = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = grid.selectExpr("*", f"pmod(xxhash64(dst_id), {parts}L) AS _part")
     numbered = steps.selectExpr("*", f"explode(sequence(0L, {parts - 1}L)) AS _part")
     return numbered.join(pieces, "_part").drop("_part")

@@ -49,11 +49,11 @@ def _correlated(pairs: DataFrame, by: Sequence[str], name: str) -> DataFrame:
 
 
 def _paired(left: DataFrame, right: DataFrame, on: Sequence[str], value: str) -> DataFrame:
-    """Values of two fields at the same coordinates, as _a and _b."""
+    """Values of two fields at the same coordinates, as _a and _b; rows that share one are averaged."""
     both = left.selectExpr(*on, f"{value} AS _a").unionByName(
         right.selectExpr(*on, f"{value} AS _b"), allowMissingColumns=True
     )
-    return both.groupBy(*on).agg(F.expr("max(_a) AS _a"), F.expr("max(_b) AS _b"))
+    return both.groupBy(*on).agg(F.expr("avg(_a) AS _a"), F.expr("avg(_b) AS _b"))
 
 
 def cross_correlation(
@@ -63,6 +63,38 @@ def cross_correlation(
     return _correlated(_paired(left, right, [*by, "time"], value), by, "correlation")
 
 
+def all_pairs(
+    df: DataFrame, variable: str = "var", by: Sequence[str] = ("cell",), value: str = "value"
+) -> DataFrame:
+    """Every two variables of one point (``by`` and time), as a, b, _a, _b with a < b by name.
+
+    Values of one variable at a point are averaged first; a point's variables are few, and they are
+    paired within its one row.
+    """
+    means = df.groupBy(*by, "time", variable).agg(F.expr(f"avg({value}) AS _v"))
+    points = means.groupBy(*by, "time").agg(
+        F.expr(f"array_sort(collect_list(named_struct('var', {variable}, 'v', _v))) AS _s")
+    )
+    left = points.selectExpr(*by, "time", "_s", "posexplode(_s) AS (_i, _x)")
+    pairs = left.selectExpr(*by, "time", "_x", "explode(slice(_s, _i + 2, size(_s))) AS _y")
+    return pairs.selectExpr(*by, "time", "_x.var AS a", "_y.var AS b", "_x.v AS _a", "_y.v AS _b")
+
+
+def cross_correlations(df: DataFrame, by: Sequence[str] = ("cell",), value: str = "value") -> DataFrame:
+    """Correlation over time of every two variables, per group."""
+    return _correlated(all_pairs(df, "var", by, value), [*by, "a", "b"], "correlation")
+
+
+def mean_absolute_biases(
+    df: DataFrame, by: Sequence[str] = ("cell",), value: str = "value"
+) -> DataFrame:
+    """Mean absolute difference of every two variables, per group."""
+    both = all_pairs(df, "var", by, value).where("_a IS NOT NULL AND _b IS NOT NULL")
+    return both.groupBy(*by, "a", "b").agg(
+        F.expr("avg(abs(_a - _b)) AS bias"), F.expr("count(*) AS n")
+    )
+
+
 def mean_absolute_bias(
     model: DataFrame, observed: DataFrame, by: Sequence[str] = ("cell",), value: str = "value"
 ) -> DataFrame:
@@ -133,9 +165,9 @@ def quantiles(
 
 
 def drop_spin_up(df: DataFrame, years: int = 1) -> DataFrame:
-    """Without the first years of the run; the first year is one number from one column."""
-    first = df.agg(F.min(F.year("time"))).scalar()
-    return df.where(F.year("time") >= first + years)
+    """Without the first years of the run, counted from its first time, which is one number."""
+    first = df.agg(F.min("time")).scalar()
+    return df.where(F.col("time") >= first + F.expr(f"make_ym_interval({int(years)})"))
 
 
 def short_records(

@@ -101,7 +101,7 @@ def adjust_edges(
 
 def vertical_interpolation(
     source: DataFrame, targets: DataFrame, value: str = "value", z: str = "z", x: str = "x",
-    columns: Sequence[str] = COLUMNS, above: str = "null",
+    columns: Sequence[str] = COLUMNS, above: str = "null", missing: str = "break",
 ) -> DataFrame:
     """Values of each source column at the target heights of the same column.
 
@@ -110,16 +110,20 @@ def vertical_interpolation(
 
     Between levels the value is on the straight line; below the lowest level the lowest line goes
     on. ``above='null'`` gives NULL over the highest level, ``'extrapolate'`` lets the highest
-    line go on. Levels without height or value are left out; a column needs two levels.
+    line go on. A column needs two levels; levels without height are left out. With
+    ``missing='break'`` a level without value makes the lines to and from it NULL; with
+    ``'bridge'`` it is left out, so that one line spans the gap and edges go on from what is there.
 
     Target heights that lack a key of ``columns`` (no time) belong to all source columns with the
     same remaining keys.
     """
     if above not in ("null", "extrapolate"):
         raise ValueError(f"unknown rule above the top: {above}")
+    if missing not in ("break", "bridge"):
+        raise ValueError(f"unknown rule for missing levels: {missing}")
     points = source.selectExpr(
         *columns, f"{number(z)} AS _h", f"{number(value)} AS _v", "true AS _level"
-    ).where("_h IS NOT NULL AND _v IS NOT NULL")
+    ).where("_h IS NOT NULL" + (" AND _v IS NOT NULL" if missing == "bridge" else ""))
     carried = [c for c in targets.columns if c not in (*columns, x)]
     wanted = targets.selectExpr(
         *[c for c in columns if c in targets.columns], *carried, f"{number(x)} AS _h"

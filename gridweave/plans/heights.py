@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from gridweave.functions import physics
 from gridweave.functions.coords import cell_id
 from gridweave.operators.regrid import regrid
-from gridweave.operators.sizing import broadcast_if_small
 from gridweave.operators.vertical import COLUMNS, hypsometric_heights
 
 # Standard names of vertical coordinates
@@ -32,9 +31,17 @@ def sigma_heights(
     ``model`` has ``columns``, lev_idx, ``ta``, ``ps`` (repeated on every level) and, for moist
     heights, the column ``q``; other columns are kept. ``coefficients`` are lev_idx, ap, b.
     """
-    # counted and broadcast: shuffling a field by its few level numbers would be badly skewed
-    coef = broadcast_if_small(coefficients.select("lev_idx", "ap", "b"))
-    on_levels = model.join(coef, "lev_idx").withColumn(
+    # one map of a value per level: shuffling a field by its few level numbers would be badly skewed
+    coef = coefficients.selectExpr(
+        "map_from_entries(collect_list(struct(lev_idx, struct(ap, b)))) AS c"
+    ).scalar()
+    on_levels = (
+        model.withColumn("_c", F.element_at(coef, F.col("lev_idx")))
+        .where("_c IS NOT NULL")
+        .withColumns({"ap": F.col("_c.ap"), "b": F.col("_c.b")})
+        .drop("_c")
+    )
+    on_levels = on_levels.withColumn(
         "p", physics.hybrid_pressure(F.col("ap"), F.col("b"), F.col("ps"))
     )
     return hypsometric_heights(on_levels, "p", "ta", q, columns, order).drop("ap", "b", "p")

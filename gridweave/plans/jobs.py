@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridweave.functions.coords import cell_id
 from gridweave.functions.physics import geopotential_height
 from gridweave.operators.align import require_nonempty, stack_variables, unmatched
 from gridweave.operators.coordinates import (
@@ -17,10 +18,9 @@ from gridweave.operators.coordinates import (
     regrid_method,
 )
 from gridweave.operators.grids import scan_grid
-from gridweave.operators.regrid import merge_weights, regrid
+from gridweave.operators.regrid import at_every_step, merge_weights, regrid, regrid_streams
 from gridweave.operators.resample import resample_mean
 from gridweave.operators.selection import Box, filter_bbox, filter_synoptic, filter_years
-from gridweave.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 from gridweave.operators.vertical import vertical_interpolation
 from gridweave.operators.weights import build_weights
 from gridweave.plans.heights import regrid_heights, with_cells
@@ -33,6 +33,7 @@ from gridweave.sources.store import (
     attach_attrs,
     attrs_table,
     load_or_make_weights,
+    read_attrs,
     write_attrs,
     write_field,
 )
@@ -68,7 +69,8 @@ def interpolate_to_levels(
     """First version: 6-hourly means, one method for both fields, lines go on at both ends.
 
     ``source`` has time, lev_idx, lat, lon, value, geopotential. ``heights`` has dst_id,
-    lev_idx, zfull. Returns time, dst_id, lev_idx, value.
+    lev_idx, zfull. Returns time, dst_id, lev_idx, value: a row for every step of the source and
+    every point of ``heights``, NULL where the value is unknown.
     """
     source = clip_latitude(source)
     if weights is None:
@@ -76,58 +78,103 @@ def interpolate_to_levels(
     means = resample_mean(source, every, ("lev_idx", "lat", "lon"), ("value", "geopotential"))
     moved = regrid(means, weights, ["value", "geopotential"])
     profiles = moved.withColumn("z", geopotential_height(F.col("geopotential")))
-    return vertical_interpolation(profiles, heights, x="zfull", above="extrapolate").drop("zfull")
+    wanted = at_every_step(means.select("time").distinct(), heights.select("dst_id", "lev_idx", "zfull"))
+    return vertical_interpolation(profiles, wanted, x="zfull", above="extrapolate").drop("zfull")
 
 
 def interpolate_and_fill(
     source: DataFrame, target: DataFrame, heights: DataFrame | None, method: str = "bilinear",
     box: Box | None = None, years: tuple[int, int] | None = None,
-    weights: dict[str, DataFrame] | None = None, periodic: bool = False, strict: bool = False,
-    broadcast_rows: int = BROADCAST_ROWS,
+    weights: dict[str, DataFrame] | None = None, periodic: bool = False, strict: bool = True,
+    geopotential: DataFrame | None = None, geopotential_weights: DataFrame | None = None,
+    missing: str = "break",
 ) -> DataFrame:
     """Configured version: synoptic hours, regridding, heights, and the target's own values above.
 
-    ``source`` has time, lev_idx, lat, lon, value, geopotential (see ``combine_source``);
-    ``target`` has time, lev_idx, lat, lon, value; ``heights`` has dst_id, lev_idx, zfull and
-    maybe time, or is None when ``target`` has the column zfull itself. The geopotential is always moved bilinearly. The result has the rows of the
-    target inside the box and period: time, dst_id, lev_idx, value. ``strict`` raises when
-    source and target do not have the same times.
+    ``source`` has time, lev_idx, lat, lon, value, and geopotential (see ``combine_source``) unless
+    ``geopotential`` is given as a field of its own, which may be on another grid; it is always
+    moved bilinearly, with weights of its own. ``target`` has time, lev_idx, lat, lon, value;
+    ``heights`` has dst_id, lev_idx, zfull and maybe time, or is None when ``target`` has the column
+    zfull itself. The result has the rows of the target inside the box and period, at the target's
+    own coordinates: time, dst_id, lev_idx, lat, lon, value.
+
+    ``strict`` raises when source and target do not have the same times, and when no cell of an
+    input meets its weights; without it such rows take the target's own values. ``missing`` is
+    the rule for levels without value, see ``vertical_interpolation``.
 
     Two exchanges carry data: the regridding sums, and the columns. The fill value travels with
     the target height, so filling needs no join.
     """
-    source = filter_synoptic(clip_latitude(source))
-    target = clip_latitude(target)
+    source, target = filter_synoptic(clip_latitude(source)), clip_latitude(target)
+    if geopotential is not None:
+        geopotential = filter_synoptic(clip_latitude(geopotential))
     if years is not None:
         source, target = filter_years(source, *years), filter_years(target, *years)
+        geopotential = filter_years(geopotential, *years) if geopotential is not None else None
     inside = filter_bbox(target, box) if box is not None else target
+    inputs = {"variable": source} | ({"geopotential": geopotential} if geopotential is not None else {})
     if strict:
-        times = [df.select("time").distinct() for df in (source, inside)]
-        if not unmatched(*times, ["time"]).isEmpty():
-            raise ValueError("source and target do not have the same times")
+        for name, df in inputs.items():
+            times = [x.select("time").distinct() for x in (df, target)]
+            if not unmatched(*times, ["time"]).isEmpty():
+                raise ValueError(f"{name} and target do not have the same times")
+    grid = scan_grid(inside)
     if weights is None:
-        grid = scan_grid(inside)
-        weights = {
-            m: build_weights(m, source, target, grid, periodic) for m in {"bilinear", method}
-        }
-    if method == "bilinear":
-        moved = regrid(
-            source, weights["bilinear"], ["value", "geopotential"], broadcast_rows=broadcast_rows
+        kinds = {method} if geopotential is not None else {"bilinear", method}
+        weights = {m: build_weights(m, source, target, grid, periodic) for m in kinds}
+    if geopotential is not None and geopotential_weights is None:
+        geopotential_weights = build_weights("bilinear", geopotential, target, grid, periodic)
+    if strict:
+        used = {"variable": weights[method]}
+        if geopotential is not None:
+            used["geopotential"] = geopotential_weights
+        for name, w in used.items():
+            _require_common_cell(inputs[name], w, name)
+    if geopotential is not None:
+        moved = regrid_streams(
+            [
+                (source, weights[method], ["value"]),
+                (geopotential, geopotential_weights, ["geopotential"]),
+            ]
         )
+    elif method == "bilinear":
+        moved = regrid(source, weights["bilinear"], ["value", "geopotential"])
     else:
         moved = regrid(
-            source, merge_weights(weights), {"value": method, "geopotential": "bilinear"},
-            broadcast_rows=broadcast_rows,
+            source, merge_weights(weights), {"value": method, "geopotential": "bilinear"}
         )
     profiles = moved.withColumn("z", geopotential_height(F.col("geopotential")))
-    if heights is None:
-        wanted = with_cells(inside.selectExpr(*POINT, "value AS own", "zfull"))
-    else:
-        points = with_cells(inside.selectExpr(*POINT, "value AS own"))
+    own = inside.withColumn("dst_id", F.expr(cell_id("lat", "lon")))
+    carried = [c for c in ("lev",) if c in own.columns]
+    points = own.selectExpr("dst_id", *POINT, *carried, "value AS own", *(["zfull"] if heights is None else []))
+    if heights is not None:
         keys = [c for c in ("time", "dst_id", "lev_idx") if c in heights.columns]
-        wanted = points.join(heights.select(*keys, "zfull"), keys, "left")
-    lines = vertical_interpolation(profiles, wanted, x="zfull")
-    return lines.selectExpr("time", "dst_id", "lev_idx", "coalesce(value, own) AS value")
+        if "time" in keys:
+            points = points.join(heights.select(*keys, "zfull"), keys, "left")
+        else:
+            points = _with_static_heights(points, heights)
+    lines = vertical_interpolation(profiles, points, x="zfull", missing=missing)
+    return lines.selectExpr(
+        "time", "dst_id", "lev_idx", *carried, "lat", "lon", "coalesce(value, own) AS value"
+    )
+
+
+def _with_static_heights(points: DataFrame, heights: DataFrame) -> DataFrame:
+    """Heights of a cell's levels reach the target rows as one short map per cell: the join is on the
+    cell alone, by far fewer rows than the field has."""
+    maps = heights.where("zfull IS NOT NULL").groupBy("dst_id").agg(
+        F.expr("map_from_entries(collect_list(struct(lev_idx, zfull))) AS _z")
+    )
+    return points.join(maps, "dst_id", "left").withColumn(
+        "zfull", F.expr("element_at(_z, lev_idx)")
+    ).drop("_z")
+
+
+def _require_common_cell(field: DataFrame, weights: DataFrame, name: str) -> None:
+    """Raise when no cell of the field is in the weights: another grid, or a wrong one."""
+    cells = field.selectExpr(f"{cell_id('lat', 'lon')} AS src_id")
+    if cells.join(weights.select("src_id"), "src_id", "left_semi").isEmpty():
+        raise ValueError(f"no cell of the {name} meets its weights")
 
 
 @dataclass(frozen=True)
@@ -146,7 +193,8 @@ class Job:
     years: tuple[int, int] = (1982, 2012)
     box: Box | None = field(default=None)
     periodic: bool = False
-    strict: bool = False
+    strict: bool = True
+    missing: str = "break"
 
 
 def _weights_key(method: str, job: Job) -> str:
@@ -168,6 +216,8 @@ def run_surface(
     )
     out = regrid_surface(source, dst_grid, method, weights)
     write_field(build_output(out, target_var, "value"), job.output_path)
+    src_grid.unpersist()
+    dst_grid.unpersist()
     return discover_months(spark, job.input_path, input_var, *job.years)
 
 
@@ -196,7 +246,8 @@ def run_interpolation(
         values = scan_field(spark, job.input_path, input_var, job.years)
         geopotential = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)
         target = scan_field(spark, job.target_path, target_var, job.years)
-        src_grid, whole_grid = scan_grid(values).persist(), scan_grid(target).persist()
+        kept = [scan_grid(df).persist() for df in (values, geopotential, target)]
+        src_grid, z_grid, whole_grid = kept
         grid = filter_bbox(whole_grid, job.box) if job.box else whole_grid
 
         def stored(method: str, cells: DataFrame) -> DataFrame:
@@ -205,18 +256,21 @@ def run_interpolation(
                 lambda: build_weights(method, cells, whole_grid, grid, job.periodic),
             )
 
-        weights = {m: stored(m, src_grid) for m in {"bilinear", method}}
         if target_var in stagger:
-            on_grid = regrid_heights(heights, stored(method, scan_grid(heights).persist()))
+            kept.append(scan_grid(heights).persist())
+            on_grid = regrid_heights(heights, stored(method, kept[-1]))
         else:
             on_grid = with_cells(heights)
         filled = interpolate_and_fill(
-            combine_source(values, geopotential), target, on_grid, method, job.box, job.years,
-            weights, job.periodic, job.strict,
+            values, target, on_grid, method, job.box, job.years,
+            {method: stored(method, src_grid)}, job.periodic, job.strict,
+            geopotential.withColumnRenamed("value", "geopotential"), stored("bilinear", z_grid),
+            job.missing,
         )
-        # one label per level, counted: shuffling the result by its few levels would be skewed
-        levels = broadcast_if_small(target.groupBy("lev_idx").agg(F.expr("min(lev) AS lev")))
-        out = build_output(filled.join(levels, "lev_idx", "left"), target_var, "value")
-        attrs = {"interpolation_to": job.target_name}
+        out = build_output(filled, target_var, "value")
+        attrs = {**read_attrs(spark, f"{job.input_path}_attrs", input_var)}
+        attrs["interpolation_to"] = job.target_name
         write_field(attach_attrs(out, "value", attrs), job.output_path)
         write_attrs(attrs_table(spark, target_var, attrs), f"{job.output_path}_attrs")
+        for df in kept:
+            df.unpersist()

@@ -10,14 +10,14 @@ SRC = """src AS (
   SELECT time, lev_idx, lat, lon, price*0.00031415926535e0 AS value,
          9.80665e0*(500e0*lev_idx*lev_idx + qty*0.98765432101e0) AS geopotential,
          qty*0.00031415926535e0 AS humidity
-  FROM (SELECT make_timestamp(year(l_shipdate), month(l_shipdate), 1, 3*(l_orderkey%2), 0, 0) AS time,
-               l_linenumber AS lev_idx, -90e0 + 45*(l_suppkey%5) AS lat, 45e0*(l_partkey%8) AS lon,
+  FROM (SELECT make_timestamp(year(l_shipdate), month(l_shipdate), 1, 6*(month(l_shipdate)%4), 0, 0) AS time,
+               l_linenumber AS lev_idx, -90e0 + 45*(l_suppkey%5) AS lat, 90e0*(l_partkey%4) AS lon,
                avg(l_extendedprice) AS price, avg(l_quantity) AS qty
         FROM lineitem GROUP BY ALL))"""
 
 _TGT_KEYS = """1 + (o_orderkey//24)%5 AS lev_idx, -75e0 + 30*(o_custkey%6) AS lat,
          30e0*((o_orderkey//2)%12) AS lon"""
-_TGT_TIME = "make_timestamp(year(o_orderdate), month(o_orderdate), 1, 3*(o_orderkey%2), 0, 0) AS time"
+_TGT_TIME = "make_timestamp(year(o_orderdate), month(o_orderdate), 1, 6*(month(o_orderdate)%4), 0, 0) AS time"
 
 TGT = f"""tgt AS (
   SELECT {_TGT_TIME}, {_TGT_KEYS}, avg(o_totalprice)*0.000031415926535e0 AS value
@@ -37,8 +37,8 @@ WIND = """wind AS (
   FROM orders)"""
 
 SURFACE = """surface AS (
-  SELECT make_timestamp(year(l_shipdate), month(l_shipdate), 1, 3*(l_orderkey%2), 0, 0) AS time,
-         -90e0 + 45*(l_suppkey%5) AS lat, 45e0*(l_partkey%8) AS lon,
+  SELECT make_timestamp(year(l_shipdate), month(l_shipdate), 1, 6*(month(l_shipdate)%4), 0, 0) AS time,
+         -90e0 + 45*(l_suppkey%5) AS lat, 90e0*(l_partkey%4) AS lon,
          avg(l_extendedprice)*0.00031415926535e0 AS value
   FROM lineitem GROUP BY ALL)"""
 
@@ -271,17 +271,12 @@ def regridded(name: str, weights: str, values: list[str], src: str = "src", by:
   JOIN {weights} w ON w.slat = s.lat AND w.slon = s.lon GROUP BY {keys}, w.lat, w.lon)"""
 
 
-def rounded_rows(table: str, *columns: str) -> str:
-    return f"SELECT {', '.join(columns)} FROM {table}"
-
-
-# Vertical -----------------------------------------------------------------------------------
-
-
 def lines(
-    name: str, profile: str, points: str, keys: list[str], x: str = "x", extrapolate: bool = False
+    name: str, profile: str, points: str, keys: list[str], x: str = "x", extrapolate: bool = False,
+    bridge: bool = False,
 ) -> str:
     """Rows of ``points`` with the value on the line around ``x``."""
+    known = " AND value IS NOT NULL" if bridge else ""
     k = ", ".join(keys)
     on = " AND ".join(f"s.{c} = p.{c}" for c in keys)
     above = "OR s.last" if extrapolate else ""
@@ -290,7 +285,7 @@ def lines(
     SELECT {k}, z AS z0, value AS v0, lead(z) OVER o AS z1, lead(value) OVER o AS v1,
            row_number() OVER o = 1 AS first,
            row_number() OVER o = count(*) OVER (PARTITION BY {k}) - 1 AS last
-    FROM {profile} WHERE z IS NOT NULL AND value IS NOT NULL
+    FROM {profile} WHERE z IS NOT NULL{known}
     WINDOW o AS (PARTITION BY {k} ORDER BY z, value))
   WHERE z1 IS NOT NULL),
 {name} AS (
@@ -323,12 +318,27 @@ SIGMA_MODEL = """smodel AS (
   SELECT g.time, g.lev_idx, g.lat, g.lon, 230e0 + g.value AS ta, c.ap + c.b*ps.ps AS p
   FROM tgt g JOIN ps USING (time, lat, lon) JOIN coef c ON c.lev_idx = g.lev_idx)"""
 
+# values missing at the bottom of some columns and inside all
+HOLES = """holes AS (
+  SELECT vec_id, lev_idx, z, CASE WHEN lev_idx % 9 <> 4 AND NOT (lev_idx = 0 AND vec_id % 3 = 0) THEN value END AS value
+  FROM profiles)"""
+
+STAGGERED = """zsrc AS (
+  SELECT time, lev_idx, lat, lon, 9.80665e0*(500e0*lev_idx*lev_idx + qty*0.98765432101e0) AS geopotential
+  FROM (SELECT make_timestamp(year(l_shipdate), month(l_shipdate), 1, 6*(month(l_shipdate)%4), 0, 0) AS time,
+               l_linenumber AS lev_idx, -87.5e0 + 35*(l_suppkey%6) AS lat, 10.25e0 + 90*(l_partkey%4) AS lon,
+               avg(l_quantity) AS qty
+        FROM lineitem GROUP BY ALL))"""
+
 FILLED = f"SELECT {t()}, lat, lon, lev_idx::INTEGER AS lev_idx, {r('coalesce(line, value)', 'value')} FROM li"
 
 _GRID = "lat, lon"
 _LEV = "lev_idx::INTEGER AS lev_idx"
 _FIELD = f"{t()}, {_LEV}, {_GRID}, {r('value', 'value')}"
 
+INSIDE = """inside AS (SELECT * FROM tgt WHERE lat BETWEEN -45 AND 45 AND lon BETWEEN 60 AND 270
+  AND year(time) BETWEEN 1996 AND 2000)"""
+
 ORACLE: dict[str, str] = {
     "clip_latitude": """SELECT o_orderkey, least(90e0, greatest(-90e0, -93e0 + 31*(o_custkey%7))) AS lat
   FROM orders""",
@@ -475,11 +485,18 @@ ORACLE: dict[str, str] = {
         PROFILES, POINTS, lines("li", "profiles", "points", ["vec_id"], extrapolate=True)
     )
     + f"SELECT vec_id, {_LEV}, {r('x', 'x')}, {r('line', 'value')} FROM li",
+    "vertical_interp_missing": with_(
+        PROFILES, POINTS, HOLES, lines("li", "holes", "points", ["vec_id"])
+    )
+    + f"SELECT vec_id, {_LEV}, {r('x', 'x')}, {r('line', 'value')} FROM li",
+    "vertical_interp_bridged": with_(
+        PROFILES, POINTS, HOLES, lines("li", "holes", "points", ["vec_id"], bridge=True)
+    )
+    + f"SELECT vec_id, {_LEV}, {r('x', 'x')}, {r('line', 'value')} FROM li",
     "vertical_interp_static": with_(
         SRC, TGT, HEIGHTS, bilinear(), regridded("rg", "w", ["value", "geopotential"]), RG_Z,
         """wanted AS (
-  SELECT c.time, h.* FROM (SELECT DISTINCT time, lat, lon FROM prof
-                           WHERE z IS NOT NULL AND value IS NOT NULL) c
+  SELECT c.time, h.* FROM (SELECT DISTINCT time, lat, lon FROM prof WHERE z IS NOT NULL) c
   JOIN heights h USING (lat, lon))""",
         lines("li", "prof", "wanted", COLUMN, "zfull"),
     )
@@ -500,16 +517,13 @@ ORACLE: dict[str, str] = {
          avg(geopotential) AS geopotential FROM src GROUP BY ALL)""",
         bilinear(), regridded("rg", "w", ["value", "geopotential"], "means"), RG_Z,
         """wanted AS (
-  SELECT c.time, h.* FROM (SELECT DISTINCT time, lat, lon FROM prof
-                           WHERE z IS NOT NULL AND value IS NOT NULL) c
-  JOIN heights h USING (lat, lon))""",
+  SELECT m.time, h.* FROM (SELECT DISTINCT time FROM means) m CROSS JOIN heights h)""",
         lines("li", "prof", "wanted", COLUMN, "zfull", extrapolate=True),
     )
     + f"SELECT {t()}, {_LEV}, lat, lon, {r('line', 'value')} FROM li",
     "interp3d_v2": with_(
         SRC, TGT, HEIGHTS,
-        """inside AS (SELECT * FROM tgt WHERE lat BETWEEN -45 AND 45 AND lon BETWEEN 60 AND 270
-  AND year(time) BETWEEN 1996 AND 2000)""",
+        INSIDE,
         """synoptic AS (SELECT * FROM src WHERE hour(time) IN (0, 6, 12, 18)
   AND year(time) BETWEEN 1996 AND 2000)""",
         bilinear("src", "tgt", "w", "inside"),
@@ -518,6 +532,18 @@ ORACLE: dict[str, str] = {
         lines("li", "prof", "wanted", COLUMN, "zfull"),
     )
     + FILLED,
+    "interp3d_v2_staggered": with_(
+        SRC, STAGGERED, TGT, HEIGHTS, INSIDE,
+        "synoptic AS (SELECT * FROM src WHERE year(time) BETWEEN 1996 AND 2000)",
+        "zsyn AS (SELECT * FROM zsrc WHERE year(time) BETWEEN 1996 AND 2000)",
+        bilinear("src", "tgt", "w", "inside"), bilinear("zsrc", "tgt", "wz", "inside"),
+        regridded("rv", "w", ["value"], "synoptic"), regridded("rz", "wz", ["geopotential"], "zsyn"),
+        """prof AS (SELECT time, lev_idx, lat, lon, value, geopotential/9.80665e0 AS z
+  FROM rv FULL JOIN rz USING (time, lev_idx, lat, lon))""",
+        """wanted AS (SELECT g.*, h.zfull FROM inside g LEFT JOIN heights h USING (lev_idx, lat, lon))""",
+        lines("li", "prof", "wanted", COLUMN, "zfull"),
+    )
+    + FILLED,
     "interp3d_v2_humidity": with_(
         SRC, TGT, HEIGHTS,
         "synoptic AS (SELECT *, humidity*1000 AS hum FROM src WHERE hour(time) IN (0, 6, 12, 18))",
@@ -546,13 +572,11 @@ ORACLE: dict[str, str] = {
   FROM six a JOIN six b ON a.var = b.var AND a.cell = b.cell AND a.time = b.time + INTERVAL '6 hours'
   GROUP BY 1, 2""",
     "cross_corr": with_(STATIONS, SIX)
-    + f"""SELECT a.cell, {r(CORR, 'correlation')}, count(*) AS n
-  FROM six a JOIN six b ON a.cell = b.cell AND a.time = b.time
-  WHERE a.var = 'view' AND b.var = 'click' GROUP BY 1""",
+    + f"""SELECT a.cell, a.var AS a, b.var AS b, {r(CORR, 'correlation')}, count(*) AS n
+  FROM six a JOIN six b ON a.cell = b.cell AND a.time = b.time AND a.var < b.var GROUP BY 1, 2, 3""",
     "mean_abs_bias": with_(STATIONS, SIX)
-    + f"""SELECT a.cell, {r('avg(abs(a.value - b.value))', 'bias')}, count(*) AS n
-  FROM six a JOIN six b ON a.cell = b.cell AND a.time = b.time
-  WHERE a.var = 'error' AND b.var = 'signup' GROUP BY 1""",
+    + f"""SELECT a.cell, a.var AS a, b.var AS b, {r('avg(abs(a.value - b.value))', 'bias')}, count(*) AS n
+  FROM six a JOIN six b ON a.cell = b.cell AND a.time = b.time AND a.var < b.var GROUP BY 1, 2, 3""",
     "subdaily_histogram": with_(SERIES)
     + """SELECT var, hour(time)::INTEGER AS hour, floor(value/0.25e0)*0.25e0 AS low, count(*) AS n
   FROM series GROUP BY 1, 2, 3""",
@@ -561,19 +585,18 @@ ORACLE: dict[str, str] = {
   SELECT var, hour(time)::INTEGER AS hour, unnest([0.1e0, 0.5e0, 0.9e0, 0.99e0]) AS p,
          unnest(quantile_cont(value, [0.1, 0.5, 0.9, 0.99])) AS q FROM series GROUP BY 1, 2)""",
     "drop_spin_up": with_(TGT)
-    + f"SELECT {_FIELD} FROM tgt WHERE year(time) >= (SELECT min(year(time)) FROM tgt) + 1",
+    + f"SELECT {_FIELD} FROM tgt WHERE time >= (SELECT min(time) FROM tgt) + INTERVAL 1 YEAR",
     "short_records": """SELECT o_custkey AS cell, count(DISTINCT year(o_orderdate)) AS years
   FROM orders GROUP BY 1 HAVING count(DISTINCT year(o_orderdate)) < 7""",
-    "moment_correction": with_(STATIONS)
-    + f"""SELECT {t('s.time')}, s.cell, {r('s.value', 'value')},
-  {r('(s.value - m.mm)*coalesce(o.os/nullif(m.ms, 0), 1) + o.om', 'corrected')}
-  FROM (SELECT * FROM stations WHERE var = 'view') s
-  LEFT JOIN (SELECT cell, month(time) AS mo, hour(time) AS h, avg(value) AS mm, stddev_samp(value) AS ms
-             FROM stations WHERE var = 'view' GROUP BY ALL) m
-    ON m.cell = s.cell AND m.mo = month(s.time) AND m.h = hour(s.time)
-  LEFT JOIN (SELECT cell, month(time) AS mo, hour(time) AS h, avg(value) AS om, stddev_samp(value) AS os
-             FROM stations WHERE var = 'purchase' GROUP BY ALL) o
-    ON o.cell = s.cell AND o.mo = month(s.time) AND o.h = hour(s.time)""",
+    "moment_correction": with_(STATIONS, """next_type(var, observed) AS (VALUES ('click', 'error'),
+  ('error', 'purchase'), ('purchase', 'signup'), ('signup', 'view'), ('view', 'click'))""",
+        """spread AS (SELECT var, cell, month(time) AS mo, hour(time) AS h, avg(value) AS m, stddev_samp(value) AS s
+  FROM stations GROUP BY ALL)""")
+    + f"""SELECT {t('s.time')}, s.var, s.cell, {r('s.value', 'value')},
+  {r('(s.value - m.m)*coalesce(o.s/nullif(m.s, 0), 1) + o.m', 'corrected')}
+  FROM stations s JOIN next_type USING (var)
+  LEFT JOIN spread m ON m.var = s.var AND m.cell = s.cell AND m.mo = month(s.time) AND m.h = hour(s.time)
+  LEFT JOIN spread o ON o.var = observed AND o.cell = s.cell AND o.mo = month(s.time) AND o.h = hour(s.time)""",
 }
 # heights joined from a table or computed on the way give the same result
 ORACLE["interp3d_v2_stored_heights"] = ORACLE["interp3d_v2_sigma"]
@@ -585,3 +608,31 @@ ORACLE["store_and_scan"] = with_(TGT) + f"""SELECT {_FIELD}, 'ta' AS var,
 ORACLE["stored_job"] = ORACLE["interp3d_v2"].replace(
     "lev_idx::INTEGER AS lev_idx,", "lev_idx::INTEGER AS lev_idx, lev_idx*10e0 AS lev,"
 )
+ORACLE["scan_static"] = with_(HEIGHTS) + f"SELECT {_LEV}, lat, lon, {r('zfull', 'value')} FROM heights"
+ORACLE["reformat"] = with_(TGT) + f"""SELECT {_FIELD}, 'ta' AS var,
+  year(time)::INTEGER AS year, month(time)::INTEGER AS month FROM tgt"""
+ORACLE["attrs"] = """SELECT key, value, 'hus' AS var
+  FROM (VALUES ('units', '1'), ('interpolation_to', 'gcm')) a(key, value) WHERE (SELECT count(*) FROM orders) > 0"""
+
+
+def _stored(field: str, weights: str, value: str, digits: int) -> str:
+    """The stored job: a field and the geopotential, each from its own grid and with its method."""
+    return with_(
+        SRC, STAGGERED, TGT, HEIGHTS, INSIDE, field, weights, bilinear("zsrc", "tgt", "wz", "inside"),
+        "fin AS (SELECT * FROM fld WHERE year(time) BETWEEN 1996 AND 2000)",
+        "zsyn AS (SELECT * FROM zsrc WHERE year(time) BETWEEN 1996 AND 2000)",
+        regridded("rv", "w", [value], "fin"), regridded("rz", "wz", ["geopotential"], "zsyn"),
+        f"""prof AS (SELECT time, lev_idx, lat, lon, {value} AS value, geopotential/9.80665e0 AS z
+  FROM rv FULL JOIN rz USING (time, lev_idx, lat, lon))""",
+        """wanted AS (SELECT g.*, h.zfull FROM inside g LEFT JOIN heights h USING (lev_idx, lat, lon))""",
+        lines("li", "prof", "wanted", COLUMN, "zfull"),
+    ) + f"""SELECT {t()}, lat, lon, lev_idx::INTEGER AS lev_idx, lev_idx*10e0 AS lev,
+  {r('coalesce(line, value)', 'value', digits)} FROM li"""
+
+
+ORACLE["stored_job_wind"] = _stored(
+    "fld AS (SELECT * REPLACE (lon + 15e0 AS lon) FROM src)", bilinear("fld", "tgt", "w", "inside"), "value", 6
+)
+ORACLE["stored_job_humidity"] = _stored(
+    "fld AS (SELECT * FROM src)", conservative("w"), "humidity", 8
+)

@@ -54,8 +54,8 @@ def shown(df: DataFrame, **digits: int) -> DataFrame:
 
 
 def on_map(df: DataFrame) -> DataFrame:
-    """Cell id replaced by its coordinates."""
-    return coordinates.with_coordinates(df).drop("dst_id")
+    """Cell id replaced by its coordinates, where the rows do not have their own."""
+    return (df if "lat" in df.columns else coordinates.with_coordinates(df)).drop("dst_id")
 
 
 def weights_between_cells(spark: SparkSession, sf: str, method: str) -> DataFrame:
@@ -468,6 +468,28 @@ def vertical_interp_extrapolate(spark, sf):
     return shown(out)
 
 
+def _with_holes(spark, sf):
+    """Values missing at the bottom of some columns and inside all."""
+    known = "lev_idx % 9 <> 4 AND NOT (lev_idx = 0 AND vec_id % 3 = 0)"
+    return t.embedding_profiles(spark, sf).withColumn("value", F.expr(f"CASE WHEN {known} THEN value END"))
+
+
+@query
+def vertical_interp_missing(spark, sf):
+    out = vertical.vertical_interpolation(
+        _with_holes(spark, sf), t.embedding_targets(spark, sf), columns=("vec_id",)
+    )
+    return shown(out)
+
+
+@query
+def vertical_interp_bridged(spark, sf):
+    out = vertical.vertical_interpolation(
+        _with_holes(spark, sf), t.embedding_targets(spark, sf), columns=("vec_id",), missing="bridge"
+    )
+    return shown(out)
+
+
 @query
 def vertical_interp_static(spark, sf):
     moved = _regridded(spark, sf, "bilinear", ("value", "geopotential"))
@@ -530,13 +552,24 @@ def interp3d_v2(spark, sf):
     return shown(on_map(out))
 
 
+@query
+def interp3d_v2_staggered(spark, sf):
+    """Variable and geopotential on different grids, each with weights of its own."""
+    out = jobs.interpolate_and_fill(
+        t.source_field(spark, sf).drop("geopotential"), t.target_field(spark, sf),
+        heights.with_cells(t.static_heights(spark, sf)), box=BOX, years=(1996, 2000), strict=False,
+        geopotential=t.staggered_geopotential(spark, sf),
+    )
+    return shown(on_map(out))
+
+
 @query
 def interp3d_v2_humidity(spark, sf):
     source = t.source_field(spark, sf)
     w = {m: weights_between_cells(spark, sf, m) for m in ("bilinear", "conservative")}
     out = jobs.interpolate_and_fill(
         source.withColumn("value", F.col("humidity") * 1000), t.target_field(spark, sf),
-        heights.with_cells(t.static_heights(spark, sf)), "conservative", weights=w,
+        heights.with_cells(t.static_heights(spark, sf)), "conservative", weights=w, strict=False,
     )
     return shown(on_map(out))
 
@@ -547,7 +580,7 @@ def interp3d_v2_sigma(spark, sf):
     model = model.withColumn("ta", F.lit(230.0) + F.col("value"))
     target = heights.sigma_heights(model, t.sigma_levels(spark), columns=CELL)
     out = jobs.interpolate_and_fill(
-        t.source_field(spark, sf), target, None,
+        t.source_field(spark, sf), target, None, strict=False,
         weights={"bilinear": weights_between_cells(spark, sf, "bilinear")},
     )
     return shown(on_map(out))
@@ -555,9 +588,13 @@ def interp3d_v2_sigma(spark, sf):
 
 @query
 def interp3d_v2_stored_heights(spark, sf):
+    folder = store.shared_folder(spark, "heights")
+    made = coordinates.with_coordinates(_sigma_heights(spark, sf))
+    store.write_field(coordinates.build_output(made, "zfull", "zfull"), folder)
+    stored = fields.scan_heights(spark, folder, "zfull")
     out = jobs.interpolate_and_fill(
-        t.source_field(spark, sf), t.target_field(spark, sf), _sigma_heights(spark, sf),
-        weights={"bilinear": weights_between_cells(spark, sf, "bilinear")},
+        t.source_field(spark, sf), t.target_field(spark, sf), heights.with_cells(stored),
+        strict=False, weights={"bilinear": weights_between_cells(spark, sf, "bilinear")},
     )
     return shown(on_map(out))
 
@@ -621,10 +658,70 @@ def stored_job(spark, sf):
     return shown(out.select("time", "lev_idx", "lev", "lat", "lon", "value"))
 
 
+def _wind_source(spark, sf):
+    """The source with a wind component on cells half a step off, and geopotential on others."""
+    return t.source_field(spark, sf).withColumn("lon", F.col("lon") + 15.0)
+
+
+def _run(spark, sf, target_var, source_var, value, folder, stagger=()):
+    source = t.source_field(spark, sf) if target_var not in stagger else _wind_source(spark, sf)
+    store.write_field(coordinates.build_output(source, source_var, value), f"{folder}/source")
+    z = t.staggered_geopotential(spark, sf)
+    store.write_field(coordinates.build_output(z, "z", "geopotential"), f"{folder}/z")
+    store.write_attrs(store.attrs_table(spark, source_var, {"units": "1"}), f"{folder}/source_attrs")
+    target = t.target_field(spark, sf).withColumn("lev", F.col("lev_idx") * 10.0)
+    store.write_field(coordinates.build_output(target, target_var, "value"), f"{folder}/target")
+    job = jobs.Job(
+        f"{folder}/source", f"{folder}/z", f"{folder}/target", f"{folder}/out",
+        f"{folder}/weights", (target_var,), years=(1996, 2000), box=BOX, strict=False,
+    )
+    jobs.run_interpolation(spark, job, t.static_heights(spark, sf), stagger)
+    return job
+
+
+@query
+def stored_job_wind(spark, sf):
+    """A wind component on a grid of its own; heights are moved to its target cells."""
+    job = _run(spark, sf, "ua", "u", "value", store.shared_folder(spark, "wind"), ("ua",))
+    out = fields.scan_field(spark, job.output_path, "ua")
+    return shown(out.select("time", "lev_idx", "lev", "lat", "lon", "value"))
+
+
+@query
+def stored_job_humidity(spark, sf):
+    """Humidity moves conservatively, its geopotential bilinearly, each from its own grid."""
+    job = _run(spark, sf, "hus", "q", "humidity", store.shared_folder(spark, "humidity"))
+    out = fields.scan_field(spark, job.output_path, "hus")
+    return shown(out.select("time", "lev_idx", "lev", "lat", "lon", "value"), value=8)
+
+
+@query
+def attrs(spark, sf):
+    """Attributes stored with a field: the input's, and the target model's name."""
+    job = _run(spark, sf, "hus", "q", "humidity", store.shared_folder(spark, "attrs"))
+    return spark.read.parquet(f"{job.output_path}_attrs")
+
+
+@query
+def scan_static(spark, sf):
+    folder = store.shared_folder(spark, "static")
+    static = t.static_heights(spark, sf).selectExpr("lev_idx", "lat", "lon", "zfull AS value", "'zfull' AS var")
+    store.write_static(static, folder)
+    return shown(fields.scan_static(spark, folder, "zfull").select("lev_idx", "lat", "lon", "value"))
+
+
+@query
+def reformat(spark, sf):
+    folder = store.shared_folder(spark, "reformat")
+    field = coordinates.build_output(t.target_field(spark, sf), "t", "value")
+    store.reformat(field, {"t": "ta"}, {"units": "K"}, folder)
+    return shown(fields.scan_field(spark, folder, "ta").drop("lev"))
+
+
 # Evaluation and correction ----------------------------------------------------------------------
 
 
-def _six_hourly(spark, sf, cells=7):
+def _six_hourly(spark, sf):
     return resample.resample_mean(t.station_series(spark, sf), by=("var", "cell"))
 
 
@@ -641,16 +738,14 @@ def lag1_autocorr(spark, sf):
 
 @query
 def cross_corr(spark, sf):
-    series = _six_hourly(spark, sf)
-    left, right = series.where("var = 'view'"), series.where("var = 'click'")
-    return shown(stats.cross_correlation(left, right))
+    """Every two event types."""
+    return shown(stats.cross_correlations(_six_hourly(spark, sf)))
 
 
 @query
 def mean_abs_bias(spark, sf):
-    series = _six_hourly(spark, sf)
-    model, observed = series.where("var = 'error'"), series.where("var = 'signup'")
-    return shown(stats.mean_absolute_bias(model, observed))
+    """Every two event types."""
+    return shown(stats.mean_absolute_biases(_six_hourly(spark, sf)))
 
 
 @query
@@ -678,16 +773,19 @@ def short_records(spark, sf):
     return stats.short_records(orders, minimum_years=7)
 
 
+NEXT_TYPE = {
+    "click": "error", "error": "purchase", "purchase": "signup", "signup": "view", "view": "click",
+}
+
+
 @query
 def moment_correction(spark, sf):
+    """Every event type against the next one by name."""
     series = stats.with_time_keys(t.station_series(spark, sf))
-    model, observed = series.where("var = 'view'"), series.where("var = 'purchase'")
-    return shown(stats_correct(model, observed))
-
-
-def stats_correct(model, observed):
-    out = correct.moment_correction(model, model, observed, ("cell", "month", "hour"))
-    return out.select("time", "cell", "value", "corrected")
+    model_of = F.create_map(*[F.lit(x) for pair in zip(NEXT_TYPE.values(), NEXT_TYPE, strict=True) for x in pair])
+    observed = series.withColumn("var", model_of[F.col("var")])
+    out = correct.moment_correction(series, series, observed, ("var", "cell", "month", "hour"))
+    return shown(out.select("time", "var", "cell", "value", "corrected"))
 
 
 @query
@@ -701,4 +799,7 @@ def multivariate_correction(spark, sf):
             F.max(F.when(F.col("var") == b, F.col("value"))).alias("q"),
         )
 
-    return shown(correct.multivariate_correction(wide("view", "click"), wide("error", "signup"), ["t", "q"]))
+    out = correct.multivariate_correction(
+        wide("view", "click"), wide("error", "signup"), ["t", "q"], calibration=wide("purchase", "click")
+    )
+    return shown(out)

@@ -44,7 +44,7 @@ def scan_static(spark: SparkSession, path: str, var: str) -> DataFrame:
 
 
 def scan_heights(
-    spark: SparkSession, path: str, var: str, years: tuple[int, int],
+    spark: SparkSession, path: str, var: str, years: tuple[int, int] | None = None,
     months: Sequence[int] | None = None,
 ) -> DataFrame:
     """Stored geopotential height of the target model, with the value named ``zfull``."""

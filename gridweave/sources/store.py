@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -43,12 +44,17 @@ def reformat(
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder all executors reach: in the session's checkpoint folder, where it names one.
+    """A new folder all executors reach, in the folder that ``spark.checkpoint.dir`` names.
 
-    Only a session without that setting, as in tests, gets a folder on this machine.
+    Without that setting only a session on one machine, as in tests, gets a folder; on a cluster
+    it is an error, as every executor would write to its own disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridweave-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="gridweave-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _without_level(df: DataFrame) -> DataFrame:
@@ -96,17 +102,14 @@ def load_or_make_weights(
     """
     dst = "-".join(grid_fingerprint(g) for g in dst_grids)
     path = weights_path(base, method, grid_fingerprint(src_grid), dst)
-    if not _complete(spark, path):
+    if not _exists(spark, f"{path}/_SUCCESS"):  # a write that was committed
         schema.conform(make(), schema.WEIGHTS).write.mode("overwrite").parquet(path)
     return spark.read.schema(schema.WEIGHTS).parquet(path)
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to ``path`` was committed."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(marker)
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def output_key(
@@ -128,6 +131,14 @@ def attrs_table(spark: SparkSession, var: str, attrs: Mapping[str, str]) -> Data
     return spark.createDataFrame([(var, k, v) for k, v in attrs.items()], schema.FIELD_ATTRS)
 
 
+def read_attrs(spark: SparkSession, path: str, var: str) -> dict[str, str]:
+    """Stored attributes of a variable; none where the folder does not exist."""
+    if not _exists(spark, path):
+        return {}
+    rows = spark.read.schema(schema.FIELD_ATTRS).parquet(path).where(F.col("var") == var)
+    return {r["key"]: r["value"] for r in rows.collect()}
+
+
 def write_attrs(df: DataFrame, path: str) -> None:
     df.write.partitionBy("var").option("partitionOverwriteMode", "dynamic").mode(
         "overwrite"

@@ -36,15 +36,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _month_and_hour(date: str, key: str) -> str:
-    """First of the month, at 00 or 03 hours."""
+def _month_and_hour(date: str) -> str:
+    """First of the month, at 00, 06, 12 or 18 hours by the month."""
     month = f"CAST(trunc({date}, 'MM') AS TIMESTAMP_NTZ)"
-    return f"{month} + make_dt_interval(0, CAST(3 * ({key} % 2) AS INT)) AS time"
+    return f"{month} + make_dt_interval(0, CAST(6 * (month({date}) % 4) AS INT)) AS time"
 
 
-_SOURCE_TIME = _month_and_hour("l_shipdate", "l_orderkey")
-_SOURCE_CELL = ("-90D + 45 * (l_suppkey % 5) AS lat", "45D * (l_partkey % 8) AS lon")
-_TARGET_TIME = _month_and_hour("o_orderdate", "o_orderkey")
+_SOURCE_TIME = _month_and_hour("l_shipdate")
+_SOURCE_CELL = ("-90D + 45 * (l_suppkey % 5) AS lat", "90D * (l_partkey % 4) AS lon")
+_TARGET_TIME = _month_and_hour("o_orderdate")
 _TARGET_LEVEL = "CAST(1 + (o_orderkey div 24) % 5 AS INT) AS lev_idx"
 _TARGET_CELL = ("-75D + 30 * (o_custkey % 6) AS lat", "30D * ((o_orderkey div 2) % 12) AS lon")
 
@@ -57,7 +57,7 @@ def _mean_at(df: DataFrame, keys: tuple[str, ...], **values: str) -> DataFrame:
 
 
 def source_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three-dimensional source: value, geopotential, humidity on 7 levels, 5 x 8 cells."""
+    """Three-dimensional source: value, geopotential, humidity on 7 levels, 5 x 4 cells."""
     means = _mean_at(
         table(spark, sf_dir, "lineitem"),
         (_SOURCE_TIME, "l_linenumber AS lev_idx", *_SOURCE_CELL),
@@ -70,6 +70,22 @@ def source_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staggered_geopotential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geopotential on cells of its own, 6 x 4 and off the source's."""
+    means = _mean_at(
+        table(spark, sf_dir, "lineitem"),
+        (
+            _SOURCE_TIME, "l_linenumber AS lev_idx", "-87.5D + 35 * (l_suppkey % 6) AS lat",
+            "10.25D + 90 * (l_partkey % 4) AS lon",
+        ),
+        quantity="l_quantity",
+    )
+    return means.selectExpr(
+        "time", "lev_idx", "lat", "lon",
+        f"9.80665D * (500D * lev_idx * lev_idx + quantity * {RISE_FACTOR}D) AS geopotential",
+    )
+
+
 def source_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells (lat, lon) of the source field, one row per row of the table."""
     return table(spark, sf_dir, "lineitem").selectExpr(*_SOURCE_CELL)

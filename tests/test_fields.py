@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gridweave.functions import calendars
 from gridweave.operators import align, coordinates, grids, resample, selection, weights
 from gridweave.plans import heights, jobs
 from gridweave.sources import fields, store
@@ -231,6 +232,69 @@ def test_strict_times(spark):
         jobs.interpolate_and_fill(src, tgt, zfull, strict=True)
 
 
+def test_another_grid_is_an_error(spark):
+    """Weights of one grid meet no cell of another: not a silent fill with the target's values."""
+    src = small_field(spark, "t", lambda k, a, b: 1.0).withColumn("geopotential", F.col("lev") * 10)
+    tgt = small_field(spark, "ta", lambda k, a, b: 1.0)
+    zfull = heights.with_cells(tgt.selectExpr("lev_idx", "lat", "lon", "lev AS zfull").distinct())
+    away = src.drop("value").withColumn("lat", F.col("lat") + 0.5)
+    w = jobs.build_weights("bilinear", src, tgt)
+    with pytest.raises(ValueError, match="geopotential"):
+        jobs.interpolate_and_fill(
+            src.drop("geopotential"), tgt, zfull, weights={"bilinear": w}, geopotential=away,
+            geopotential_weights=w,
+        )
+
+
+def test_staggered_geopotential_and_own_coordinates(spark):
+    """Values linear in height come out right, at the target's fractional and negative coordinates."""
+    axes = {"lats": (0.0, 10.0, 20.0), "lons": (0.0, 10.0, 20.0, 350.0)}
+    lev = small_field(spark, "t", lambda k, a, b: 3.0 * k, **axes)
+    geo = small_field(spark, "z", lambda k, a, b: 9.80665 * 10 * k, lats=(1.0, 11.0, 21.0), lons=(-8.0, 2.5, 13.0))
+    geo = geo.withColumnRenamed("value", "geopotential")
+    tgt = small_field(
+        spark, "ta", lambda k, a, b: -999.0, lats=(8.57216851400727,), lons=(-3.123456789, 7.25), levels=1
+    )
+    zfull = heights.with_cells(tgt.selectExpr("lev_idx", "lat", "lon", "15D AS zfull").distinct())
+    out = jobs.interpolate_and_fill(lev, tgt, zfull, geopotential=geo, periodic=True)
+    assert {round(r["value"], 9) for r in out.collect()} == {4.5}
+    assert out.join(tgt.select("time", "lev_idx", "lat", "lon"), ["time", "lev_idx", "lat", "lon"]).count() == tgt.count()
+
+
+def test_input_attributes_are_copied(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("in", "gcm", "out", "w")]
+    store.write_field(small_field(spark, "ta", lambda k, a, b: k + a), paths[0])
+    store.write_field(small_field(spark, "zg", lambda k, a, b: 9.80665 * 10 * k), paths[0])
+    store.write_attrs(store.attrs_table(spark, "ta", {"units": "K"}), paths[0] + "_attrs")
+    store.write_field(small_field(spark, "ta", lambda k, a, b: 0.0), paths[1])
+    zfull = fields.scan_field(spark, paths[1], "ta").selectExpr("lat", "lon", "lev_idx", "15D AS zfull").distinct()
+    job = jobs.Job(paths[0], *paths, ("ta",), input_model="gcm", geopotential_var="zg", years=(2000, 2000))
+    jobs.run_interpolation(spark, job, zfull)
+    rows = spark.read.parquet(paths[2] + "_attrs").collect()
+    assert {(r["key"], r["value"]) for r in rows} == {("units", "K"), ("interpolation_to", "gcm")}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        store.shared_folder(Session(), "x")
+
+
+def test_360_day_and_all_leap(spark):
+    df = spark.createDataFrame([(float(d),) for d in (0, 59, 359, 360, -1)], "time double")
+    part = lambda c: [
+        tuple(r) for r in df.select(*calendars.decode_time_parts(F.col("time"), "days since 2001-01-01", c).values()).collect()
+    ]
+    assert part("360_day") == [(2001, 1, 1, 0), (2001, 2, 30, 0), (2001, 12, 30, 0), (2002, 1, 1, 0), (2000, 12, 30, 0)]
+    assert part("all_leap") == [(2001, 1, 1, 0), (2001, 2, 29, 0), (2001, 12, 25, 0), (2001, 12, 26, 0), (2000, 12, 31, 0)]
+
+
 def test_noleap_has_no_29_february(spark):
     df = spark.createDataFrame([(float(d),) for d in (58, 59, 365, -1)], "time double")
     out = fields.decode_cf(df, "days since 2000-01-01", "365_day").collect()

@@ -5,6 +5,7 @@ from compare import connect, spark_rows, sql_rows
 
 from gridweave.plans.oracle import ORACLE
 from gridweave.plans.queries import QUERIES
+from gridweave.sources import tables as t
 
 SF = "/root/testdata/sf0.001"
 WITHOUT_SQL = {"multivariate_correction"}
@@ -35,6 +36,17 @@ def test_no_pair_of_everything(spark, name):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
+def test_most_of_the_flagship_is_interpolated(spark):
+    """The result differs from the target's own values in more than half of the rows."""
+    sf = "/root/testdata/sf0.01"
+    own = t.target_field(spark, sf).selectExpr(
+        "date_format(time, 'yyyy-MM-dd HH:mm:ss') AS time", "lev_idx", "lat", "lon", "value AS own"
+    )
+    out = QUERIES["interp3d_v2"](spark, sf).join(own, ["time", "lev_idx", "lat", "lon"])
+    changed = out.where("abs(value - own) > 1e-4").count()
+    assert changed > 0.5 * out.count() > 0
+
+
 def test_entry(spark):
     from __spark_entry__ import entry, oracle_sql, queries
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridweave.functions.coords import cell_id, cell_lat, cell_lon
 from gridweave.operators import grids, weights
-from gridweave.operators.regrid import merge_weights, regrid
+from gridweave.operators.regrid import merge_weights, regrid, regrid_streams
 
 SRC_LATS = [-90.0, -60.0, -35.0, 0.0, 20.0, 55.0, 90.0]
 SRC_LONS = [float(x) for x in range(0, 360, 30)]
@@ -171,14 +171,21 @@ def test_merged_weights_equal_separate_ones(spark):
     )
 
 
-def test_large_weights_are_not_broadcast(spark):
+def test_weights_are_joined_without_a_hint(spark):
     src = field(spark, lambda a, b: a + b)
     w = weights.build_weights("bilinear", src, None, points(spark))
-    small, large = regrid(src, w), regrid(src, w, broadcast_rows=1)
-    hinted = small._jdf.queryExecution().analyzed().toString()
-    unhinted = large._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" in hinted and "strategy=broadcast" not in unhinted
-    assert by_cell(small) == pytest.approx(by_cell(large))
+    assert "strategy=broadcast" not in regrid(src, w)._jdf.queryExecution().analyzed().toString()
+
+
+def test_fields_on_grids_of_their_own(spark):
+    one = field(spark, lambda a, b: 2 * a + b)
+    other = field(spark, lambda a, b: a - b).withColumnRenamed("value", "other")
+    other = other.selectExpr("* except (lat, lon)", "lat * 0.5D AS lat", "lon * 0.5D + 1D AS lon")
+    grid = points(spark, [(3.0, 4.0), (5.5, 7.25)])
+    w, v = (weights.build_weights("bilinear", f, None, grid) for f in (one, other))
+    both = regrid_streams([(one, w, ["value"]), (other, v, ["other"])])
+    assert by_cell(both) == pytest.approx(by_cell(regrid(one, w)))
+    assert by_cell(both, "other") == pytest.approx(by_cell(regrid(other, v, ["other"]), "other"))
 
 
 def test_curvilinear_targets(spark):

@@ -79,6 +79,15 @@ def test_multivariate_correction_takes_the_observed_dependence(spark):
         spark.createDataFrame(model, schema), spark.createDataFrame(observed, schema), ["t", "q"]
     ).toPandas().sort_values("time")
     assert len(out) == n
+    out[["t", "q"]] = out[["corrected_t", "corrected_q"]]
+
+    # half of the observed steps missing: neighbours are still those one step apart
+    half = observed[rng.random(n) < 0.5]
+    gaps = correct.multivariate_correction(
+        spark.createDataFrame(model, schema), spark.createDataFrame(half, schema), ["t", "q"]
+    ).toPandas().sort_values("time")
+    lag = lambda x: np.corrcoef(x[1:], x[:-1])[0, 1]
+    assert lag(gaps.corrected_t) == pytest.approx(lag(observed.t), abs=0.06)
 
     def shape(p):
         v = p[["t", "q"]].to_numpy()
@@ -89,6 +98,31 @@ def test_multivariate_correction_takes_the_observed_dependence(spark):
         assert np.abs(got - want).max() < tol
 
 
+def test_multivariate_correction_keeps_every_row(spark):
+    schema = "cell int, time timestamp_ntz, t double, q double"
+    at = lambda i: START + dt.timedelta(hours=6 * i)
+    rows = [(1, at(i), float(i % 3), float(i % 5)) for i in range(20)]
+    model = [*rows, (1, at(30), None, 1.0), (1, at(3), 0.0, 0.0), (2, at(0), 1.0, 1.0)]
+    m, o = spark.createDataFrame(model, schema), spark.createDataFrame(rows, schema)
+    out = correct.multivariate_correction(m, o, ["t", "q"], calibration=o).collect()
+    assert len(out) == len(model)
+    known = {(r["cell"], r["time"]): r["corrected_t"] for r in out}
+    assert known[1, at(30)] is None and known[2, at(0)] is None and known[1, at(4)] is not None
+
+
+def test_pairs_average_repeated_rows(spark):
+    rows = [(1, START, "a", 1.0), (1, START, "a", 3.0), (1, START, "b", 5.0), (1, START, "c", 9.0)]
+    df = spark.createDataFrame(rows, "cell int, time timestamp_ntz, var string, value double")
+    got = {(r["a"], r["b"]): r["bias"] for r in stats.mean_absolute_biases(df).collect()}
+    assert got == {("a", "b"): 3.0, ("a", "c"): 7.0, ("b", "c"): 4.0}
+
+
+def test_spin_up_counts_from_the_first_time(spark):
+    times = [dt.datetime(1981, 12, 1), dt.datetime(1982, 1, 1), dt.datetime(1982, 12, 1)]
+    df = spark.createDataFrame([(x,) for x in times], "time timestamp_ntz")
+    assert [r["time"] for r in stats.drop_spin_up(df).collect()] == times[2:]
+
+
 def test_record_checks(spark):
     pdf = pd.DataFrame({"cell": [1, 1, 2], "time": [START, START.replace(year=2001), START], "value": 1.0})
     df = frame(spark, pdf)

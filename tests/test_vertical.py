@@ -19,9 +19,13 @@ def run(spark, source, targets, schema=TARGET, **options):
     return {(r["time"], r["dst_id"], r["lev_idx"]): r["value"] for r in out.collect()}
 
 
-def brute(source, x, above):
+def used(column, missing):
+    return [(z, v) for z, v in column if z is not None and (v is not None or missing == "break")]
+
+
+def brute(source, x, above, missing):
     """Straight re-statement for one column."""
-    pts = sorted((z, v) for z, v in source if z is not None and v is not None)
+    pts = sorted(used(source, missing), key=lambda p: p[0])
     if len(pts) < 2 or x is None:
         return None
     zs = [p[0] for p in pts]
@@ -32,12 +36,13 @@ def brute(source, x, above):
     else:
         i = max(0, int(np.searchsorted(zs, x, side="left")) - 1)
     (z0, v0), (z1, v1) = pts[i], pts[i + 1]
-    return None if z0 == z1 else v0 + (v1 - v0) * (x - z0) / (z1 - z0)
+    return None if z0 == z1 or v0 is None or v1 is None else v0 + (v1 - v0) * (x - z0) / (z1 - z0)
 
 
 @pytest.mark.parametrize("above", ["null", "extrapolate"])
 @pytest.mark.parametrize("static", [False, True])
-def test_against_brute_force(spark, above, static):
+@pytest.mark.parametrize("missing", ["break", "bridge"])
+def test_against_brute_force(spark, above, static, missing):
     rng = np.random.default_rng(3)
     columns, source, targets = {}, [], []
     for t in range(3):
@@ -50,18 +55,18 @@ def test_against_brute_force(spark, above, static):
     xs = {c: [float(x) for x in rng.integers(-5, 50, 9) * 100.0] for c in range(5)}
     if static:
         targets = [(c, i, x) for c in xs for i, x in enumerate(xs[c])]
-        got = run(spark, source, targets, "dst_id long, lev_idx int, x double", above=above)
+        got = run(spark, source, targets, "dst_id long, lev_idx int, x double", above=above, missing=missing)
     else:
         targets = [(t, c, i, x) for t in range(3) for c in xs for i, x in enumerate(xs[c])]
-        got = run(spark, source, targets, above=above)
+        got = run(spark, source, targets, above=above, missing=missing)
     for (t, c), column in columns.items():
-        has_level = any(v is not None for _, v in column)
+        heights = [z for z, _ in used(column, missing)]
         for i, x in enumerate(xs[c]):
-            want = brute(column, x, above)
-            if static and not has_level:
+            want = brute(column, x, above, missing)
+            if static and not heights:
                 assert (t, c, i) not in got
                 continue
-            if len({z for z, v in column if v is not None}) != len([z for z, v in column if v is not None]):
+            if len(set(heights)) != len(heights):
                 continue  # equal heights are tested on their own
             assert got[t, c, i] == (None if want is None else pytest.approx(want, abs=1e-9))
 
@@ -76,7 +81,8 @@ def test_ends_ties_and_missing(spark):
     assert [got[0, 0, i] for i in range(6)] == [1.0, 3.0, 4.0, -1.0, None, None]
     for c in (1, 2, 3):
         assert [got[0, c, i] for i in range(6)] == [None] * 6
-    up = run(spark, source, targets, above="extrapolate")
+    assert run(spark, source, targets, above="extrapolate")[0, 0, 4] is None
+    up = run(spark, source, targets, above="extrapolate", missing="bridge")
     assert up[0, 0, 4] == pytest.approx(4.05)
 
 
@@ -94,6 +100,21 @@ def test_linear_profile_and_kept_columns(spark):
         assert r["value"] == pytest.approx(2.0 + 0.5 * r["x"]) and r["note"] == f"n{r['lev_idx']}"
 
 
+def test_missing_levels_break_lines_or_are_bridged(spark):
+    """Values missing at 0 and 100, given at 200, 300 and 500."""
+    source = spark.createDataFrame(
+        [(0, 0, float(z), None if z < 200 else z / 10.0) for z in (0, 100, 200, 300, 500)], SOURCE
+    )
+    targets = spark.createDataFrame([(0, 0, i, float(x)) for i, x in enumerate((50, 150, 250, 400))], TARGET)
+    got = lambda rule: [
+        r["value"] for r in vertical.vertical_interpolation(source, targets, missing=rule).orderBy("lev_idx").collect()
+    ]
+    assert got("break") == [None, None, 25.0, 40.0]
+    assert got("bridge") == [5.0, 15.0, 25.0, 40.0]
+    with pytest.raises(ValueError):
+        vertical.vertical_interpolation(source, targets, missing="guess")
+
+
 def test_one_exchange_for_all_windows(spark):
     source = spark.createDataFrame([(0, 0, 1.0, 1.0)], SOURCE)
     targets = spark.createDataFrame([(0, 0, 0, 1.0)], TARGET)
