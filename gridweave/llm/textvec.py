@@ -2,7 +2,7 @@
 
 A word's hash is a Karp-Rabin polynomial over its bytes, read from running sums: with
 S(i) the sum of value(byte j) * B^j for j < i, a word at [s, e) has (S(e) - S(s)) * B^-s,
-modulo 2^64. Texts are taken in pieces of about a megabyte, cut between words, so memory does not
+modulo 2^64. Texts are taken in pieces of about 128 KB, cut between words, so memory does not
 grow with the text.
 """
 
@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 17
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 
