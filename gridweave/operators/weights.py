@@ -179,38 +179,45 @@ def weights_conservative(
     return _from_nodes(cells, "lat_nodes", "lon_nodes")
 
 
-def _nearest(points: DataFrame, axes: DataFrame, coord: str) -> DataFrame:
-    """Add the nearest axis value of each point as ``near_<coord>``.
+def _nearest_lon(points: DataFrame, axes: DataFrame) -> DataFrame:
+    """Add the nearest longitude of the axis as ``near_lon``.
 
     Every axis value has a catchment (lo, hi] up to the midpoints, open at the ends. Longitudes
     also have their values one turn away, so the nearest one is found across the seam.
     """
-    name = f"{coord}s"
-    a, low, high = name, "-91D", "91D"
-    if coord == "lon":
-        turn = f"array(element_at({name}, -1) - 360D), {name}, array({name}[0] + 360D)"
-        a, low, high = f"array_distinct(concat({turn}))", "-1D", "361D"
+    turn = "array(element_at(lons, -1) - 360D), lons, array(lons[0] + 360D)"
     catchments = (
-        axes.selectExpr(f"{a} AS a").selectExpr("a", "posexplode(a) AS (i, x)")
+        axes.selectExpr(f"array_distinct(concat({turn})) AS a").selectExpr("a", "posexplode(a) AS (i, x)")
         .selectExpr(
-            f"x AS near_{coord}",
-            f"coalesce(greatest((x + get(a, i - 1)) / 2, {low}), {low}) AS lo",
-            f"coalesce(least((x + get(a, i + 1)) / 2, {high}), {high}) AS hi",
+            "x AS near_lon",
+            "coalesce(greatest((x + get(a, i - 1)) / 2, -1D), -1D) AS lo",
+            "coalesce(least((x + get(a, i + 1)) / 2, 361D), 361D) AS hi",
         )
         .where("lo < hi")
         .selectExpr("*", bins("lo", "hi"))
     )
     return (
-        points.withColumn("_bin", F.expr(f"floor({coord})"))
+        points.withColumn("_bin", F.expr("floor(lon)"))
         .join(catchments, "_bin")
-        .where(f"{coord} > lo AND {coord} <= hi")
+        .where("lon > lo AND lon <= hi")
         .drop("_bin", "lo", "hi")
     )
 
 
 def weights_nearest(src_axes: DataFrame, grid: DataFrame) -> DataFrame:
-    """Every target takes its nearest source value. Ties go to the smaller coordinate."""
-    points = _nearest(_nearest(normalized(grid), src_axes, "lat"), src_axes, "lon")
+    """Every target takes the source value at the smallest great-circle distance.
+
+    In any row of the source the nearest longitude is nearest on the sphere too, so a target
+    compares one cell per row. Ties go to the smaller latitude, then the nearer and the smaller
+    longitude.
+    """
+    far = (
+        "pow(sin(radians(a - lat) / 2), 2) + cos(radians(lat)) * cos(radians(a))"
+        " * pow(sin(radians(near_lon - lon) / 2), 2)"
+    )
+    rows = f"transform(_lats, a -> named_struct('d', round({far}, 12), 'lat', a))"
+    points = _nearest_lon(normalized(grid), src_axes).withColumn("_lats", src_axes.select("lats").scalar())
+    points = points.withColumn("near_lat", F.expr(f"array_min({rows}).lat"))
     return points.selectExpr(
         "dst_id", f"{cell_id('near_lat', 'near_lon')} AS src_id", "1D AS w", "1 AS n_src"
     )

@@ -218,43 +218,31 @@ def conservative(name: str = "c") -> str:
     )
 
 
-def nearest_nodes(name: str, frm: str, to: str, column: str) -> str:
-    """Nearest value of ``to`` for every value of ``frm``."""
-    turns = "unnest([-360, 0, 360])" if column == "lon" else "0"
+def nearest_cells(name: str, frm: str, to: str) -> str:
+    """For every cell of ``frm`` the one of ``to`` at the smallest distance on the sphere."""
     return f"""{name} AS (
-  SELECT dst, (x + 360) % 360 AS src_lon, x AS src_lat FROM (
-    SELECT d.x AS dst, s.x AS x,
-           row_number() OVER (PARTITION BY d.x ORDER BY abs(d.x - s.x), s.x) AS k
-    FROM (SELECT DISTINCT {column} AS x FROM {frm}) d,
-         (SELECT x + {turns} AS x FROM (SELECT DISTINCT {column} AS x FROM {to})) s)
+  SELECT lat, lon, near_lat, (x + 360) % 360 AS near_lon FROM (
+    SELECT g.lat, g.lon, s.lat AS near_lat, s.x,
+           row_number() OVER (PARTITION BY g.lat, g.lon ORDER BY
+             round(pow(sin(radians(s.lat - g.lat)/2), 2)
+                   + cos(radians(g.lat))*cos(radians(s.lat))*pow(sin(radians(s.x - g.lon)/2), 2), 12),
+             s.lat, abs(g.lon - s.x), s.x) AS k
+    FROM (SELECT DISTINCT lat, lon FROM {frm}) g,
+         (SELECT lat, lon + unnest([-360, 0, 360]) AS x FROM (SELECT DISTINCT lat, lon FROM {to})) s)
   WHERE k = 1)"""
 
 
 def nearest(name: str = "w") -> str:
-    return ",\n".join(
-        [
-            nearest_nodes(f"{name}_lat", "tgt", "src", "lat"),
-            nearest_nodes(f"{name}_lon", "tgt", "src", "lon"),
-            f"""{name} AS (
-  SELECT g.lat, g.lon, a.src_lat AS slat, b.src_lon AS slon, 1e0 AS w, 1 AS n
-  FROM (SELECT DISTINCT lat, lon FROM tgt) g
-  JOIN {name}_lat a ON a.dst = g.lat JOIN {name}_lon b ON b.dst = g.lon)""",
-        ]
-    )
+    return nearest_cells(f"{name}_cells", "tgt", "src") + f""",
+{name} AS (SELECT lat, lon, near_lat AS slat, near_lon AS slon, 1e0 AS w, 1 AS n FROM {name}_cells)"""
 
 
 def nearest_reverse(name: str = "w") -> str:
-    return ",\n".join(
-        [
-            nearest_nodes(f"{name}_lat", "src", "tgt", "lat"),
-            nearest_nodes(f"{name}_lon", "src", "tgt", "lon"),
-            f"""{name} AS (
-  SELECT a.src_lat AS lat, b.src_lon AS lon, g.lat AS slat, g.lon AS slon, 1e0 AS w,
-         count(*) OVER (PARTITION BY a.src_lat, b.src_lon) AS n
-  FROM (SELECT DISTINCT lat, lon FROM src) g
-  JOIN {name}_lat a ON a.dst = g.lat JOIN {name}_lon b ON b.dst = g.lon)""",
-        ]
-    )
+    return nearest_cells(f"{name}_cells", "src", "tgt") + f""",
+{name} AS (
+  SELECT near_lat AS lat, near_lon AS lon, lat AS slat, lon AS slon, 1e0 AS w,
+         count(*) OVER (PARTITION BY near_lat, near_lon) AS n
+  FROM {name}_cells)"""
 
 
 WEIGHTS_OUT = f"""SELECT lat, lon, slat AS src_lat, slon AS src_lon, {r('w', 'w', 9)},

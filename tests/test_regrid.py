@@ -171,6 +171,16 @@ def test_merged_weights_equal_separate_ones(spark):
     )
 
 
+def test_nearest_near_a_pole(spark):
+    """From (84, 44) the pole is nearer than (80, 0), the nearest values of latitude and longitude apart."""
+    src = spark.createDataFrame(
+        [(0, 0, lat, lon, lat) for lat in (80.0, 90.0) for lon in (0.0, 90.0, 180.0, 270.0)],
+        "time int, lev_idx int, lat double, lon double, value double",
+    )
+    w = weights.build_weights("nearest_s2d", src, None, points(spark, [(84.0, 44.0), (81.0, 2.0)]))
+    assert by_cell(regrid(src, w)) == {(84.0, 44.0): 90.0, (81.0, 2.0): 80.0}
+
+
 def test_weights_are_joined_without_a_hint(spark):
     src = field(spark, lambda a, b: a + b)
     w = weights.build_weights("bilinear", src, None, points(spark))
