@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`; a new local one only where that is unset, as in tests."""
+    """The folder of `spark.checkpoint.dir`; a new one of this machine only where that is unset and
+    the session runs on one machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
