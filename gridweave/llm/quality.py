@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.llm.linear import DIM, distinct_by_row, fit, flat, folded, row_sums, sigmoid
-from gridweave.llm.textvec import PLAIN, SPACED, words
+from gridweave.llm.textvec import PLAIN, ROWS, SPACED, words
 from gridweave.llm.toxicity import filter_by_features
 
 Batches = Iterator[pa.RecordBatch]
@@ -87,6 +87,8 @@ def _repeated(hashes: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 def measures(texts: pa.Array) -> np.ndarray:
     """Per text the numbers that the labellers judge; see `votes`. Null texts count as empty."""
+    if len(texts) > ROWS:
+        return np.vstack([measures(texts.slice(i, ROWS)) for i in range(0, len(texts), ROWS)])
     n = len(texts)
     out = np.zeros((n, 10))
     large = texts.cast(pa.large_string())

@@ -24,8 +24,8 @@ MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: characters of text encoded at a time, and words remembered between
-SLICE = 2_000_000
-REMEMBERED = 200_000
+SLICE = 400_000
+REMEMBERED = 100_000
 
 # a run of spaces with the word after it; line ends and literal marks stand alone
 _UNITS = re.compile(f" +[^ \n{MARK}]*|[^ \n{MARK}]+|\n+|{MARK}+")

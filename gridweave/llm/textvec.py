@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 17
+#: rows whose offsets and bytes are copied at a time
+ROWS = 512
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 
@@ -96,8 +98,14 @@ def words(
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    if len(texts) == 0:
-        return
+    for first in range(0, len(texts), ROWS):
+        for a, b, *rest in _words(texts.slice(first, ROWS), table, prefixes):
+            yield first + a, first + b, *rest
+
+
+def _words(
+    texts: pa.Array, table: np.ndarray, prefixes: tuple[int, ...]
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[np.ndarray]]]:
     texts = texts.cast(pa.large_string())
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
