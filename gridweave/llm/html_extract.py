@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridweave.llm.common import written
+
 Batches = Iterator[pa.RecordBatch]
 
 # Kinds of HTML elements.
@@ -249,7 +251,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.col("html"), host.alias("host")
     )
-    paths = host_paths(rows)
+    # written, so that its exact size tells Spark whether the pages need a shuffle to meet it
+    paths = written(host_paths(rows), "paths")
     texts = (
         rows.join(paths, "host", "left")
         .select("page_id", "url", "html", "path")
