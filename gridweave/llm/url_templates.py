@@ -66,10 +66,12 @@ def templates(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
         rows = rows.withColumn("value", value)
         counts = rows.filter("value is not null").groupBy("template", "value").count()
         totals = counts.groupBy("template").agg(F.sum("count").alias("total"))
-        kept = (
+        # written, so that its exact size tells Spark whether rows need a shuffle to meet it
+        kept = written(
             counts.join(totals, "template")
             .filter((F.col("count") >= LEAST) & (SHARE * F.col("count") >= F.col("total")))
-            .select("template", "value", F.lit(True).alias("fixed"))
+            .select("template", "value", F.lit(True).alias("fixed")),
+            "kept",
         )
         step = F.when(F.col("fixed"), F.col("value")).otherwise("*")
         rows = written(
@@ -143,7 +145,7 @@ def url_verdicts(
     )
     rows = rows.withColumn("known", F.when(F.col("said") == "block", 1).when(F.col("said") == "allow", 0))
     rows = templates(rows, depth)
-    judged = judged_templates(rows).select("parent", "template", "rejected")
+    judged = written(judged_templates(rows).select("parent", "template", "rejected"), "judged")
     learned = F.when(F.col("rejected"), "block").otherwise("allow")
     return rows.join(judged, ["parent", "template"]).select(
         "page_id", "host", "path", "rule", F.coalesce("said", learned).alias("verdict"), "template"
