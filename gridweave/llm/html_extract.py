@@ -244,7 +244,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     A block is the text of a block element with character references decoded and white space turned
     into one space; a line break is white space. Left out are menus, headers, footers, sidebars,
     forms, scripts, styles, and elements whose class, id or role says notice, advert, comment and
-    the like. A null or empty html gives an empty text; pages with no host share one set of votes. Cut-off pages are read as far as they go.
+    the like. A null or empty html gives an empty text; pages with no host share one set of votes.
+    Cut-off pages are read as far as they go.
     Repeated rows get a row each; other columns are ignored.
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "://([^/?#]*)", 1))

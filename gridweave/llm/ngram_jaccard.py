@@ -12,8 +12,9 @@ shingles of few documents first (counted over all documents), so common lines an
 of hardly any document.
 
 Every tree is worked in two steps. First its pivot meets all other members: the one with the fewest
-rarer shingles, which of a text and its changed copies is the text itself. What then hangs together needs no more pairs: only in trees that hold several components are
-members of different components compared, leaf by leaf.
+rarer shingles, which of a text and its changed copies is the text itself. What then hangs together
+needs no more pairs: only in trees that hold several components are members of different components
+compared, leaf by leaf.
 """
 
 from __future__ import annotations
@@ -69,7 +70,8 @@ def _scan(k: int) -> Callable[[Batches], Batches]:
             for i, s in shingle_sets(batch["text"], k):
                 if len(s):
                     got[i] = len(s), _name(s)
-                    points[i] = np.minimum(np.bincount(_group(s), minlength=GROUPS), 255).astype(np.uint8).tobytes()
+                    counts = np.bincount(_group(s), minlength=GROUPS)
+                    points[i] = np.minimum(counts, 255).astype(np.uint8).tobytes()
             columns = [pa.array(got[:, 0]), pa.array(got[:, 1]), pa.array(points, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names)
 
