@@ -330,7 +330,8 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
     named = members.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
         "key", "salt", "name", "n", "place", F.coalesce("label", "name").alias("label")
     )
-    # many trees have the same members: the one of the first of their keys is enough
+    # many trees have the same members: the one of the first of their keys is enough. A member has
+    # one row per tree, or equal names would cancel in the xor
     trees = (
         named.groupBy("key")
         .agg(
@@ -420,7 +421,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
         )
         .filter("low <> high or common")
     )
-    members = written(met.drop("low", "high"), "members")
+    # a set copied in several tasks has equal rows, which lie in one piece: no further shuffle
+    members = written(met.drop("low", "high").distinct(), "members")
     heads = members.filter("common and name = head.name").select("key", "name", "n", "place").distinct()
     first = heads.groupBy("key").agg(F.min(F.struct("place", "name", "n")).alias("head"))
     stars = (

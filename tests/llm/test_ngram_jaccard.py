@@ -70,6 +70,20 @@ def test_chains_across_a_large_group_of_near_copies(docs):
     assert got == plain(rows)
 
 
+def test_texts_repeated_in_other_partitions(docs):
+    """Copies that other tasks read leave no tree out: the second and third text of each group link,
+    where the first one, which links with neither, is the pivot of all trees they share."""
+    rows = []
+    for group in range(40):
+        for extra in ("hhh", "bb", "cc"):
+            own = [f"{x}{group}n{len(rows)}x{i}" for i, x in enumerate(extra)]
+            rows.append((len(rows), " ".join([f"g{group}x{i}" for i in range(16)] + own)))
+    again = [(i + 1000, t) for i, t in rows]
+    every = docs(rows + again).repartitionByRange(2, "doc_id")
+    got = sorted(tuple(r) for r in jaccard_components(every).collect())
+    assert got == plain(rows + again)
+
+
 def test_empty_nulls_and_repeated_rows(docs):
     assert jaccard_components(docs([])).collect() == []
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (9, None)]
