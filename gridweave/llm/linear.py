@@ -54,8 +54,9 @@ def fit(
     numbers: np.ndarray,
     offsets: np.ndarray,
     target: np.ndarray,
-    pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
+    pairs: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None = None,
     *,
+    row_weights: np.ndarray | None = None,
     sparse: float = 2e-4,
     fair: float = 1.0,
     steps: int = 250,
@@ -64,16 +65,19 @@ def fit(
     """Logistic weights and bias over rows of features, by AdaGrad with soft thresholding.
 
     `target` may be soft (0 to 1). `pairs` holds signed features of differences between two
-    versions of a row, as (numbers, signs, offsets); their squared scores are penalised by `fair`.
+    versions of a row, as (numbers, signs, offsets, weights of the rows); their squared scores are
+    penalised by `fair`. `row_weights` says how many rows each one stands for.
     """
     n = len(target)
     size = np.diff(offsets)
     weights, bias = np.zeros(DIM), 0.0
     if n == 0:
         return weights, bias
+    stands = np.ones(n) if row_weights is None else row_weights / row_weights.mean()
+    share = float(np.clip((stands * target).mean(), 1e-3, 1 - 1e-3))
+    bias = float(np.log(share / (1 - share)))
+    # features whose share of positives is what chance gives among the rows read are left at zero
     mean = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
-    bias = float(np.log(mean / (1 - mean)))
-    # features whose share of positives is what chance gives are left at zero
     seen = np.bincount(numbers, minlength=DIM)
     held = np.bincount(numbers, weights=np.repeat(target, size), minlength=DIM)
     chance = (held - mean * seen) ** 2 / np.maximum(mean * (1 - mean) * seen, 1e-9)
@@ -89,13 +93,14 @@ def fit(
         known = (at < len(used)) & (used[np.minimum(at, len(used) - 1)] == pairs[0])
         p_off = np.concatenate([[0], np.cumsum(known)])[pairs[2]]
         p_at, p_sign = at[known], pairs[1][known]
+        p_stands = pairs[3] / pairs[3].mean()
     else:
         p_off = None
     for _ in range(steps):
-        wrong = sigmoid(row_sums(w[numbers], offsets) + bias) - target
+        wrong = stands * (sigmoid(row_sums(w[numbers], offsets) + bias) - target)
         grad = np.bincount(numbers, weights=np.repeat(wrong, size), minlength=len(used)) / n
         if p_off is not None and fair:
-            gap = row_sums(w[p_at] * p_sign, p_off)
+            gap = p_stands * row_sums(w[p_at] * p_sign, p_off)
             grad += (
                 2 * fair / (len(p_off) - 1)
                 * np.bincount(p_at, weights=p_sign * np.repeat(gap, np.diff(p_off)), minlength=len(used))

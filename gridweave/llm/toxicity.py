@@ -76,17 +76,18 @@ def _training_features(groups: tuple[tuple[str, ...], ...]) -> Callable[[Batches
                 ]
                 again = pa.array(other, pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [part["label"], lists(part["text"]), lists(again), again.is_valid()],
-                    ["label", "x", "y", "named"],
+                    [part["label"], part["weight"], lists(part["text"]), lists(again), again.is_valid()],
+                    ["label", "weight", "x", "y", "named"],
                 )
 
     return run
 
 
 def bounded_labels(labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """doc_id and label of at most `per_class` rows of each class, by a hash of the id.
+    """doc_id, label and weight of at most `per_class` rows of each class, by a hash of the id.
 
-    Null ids and labels are left out; a doc_id with several labels has its largest.
+    The weight is the number of labelled ids of the class per id that is taken, so that the classes
+    keep their shares. Null ids and labels are left out; a doc_id with several labels has its largest.
     """
     one = (
         labels.select("doc_id", F.col(label).cast("double").alias("label"))
@@ -95,10 +96,14 @@ def bounded_labels(labels: DataFrame, label: str, per_class: int) -> DataFrame:
         .agg(F.max("label").alias("label"))
     )
     order = F.xxhash64(F.col("doc_id").cast("string"))
-    return (
-        one.filter("label > 0.5").orderBy(order, "doc_id").limit(per_class)
-        .union(one.filter("label <= 0.5").orderBy(order, "doc_id").limit(per_class))
-    )
+    sizes = one.groupBy((F.col("label") > 0.5).alias("marked")).count().collect()
+    weights = {r["marked"]: max(r["count"] / per_class, 1.0) for r in sizes}
+
+    def taken(rows: DataFrame, marked: bool) -> DataFrame:
+        first = rows.orderBy(order, "doc_id").limit(per_class)
+        return first.withColumn("weight", F.lit(weights.get(marked, 1.0)))
+
+    return taken(one.filter("label > 0.5"), True).union(taken(one.filter("label <= 0.5"), False))
 
 
 def train(
@@ -112,18 +117,20 @@ def train(
 ) -> tuple[np.ndarray, float]:
     """Weights and bias learned from at most 2 * `per_class` labelled rows.
 
-    Without labelled rows all scores are 0.5, with rows of one class the share of that class.
+    Rows of a class that is not taken whole weigh more, so that the scores keep the share of toxic
+    ones among all labelled ids, whatever their number. Without labelled rows all scores are 0.5, with rows of one class the share of that class.
     """
     sample = bounded_labels(labels, label, per_class)
-    # at most 2 * per_class rows of two numbers: a bounded side to broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
+    # at most 2 * per_class rows of three numbers: a bounded side to broadcast
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "weight", "text")
     got = rows.mapInArrow(
-        _training_features(groups), "label double, x array<int>, y array<int>, named boolean"
+        _training_features(groups),
+        "label double, weight double, x array<int>, y array<int>, named boolean",
     ).toArrow()
     if got.num_rows == 0:
         return np.zeros(DIM), 0.0
     numbers, offsets = flat(got["x"])
-    target = got["label"].to_numpy()
+    target, heavy = got["label"].to_numpy(), got["weight"].to_numpy()
     named = got.filter(got["named"])
     pairs = None
     if named.num_rows:
@@ -136,8 +143,8 @@ def train(
             parts += [gone, new]
             signs += [np.ones(len(gone)), -np.ones(len(new))]
             at.append(at[-1] + len(gone) + len(new))
-        pairs = np.concatenate(parts), np.concatenate(signs), np.array(at)
-    return fit(numbers, offsets, target, pairs, fair=fair)
+        pairs = np.concatenate(parts), np.concatenate(signs), np.array(at), named["weight"].to_numpy()
+    return fit(numbers, offsets, target, pairs, row_weights=heavy, fair=fair)
 
 
 def scorer(weights: np.ndarray, bias: float, keep: str) -> Callable[[Batches], Batches]:

@@ -52,6 +52,29 @@ def test_swapping_names_of_groups_moves_no_score(spark):
     assert gap[20.0] < 0.3 * gap[0.0]
 
 
+def test_scores_do_not_depend_on_how_many_rows_are_taken(spark):
+    """With fewer rows of the larger class than there are, scores and decisions stay alike."""
+    rng = np.random.RandomState(3)
+    rows, marks = [], []
+    for i in range(3000):
+        bad = i % 10 == 0
+        words = list(rng.choice([f"f{j}" for j in range(40)], 10))
+        # a word that one in two toxic texts and one in five others have
+        if rng.rand() < (0.5 if bad else 0.2):
+            words.append("rude")
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {}
+    for per_class in (4000, 300):
+        w, b = toxicity.train(docs, labels, per_class=per_class)
+        _, _, n, o = next(iter(word_features(pa.array(["f1 f2 rude", "f1 f2 f3"]))))
+        got[per_class] = 1 / (1 + np.exp(-(row_sums(w[n], o) + b)))
+    assert np.abs(got[300] - got[4000]).max() < 0.07
+    assert ((got[300] >= 0.3) == (got[4000] >= 0.3)).all()
+
+
 def test_swapped():
     table = swap_table((("women", "men"),))
     pattern = re.compile(r"\b(women|men)\b", re.IGNORECASE)
