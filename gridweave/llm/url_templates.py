@@ -1,7 +1,8 @@
 """Verdicts on addresses by rules, and by a tree of path templates learned from what the rules say.
 
-Per host the path's segments make a tree. Going down, a value that few of a node's addresses have is
-variable and becomes the wildcard; what lies deeper than the tree goes becomes one last wildcard.
+Per host the path's segments make a tree, as deep as the paths are. Going down, a value that few of a
+node's addresses have is variable and becomes the wildcard. Where fewer addresses go on than a value
+needs to stay, nothing below can stay: from a fixed level on, their rest becomes one last wildcard.
 The templates below one node are then compared: those whose share of blocked addresses does not
 differ, by a chi-square test, from that of all labelled ones below the node are merged. A template
 is rejected when the smoothed share of blocked ones among its labelled addresses is high enough.
@@ -21,10 +22,11 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: levels of the tree
+#: levels at which every segment has a level of its own, however few addresses go on
 DEPTH = 3
-#: a value stays when at least this many addresses, and one in SHARE of its node's, have it
-LEAST, SHARE = 5, 50
+#: a value stays when at least LEAST addresses have it, and these are SUPPORT, or one in SHARE of its
+#: node's, or CHANCE standard deviations more than an even deal over the node's values gives
+LEAST, SHARE, SUPPORT, CHANCE = 5, 50, 50, 5
 #: weight of smoothing, and the smoothed share (in tenths) from which a template is rejected
 SMOOTHING, REJECT = 4, 8
 #: of chi-square with one degree of freedom, 5 %
@@ -54,44 +56,56 @@ def by_rules(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]
 def templates(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Adds `parent` and `template` to rows of host and path.
 
-    Values are counted over all rows; what is kept at a node is at most SHARE values.
+    Values are counted over all rows. A level is worked for the rows whose paths reach it; the others
+    have left, so that the number of levels is that of the deepest path enough addresses go along.
     """
     segments = F.split(F.substring("path", 2, 2147483647), "/")
     rows = rows.withColumn("segments", F.when(F.col("path") != "", segments).otherwise(F.array()))
     rows = written(
         rows.withColumn("template", F.col("host")).withColumn("parent", F.col("host")), "urls"
     )
-    for level in range(depth):
-        value = F.get("segments", F.lit(level))
-        rows = rows.withColumn("value", value)
-        counts = rows.filter("value is not null").groupBy("template", "value").count()
-        totals = counts.groupBy("template").agg(F.sum("count").alias("total"))
+    size = F.size("segments")
+    done = [rows.filter(size == 0)]
+    level = 0
+    rows = rows.filter(size > 0)
+    while rows.limit(1).count():
+        rows = rows.withColumn("value", F.get("segments", F.lit(level)))
+        counts = written(rows.groupBy("template", "value").count(), "counts")
+        totals = counts.groupBy("template").agg(
+            F.sum("count").alias("total"), F.count("*").alias("values")
+        )
+        even = F.col("total") / F.col("values")
+        stays = (F.col("count") >= LEAST) & (
+            (F.col("count") >= SUPPORT)
+            | (SHARE * F.col("count") >= F.col("total"))
+            | (F.col("count") > even + CHANCE * F.sqrt(even))
+        )
         # written, so that its exact size tells Spark whether rows need a shuffle to meet it
         kept = written(
-            counts.join(totals, "template")
-            .filter((F.col("count") >= LEAST) & (SHARE * F.col("count") >= F.col("total")))
-            .select("template", "value", F.lit(True).alias("fixed")),
+            counts.join(totals, "template").filter(stays).select("template", "value", F.lit(True).alias("fixed")),
             "kept",
         )
-        step = F.when(F.col("fixed"), F.col("value")).otherwise("*")
+        rows = rows.join(kept, ["template", "value"], "left")
+        if level >= depth:
+            many = written(totals.filter(F.col("total") >= LEAST).select("template", F.lit(True).alias("many")), "many")
+            rows = rows.join(many, "template", "left")
+        else:
+            rows = rows.withColumn("many", F.lit(True))
+        step = F.when(F.col("many").isNull(), "**").when(F.col("fixed"), F.col("value")).otherwise("*")
         rows = written(
-            rows.join(kept, ["template", "value"], "left")
-            .withColumn("parent", F.when(F.col("value").isNull(), F.col("parent")).otherwise(F.col("template")))
-            .withColumn(
-                "template",
-                F.when(F.col("value").isNull(), F.col("template")).otherwise(
-                    F.concat("template", F.lit("/"), step)
-                ),
-            )
-            .drop("fixed", "value"),
+            rows.withColumn("parent", F.col("template"))
+            .withColumn("template", F.concat("template", F.lit("/"), step))
+            .withColumn("ends", F.col("many").isNull() | (size <= level + 1))
+            .drop("fixed", "many", "value"),
             "urls",
         )
-    deeper = F.size("segments") > depth
-    rows = rows.withColumn("parent", F.when(deeper, F.col("template")).otherwise(F.col("parent")))
-    rows = rows.withColumn(
-        "template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    )
-    return rows.drop("segments")
+        done.append(rows.filter("ends").drop("ends"))
+        rows = rows.filter("not ends").drop("ends")
+        level += 1
+    every = done[0]
+    for part in done[1:]:
+        every = every.unionByName(part)
+    return every.drop("segments")
 
 
 def judged_templates(rows: DataFrame) -> DataFrame:

@@ -126,3 +126,21 @@ def test_learned_templates(spark):
     assert got["/bad/200"] == (True, "block", "h/bad/*") and got["/good/200"] == (True, "allow", "h/good/*")
     deep = spark.createDataFrame([("h", "/a/b/c/d/e")], "host string, path string")
     assert templates(deep).first().template == "h/*/*/*/**"
+
+
+def test_templates_go_as_deep_as_the_paths(spark):
+    """Branches below the third level, and small shares of large hosts, have verdicts of their own."""
+    rules = (
+        ("block", "h", "/en/2024/05/casino/1"), ("allow", "h", "/en/2024/05/news/1"),
+        ("block", "big", "/pills/1"), ("allow", "big", "/p1"),
+    )
+    urls = [f"http://h/en/2024/05/{kind}/{n}/x" for kind in ("casino", "news") for n in [*range(100, 140), 200]]
+    urls += [f"http://big/pills/{n}" for n in [*range(100, 159), 200]]
+    urls += [f"http://big/p{n}/{n}" for n in range(1000, 7000)]
+    frame = spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], SCHEMA)
+    got = {r.host + r.path: (r.rule is None, r.verdict, r.template) for r in url_verdicts(frame, rules).collect()}
+    assert len(got) == len(urls)
+    assert got["h/en/2024/05/casino/200/x"] == (True, "block", "h/en/2024/05/casino/*/x")
+    assert got["h/en/2024/05/news/200/x"] == (True, "allow", "h/en/2024/05/news/*/x")
+    assert got["big/pills/200"] == (True, "block", "big/pills/*")
+    assert got["big/p6000/6000"] == (True, "allow", "big/*/*")
