@@ -49,18 +49,64 @@ _CLOSED_BY = {
 }
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>"
-    r"|</?[a-zA-Z][^<>]*+\Z",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)",
     re.DOTALL,
 )
+#: what ends a run outside of quoted values; a quote opens a value only after `=`
+_SPECIAL = re.compile(r"[<>]|=\s*+([\"'])")
+_BRACKET = re.compile(r"[<>]")
 _RAW_END = {name: re.compile(rf"(?i)</{name}\s*(?:>|\Z)") for name in RAW}
-_ATTRIBUTE = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# whole attributes: what a quoted value holds is no attribute
+_ATTRIBUTE = re.compile(
+    r"(?<![^\s\"'/])([^\s=\"'<>/]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))"
+)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
+class _Tags:
+    """Finds the ends of tags. Every quoted value is searched at most once without success."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.broken: set[int] = set()  # opening quotes from which no tag ends
+        self.unclosed: dict[str, int] = {}  # per kind, from where on no further quote follows
+
+    def _quoted_end(self, at: int) -> int:
+        """Where the tag's `>` lies, read from `at` with quoted values as wholes; -1 if nowhere."""
+        passed = []
+        while found := _SPECIAL.search(self.source, at):
+            quote = found[1]
+            if quote is None:
+                if found[0] == ">":
+                    return found.start()
+                break
+            opened = found.end() - 1
+            if opened in self.broken:
+                break
+            passed.append(opened)
+            if opened >= self.unclosed.get(quote, len(self.source)):
+                break
+            closed = self.source.find(quote, opened + 1)
+            if closed < 0:
+                self.unclosed[quote] = opened
+                break
+            at = closed + 1
+        self.broken.update(passed)
+        return -1
+
+    def end(self, at: int) -> int | None:
+        """Index of the `>` of the tag whose name ends at `at`: outside of quoted values, or else the
+        first. The source's size if it is cut off in the tag, None if this is no tag."""
+        end = self._quoted_end(at)
+        if end >= 0:
+            return end
+        found = _BRACKET.search(self.source, at)
+        if found is None:
+            return len(self.source)
+        return found.start() if found[0] == ">" else None
+
+
 class Page:
     """Blocks of text of one page, with the containers each lies in.
 
@@ -93,6 +139,8 @@ class Page:
         marks, words = [], set()
         if "=" in attributes:
             for key, *values in _ATTRIBUTE.findall(attributes):
+                if key.lower() not in ("class", "id", "role"):
+                    continue
                 value = "".join(values).lower()
                 for v in value.split():
                     own = _WORDS.findall(v)
@@ -127,19 +175,23 @@ class Page:
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
+        tags = _Tags(source)
         while at < size:
             found = _TOKEN.search(source, at)
             if found is None:
                 self._add(source[at:])
                 break
+            ends, name = found[1], found[2]
+            end = found.end() - 1 if name is None else tags.end(found.end())
+            if end is None:  # no tag, but text
+                self._add(source[at : found.end()])
+                at = found.end()
+                continue
             self._add(source[at : found.start()])
-            at = found.end()
-            ends, name, attributes = found[1], found[2], found[3]
-            if name is None:
-                ends, name, attributes = found[4], found[5], found[6]
-            if name is None:  # comment, declaration or cut-off tag
+            at = end + 1
+            if name is None or end == size:  # comment, declaration or cut-off tag
                 continue
-            name = name.lower()
+            name, attributes = name.lower(), source[found.end() : end]
             if ends:
                 self._close(name)
                 continue

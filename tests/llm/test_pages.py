@@ -43,6 +43,24 @@ def test_hostile_markup_takes_linear_time():
         Page(part * 20_000).main_text(None)
 
 
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_long_attribute_values_are_no_text(quote):
+    """Markup inside a quoted value is neither text nor a tag nor an attribute of its own."""
+    inner = ("<p>prop</p> a > b, class=ad <div id=ads>" * 300)[:10_000]
+    source = f"<body><div data-props={quote}{inner}{quote} class=post><p>yes</p></div><div title={quote}"
+    source += f"{inner}{quote} class=ad><p>no no no no</p></div></body>"
+    page = Page(source)
+    assert page.main_text(page.best()) == "yes"
+    assert page.paths[2].endswith("/div.post")
+
+
+def test_unclosed_values_take_linear_time():
+    for part in ("<a b=\"<a b='", "<a b=\"<a\" c='<b' ", "<a b=\"<a b=\" ", "<a =\"'", "<a b=' "):
+        Page("<p>x</p>" + part * 20_000).main_text(None)
+    page = Page("<p title=\"x>yes</p><p>it's</p>")
+    assert page.main_text(None) == "yes\nit's"
+
+
 def test_the_host_decides(spark):
     """A page whose own best container is another one follows the pages of its host."""
     usual = "<body><div class=a><p>{}</p></div><div class=b><p>{}</p></div></body>"
