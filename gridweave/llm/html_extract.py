@@ -40,6 +40,15 @@ UNWANTED = frozenset(
     " header masthead footer foot copyright legal comment comments disqus reply replies respond"
     " share sharing social related recommended search login form toolbar skip".split()
 )
+# of these, words that say what the text is and not where it stands: what readers wrote, and notices
+_READERS = frozenset("comment comments disqus reply replies respond".split())
+_NEVER = _READERS | frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr"
+    .split()
+)
+# words beside `header` that make it the article's own head
+_OWN = frozenset("entry post article story".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: what the tag alone says for a container
 _WORTH = {"article": 1.5, "main": 1.2}
 _CLOSED_BY = {
@@ -111,20 +120,28 @@ class Page:
     """Blocks of text of one page, with the containers each lies in.
 
     `paths[c]` is the generalised path of container c; `blocks` are (containers, text, in links,
-    in a paragraph).
+    in a paragraph, marked elements, in a heading). Elements marked by their words are read like
+    others; `unwanted` are those that turn out not to be wrappers of the article.
     """
 
     def __init__(self, source: str):
         self.paths: list[str] = []
-        self.blocks: list[tuple[tuple[int, ...], str, int, bool]] = []
-        # open elements: name, generalised step, dropped, container number
-        self.open: list[tuple[str, str, bool, int]] = []
+        self.tags: list[str] = []
+        self.parents: list[int] = []
+        self.marks_of: list[tuple[int, ...]] = []  # marked elements a container is or lies in
+        self.blocks: list[tuple[tuple[int, ...], str, int, bool, tuple[int, ...], bool]] = []
+        # open elements: name, generalised step, dropped, container number, number of the mark
+        self.open: list[tuple[str, str, bool, int, int]] = []
+        # per marked element its words, the articles it lies in and whether it holds one
+        self.marks: list[tuple[set[str], tuple[int, ...], list[bool]]] = []
+        self.open_marks: list[int] = []
         self.text: list[str] = []
         self.linked = 0
         self.dropped = 0
         self.links = 0
         self._push("page", "")
         self._read(source)
+        self.unwanted = self._unwanted()
 
     def _flush(self) -> None:
         if self.text:
@@ -132,7 +149,9 @@ class Page:
             if text:
                 inside = tuple(o[3] for o in self.open if o[3] >= 0)
                 prose = any(o[0] in ("p", "blockquote", "pre") for o in self.open)
-                self.blocks.append((inside, text, self.linked, prose))
+                marks = tuple(self.open_marks)
+                heading = any(o[0] in _HEADINGS for o in self.open)
+                self.blocks.append((inside, text, self.linked, prose, marks, heading))
             self.text, self.linked = [], 0
 
     def _push(self, name: str, attributes: str) -> None:
@@ -144,26 +163,47 @@ class Page:
                 value = "".join(values).lower()
                 for v in value.split():
                     own = _WORDS.findall(v)
-                    if own and own[0] not in ("has", "with", "without", "no"):
-                        words.update(own)
+                    if not own or own[0] in ("has", "with", "without", "no"):
+                        continue
+                    if not _OWN.isdisjoint(own) and UNWANTED.intersection(own) == {"header"}:
+                        continue
+                    words.update(own)
                 if key.lower() == "class":
                     marks = sorted({re.sub(r"\d+", "0", v) for v in value.split()})
         dropped = name in DROPPED
         if name == "header" and any(o[0] == "article" for o in self.open):
             dropped = False  # the article's own head
-        elif name not in ("body", "html", "main", "article"):
-            dropped = dropped or not words.isdisjoint(UNWANTED)
+        marked = -1
+        if name not in ("body", "html", "main", "article") and not words.isdisjoint(UNWANTED):
+            if dropped or self.dropped or not (name in BLOCKS or "-" in name):
+                dropped = True
+            else:
+                self._flush()
+                marked = len(self.marks)
+                articles = tuple(o[3] for o in self.open if o[0] in ("article", "main"))
+                self.marks.append((words & UNWANTED, articles, [False]))
+                self.open_marks.append(marked)
         step = ".".join([name, *marks])
         number = -1
         if name in CONTAINERS and not dropped and not self.dropped:
             number = len(self.paths)
             self.paths.append("/".join([o[1] for o in self.open if o[3] >= 0] + [step]))
-        self.open.append((name, step, dropped, number))
+            self.parents.append(next((o[3] for o in reversed(self.open) if o[3] >= 0), -1))
+            self.tags.append(name)
+            above = tuple(self.open_marks)
+            self.marks_of.append(above)
+            if name in ("article", "main") and all(_READERS.isdisjoint(self.marks[m][0]) for m in above):
+                for m in above:
+                    self.marks[m][2][0] = True
+        self.open.append((name, step, dropped, number, marked))
         self.dropped += dropped
         self.links += name == "a"
 
     def _pop(self) -> None:
-        name, _, dropped, _ = self.open.pop()
+        if self.open[-1][4] >= 0:
+            self._flush()
+            self.open_marks.pop()
+        name, _, dropped, _, _ = self.open.pop()
         self.dropped -= dropped
         self.links -= name == "a"
 
@@ -232,10 +272,39 @@ class Page:
                     self._pop()
                 return
 
+    def _unwanted(self) -> frozenset[int]:
+        """Marked elements without those that hold an article, or most of the page's paragraphs.
+
+        An article elsewhere with paragraphs of its own leaves no doubt: then all others are unwanted.
+        """
+        if not self.marks:
+            return frozenset()
+        held, total = [0] * len(self.marks), 0
+        told: set[int] = set()  # articles with paragraphs that no marked element holds
+        for inside, text, linked, prose, marks, _ in self.blocks:
+            if not prose or any(not _NEVER.isdisjoint(self.marks[m][0]) for m in marks):
+                continue
+            worth = max(len(text) - 2 * linked, 0)
+            total += worth
+            for m in marks:
+                held[m] += worth
+            if not marks:
+                told.update(c for c in inside if self.tags[c] in ("article", "main"))
+        out = set()
+        for m, (words, articles, holds) in enumerate(self.marks):
+            elsewhere = not told.issubset(articles)
+            wrapper = holds[0] and words.isdisjoint(_READERS)
+            wrapper = wrapper or 2 * held[m] > total and words.isdisjoint(_NEVER)
+            if elsewhere or not wrapper:
+                out.add(m)
+        return frozenset(out)
+
     def best(self) -> str | None:
         """The path of the container with the best score; of equal ones the innermost, then the first."""
         score = np.zeros(len(self.paths))
-        for inside, text, linked, prose in self.blocks:
+        for inside, text, linked, prose, marks, _ in self.blocks:
+            if not self.unwanted.isdisjoint(marks):
+                continue
             worth = (len(text) - 2 * linked) * (1.0 if prose else 0.5)
             for depth, c in enumerate(reversed(inside)):
                 score[c] += worth * 0.85**depth
@@ -249,15 +318,58 @@ class Page:
         )
 
     def on(self, path: str | None) -> str:
-        """The blocks inside containers on the path, each once, joined by line ends."""
-        chosen = {c for c, p in enumerate(self.paths) if p == path}
-        return "\n".join(b[1] for b in self.blocks if not chosen.isdisjoint(b[0]))
+        """The blocks inside containers on the path, each once, joined by line ends, and the headings
+        and paragraphs beside them.
+
+        Where all containers on the path lie in unwanted elements, the path stands against the marks,
+        but not against those of what readers wrote, adverts and notices.
+        """
+        named = [c for c, p in enumerate(self.paths) if p == path]
+        chosen = [c for c in named if self.unwanted.isdisjoint(self.marks_of[c])]
+        bad = self.unwanted
+        if named and not chosen:
+            never = {m for m in bad if not _NEVER.isdisjoint(self.marks[m][0])}
+            chosen = [c for c in named if never.isdisjoint(self.marks_of[c])]
+            bad = bad.difference(*(self.marks_of[c] for c in chosen))
+        inside = set(chosen)
+        own = {i for i, b in enumerate(self.blocks) if not inside.isdisjoint(b[0]) and bad.isdisjoint(b[4])}
+        if own:
+            own |= self._beside(inside, min(own), bad)
+        return "\n".join(self.blocks[i][1] for i in sorted(own))
+
+    def _beside(self, inside: set[int], first: int, bad: frozenset[int]) -> set[int]:
+        """Headings before the first block and paragraphs right in the parent, going up until a parent
+        holds paragraphs in other containers; an article is whole by itself."""
+        out: set[int] = set()
+        above = {self.parents[c] for c in inside}
+        if len(above) != 1 or any(self.tags[c] in ("article", "main") for c in inside):
+            return out
+        chain, parent = [], above.pop()
+        while parent >= 0 and self.tags[parent] not in ("page", "html"):
+            chain.append(parent)
+            if self.tags[parent] in ("article", "main"):
+                break
+            parent = self.parents[parent]
+        at = {c: level for level, c in enumerate(chain)}
+        good: list[list[int]] = [[] for _ in chain]
+        end = len(chain)
+        for i, (within, text, linked, prose, marks, heading) in enumerate(self.blocks):
+            if 3 * linked > len(text) or not inside.isdisjoint(within) or not bad.isdisjoint(marks):
+                continue
+            level = next((at[c] for c in reversed(within) if c in at), end)
+            if level >= end:
+                continue
+            if prose and within[-1] != chain[level]:
+                end = level
+            elif prose or heading and i < first:
+                good[level].append(i)
+        return out.union(*good[:end])
 
     def main_text(self, path: str | None) -> str:
         got = self.on(path) if path else ""
         if not got:
             got = self.on(self.best())
-        return got or "\n".join(b[1] for b in self.blocks)
+        return got or "\n".join(b[1] for b in self.blocks if self.unwanted.isdisjoint(b[4]))
 
 
 def _votes(batches: Batches) -> Batches:
@@ -296,7 +408,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     A block is the text of a block element with character references decoded and white space turned
     into one space; a line break is white space. Left out are menus, headers, footers, sidebars,
     forms, scripts, styles, and elements whose class, id or role says notice, advert, comment and
-    the like. A null or empty html gives an empty text; pages with no host share one set of votes.
+    the like, unless they wrap the article. Headings and paragraphs beside the winning container
+    belong to it. A null or empty html gives an empty text; pages with no host share one set of votes.
     Cut-off pages are read as far as they go.
     Repeated rows get a row each; other columns are ignored.
     """

@@ -54,6 +54,34 @@ def test_long_attribute_values_are_no_text(quote):
     assert page.paths[2].endswith("/div.post")
 
 
+TEXT = "<p>" + "long text of the page " * 9 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["id=content-sidebar-wrap", "class='page header-fixed'", "class=layout-right-sidebar"]
+)
+@pytest.mark.parametrize("inner", ["<div class=post>{}</div>", "<article>{}</article>"])
+def test_wrappers_whose_name_says_sidebar_are_kept(wrapper, inner):
+    own = inner.format("<div class=entry-header><h1>Title</h1></div>" + TEXT)
+    extra = "<div class=sidebar><p>side</p></div><div id=comments><article><p>" + "me too " * 99
+    page = Page(f"<body><div {wrapper}>{own}{extra}</p></article></div></div><div class=ad><p>buy</p></div></body>")
+    assert page.main_text(page.best()).split("\n") == ["Title", TEXT[3:-4].strip()]
+
+
+def test_title_and_lead_beside_the_body():
+    source = "<body><div class=post><h1>Title</h1><p>Lead.</p><div class=body>" + TEXT * 9 + "</div>"
+    source += "<div class=tags><a href=x>tag</a></div></div><div class=other><h2>More</h2><p>other</p></div></body>"
+    page = Page(source)
+    assert page.best().endswith("/div.body")
+    assert page.main_text(page.best()).split("\n") == ["Title", "Lead."] + [TEXT[3:-4].strip()] * 9
+
+
+def test_nested_marks_and_bodies_are_read_in_reasonable_time():
+    for part in ("<div class=sidebar><p>x", "<div><p>text of it", "<article class=ad><div class=ad><p>x</p>"):
+        page = Page(part * 1500)
+        page.main_text(page.best())
+
+
 def test_unclosed_values_take_linear_time():
     for part in ("<a b=\"<a b='", "<a b=\"<a\" c='<b' ", "<a b=\"<a b=\" ", "<a =\"'", "<a b=' "):
         Page("<p>x</p>" + part * 20_000).main_text(None)
