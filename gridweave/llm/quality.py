@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridweave.llm.linear import DIM, distinct_by_row, fit, flat, folded, row_sums, sigmoid
 from gridweave.llm.textvec import PLAIN, ROWS, SPACED, words
-from gridweave.llm.toxicity import filter_by_features
+from gridweave.llm.toxicity import filter_by_features, one_per_id
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -234,7 +234,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float, Dat
         .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(sample)
     )
     # at most `sample` ids, and at most 3^8 patterns: bounded sides to broadcast
-    chosen = rows.join(F.broadcast(ids), "doc_id")
+    chosen = one_per_id(rows.join(F.broadcast(ids), "doc_id"))
     by_pattern = dict(zip(patterns.tolist(), good.tolist(), strict=True))
 
     def labelled(batches: Batches) -> Batches:

@@ -83,6 +83,12 @@ def _training_features(groups: tuple[tuple[str, ...], ...]) -> Callable[[Batches
     return run
 
 
+def one_per_id(rows: DataFrame, *others: str) -> DataFrame:
+    """One row per doc_id, with the columns that an id determines: that of the text first by its hash."""
+    first = F.min(F.struct(F.xxhash64("text").alias("digest"), "text"))["text"].alias("text")
+    return rows.groupBy("doc_id", *others).agg(first)
+
+
 def bounded_labels(labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """doc_id, label and weight of at most `per_class` rows of each class, by a hash of the id.
 
@@ -115,14 +121,15 @@ def train(
     groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
     fair: float = 1.0,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias learned from at most 2 * `per_class` labelled rows.
+    """Weights and bias learned from at most 2 * `per_class` labelled rows, one per doc_id.
 
     Rows of a class that is not taken whole weigh more, so that the scores keep the share of toxic
     ones among all labelled ids, whatever their number. Without labelled rows all scores are 0.5, with rows of one class the share of that class.
     """
     sample = bounded_labels(labels, label, per_class)
     # at most 2 * per_class rows of three numbers: a bounded side to broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "weight", "text")
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = one_per_id(found, "label", "weight").select("label", "weight", "text")
     got = rows.mapInArrow(
         _training_features(groups),
         "label double, weight double, x array<int>, y array<int>, named boolean",

@@ -75,6 +75,20 @@ def test_scores_do_not_depend_on_how_many_rows_are_taken(spark):
     assert ((got[300] >= 0.3) == (got[4000] >= 0.3)).all()
 
 
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_the_fit_takes_one_row_per_id(spark, monkeypatch, module):
+    """A repeated doc_id does not bring all of its rows to the driver."""
+    rows = [(i % 20 if i < 40 else 7, f"some words of text {i} and more") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    sizes = []
+    monkeypatch.setattr(
+        module, "fit", lambda numbers, offsets, target, *a, **k: sizes.append(len(target)) or (np.zeros(1 << 18), 0.0)
+    )
+    module.train(docs, labels) if module is toxicity else module.train(docs)
+    assert sizes == [20]
+
+
 def test_swapped():
     table = swap_table((("women", "men"),))
     pattern = re.compile(r"\b(women|men)\b", re.IGNORECASE)
