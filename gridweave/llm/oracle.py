@@ -1,6 +1,38 @@
 """SQL of the queries that SQL can express."""
 
+
+def _centroid_rounds(rounds: int = 10) -> str:
+    """Points and centroids with a row per component; a round is an assignment and its means."""
+    start = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS p
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT r, unnest(range(64)) AS d, unnest(p) AS x FROM v),
+s AS (
+  SELECT r, (row_number() OVER (ORDER BY sha256('3:' || vec_id), r) - 1)::INTEGER AS c
+  FROM v WHERE vec_id IS NOT NULL QUALIFY c < 8),
+c0 AS MATERIALIZED (SELECT c, d, x AS y FROM s JOIN x USING (r))"""
+    assign = """,
+a{0} AS MATERIALIZED (
+  SELECT r, arg_min(c, (t, c)) AS c, min(t) AS t
+  FROM (SELECT r, c, sum((x - y) * (x - y))::BIGINT AS t FROM x JOIN c{0} USING (d) GROUP BY r, c) GROUP BY r)"""
+    move = """,
+c{1} AS MATERIALIZED (
+  SELECT c, d, coalesce(z, y) AS y FROM c{0} LEFT JOIN (
+    SELECT c, d, ((s - ((s % n) + n) % n) // n)::BIGINT AS z
+    FROM (SELECT c, d, sum(x) AS s, count(*) AS n FROM a{0} JOIN x USING (r) GROUP BY c, d)) USING (c, d))"""
+    end = """,
+n AS (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY d)) AS h FROM c{0} GROUP BY c)
+SELECT vec_id, c AS cluster, t AS distance, (sum(t) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(t) OVER ())::BIGINT AS inertia, h AS centroid_sha256
+FROM v JOIN a{0} USING (r) JOIN n USING (c)"""
+    steps = [assign.format(i) + move.format(i, i + 1) for i in range(rounds)]
+    return start + "".join(steps) + assign.format(rounds) + end.format(rounds)
+
+
 ORACLE = {
+    "op12_centroids": _centroid_rounds(),
     "op2_pivot_topk": """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v

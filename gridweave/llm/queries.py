@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridweave.llm.centroids import clusters
 from gridweave.llm.common import table
 from gridweave.llm.decontaminate import contamination
 from gridweave.llm.html_extract import main_texts
 from gridweave.llm.language import language
 from gridweave.llm.ngram_jaccard import jaccard_components
 from gridweave.llm.pivot_topk import top_k
+from gridweave.llm.posting_lists import neighbours
 from gridweave.llm.quality import quality
 from gridweave.llm.sentencepiece import encode
+from gridweave.llm.spelling import variants
 from gridweave.llm.toxicity import toxicity
 from gridweave.llm.url_templates import url_verdicts
 from gridweave.llm.warc import archive_digest
@@ -58,6 +61,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_pivot_topk": op2_pivot_topk,
@@ -69,4 +84,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling": op11_spelling,
+    "op12_centroids": op12_centroids,
+    "op13_posting_lists": op13_posting_lists,
 }
