@@ -88,12 +88,10 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0) -> None:
     of.select(
         "page_id", "sha256", _header(kind, F.col("head")).alias("header")
     ).write.parquet(f"{folder}/records")
-    # bytes are sent for the heads' rows only
-    heads = heads.withColumnRenamed("sha256", "head_of")
-    stored = keyed.withColumn("sha256", F.sha2("payload", 256)).join(
-        heads, (F.col("sha256") == F.col("head_of")) & F.col("page_id").eqNullSafe(F.col("head")), "left_semi"
-    )
-    stored.groupBy("sha256").agg(F.first("payload").alias("payload")).write.parquet(f"{folder}/payloads")
+    # equal digests are equal bytes, so every task sends a payload once and any of them stays
+    keyed.select(F.sha2("payload", 256).alias("sha256"), "payload").groupBy("sha256").agg(
+        F.first("payload").alias("payload")
+    ).write.parquet(f"{folder}/payloads")
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
