@@ -25,7 +25,8 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: characters of text encoded at a time, and words remembered between
 SLICE = 400_000
-REMEMBERED = 100_000
+REMEMBERED = 400_000
+REMEMBERED_CHARACTERS = 8_000_000
 
 # a run of spaces with the word after it; line ends and literal marks stand alone
 _UNITS = re.compile(f" +[^ \n{MARK}]*|[^ \n{MARK}]+|\n+|{MARK}+")
@@ -42,14 +43,16 @@ class Vocabulary:
     size: int
 
     @cached_property
-    def endings(self) -> dict[str, tuple[int, float] | None]:
-        """Every ending of a piece, with the piece's id and score where it is one itself."""
-        ends: dict[str, tuple[int, float] | None] = {}
-        for p in self.pieces:
-            for i in range(len(p)):
-                ends.setdefault(p[i:], None)
-        ends.update(self.pieces)
-        return ends
+    def endings(self) -> dict:
+        """Trie of the pieces read backwards: by character, the node's children and, where a piece
+        begins there, its id and score."""
+        root: dict = {}
+        for p, hit in self.pieces.items():
+            children = root
+            for c in p[:0:-1]:
+                children = children.setdefault(c, ({}, None))[0]
+            children[p[0]] = (children.get(p[0], ({}, None))[0], hit)
+        return root
 
     @cached_property
     def penalty(self) -> float:
@@ -57,13 +60,14 @@ class Vocabulary:
         return min((s for _, s in self.pieces.values() if s > -1e8), default=0.0) - 10.0
 
     @cached_property
-    def spellings(self) -> list[bytes]:
+    def spellings(self) -> Strings:
+        """The bytes that each id stands for."""
         out = [b""] * self.size
         for p, (i, _) in self.pieces.items():
             out[i] = p.replace(MARK, " ").encode()
         for b, i in enumerate(self.bytes_):
             out[i] = bytes([b])
-        return out
+        return Strings(np.frombuffer(b"".join(out), np.uint8), np.array([len(x) for x in out]))
 
     def __getstate__(self) -> dict:
         return {"pieces": self.pieces, "bytes_": self.bytes_, "size": self.size}
@@ -87,7 +91,7 @@ def load(path: str = DEFAULT_MODEL) -> Vocabulary:
 
 def viterbi(units: list[str], vocabulary: Vocabulary) -> dict[str, tuple[int, ...]]:
     """Piece ids of distinct units, walking their sorted marked forms."""
-    ends, raw, penalty = vocabulary.endings, vocabulary.bytes_, vocabulary.penalty
+    get, raw, penalty = vocabulary.endings.get, vocabulary.bytes_, vocabulary.penalty
     out: dict[str, tuple[int, ...]] = {}
     marked = sorted(
         (u.replace(" ", MARK), u) for u in units if not u.startswith(MARK)
@@ -96,41 +100,45 @@ def viterbi(units: list[str], vocabulary: Vocabulary) -> dict[str, tuple[int, ..
         if u.startswith(MARK):  # a literal mark is not a space: spell it
             out[u] = tuple(raw[b] for b in u.encode())
     before = ""
+    # by number of characters: the best score, and the last piece's start and id (None: spelled)
     best: list[float] = [0.0]
-    back: list[tuple[int, tuple[int, ...]]] = [(0, ())]
+    starts: list[int] = [0]
+    last: list[int | None] = [None]
     for word, unit in marked:
         shared = 0
         for x, y in zip(before, word, strict=False):
             if x != y:
                 break
             shared += 1
-        del best[shared + 1 :], back[shared + 1 :]
+        del best[shared + 1 :], starts[shared + 1 :], last[shared + 1 :]
         for j in range(shared + 1, len(word) + 1):
-            top, start, ids = float("-inf"), j - 1, ()
-            i = j - 1
-            while i >= 0:
-                piece = word[i:j]
-                if piece not in ends:
-                    break
-                hit = ends[piece]
-                if hit is not None and (score := best[i] + hit[1]) >= top:
-                    top, start, ids = score, i, (hit[0],)
+            start = i = j - 1
+            node = get(word[i])
+            if node and (hit := node[1]):
+                piece, score = hit
+                top = best[i] + score
+            else:
+                piece, top = None, best[i] + penalty * len(word[i].encode())
+            while node and i:
                 i -= 1
-            single = ends.get(word[j - 1])
-            if single is None:
-                spelled = word[j - 1].encode()
-                score = best[j - 1] + penalty * len(spelled)
-                if score > top:
-                    top, start, ids = score, j - 1, tuple(raw[b] for b in spelled)
+                node = node[0].get(word[i])
+                if node and (hit := node[1]) and (score := best[i] + hit[1]) >= top:
+                    top, start, piece = score, i, hit[0]
             best.append(top)
-            back.append((start, ids))
+            starts.append(start)
+            last.append(piece)
         before = word
-        found: list[tuple[int, ...]] = []
+        found: list[int] = []
         j = len(word)
         while j:
-            j, ids = back[j]
-            found.append(ids)
-        out[unit] = tuple(chain.from_iterable(reversed(found)))
+            piece = last[j]
+            if piece is None:
+                found.extend(raw[b] for b in reversed(word[j - 1].encode()))
+            else:
+                found.append(piece)
+            j = starts[j]
+        found.reverse()
+        out[unit] = tuple(found)
     return out
 
 
@@ -146,42 +154,81 @@ def _parts(text: str) -> Iterator[str]:
     yield text[lo:]
 
 
+@dataclass
+class Strings:
+    """Strings of numbers, one after the other."""
+
+    flat: np.ndarray
+    sizes: np.ndarray
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, which: np.ndarray) -> np.ndarray:
+        """The numbers of the named strings in a row."""
+        sizes = self.sizes[which]
+        at = np.repeat(self.starts[which] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[at + np.arange(len(at))]
+
+
 class Encoder:
     """Encodes lists of texts; remembers words between calls, up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        cut = [None if t is None else [] if not t else _UNITS.findall(" " + t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = set().union(*[u for u in cut if u]) - self.known.keys()
-        self.known.update(viterbi(list(new), self.vocabulary))
-        get = self.known.__getitem__
-        return [
-            None if u is None else np.fromiter(chain.from_iterable(map(get, u)), np.int32) for u in cut
-        ]
-
-    def long(self, text: str) -> np.ndarray:
-        """One text of any length, a slice at a time."""
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.words = Strings(np.zeros(0, np.int32), np.zeros(0, np.int64))
+        self.characters = 0
+
+    def _learn(self, units: set[str]) -> None:
+        """Encodes those units that are not known yet."""
+        if len(self.known) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
+            self._forget()
+        new = viterbi(list(units - self.known.keys()), self.vocabulary)
+        if not new:
+            return
+        self.characters += sum(map(len, new))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        flat = np.fromiter(chain.from_iterable(new.values()), np.int32)
+        sizes = np.fromiter(map(len, new.values()), np.int64, len(new))
+        self.words = Strings(np.append(self.words.flat, flat), np.append(self.words.sizes, sizes))
+
+    def _ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of units in a row, and their number per unit."""
+        which = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        return self.words.joined(which), self.words.sizes[which]
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all texts in a row, and where each text's begin and the last one's end."""
+        cut = [_UNITS.findall(" " + t) if t else [] for t in texts]
+        units = list(chain.from_iterable(cut))
+        self._learn(set(units))
+        ids, sizes = self._ids(units)
+        ends = np.cumsum(sizes)
+        counts = np.cumsum([0] + [len(c) for c in cut])
+        return ids, np.append(0, ends)[counts]
+
+    def long(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The same of one text of any length, a slice at a time."""
         ids = []
         for n, part in enumerate(_parts(text)):
             units = _UNITS.findall(part if n else " " + part)
-            new = set(units) - self.known.keys()
-            if len(self.known) > REMEMBERED:
-                self.known, new = {}, set(units)
-            self.known.update(viterbi(list(new), self.vocabulary))
-            ids.append(
-                np.fromiter(chain.from_iterable(map(self.known.__getitem__, units)), np.int32)
-            )
-        return np.concatenate(ids)
+            self._learn(set(units))
+            ids.append(self._ids(units)[0])
+        ids = np.concatenate(ids)
+        return ids, np.array([0, len(ids)])
 
 
-def decoded(ids: list[int], spellings: list[bytes]) -> str:
-    text = b"".join(map(spellings.__getitem__, ids)).decode("utf-8", "replace")
-    return text[1:] if text.startswith(" ") else text
+def decoded(ids: np.ndarray, bounds: np.ndarray, spellings: Strings) -> list[str]:
+    """Texts of rows of ids, the n-th between the n-th bound and the next."""
+    ends = np.append(0, np.cumsum(spellings.sizes[ids]))[bounds].tolist()
+    raw = spellings.joined(ids).tobytes()
+    texts = [raw[lo:hi].decode("utf-8", "replace") for lo, hi in zip(ends, ends[1:], strict=False)]
+    return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
 def _encode(vocabulary: Vocabulary, check: bool) -> Callable[[Batches], Batches]:
@@ -197,31 +244,20 @@ def _encode(vocabulary: Vocabulary, check: bool) -> Callable[[Batches], Batches]
                     some.append(texts[hi].as_py())
                     size += len(some[-1] or "")
                     hi += 1
-                if len(some) == 1 and size > SLICE:
-                    got = [encoder.long(some[0])]
-                else:
-                    got = encoder(some)
-                sizes = [0 if g is None else len(g) for g in got]
-                ids = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
-                    pa.array(np.concatenate([g for g in got if g is not None] or [np.zeros(0, np.int32)])),
-                    mask=pa.array([g is None for g in got]),
-                )
+                ids, bounds = encoder.long(some[0]) if len(some) == 1 and size > SLICE else encoder(some)
                 columns = [c for i, c in enumerate(batch.slice(lo, hi - lo).columns) if i != at]
                 names = [n for n in batch.schema.names if n != "text"]
-                columns += [pa.array(sizes, pa.int32()), ids]
+                columns += [
+                    pa.array(np.diff(bounds), pa.int32()),
+                    pa.ListArray.from_arrays(
+                        pa.array(bounds.astype(np.int32)), pa.array(ids), mask=pa.array([t is None for t in some])
+                    ),
+                ]
                 names += ["n_tokens", "token_ids"]
                 if check:
-                    spell = vocabulary.spellings
-                    columns.append(
-                        pa.array(
-                            [
-                                None if g is None else decoded(g.tolist(), spell) == t
-                                for g, t in zip(got, some, strict=True)
-                            ],
-                            pa.bool_(),
-                        )
-                    )
+                    back = decoded(ids, bounds, vocabulary.spellings)
+                    same = [None if t is None else t == b for t, b in zip(some, back, strict=True)]
+                    columns.append(pa.array(same, pa.bool_()))
                     names.append("round_trip")
                 yield pa.RecordBatch.from_arrays(columns, names)
                 lo = hi
@@ -249,12 +285,17 @@ def decode(tokens: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
     vocabulary = load(model)
 
     def run(batches: Batches) -> Batches:
-        spell = vocabulary.spellings
         for batch in batches:
-            texts = [
-                None if ids is None else decoded([i for i in ids if i is not None and 0 <= i < len(spell)], spell)
+            rows = [
+                [i for i in ids or [] if i is not None and 0 <= i < vocabulary.size]
                 for ids in batch["token_ids"].to_pylist()
             ]
+            bounds = np.cumsum([0] + [len(r) for r in rows])
+            ids = np.fromiter(chain.from_iterable(rows), np.int64, bounds[-1])
+            texts = [
+                t if ids.is_valid else None
+                for t, ids in zip(decoded(ids, bounds, vocabulary.spellings), batch["token_ids"], strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"]
             )

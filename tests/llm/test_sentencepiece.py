@@ -57,10 +57,10 @@ def test_round_trips(docs, vocabulary):
 
 def test_long_texts_are_cut_where_units_end(monkeypatch, vocabulary):
     text = "some words  and\n\nmore ▁ " * 40
-    whole = Encoder(vocabulary)([text])[0].tolist()
+    whole, bounds = Encoder(vocabulary)([text])
     monkeypatch.setattr(sentencepiece, "SLICE", 17)
-    assert Encoder(vocabulary).long(text).tolist() == whole
-    assert decoded(whole, vocabulary.spellings) == text
+    assert Encoder(vocabulary).long(text)[0].tolist() == whole.tolist()
+    assert decoded(whole, bounds, vocabulary.spellings) == [text]
 
 
 def test_memory_of_words_is_bounded(monkeypatch, vocabulary):
@@ -68,3 +68,4 @@ def test_memory_of_words_is_bounded(monkeypatch, vocabulary):
     e = Encoder(vocabulary)
     first = [x.tolist() for x in e(["a b c d e", "b c"])]
     assert [x.tolist() for x in e(["a b c d e", "b c"])] == first and len(e.known) <= 8
+    assert first[1][0] == 0 and first[1][2] == len(first[0])
