@@ -2,8 +2,8 @@
 
 *Lists.* A bounded sample is halved again and again at the median of its main direction; the means
 of the leaves, equally full, are the centroids. Every vector goes to its nearest centroid's list,
-and one near a boundary also to further ones: those not much farther than the nearest, unless a
-list chosen before lies closer to that centroid than the vector does.
+and one near a boundary also to further ones: those hardly farther than the nearest, unless their
+centroid nearly coincides with that of a list chosen before.
 
 *Graph.* Every centroid is linked with its nearest ones and, so that all are reached, with those a
 power of two further on in the order of the leaves. Tasks hold this graph and expand it from a few
@@ -43,7 +43,8 @@ LISTS = 4_096  # lists at most: 16 vectors of a full sample for each
 SHELF = 8_192  # postings of a shelf
 LINKS = 16  # nearest centroids that a centroid is linked with
 COPIES = 4  # lists of one vector, at most
-BOUNDARY = 1.02  # a further list's distance, as a ratio of the nearest one's
+BOUNDARY = 1.006  # a further list's distance, as a ratio of the nearest one's
+SPREAD = 0.25  # least distance of a vector's centroids, as a share of the vector's to the further one
 RECALL = 0.95  # share of the true neighbours that the ratio must find
 JUDGES = 128  # queries that measure it
 WIDTH = 32  # centroids a search keeps open, whatever their distance
@@ -141,7 +142,7 @@ def chosen(distance: np.ndarray, graph: Graph, boundary: float, copies: int) ->
         ok = (far[:, j] <= boundary * far[:, 0]) & (taken.sum(axis=1) < copies)
         for i in range(j):
             apart = np.linalg.norm(graph.centroids[near[:, i]] - graph.centroids[near[:, j]], axis=1)
-            ok &= ~taken[:, i] | (apart > far[:, j])
+            ok &= ~taken[:, i] | (apart > SPREAD * far[:, j])
         taken[:, j] = ok
     rows, cols = np.nonzero(taken)
     return rows, near[rows, cols]
