@@ -8,8 +8,9 @@ that survive are verified on the shingle sets.
 One tree over all documents would not scale: points of unrelated long texts lie close together. So
 the documents are dealt to many trees, losslessly: of n shingles, the n - ceil(0.75 n) + 1 first in
 one fixed order are a document's keys, and two documents that link share a key. The order puts
-shingles of few documents first (counted over all documents), so common lines and passages are keys
-of hardly any document.
+shingles of few documents first (counted over all documents, each by a quarter of its shingles), so
+common lines and passages are keys of hardly any document. The keys are counted again, and the trees
+of those that a large group shares are dealt out in pieces with pivots of their own.
 
 Every tree is worked in two steps. First its pivot meets all other members: the one with the fewest
 rarer shingles, which of a text and its changed copies is the text itself. What then hangs together
@@ -36,8 +37,10 @@ CELLS = 1 << 22  # of the table of shingle frequencies
 RARE = 8  # documents that share a trial key, up to which it is not common
 NEEDED = 1 << 23  # bits of the table of documents whose sets are to be verified
 LEAF = 128
+SLOT = 256  # members of a tree that are sorted into leaves together
 _LOCAL = 1 << 17  # sets a task remembers, so that it sends a copied set once
-_COMMON = 7  # frequency class from which a key's tree is dealt out in pieces
+COMMON = 128  # members from which a key's tree is dealt out in pieces
+_EMITTED = 1 << 20  # pairs a task remembers, so that trees with the same members give them once
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -55,7 +58,7 @@ def _group(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64(GROUPS - 1)).astype(np.int64)
 
 
-SCANNED = "doc_id long, n_shingles long, name long, point binary"
+SCANNED = "doc_id long, digest long, n_shingles long, name long, point binary"
 
 
 def _scan(k: int) -> Callable[[Batches], Batches]:
@@ -73,7 +76,7 @@ def _scan(k: int) -> Callable[[Batches], Batches]:
                     counts = np.bincount(_group(s), minlength=GROUPS)
                     points[i] = np.minimum(counts, 255).astype(np.uint8).tobytes()
             columns = [pa.array(got[:, 0]), pa.array(got[:, 1]), pa.array(points, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["digest"], *columns], names)
 
     return run
 
@@ -136,38 +139,89 @@ def frequency_classes(texts: DataFrame, k: int, share: int) -> np.ndarray:
     return table
 
 
-def _keys(k: int, share: int, classes: bytes) -> Callable[[Batches], Batches]:
-    """Each set's keys: its first shingles by class of frequency, then by hash."""
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def _chosen(
+    batch: pa.RecordBatch, k: int, share: int, klass: np.ndarray, seen: set[int]
+) -> Iterator[tuple[int, np.ndarray, int]]:
+    """Name, keys and size of each new set: its first shingles by class of frequency, then by hash."""
+    for name, s in _new_sets(batch, k, seen):
+        order = np.argsort(klass[_cells(s)], kind="stable")[: _first(len(s), share)]
+        yield name, s[order], len(s)
+
+
+def _chosen_halves(k: int, share: int, classes: bytes) -> Callable[[Batches], Batches]:
+    """Half the hash of every key."""
+
+    def run(batches: Batches) -> Batches:
+        klass = np.frombuffer(classes, np.uint8)
+        seen: set[int] = set()
+        for batch in batches:
+            out, size = [], 0
+            for _, keys, _ in _chosen(batch, k, share, klass, seen):
+                out.append(keys.astype(np.uint32))
+                size += len(keys)
+                if size > 1_000_000:
+                    yield _halves(out)
+                    out, size = [], 0
+            if out:
+                yield _halves(out)
+
+    return run
+
+
+def common_keys(texts: DataFrame, k: int, share: int, classes: bytes) -> bytes:
+    """A bit per cell that holds a key of at least COMMON members: the keys themselves are counted,
+    as any shingle, counted before or not, can be the key of a large group."""
+    cells = (
+        texts.select("text")
+        .mapInArrow(_chosen_halves(k, share, classes), "half int")
+        .groupBy("half")
+        .count()
+        .filter(F.col("count") >= COMMON)
+        .select(F.col("half").bitwiseAND(CELLS - 1).alias("cell"))
+        .distinct()
+        .toArrow()
+    )
+    common = np.zeros(CELLS, bool)
+    common[cells["cell"].to_numpy()] = True
+    return np.packbits(common).tobytes()
+
+
+def _keys(k: int, share: int, classes: bytes, common: bytes) -> Callable[[Batches], Batches]:
+    """A row per set and key."""
 
     def run(batches: Batches) -> Batches:
         klass = np.frombuffer(classes, np.uint8)
+        hot = np.unpackbits(np.frombuffer(common, np.uint8)).view(bool)
         seen: set[int] = set()
         for batch in batches:
-            out: list[tuple[int, np.ndarray, np.ndarray, int]] = []
+            out: list[tuple[int, np.ndarray, int]] = []
             size = 0
-            for name, s in _new_sets(batch, k, seen):
-                c = klass[(s & np.uint64(CELLS - 1)).astype(np.int64)]
-                order = np.argsort(c, kind="stable")[: _first(len(s), share)]
-                out.append((name, s[order], c[order], len(s)))
-                size += len(order)
+            for row in _chosen(batch, k, share, klass, seen):
+                out.append(row)
+                size += len(row[1])
                 if size > 500_000:
-                    yield _key_rows(out)
+                    yield _key_rows(out, hot)
                     out, size = [], 0
             if out:
-                yield _key_rows(out)
+                yield _key_rows(out, hot)
 
     return run
 
 
-def _key_rows(out: list[tuple[int, np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
+def _key_rows(out: list[tuple[int, np.ndarray, int]], hot: np.ndarray) -> pa.RecordBatch:
     lengths = [len(x[1]) for x in out]
+    keys = np.concatenate([x[1] for x in out])
     return pa.RecordBatch.from_arrays(
         [
-            _signed(np.concatenate([x[1] for x in out])),
+            _signed(keys),
             pa.array(np.repeat(np.array([x[0] for x in out], np.int64), lengths)),
-            pa.array(np.repeat(np.array([x[3] for x in out], np.int32), lengths)),
+            pa.array(np.repeat(np.array([x[2] for x in out], np.int32), lengths)),
             pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])),
-            pa.array(np.concatenate([x[2] for x in out]) >= _COMMON),
+            pa.array(hot[_cells(keys)]),
         ],
         ["key", "name", "n", "place", "common"],
     )
@@ -288,9 +342,11 @@ def _bounded(share: int) -> Callable[[Batches], Batches]:
 
 def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
     """Members of two leaves that lie in different components and that points and places allow to
-    link. Leaves whose boxes cannot reach the overlap are passed over."""
+    link. Leaves whose boxes cannot reach the overlap are passed over. Most pairs meet in many
+    trees; a task sends a pair once."""
 
     def run(batches: Batches) -> Batches:
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
             for x, y in zip(batch["x"], batch["y"], strict=True):
                 a, b = _arrays(x), _arrays(y)
@@ -311,9 +367,14 @@ def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
                     good.append((100 + share) * least >= need[p, q])
                 good = np.concatenate(good)
                 left, right = a["name"][i[good]], b["name"][j[good]]
-                if len(left):
-                    low, high = np.minimum(left, right), np.maximum(left, right)
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+                low, high = np.minimum(left, right), np.maximum(left, right)
+                new = set(zip(low.tolist(), high.tolist(), strict=True)) - sent
+                if len(sent) > _EMITTED:
+                    sent.clear()
+                sent |= new
+                if new:
+                    pairs = np.array(sorted(new), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return run
 
@@ -328,7 +389,7 @@ def _arrays(leaf: pa.Scalar) -> dict[str, np.ndarray]:
 def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -> DataFrame:
     """Candidate pairs across components, in the trees of more than two that hold several."""
     named = members.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
-        "key", "salt", "name", "n", "place", F.coalesce("label", "name").alias("label")
+        "key", "name", "n", "place", F.coalesce("label", "name").alias("label")
     )
     # many trees have the same members: the one of the first of their keys is enough. A member has
     # one row per tree, or equal names would cancel in the xor
@@ -345,14 +406,20 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
         .filter("low <> high and m > 2")
         .groupBy("m", "x1", "x2")
         .agg(F.min(F.struct("place", "key"))["key"].alias("key"))
-        .select("key")
+        .select("key", "m")
+    )
+    # slots by the true size of the tree: no task sorts a large one, and leaves stay full
+    slots = F.ceil(F.col("m") / SLOT)
+    rows = (
+        named.join(trees, "key")
+        .withColumn("slot", F.pmod(F.hash("name").cast("long"), slots))
+        .join(names.select("name", "point"), "name")
     )
-    rows = named.join(trees, "key").join(names.select("name", "point"), "name")
     # leaves: neighbours by size, then by point, so that their boxes are narrow
-    order = Window.partitionBy("key", "salt").orderBy("n", "point", "name")
+    order = Window.partitionBy("key", "slot").orderBy("n", "point", "name")
     number = F.floor((F.row_number().over(order) - 1) / LEAF)
     leaves = (
-        rows.withColumn("leaf", F.col("salt") * F.lit(1 << 32) + number)
+        rows.withColumn("leaf", F.col("slot") * F.lit(1 << 32) + number)
         .groupBy("key", "leaf")
         .agg(
             F.collect_list(F.struct("name", "label", "n", "place", "point")).alias("rows"),
@@ -386,15 +453,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
     shingle, the whole; null, empty and wordless texts have none and link with nothing: their
     component is their own id. Rows that share a doc_id are each judged by their own text. Rows
     without doc_id link with nothing and have a null component. Equal sets are one node, named by a
-    64-bit digest; shingles are compared by 64-bit hashes. An empty table
-    gives no rows; other columns are ignored.
+    64-bit digest; shingles are compared by 64-bit hashes. Texts of any length are read whole. An
+    empty table gives no rows; other columns are ignored.
     """
+    return _classes(docs, k, share).select("doc_id", "n_shingles", "component_id")
+
+
+def _classes(docs: DataFrame, k: int, share: int) -> DataFrame:
+    """doc_id, digest (of the text), n_shingles, label, component_id of every row; the label names the
+    component, and is null for rows that link with nothing by definition."""
     spark = docs.sparkSession
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    every = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest")
+    )
     texts = every.filter("doc_id is not null")
     seen = written(every.mapInArrow(_scan(k), SCANNED), "scanned")
     rows = seen
     classes = frequency_classes(texts, k, share).tobytes()
+    common = common_keys(texts, k, share, classes)
     names = written(
         rows.filter("n_shingles > 0 and doc_id is not null")
         .groupBy("name")
@@ -405,7 +481,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
     )
 
     keys = texts.select("text").mapInArrow(
-        _keys(k, share, classes), "key long, name long, n int, place int, common boolean"
+        _keys(k, share, classes, common), "key long, name long, n int, place int, common boolean"
     )
     # trees of common keys are dealt out in pieces with pivots of their own
     pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -456,20 +532,48 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
         .withColumn("label", F.coalesce("label", "name"))
     )
     smallest = class_of.groupBy("label").agg(F.min("least").alias("component_id"))
-    found = class_of.join(smallest, "label").select("name", "component_id")
+    found = class_of.join(smallest, "label").select("name", "label", "component_id")
     rows = rows.drop("point")
     some = rows.filter("n_shingles > 0 and doc_id is not null").join(found, "name")
-    none = rows.filter("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
+    none = rows.filter("n_shingles = 0 or doc_id is null").withColumns(
+        {"label": F.lit(None).cast("long"), "component_id": F.col("doc_id")}
+    )
+    columns = ["doc_id", "digest", "n_shingles", "label", "component_id"]
     return some.select(*columns).union(none.select(*columns))
 
 
 def keep_one(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
-    """The rows of `docs` without those linked to a smaller doc_id; one row of each group stays.
+    """One row of `docs` of each group of linked texts: that of the smallest doc_id, of several with
+    that id the one with the smallest digest of its text. Columns and other rows stay.
 
-    Rows with a null doc_id stay; of rows repeated with one doc_id and text, one stays.
+    Every row is judged by its own text, also where rows share a doc_id. Of rows repeated with one
+    doc_id and text one stays, whatever their other columns. Rows without doc_id, and with a null,
+    empty or wordless text, link with nothing. An empty table gives no rows; other columns, of
+    whatever names, are passed on.
     """
-    of = jaccard_components(docs, k, share).filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    kept = kept.join(of, "doc_id", "left_anti").select(*docs.columns)
-    return kept.union(docs.filter("doc_id is null"))
+    columns = docs.columns
+    own, digest = _free("own", columns), _free("digest", columns)
+    rows = written(_classes(docs, k, share).filter("doc_id is not null"), "classes")
+    heads = rows.filter("label is not null").groupBy("label").agg(
+        F.min(F.struct("doc_id", "digest")).alias("head")
+    )
+    others = rows.join(heads, "label").filter(F.struct("doc_id", "digest") != F.col("head"))
+    repeated = rows.groupBy("doc_id", "digest").count().filter("count > 1")
+    # ids and digests are small beside the texts: written first, their exact size plans the joins
+    renamed = lambda df: df.select(F.col("doc_id").alias(own), F.col("digest").alias(digest))
+    dropped = written(renamed(others).distinct(), "dropped")
+    twice = written(renamed(repeated), "twice")
+    keyed = docs.withColumns({own: F.col("doc_id").cast("long"), digest: F.xxhash64("text")})
+    kept = keyed.join(dropped, [own, digest], "left_anti")
+    if not twice.isEmpty():
+        first = kept.join(twice, [own, digest], "left_semi").dropDuplicates([own, digest])
+        kept = kept.join(twice, [own, digest], "left_anti").unionByName(first)
+    return kept.select(*columns)
+
+
+def _free(name: str, columns: list[str]) -> str:
+    """A name that is none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name

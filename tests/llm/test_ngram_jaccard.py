@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from gridweave.llm import ngram_jaccard
 from gridweave.llm.ngram_jaccard import jaccard_components, keep_one
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -98,3 +99,45 @@ def test_keep_one(docs):
     kept = keep_one(docs(rows))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 7, 8, None]
+
+
+def test_a_large_group_of_near_copies_is_dealt_out(docs, monkeypatch):
+    """Its keys are common though the trial count does not see all of them, and links stay whole."""
+    monkeypatch.setattr(ngram_jaccard, "COMMON", 16)
+    rng = random.Random(6)
+    base = rng.choices(WORDS, k=150)
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 4, 6, 8])):
+            w[rng.randrange(150)] = f"n{i}"
+        rows.append((i, " ".join(w)))
+    frame = docs(rows)
+    classes = ngram_jaccard.frequency_classes(frame, 5, 75).tobytes()
+    assert any(ngram_jaccard.common_keys(frame, 5, 75, classes))
+    assert sorted(tuple(r) for r in jaccard_components(frame).collect()) == plain(rows)
+
+
+def test_an_id_with_two_texts(docs):
+    a, b, c = "a b c d e f g", "p q r s t u v", "p q r s t u w x y z"
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, c), (4, c), (5, None), (5, None), (5, "")]
+    frame = docs(rows).selectExpr("*", "1 as digest", "2 as own", "3 as label", "4 as component_id", "5 as head")
+    kept = keep_one(frame)
+    assert kept.columns == frame.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (4, c), (5, None), (5, "")], key=str)
+
+
+def test_near_copies_under_one_id(docs):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (1, " ".join(words[:-1])), (0, " ".join(words[1:]))]
+    assert [r.doc_id for r in keep_one(docs(rows)).collect()] == [0]
+    assert len(keep_one(docs(rows[:2])).collect()) == 1
+    assert keep_one(docs([])).collect() == []
+
+
+def test_very_long_texts(docs):
+    rng = random.Random(8)
+    long = rng.choices(WORDS, k=120_000)
+    rows = [(1, " ".join(long)), (2, " ".join(long[:100_000])), (3, " ".join(long[:70_000])), (4, "x" * 500_000)]
+    assert sorted(tuple(r) for r in jaccard_components(docs(rows)).collect()) == plain(rows)
