@@ -24,13 +24,16 @@ def scan_grid(field: DataFrame) -> DataFrame:
     )
 
 
-def grid_axes(field: DataFrame) -> DataFrame:
-    """One row: sorted arrays ``lats`` and ``lons`` of a rectilinear field or grid."""
+def grid_axes(field: DataFrame, *others: str) -> DataFrame:
+    """One row: sorted arrays ``lats`` and ``lons`` of a rectilinear field or grid, and other
+    aggregates with their names."""
     sets = field.selectExpr(
         f"array_sort(collect_set({clip_latitude('lat')})) AS lats",
         f"array_sort(collect_set({wrap_longitude('lon')})) AS lons",
+        *others,
     )
-    return sets.selectExpr(_distinct_values("lats"), _distinct_values("lons"))
+    names = [c for c in sets.columns if c not in ("lats", "lons")]
+    return sets.selectExpr(_distinct_values("lats"), _distinct_values("lons"), *names)
 
 
 def _distinct_values(a: str) -> str:
@@ -40,8 +43,20 @@ def _distinct_values(a: str) -> str:
 
 
 def known_axes(field: DataFrame) -> DataFrame:
-    """The same row, kept: latitudes and longitudes are used apart, the field is read once."""
-    return grid_axes(field).persist()
+    """The same row, kept: latitudes and longitudes are used apart, the field is read once.
+
+    Weights by axes need a rectilinear field: one whose cells are the product of its axes. Cells may
+    be missing, as under a mask, but where less than half of the product is there, as with scattered
+    points, using the axes is an error.
+    """
+    cells = scan_grid(field)
+    counted = grid_axes(cells, "count(*) AS n")
+    wrong = "not a rectilinear grid: its cells are less than half of the product of its axes"
+    return counted.selectExpr(
+        f"""CASE WHEN 2 * n >= size(lats) * size(lons) THEN lats
+            ELSE CAST(raise_error('{wrong}') AS ARRAY<DOUBLE>) END AS lats""",
+        "lons",
+    ).persist()
 
 
 def axis_segments(axes: DataFrame, name: str, periodic: bool = False) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from gridweave.sources.fields import (
 from gridweave.sources.store import (
     attach_attrs,
     attrs_table,
+    grid_fingerprint,
     load_or_make_weights,
     read_attrs,
     write_attrs,
@@ -159,6 +161,88 @@ def interpolate_and_fill(
     )
 
 
+def interpolate_variables(
+    sources: Mapping[str, tuple[DataFrame, DataFrame]], geopotential: DataFrame,
+    geopotential_weights: DataFrame, target: DataFrame, heights: DataFrame, box: Box | None = None,
+    strict: bool = True, missing: str = "break",
+) -> DataFrame:
+    """The configured version for several variables of one target grid, in one plan.
+
+    ``sources`` has a field (time, lev_idx, lat, lon, value) and its weights per variable, each on its
+    own grid and with its own method. ``target`` has the column ``var`` besides those of a field. The
+    result has the rows of the target inside the box, with ``var``: see ``interpolate_and_fill``.
+
+    All variables and the geopotential are regridded by one aggregation: the geopotential is read,
+    weighted and summed once, however many variables need it. One exchange brings the columns of all
+    variables together. ``strict`` makes two jobs, whatever the number of variables.
+    """
+    names = list(sources)
+    fields = {v: filter_synoptic(clip_latitude(df)) for v, (df, _) in sources.items()}
+    geopotential, target = filter_synoptic(clip_latitude(geopotential)), clip_latitude(target)
+    weights = {v: w for v, (_, w) in sources.items()}
+    if strict:
+        _require_same_times(fields, geopotential, target)
+        _require_common_cells(
+            {**{v: (fields[v], weights[v]) for v in names}, "geopotential": (geopotential, geopotential_weights)}
+        )
+    # numbered columns: names of variables may be any text
+    moved = regrid_streams(
+        [(fields[v].withColumnRenamed("value", f"_v{i}"), weights[v], [f"_v{i}"]) for i, v in enumerate(names)]
+        + [(geopotential.withColumnRenamed("value", "geopotential"), geopotential_weights, ["geopotential"])]
+    )
+    each = F.explode(
+        F.array(*[F.struct(F.lit(v).alias("var"), F.col(f"_v{i}").alias("value")) for i, v in enumerate(names)])
+    )
+    profiles = moved.select(
+        "time", "lev_idx", "dst_id", geopotential_height(F.col("geopotential")).alias("z"), each.alias("_e")
+    ).select("time", "lev_idx", "dst_id", "z", "_e.var", "_e.value")
+    own = (filter_bbox(target, box) if box is not None else target).withColumn(
+        "dst_id", F.expr(cell_id("lat", "lon"))
+    )
+    carried = [c for c in ("lev",) if c in own.columns]
+    points = own.selectExpr("var", "dst_id", *POINT, *carried, "value AS own")
+    keys = [c for c in ("time", "dst_id", "lev_idx") if c in heights.columns]
+    if "time" in keys:
+        points = points.join(heights.select(*keys, "zfull"), keys, "left")
+    else:
+        points = _with_static_heights(points, heights)
+    lines = vertical_interpolation(
+        profiles, points, x="zfull", columns=("var", "time", "dst_id"), missing=missing
+    )
+    return lines.selectExpr(
+        "var", "time", "dst_id", "lev_idx", *carried, "lat", "lon", "coalesce(value, own) AS value"
+    )
+
+
+def _require_same_times(fields: Mapping[str, DataFrame], geopotential: DataFrame, target: DataFrame) -> None:
+    """Raise when a variable or the geopotential does not have the times of its target: one job."""
+    times = target.select("var", "time").distinct()
+    inputs = [df.select(F.lit(v).alias("var"), "time") for v, df in fields.items()]
+    # the geopotential stands beside every variable
+    every = F.explode(F.array(*[F.lit(f"geopotential of {v}") for v in fields])).alias("var")
+    inputs.append(geopotential.select("time").distinct().select(every, "time"))
+    wanted = times.union(times.select(F.concat(F.lit("geopotential of "), "var"), "time"))
+    have = reduce(DataFrame.union, inputs).distinct()
+    wrong = unmatched(have, wanted, ["var", "time"]).select("var").distinct().limit(1).collect()
+    if wrong:
+        raise ValueError(f"{wrong[0]['var']} and target do not have the same times")
+
+
+def _require_common_cells(inputs: Mapping[str, tuple[DataFrame, DataFrame]]) -> None:
+    """Raise when no cell of one of the fields is in its weights: one job for all of them."""
+    met = [
+        df.selectExpr(f"{cell_id('lat', 'lon')} AS src_id")
+        .join(weights.select("src_id"), "src_id", "left_semi")
+        .limit(1)
+        .select(F.lit(name).alias("name"))
+        for name, (df, weights) in inputs.items()
+    ]
+    found = {r["name"] for r in reduce(DataFrame.union, met).collect()}
+    for name in inputs:
+        if name not in found:
+            raise ValueError(f"no cell of the {name} meets its weights")
+
+
 def _with_static_heights(points: DataFrame, heights: DataFrame) -> DataFrame:
     """Heights of a cell's levels reach the target rows as one short map per cell: the join is on the
     cell alone, by far fewer rows than the field has."""
@@ -221,19 +305,27 @@ def run_surface(
     return discover_months(spark, job.input_path, input_var, *job.years)
 
 
-def run_interpolation(
+@dataclass(frozen=True)
+class Group:
+    """Target variables of one grid, and the plan that makes them all."""
+
+    variables: tuple[str, ...]
+    result: DataFrame
+    attrs: Mapping[str, Mapping[str, str]]
+    kept: Sequence[DataFrame]
+
+
+def plan_interpolation(
     spark: SparkSession, job: Job, heights: DataFrame, stagger: Sequence[str] = WIND
-) -> None:
-    """Interpolate and store every variable of the job, all years and months in one plan each.
+) -> Iterator[Group]:
+    """The plans of ``run_interpolation``, one for all variables that share a target grid.
 
-    ``heights`` has lat, lon, lev_idx, zfull and maybe time, on the grid of the mass variables;
-    for the staggered variables they are regridded first. A month of the target without input
-    is an error. Finding the cells is one pass over the coordinate columns of input and target;
-    the cells are then kept, being few.
+    Each is made when it is asked for, as the strict checks run then.
     """
+    targets: dict[tuple[str, bool], list[str]] = {}
+    grids: dict[str, DataFrame] = {}
     for target_var in job.target_vars:
         input_var = map_variable(target_var, job.input_model)
-        method = regrid_method(input_var)
         wanted = filter_years(available_months(spark, job.target_path, target_var), *job.years)
         require_nonempty(wanted, f"variable {target_var}")
         for path, var in (
@@ -242,35 +334,67 @@ def run_interpolation(
             lacking = wanted.join(available_months(spark, path, var), ["year", "month"], "left_anti")
             if not lacking.isEmpty():
                 raise ValueError(f"target months without input of variable {var}")
+        grids[target_var] = scan_grid(scan_field(spark, job.target_path, target_var, job.years)).persist()
+        targets.setdefault((grid_fingerprint(grids[target_var]), target_var in stagger), []).append(target_var)
 
-        values = scan_field(spark, job.input_path, input_var, job.years)
-        geopotential = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)
-        target = scan_field(spark, job.target_path, target_var, job.years)
-        kept = [scan_grid(df).persist() for df in (values, geopotential, target)]
-        src_grid, z_grid, whole_grid = kept
+    geopotential = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)
+    z_grid = scan_grid(geopotential).persist()
+    for (_, staggered), names in targets.items():
+        whole_grid = grids[names[0]]
         grid = filter_bbox(whole_grid, job.box) if job.box else whole_grid
+        kept = [z_grid] + [grids[v] for v in names]
 
-        def stored(method: str, cells: DataFrame) -> DataFrame:
+        def stored(method: str, cells: DataFrame, grid=grid, whole_grid=whole_grid) -> DataFrame:
             return load_or_make_weights(
                 spark, job.weights_path, _weights_key(method, job), cells, [grid, whole_grid],
                 lambda: build_weights(method, cells, whole_grid, grid, job.periodic),
             )
 
-        if target_var in stagger:
+        sources, attrs = {}, {}
+        for v in names:
+            input_var = map_variable(v, job.input_model)
+            values = scan_field(spark, job.input_path, input_var, job.years)
+            kept.append(scan_grid(values).persist())
+            sources[v] = (values, stored(regrid_method(input_var), kept[-1]))
+            attrs[v] = {
+                **read_attrs(spark, f"{job.input_path}_attrs", input_var), "interpolation_to": job.target_name,
+            }
+        if staggered:
+            # heights go with the method of the variables, which winds share
             kept.append(scan_grid(heights).persist())
+            method = regrid_method(map_variable(names[0], job.input_model))
             on_grid = regrid_heights(heights, stored(method, kept[-1]))
         else:
             on_grid = with_cells(heights)
-        filled = interpolate_and_fill(
-            values, target, on_grid, method, job.box, job.years,
-            {method: stored(method, src_grid)}, job.periodic, job.strict,
-            geopotential.withColumnRenamed("value", "geopotential"), stored("bilinear", z_grid),
-            job.missing,
+        target = reduce(
+            DataFrame.unionByName, [scan_field(spark, job.target_path, v, job.years) for v in names]
+        )
+        filled = interpolate_variables(
+            sources, geopotential, stored("bilinear", z_grid), target, on_grid, job.box, job.strict, job.missing
+        )
+        out = filled.selectExpr(
+            "time", *[c for c in ("lev_idx", "lev") if c in filled.columns], "lat", "lon", "value", "var",
+            "year(time) AS year", "month(time) AS month",
         )
-        out = build_output(filled, target_var, "value")
-        attrs = {**read_attrs(spark, f"{job.input_path}_attrs", input_var)}
-        attrs["interpolation_to"] = job.target_name
-        write_field(attach_attrs(out, "value", attrs), job.output_path)
-        write_attrs(attrs_table(spark, target_var, attrs), f"{job.output_path}_attrs")
-        for df in kept:
+        yield Group(tuple(names), out, attrs, kept)
+
+
+def run_interpolation(
+    spark: SparkSession, job: Job, heights: DataFrame, stagger: Sequence[str] = WIND
+) -> None:
+    """Interpolate and store every variable of the job, all years and months in one plan for all
+    variables that share a target grid.
+
+    ``heights`` has lat, lon, lev_idx, zfull and maybe time, on the grid of the mass variables;
+    for the staggered variables they are regridded first. A month of the target without input
+    is an error. Finding the cells is one pass over the coordinate columns of each input and target;
+    the cells are then kept, being few. The geopotential is read and regridded once per target grid.
+    """
+    for group in plan_interpolation(spark, job, heights, stagger):
+        # a column of one variable carries all of its attributes, the table those of each
+        shared = dict(set.intersection(*[set(a.items()) for a in group.attrs.values()]))
+        write_field(attach_attrs(group.result, "value", shared), job.output_path)
+        for var, attrs in group.attrs.items():
+            write_attrs(attrs_table(spark, var, attrs), f"{job.output_path}_attrs")
+        for df in group.kept:
             df.unpersist()

@@ -624,3 +624,10 @@ ORACLE["stored_job_wind"] = _stored(
 ORACLE["stored_job_humidity"] = _stored(
     "fld AS (SELECT * FROM src)", conservative("w"), "humidity", 8
 )
+ORACLE["stored_job_all"] = " UNION ALL ".join(
+    f"SELECT *, '{var}' AS var FROM ({sql})"
+    for var, sql in (
+        ("ta", _stored("fld AS (SELECT * FROM src)", bilinear("fld", "tgt", "w", "inside"), "value", 6)),
+        ("hus", ORACLE["stored_job_humidity"]),
+    )
+)

@@ -695,6 +695,34 @@ def stored_job_humidity(spark, sf):
     return shown(out.select("time", "lev_idx", "lev", "lat", "lon", "value"), value=8)
 
 
+@query
+def stored_job_all(spark, sf):
+    """Two variables of one run, each with its own method, beside one geopotential."""
+    folder = store.shared_folder(spark, "all")
+    source = t.source_field(spark, sf)
+    target = t.target_field(spark, sf).withColumn("lev", F.col("lev_idx") * 10.0)
+    for target_var, var, value in (("ta", "t", "value"), ("hus", "q", "humidity")):
+        store.write_field(coordinates.build_output(source, var, value), f"{folder}/source")
+        store.write_field(coordinates.build_output(target, target_var, "value"), f"{folder}/target")
+    z = t.staggered_geopotential(spark, sf)
+    store.write_field(coordinates.build_output(z, "z", "geopotential"), f"{folder}/z")
+    job = jobs.Job(
+        f"{folder}/source", f"{folder}/z", f"{folder}/target", f"{folder}/out",
+        f"{folder}/weights", ("ta", "hus"), years=(1996, 2000), box=BOX, strict=False,
+    )
+    jobs.run_interpolation(spark, job, t.static_heights(spark, sf))
+    out = [
+        shown(
+            fields.scan_field(spark, job.output_path, var).select(
+                "time", "lev_idx", "lev", "lat", "lon", "value", "var"
+            ),
+            value=digits,
+        )
+        for var, digits in (("ta", 6), ("hus", 8))
+    ]
+    return out[0].unionByName(out[1])
+
+
 @query
 def attrs(spark, sf):
     """Attributes stored with a field: the input's, and the target model's name."""

@@ -189,6 +189,60 @@ def test_stored_job_end_to_end(spark, tmp_path):
         jobs.run_interpolation(spark, job, same)
 
 
+def test_one_pass_over_the_geopotential(spark, tmp_path):
+    """Variables of one target grid are one plan: it reads and regrids the geopotential once."""
+    paths = [str(tmp_path / n) for n in ("in", "gcm", "out", "w")]
+    for k, var in enumerate(("t", "q", "u", "v", "z")):
+        store.write_field(small_field(spark, var, lambda lev, a, b, k=k: 10.0 * lev + k), paths[0])
+    for var in ("ta", "hus", "ua", "va"):
+        store.write_field(
+            small_field(spark, var, lambda k, a, b: 0.0, lats=(5.0, 12.0), lons=(2.5, 7.5), levels=2), paths[1]
+        )
+    zfull = spark.createDataFrame(
+        [(a, b, k, 1.0 + k) for a in (4.0, 14.0) for b in (2.0, 8.0) for k in (0, 1)],
+        "lat double, lon double, lev_idx int, zfull double",
+    )
+    job = jobs.Job(paths[0], paths[0], paths[1], paths[2], paths[3], years=(2000, 2000))
+    groups = list(jobs.plan_interpolation(spark, job, zfull))
+    assert [g.variables for g in groups] == [("hus", "ta"), ("ua", "va")]
+    for group in groups:
+        plan = group.result._jdf.queryExecution().sparkPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "PartitionFilters" in line]
+        assert sum("= z)" in line for line in scans) == 1
+        # one aggregation for all sums, and heights
+        assert plan.count("sum(") >= 3
+
+
+def test_variables_of_a_run_do_not_touch_each_other(spark, tmp_path):
+    """A run of two variables gives what two runs give, also where one of them lacks values."""
+    paths = [str(tmp_path / n) for n in ("in", "gcm", "out", "w")]
+    store.write_field(small_field(spark, "t", lambda k, a, b: k + a), paths[0])
+    store.write_field(small_field(spark, "q", lambda k, a, b: float("nan") if k == 1 else 2.0 * k), paths[0])
+    store.write_field(small_field(spark, "z", lambda k, a, b: 9.80665 * 10 * k), paths[0])
+    for var in ("ta", "hus"):
+        store.write_field(
+            small_field(spark, var, lambda k, a, b: -1.0, lats=(5.0,), lons=(5.0,), levels=2), paths[1]
+        )
+    zfull = spark.createDataFrame(
+        [(5.0, 5.0, 0, 5.0), (5.0, 5.0, 1, 15.0)], "lat double, lon double, lev_idx int, zfull double"
+    )
+    job = jobs.Job(paths[0], paths[0], paths[1], paths[2], paths[3], ("ta", "hus"), years=(2000, 2000))
+    jobs.run_interpolation(spark, job, zfull)
+    for var in job.target_vars:
+        alone = jobs.Job(**{**job.__dict__, "target_vars": (var,), "output_path": f"{paths[2]}_{var}"})
+        jobs.run_interpolation(spark, alone, zfull)
+        both, one = (
+            sorted(map(str, fields.scan_field(spark, p, var).collect())) for p in (paths[2], alone.output_path)
+        )
+        assert both == one and both
+    with pytest.raises(ValueError, match="same times"):
+        late = small_field(spark, "t", lambda k, a, b: 1.0, (8,))
+        store.write_field(late, paths[0])
+        store.write_field(small_field(spark, "q", lambda k, a, b: 1.0, (8,)), paths[0])
+        store.write_field(small_field(spark, "z", lambda k, a, b: 1.0, (8,)), paths[0])
+        list(jobs.plan_interpolation(spark, job, zfull))
+
+
 def test_reformat_restores_names(spark, tmp_path):
     path = str(tmp_path / "back")
     store.reformat(small_field(spark, "t", lambda k, a, b: 1.0), {"t": "ta"}, {"units": "K"}, path)

@@ -205,3 +205,17 @@ def test_curvilinear_targets(spark):
     got = by_cell(regrid(plane, w))
     assert len(got) == 100
     assert all(v == pytest.approx(2 * a + b, abs=1e-5) for (a, b), v in got.items())
+
+
+def test_scattered_points_are_no_source_grid(spark):
+    points = spark.createDataFrame([(1.0, 1.0), (2.0, 5.0), (3.0, 3.0), (4.0, 9.0)], "lat double, lon double")
+    target = spark.createDataFrame([(2.5, 4.0)], "lat double, lon double")
+    with pytest.raises(Exception, match="not a rectilinear grid"):
+        weights.build_weights("bilinear", points, target).collect()
+
+
+def test_a_grid_with_missing_cells_is_still_a_grid(spark):
+    cells = [(float(a), float(b)) for a in range(4) for b in range(4) if (a, b) != (2, 2)]
+    source = spark.createDataFrame(cells, "lat double, lon double")
+    target = spark.createDataFrame([(0.5, 0.5)], "lat double, lon double")
+    assert weights.build_weights("bilinear", source, target).count() == 4
