@@ -25,7 +25,7 @@ def distinct_by_row(
     return both & (DIM - 1), np.searchsorted(both, np.arange(n_rows + 1) * DIM)
 
 
-def word_features(texts: pa.Array, prefixes: tuple[int, ...] = (4, 5)):
+def word_features(texts: pa.Array, prefixes: tuple[int, ...] = (4, 5, 6, 7)):
     """Yields (first row, last row + 1, feature numbers, offsets): a text's words and word starts."""
     for a, b, hashes, offs, short in words(texts, PLAIN, prefixes):
         rows = np.repeat(np.arange(b - a), np.diff(offs))
