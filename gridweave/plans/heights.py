@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridweave.functions import physics
 from gridweave.functions.coords import cell_id
 from gridweave.operators.regrid import regrid
+from gridweave.operators.coordinates import clip_latitude, with_coordinates
+from gridweave.operators.selection import Box, filter_bbox
 from gridweave.operators.vertical import COLUMNS, hypsometric_heights
+from gridweave.sources.fields import scan_field, scan_heights, scan_static
+from gridweave.sources.store import read_levels
 
 # Standard names of vertical coordinates
 HYBRID_HEIGHT = ("atmosphere_hybrid_height_coordinate", "hybrid height coordinate")
@@ -71,6 +75,65 @@ def target_heights(
     raise ValueError(f"unknown vertical coordinate: {standard_name}")
 
 
+def stored_heights(
+    spark: SparkSession, target_path: str, var: str, years: tuple[int, int] | None = None,
+    box: Box | None = None, heights_path: str | None = None, q: str | None = None,
+    order: str = "lev_idx",
+) -> DataFrame:
+    """Heights lat, lon, lev_idx, zfull (and time) of the levels of a stored target variable.
+
+    The kind of its levels is stored beside it (``write_levels``). Hybrid heights are the static field
+    ``zfull`` of ``heights_path``. Heights of sigma-pressure levels are read from there, if it is given;
+    else they are computed from the target's own ``ta`` and ``ps``, and its humidity ``q`` if that is
+    named: all rows of a column meet in one exchange, by time and cell, in which pressure and
+    humidity are stacked on the temperature, not joined.
+    """
+    levels = read_levels(spark, f"{target_path}_levels", var)
+    kinds = [r["standard_name"] for r in levels.select("standard_name").distinct().limit(2).collect()]
+    if len(kinds) != 1:
+        raise ValueError(f"variable {var} has {'no' if not kinds else 'several'} kinds of levels in {target_path}_levels")
+
+    def inside(df: DataFrame) -> DataFrame:
+        df = clip_latitude(df)
+        return filter_bbox(df, box) if box is not None else df
+
+    if heights_path is not None:
+        if kinds[0] in HYBRID_HEIGHT:
+            stored = scan_static(spark, heights_path, "zfull").withColumnRenamed("value", "zfull")
+            return inside(stored).select("lat", "lon", "lev_idx", "zfull")
+        stored = scan_heights(spark, heights_path, "zfull", years)
+        return target_heights(kinds[0], stored=inside(stored).select("time", "lat", "lon", "lev_idx", "zfull"))
+    if kinds[0] not in HYBRID_SIGMA_PRESSURE:
+        return target_heights(kinds[0])  # raises: nothing to take them from
+
+    def part(name: str, column: str) -> DataFrame:
+        df = with_cells(inside(scan_field(spark, target_path, name, years)))
+        level = "lev_idx" if column != "ps" else "CAST(NULL AS INT) AS lev_idx"
+        return df.selectExpr("time", "dst_id", level, f"value AS {column}")
+
+    parts = [part("ta", "ta"), part("ps", "ps")] + ([part(q, "q")] if q else [])
+    stacked = parts[0]
+    for other in parts[1:]:
+        stacked = stacked.unionByName(other, allowMissingColumns=True)
+    # a column's rows lie together from here on: pressure is the value of the row without level, and
+    # a level's temperature and humidity are merged within the column
+    column = "PARTITION BY dst_id, time"
+    model = (
+        stacked.repartition("dst_id", "time")
+        .selectExpr(
+            "time", "dst_id", "lev_idx", f"max(ps) OVER ({column}) AS ps",
+            f"max(ta) OVER ({column}, lev_idx) AS ta",
+            *([f"max(q) OVER ({column}, lev_idx) AS q", "ta IS NOT NULL AS _level"] if q else ["true AS _level"]),
+        )
+        .where("lev_idx IS NOT NULL AND _level")
+        .drop("_level")
+    )
+    made = target_heights(
+        kinds[0], model=model, coefficients=levels.select("lev_idx", "ap", "b"), q="q" if q else None, order=order
+    )
+    return with_coordinates(made).drop("dst_id")
+
+
 def regrid_heights(heights: DataFrame, weights: DataFrame, skip: bool = False) -> DataFrame:
     """Heights on the staggered grid of a wind component.
 

@@ -24,7 +24,7 @@ from gridweave.operators.resample import resample_mean
 from gridweave.operators.selection import Box, filter_bbox, filter_synoptic, filter_years
 from gridweave.operators.vertical import vertical_interpolation
 from gridweave.operators.weights import build_weights
-from gridweave.plans.heights import regrid_heights, with_cells
+from gridweave.plans.heights import regrid_heights, stored_heights, with_cells
 from gridweave.sources.fields import (
     available_months,
     discover_months,
@@ -80,7 +80,9 @@ def interpolate_to_levels(
     means = resample_mean(source, every, ("lev_idx", "lat", "lon"), ("value", "geopotential"))
     moved = regrid(means, weights, ["value", "geopotential"])
     profiles = moved.withColumn("z", geopotential_height(F.col("geopotential")))
-    wanted = at_every_step(means.select("time").distinct(), heights.select("dst_id", "lev_idx", "zfull"))
+    # the steps of the means without making the means a second time
+    steps = source.selectExpr(f"window(time, '{every}').start AS time").where("time IS NOT NULL").distinct()
+    wanted = at_every_step(steps, heights.select("dst_id", "lev_idx", "zfull"))
     return vertical_interpolation(profiles, wanted, x="zfull", above="extrapolate").drop("zfull")
 
 
@@ -150,11 +152,7 @@ def interpolate_and_fill(
     carried = [c for c in ("lev",) if c in own.columns]
     points = own.selectExpr("dst_id", *POINT, *carried, "value AS own", *(["zfull"] if heights is None else []))
     if heights is not None:
-        keys = [c for c in ("time", "dst_id", "lev_idx") if c in heights.columns]
-        if "time" in keys:
-            points = points.join(heights.select(*keys, "zfull"), keys, "left")
-        else:
-            points = _with_static_heights(points, heights)
+        points = _with_heights(points, heights)
     lines = vertical_interpolation(profiles, points, x="zfull", missing=missing)
     return lines.selectExpr(
         "time", "dst_id", "lev_idx", *carried, "lat", "lon", "coalesce(value, own) AS value"
@@ -201,11 +199,7 @@ def interpolate_variables(
     )
     carried = [c for c in ("lev",) if c in own.columns]
     points = own.selectExpr("var", "dst_id", *POINT, *carried, "value AS own")
-    keys = [c for c in ("time", "dst_id", "lev_idx") if c in heights.columns]
-    if "time" in keys:
-        points = points.join(heights.select(*keys, "zfull"), keys, "left")
-    else:
-        points = _with_static_heights(points, heights)
+    points = _with_heights(points, heights)
     lines = vertical_interpolation(
         profiles, points, x="zfull", columns=("var", "time", "dst_id"), missing=missing
     )
@@ -243,13 +237,14 @@ def _require_common_cells(inputs: Mapping[str, tuple[DataFrame, DataFrame]]) ->
             raise ValueError(f"no cell of the {name} meets its weights")
 
 
-def _with_static_heights(points: DataFrame, heights: DataFrame) -> DataFrame:
-    """Heights of a cell's levels reach the target rows as one short map per cell: the join is on the
-    cell alone, by far fewer rows than the field has."""
-    maps = heights.where("zfull IS NOT NULL").groupBy("dst_id").agg(
+def _with_heights(points: DataFrame, heights: DataFrame) -> DataFrame:
+    """Heights of a column's levels reach the target rows as one short map per cell (and time): the
+    join is on the column alone, by far fewer rows than the field has."""
+    keys = [c for c in ("time", "dst_id") if c in heights.columns]
+    maps = heights.where("zfull IS NOT NULL").groupBy(*keys).agg(
         F.expr("map_from_entries(collect_list(struct(lev_idx, zfull))) AS _z")
     )
-    return points.join(maps, "dst_id", "left").withColumn(
+    return points.join(maps, keys, "left").withColumn(
         "zfull", F.expr("element_at(_z, lev_idx)")
     ).drop("_z")
 
@@ -279,6 +274,10 @@ class Job:
     periodic: bool = False
     strict: bool = True
     missing: str = "break"
+    #: stored heights of the target's levels; without them sigma-pressure levels are computed
+    heights_path: str | None = None
+    #: the target's humidity, for moist heights of sigma-pressure levels
+    humidity_var: str | None = None
 
 
 def _weights_key(method: str, job: Job) -> str:
@@ -316,7 +315,7 @@ class Group:
 
 
 def plan_interpolation(
-    spark: SparkSession, job: Job, heights: DataFrame, stagger: Sequence[str] = WIND
+    spark: SparkSession, job: Job, heights: DataFrame | None = None, stagger: Sequence[str] = WIND
 ) -> Iterator[Group]:
     """The plans of ``run_interpolation``, one for all variables that share a target grid.
 
@@ -359,13 +358,20 @@ def plan_interpolation(
             attrs[v] = {
                 **read_attrs(spark, f"{job.input_path}_attrs", input_var), "interpolation_to": job.target_name,
             }
+        levels = heights
+        if levels is None:
+            # staggered variables need heights around their box as well
+            levels = stored_heights(
+                spark, job.target_path, names[0], job.years, None if staggered else job.box,
+                job.heights_path, job.humidity_var,
+            )
         if staggered:
             # heights go with the method of the variables, which winds share
-            kept.append(scan_grid(heights).persist())
+            kept.append(scan_grid(levels).persist())
             method = regrid_method(map_variable(names[0], job.input_model))
-            on_grid = regrid_heights(heights, stored(method, kept[-1]))
+            on_grid = regrid_heights(levels, stored(method, kept[-1]))
         else:
-            on_grid = with_cells(heights)
+            on_grid = with_cells(levels)
         target = reduce(
             DataFrame.unionByName, [scan_field(spark, job.target_path, v, job.years) for v in names]
         )
@@ -380,14 +386,15 @@ def plan_interpolation(
 
 
 def run_interpolation(
-    spark: SparkSession, job: Job, heights: DataFrame, stagger: Sequence[str] = WIND
+    spark: SparkSession, job: Job, heights: DataFrame | None = None, stagger: Sequence[str] = WIND
 ) -> None:
     """Interpolate and store every variable of the job, all years and months in one plan for all
     variables that share a target grid.
 
     ``heights`` has lat, lon, lev_idx, zfull and maybe time, on the grid of the mass variables;
-    for the staggered variables they are regridded first. A month of the target without input
-    is an error. Finding the cells is one pass over the coordinate columns of each input and target;
+    without it the job takes what the target's levels are from beside the stored target, and reads
+    or computes their heights, see ``stored_heights``. For the staggered variables heights are
+    regridded first. A month of the target without input is an error. Finding the cells is one pass over the coordinate columns of each input and target;
     the cells are then kept, being few. The geopotential is read and regridded once per target grid.
     """
     for group in plan_interpolation(spark, job, heights, stagger):

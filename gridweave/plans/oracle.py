@@ -631,3 +631,5 @@ ORACLE["stored_job_all"] = " UNION ALL ".join(
         ("hus", ORACLE["stored_job_humidity"]),
     )
 )
+ORACLE["stored_job_sigma"] = f"""SELECT * FROM ({ORACLE["interp3d_v2_sigma"]})
+  WHERE time >= '1996' AND time < '2001'"""

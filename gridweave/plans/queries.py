@@ -723,6 +723,30 @@ def stored_job_all(spark, sf):
     return out[0].unionByName(out[1])
 
 
+@query
+def stored_job_sigma(spark, sf):
+    """A target on sigma-pressure levels: the job finds their kind beside the field and computes heights."""
+    folder = store.shared_folder(spark, "sigma")
+    source, target = t.source_field(spark, sf), t.target_field(spark, sf)
+    for var, value in (("u", "value"), ("z", "geopotential")):
+        store.write_field(coordinates.build_output(source, var, value), f"{folder}/source")
+    store.write_field(coordinates.build_output(target, "ua", "value"), f"{folder}/target")
+    warm = target.withColumn("value", F.lit(230.0) + F.col("value"))
+    store.write_field(coordinates.build_output(warm, "ta", "value"), f"{folder}/target")
+    pressure = t.target_surface_pressure(spark, sf)
+    store.write_field(coordinates.build_output(pressure, "ps", "ps"), f"{folder}/target")
+    store.write_levels(
+        t.sigma_levels(spark), "ua", "atmosphere_hybrid_sigma_pressure_coordinate", f"{folder}/target_levels"
+    )
+    job = jobs.Job(
+        f"{folder}/source", f"{folder}/source", f"{folder}/target", f"{folder}/out",
+        f"{folder}/weights", ("ua",), years=(1996, 2000), strict=False,
+    )
+    jobs.run_interpolation(spark, job, stagger=())
+    out = fields.scan_field(spark, job.output_path, "ua")
+    return shown(out.select("time", "lev_idx", "lat", "lon", "value"))
+
+
 @query
 def attrs(spark, sf):
     """Attributes stored with a field: the input's, and the target model's name."""

@@ -48,6 +48,17 @@ FIELD_ATTRS = T.StructType(
 )
 
 
+LEVELS = T.StructType(
+    [
+        T.StructField("var", T.StringType()),
+        T.StructField("standard_name", T.StringType()),
+        T.StructField("lev_idx", T.IntegerType()),
+        T.StructField("ap", T.DoubleType()),
+        T.StructField("b", T.DoubleType()),
+    ]
+)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to ``schema``; a missing column is an error."""
     missing = [f.name for f in schema if f.name not in df.columns]

@@ -139,6 +139,21 @@ def read_attrs(spark: SparkSession, path: str, var: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in rows.collect()}
 
 
+def write_levels(levels: DataFrame, var: str, standard_name: str, path: str) -> None:
+    """Kind of a variable's levels, stored beside the field, with the coefficients of sigma-pressure
+    levels: ``levels`` has lev_idx, and ap and b where the kind has them."""
+    lacking = {c: F.lit(None).cast("double") for c in ("ap", "b") if c not in levels.columns}
+    rows = levels.withColumns({**lacking, "var": F.lit(var), "standard_name": F.lit(standard_name)})
+    schema.conform(rows, schema.LEVELS).write.partitionBy("var").option(
+        "partitionOverwriteMode", "dynamic"
+    ).mode("overwrite").parquet(path)
+
+
+def read_levels(spark: SparkSession, path: str, var: str) -> DataFrame:
+    """Stored levels of a variable: standard_name, lev_idx, ap, b."""
+    return spark.read.schema(schema.LEVELS).parquet(path).where(F.col("var") == var).drop("var")
+
+
 def write_attrs(df: DataFrame, path: str) -> None:
     df.write.partitionBy("var").option("partitionOverwriteMode", "dynamic").mode(
         "overwrite"

@@ -1,6 +1,7 @@
 """Names, filters, alignment, stores, jobs."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -243,6 +244,35 @@ def test_variables_of_a_run_do_not_touch_each_other(spark, tmp_path):
         list(jobs.plan_interpolation(spark, job, zfull))
 
 
+def test_kinds_of_levels_of_a_stored_target(spark, tmp_path):
+    path = str(tmp_path / "gcm")
+    levels = spark.createDataFrame([(0, 0.0, 1.0), (1, 0.0, 0.5)], "lev_idx int, ap double, b double")
+    sigma = "atmosphere_hybrid_sigma_pressure_coordinate"
+    with_t = small_field(spark, "ta", lambda k, a, b: 250.0, levels=2)
+    store.write_field(with_t, path)
+    store.write_field(small_field(spark, "ps", lambda k, a, b: 1e5, levels=1), path)
+    store.write_field(small_field(spark, "hus", lambda k, a, b: 0.01, levels=2), path)
+    store.write_levels(levels, "ta", sigma, f"{path}_levels")
+    store.write_levels(levels.select("lev_idx"), "old", "some other coordinate", f"{path}_levels")
+    dry = heights.stored_heights(spark, path, "ta", (2000, 2000)).collect()
+    thick = 287.05 / 9.80665 * 250.0 * math.log(2)
+    assert len(dry) == with_t.count()
+    assert all(r["zfull"] == pytest.approx(thick if r["lev_idx"] else 0.0) for r in dry)
+    moist = heights.stored_heights(spark, path, "ta", (2000, 2000), q="hus").collect()
+    assert len(moist) == len(dry)
+    assert {round(r["zfull"], 6) for r in moist if r["lev_idx"]} == {round(thick * (1 + 0.609133 * 0.01), 6)}
+    few = heights.stored_heights(spark, path, "ta", (2000, 2000), selection.Box(0.0, 5.0, 0.0, 5.0))
+    assert {(r["lat"], r["lon"]) for r in few.collect()} == {(0.0, 0.0)}
+    static = small_field(spark, "zfull", lambda k, a, b: 7.0 * k, levels=2).drop("time", "year", "month").distinct()
+    store.write_static(static, str(tmp_path / "fx"))
+    store.write_levels(levels.select("lev_idx"), "ua", "hybrid height coordinate", f"{path}_levels")
+    fixed = heights.stored_heights(spark, path, "ua", heights_path=str(tmp_path / "fx"))
+    assert "time" not in fixed.columns and {(r["lev_idx"], r["zfull"]) for r in fixed.collect()} == {(0, 0.0), (1, 7.0)}
+    for var, why in (("va", "no kinds"), ("old", "unknown vertical"), ("ua", "need the static")):
+        with pytest.raises(ValueError, match=why):
+            heights.stored_heights(spark, path, var)
+
+
 def test_reformat_restores_names(spark, tmp_path):
     path = str(tmp_path / "back")
     store.reformat(small_field(spark, "t", lambda k, a, b: 1.0), {"t": "ta"}, {"units": "K"}, path)
