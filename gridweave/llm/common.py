@@ -32,3 +32,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """A name that is none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name

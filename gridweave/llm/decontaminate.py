@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.llm.common import written
+from gridweave.llm.common import free_name, written
 from gridweave.llm.textvec import PLAIN, grams, sequence, words
 
 BITS = 22  # of the table of seeds: 512 KB, however large the benchmark
@@ -223,11 +223,18 @@ def contamination(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, k: int = 5, coverage: float = 0.5) -> DataFrame:
-    """The rows of `docs`, all columns, without documents that leak an item. Rows without doc_id stay."""
+    """The rows of `docs`, all columns, without documents that leak an item.
+
+    Rows without doc_id and with a null or empty text stay, repeated rows stay or go together, and an
+    empty table gives no rows. Columns of any name are passed on.
+    """
+    own = free_name("leaked_id", docs.columns)
     leaked = (
         tiled_pairs(docs, benchmark, k)
         .filter(F.col("covered") >= coverage * F.col("n_words"))
-        .select(F.col("doc_id").alias("leaked_id"))
+        .select(F.col("doc_id").alias(own))
         .distinct()
     )
-    return docs.join(leaked, F.col("doc_id") == F.col("leaked_id"), "left_anti")
+    # few ids beside the texts: written first, their exact size plans the join
+    keyed = docs.withColumn(own, F.col("doc_id").cast("long"))
+    return keyed.join(written(leaked, "leaked"), own, "left_anti").select(*docs.columns)

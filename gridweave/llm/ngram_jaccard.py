@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridweave.llm.common import written
+from gridweave.llm.common import free_name, written
 from gridweave.llm.components import components
 from gridweave.llm.textvec import mix, shingle_sets
 
@@ -552,7 +552,7 @@ def keep_one(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
     whatever names, are passed on.
     """
     columns = docs.columns
-    own, digest = _free("own", columns), _free("digest", columns)
+    own, digest = free_name("own", columns), free_name("digest", columns)
     rows = written(_classes(docs, k, share).filter("doc_id is not null"), "classes")
     heads = rows.filter("label is not null").groupBy("label").agg(
         F.min(F.struct("doc_id", "digest")).alias("head")
@@ -569,11 +569,3 @@ def keep_one(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
         first = kept.join(twice, [own, digest], "left_semi").dropDuplicates([own, digest])
         kept = kept.join(twice, [own, digest], "left_anti").unionByName(first)
     return kept.select(*columns)
-
-
-def _free(name: str, columns: list[str]) -> str:
-    """A name that is none of the columns."""
-    taken = {c.lower() for c in columns}
-    while name in taken:
-        name += "_"
-    return name

@@ -68,6 +68,9 @@ def test_copies_reordered_passages_and_clean_texts(spark, docs):
     assert tiled[2].n_tiles == 3 and tiled[2].longest == 10
     assert sorted(r.doc_id for r in keep_clean(docs(rows), bench).collect()) == [3, 4, 5, 6]
     assert keep_clean(docs([]), bench).collect() == []
+    clashing = docs(rows).selectExpr("*", "1 as leaked_id", "2 as covered", "3 as item_id")
+    kept = keep_clean(clashing, bench)
+    assert kept.columns == clashing.columns and kept.count() == 4
     assert keep_clean(docs(rows), bench.limit(0)).count() == len(rows)
 
 
