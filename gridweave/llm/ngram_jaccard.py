@@ -41,6 +41,7 @@ SLOT = 256  # members of a tree that are sorted into leaves together
 _LOCAL = 1 << 17  # sets a task remembers, so that it sends a copied set once
 COMMON = 128  # members from which a key's tree is dealt out in pieces
 _EMITTED = 1 << 20  # pairs a task remembers, so that trees with the same members give them once
+EARLIER = 8  # compared trees a member names that it was in before, so that pairs met there are left out
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -343,7 +344,7 @@ def _bounded(share: int) -> Callable[[Batches], Batches]:
 def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
     """Members of two leaves that lie in different components and that points and places allow to
     link. Leaves whose boxes cannot reach the overlap are passed over. Most pairs meet in many
-    trees; a task sends a pair once."""
+    trees: one that met in an earlier tree is left out, and a task sends a pair once."""
 
     def run(batches: Batches) -> Batches:
         sent: set[tuple[int, int]] = set()
@@ -363,8 +364,10 @@ def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
                 good = []
                 for lo in range(0, len(i), 4096):
                     p, q = i[lo : lo + 4096], j[lo : lo + 4096]
-                    least = np.minimum(a["point"][p], b["point"][q]).sum(axis=1)
-                    good.append((100 + share) * least >= need[p, q])
+                    new = ~_met_before(a["earlier"][p], b["earlier"][q])
+                    least = np.minimum(a["point"][p[new]], b["point"][q[new]]).sum(axis=1)
+                    new[new] = (100 + share) * least >= need[p[new], q[new]]
+                    good.append(new)
                 good = np.concatenate(good)
                 left, right = a["name"][i[good]], b["name"][j[good]]
                 low, high = np.minimum(left, right), np.maximum(left, right)
@@ -379,11 +382,19 @@ def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
     return run
 
 
+def _met_before(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether two members, a row each, name a common earlier tree; 0 stands for none."""
+    return ((x[:, :, None] == y[:, None, :]) & (x[:, :, None] != 0)).any(axis=(1, 2))
+
+
 def _arrays(leaf: pa.Scalar) -> dict[str, np.ndarray]:
     rows = leaf.values
     flat = {c: rows.field(c).to_numpy(zero_copy_only=False) for c in ("name", "label", "n", "place")}
     size = flat["n"].astype(np.int64)
-    return flat | {"n": size, "behind": size - flat["place"], "point": _counts(rows.field("point"))}
+    earlier = rows.field("earlier").flatten().to_numpy().reshape(-1, EARLIER)
+    return flat | {
+        "n": size, "behind": size - flat["place"], "point": _counts(rows.field("point")), "earlier": earlier,
+    }
 
 
 def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -> DataFrame:
@@ -410,9 +421,13 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
     )
     # slots by the true size of the tree: no task sorts a large one, and leaves stay full
     slots = F.ceil(F.col("m") / SLOT)
+    # two members of one tree that were both in an earlier one have met there: places only grow in the
+    # order of keys, so that all that lets them meet now let them meet then
+    mine = Window.partitionBy("name").orderBy("place")
     rows = (
         named.join(trees, "key")
         .withColumn("slot", F.pmod(F.hash("name").cast("long"), slots))
+        .withColumn("earlier", F.array(*[F.lag("key", i, 0).over(mine) for i in range(1, EARLIER + 1)]))
         .join(names.select("name", "point"), "name")
     )
     # leaves: neighbours by size, then by point, so that their boxes are narrow
@@ -422,7 +437,7 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
         rows.withColumn("leaf", F.col("slot") * F.lit(1 << 32) + number)
         .groupBy("key", "leaf")
         .agg(
-            F.collect_list(F.struct("name", "label", "n", "place", "point")).alias("rows"),
+            F.collect_list(F.struct("name", "label", "n", "place", "point", "earlier")).alias("rows"),
             F.min("n").alias("low"),
             F.max("n").alias("high"),
             F.max(F.col("n") - F.col("place")).alias("behind"),
