@@ -1,6 +1,7 @@
 """Statistics and corrections against numpy, including a hot group."""
 
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
@@ -128,3 +129,72 @@ def test_record_checks(spark):
     df = frame(spark, pdf)
     assert [(r["cell"], r["years"]) for r in stats.short_records(df, minimum_years=2).collect()] == [(2, 1)]
     assert stats.drop_spin_up(df).count() == 1
+
+
+def _loop_correction(model, observed, step):
+    """The correction of one cell's complete series (arrays of times and values), row by row."""
+
+    def moments(times, x):
+        t = np.flatnonzero(np.diff(times, prepend=times[0]) == step)
+        mean, std = x.mean(axis=0), x.std(axis=0, ddof=1)
+        std = np.where(std > 0, std, 1.0)
+        z = (x - mean) / std
+        return z, mean, std, z.T @ z / (len(z) - 1), z[t].T @ z[t - 1] / len(t), set(t)
+
+    z, _, _, g0, g1, follows = moments(*model)
+    _, mean, std, h0, h1, _ = moments(*observed)
+    f, c = g1 @ np.linalg.pinv(g0), h1 @ np.linalg.pinv(h0)
+    whiten, colour = correct._roots(g0 - f @ g1.T)[1], correct._roots(h0 - c @ h1.T)[0]
+    out = np.zeros_like(z)
+    for t in range(len(z)):
+        if t in follows:
+            out[t] = c @ out[t - 1] + colour @ whiten @ (z[t] - f @ z[t - 1])
+        else:
+            out[t] = correct._roots(h0)[0] @ correct._roots(g0)[1] @ z[t]
+    return out * std + mean
+
+
+def test_multivariate_correction_by_chunks_equals_the_loop(spark):
+    rng = np.random.default_rng(11)
+    step = np.timedelta64(6, "h")
+
+    def series(cell):
+        # gaps, and rows between the steps, which end a run
+        steps = np.flatnonzero(rng.random(300) < 0.9)
+        offs = np.where(rng.random(len(steps)) < 0.03, np.timedelta64(2, "h"), np.timedelta64(0, "h"))
+        times = np.datetime64(START) + steps * step + offs
+        return times.astype("datetime64[us]"), rng.normal(size=(len(steps), 3)).cumsum(axis=0) + 250.0 * cell
+
+    model, observed = {c: series(c) for c in (1, 2)}, {c: series(c) for c in (1, 2)}
+    schema = "cell int, time timestamp_ntz, a double, b double, c double"
+
+    def table(cells):
+        rows = [
+            (c, t.astype("datetime64[us]").item(), *map(float, x))
+            for c, (times, values) in cells.items() for t, x in zip(times, values, strict=True)
+        ]
+        return spark.createDataFrame(rows, schema)
+
+    want = {c: _loop_correction(model[c], observed[c], step) for c in model}
+    # chunks of one step, of a few, and one chunk for all
+    for chunk in (1, 7, 4096):
+        got = correct.multivariate_correction(
+            table(model), table(observed), ["a", "b", "c"], chunk=chunk
+        ).toPandas().sort_values(["cell", "time"])
+        for c in model:
+            mine = got[got.cell == c][["corrected_a", "corrected_b", "corrected_c"]].to_numpy()
+            assert np.allclose(mine, want[c], rtol=0, atol=1e-6)
+
+
+def test_multivariate_correction_spreads_one_cell_over_tasks(spark):
+    rows = [(1, START + dt.timedelta(hours=6 * i), float(i % 7), float(i % 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "cell int, time timestamp_ntz, t double, q double")
+    out = correct.multivariate_correction(df, df, ["t", "q"], chunk=20)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # series are grouped by cell and chunk; only the row per chunk is grouped by cell alone
+    grouped = re.findall(r"FlatMapGroupsInPandas \[([^\]]*)\]", plan)
+    assert ["_chunk" in g for g in grouped] in ([True, False], [False, True])
+    assert "FlatMapCoGroupsInPandas 2, 2" in plan
+    # a model equal to what is observed is not changed
+    got = out.toPandas()
+    assert np.allclose(got.corrected_t, got.t, atol=1e-6) and np.allclose(got.corrected_q, got.q, atol=1e-6)
