@@ -17,6 +17,7 @@ from gridweave.operators.coordinates import (
     clip_latitude,
     map_variable,
     regrid_method,
+    with_coordinates,
 )
 from gridweave.operators.grids import scan_grid
 from gridweave.operators.regrid import at_every_step, merge_weights, regrid, regrid_streams
@@ -188,12 +189,7 @@ def interpolate_variables(
         [(fields[v].withColumnRenamed("value", f"_v{i}"), weights[v], [f"_v{i}"]) for i, v in enumerate(names)]
         + [(geopotential.withColumnRenamed("value", "geopotential"), geopotential_weights, ["geopotential"])]
     )
-    each = F.explode(
-        F.array(*[F.struct(F.lit(v).alias("var"), F.col(f"_v{i}").alias("value")) for i, v in enumerate(names)])
-    )
-    profiles = moved.select(
-        "time", "lev_idx", "dst_id", geopotential_height(F.col("geopotential")).alias("z"), each.alias("_e")
-    ).select("time", "lev_idx", "dst_id", "z", "_e.var", "_e.value")
+    profiles = _profiles(moved, names)
     own = (filter_bbox(target, box) if box is not None else target).withColumn(
         "dst_id", F.expr(cell_id("lat", "lon"))
     )
@@ -208,6 +204,47 @@ def interpolate_variables(
     )
 
 
+def _profiles(moved: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Regridded columns _v0, _v1 and so on as rows of their variable, each with the height z."""
+    each = F.explode(
+        F.array(*[F.struct(F.lit(v).alias("var"), F.col(f"_v{i}").alias("value")) for i, v in enumerate(names)])
+    )
+    return moved.select(
+        "time", "lev_idx", "dst_id", geopotential_height(F.col("geopotential")).alias("z"), each.alias("_e")
+    ).select("time", "lev_idx", "dst_id", "z", "_e.var", "_e.value")
+
+
+def interpolate_variables_to_levels(
+    sources: Mapping[str, DataFrame], geopotential: DataFrame, weights: DataFrame, heights: DataFrame,
+    every: str = "6 hours",
+) -> DataFrame:
+    """The first version for several variables of one source grid, in one plan.
+
+    ``sources`` has a field (time, lev_idx, lat, lon, value) per variable, on the cells of
+    ``geopotential``. Returns var, time, dst_id, lev_idx, value, see ``interpolate_to_levels``: a row
+    per variable for every step that any of the fields has.
+
+    The fields are stacked, so one aggregation makes the means of all of them and another one regrids
+    them: the geopotential is read, averaged and moved once. A bin may cross the ends of files. The
+    steps come from the time column alone, not from the means.
+    """
+    names = list(sources)
+    columns = [f"_v{i}" for i in range(len(names))]  # names of variables may be any text
+    stacked = stack_variables(
+        {**dict(zip(columns, (clip_latitude(sources[v]) for v in names), strict=True)),
+         "geopotential": clip_latitude(geopotential)},
+        POINT,
+    )
+    means = resample_mean(stacked, every, POINT[1:], [*columns, "geopotential"])
+    profiles = _profiles(regrid(means, weights, [*columns, "geopotential"]), names)
+    steps = stacked.selectExpr(f"window(time, '{every}').start AS time").where("time IS NOT NULL").distinct()
+    steps = steps.select("time", F.explode(F.array(*[F.lit(v) for v in names])).alias("var"))
+    wanted = at_every_step(steps, heights.select("dst_id", "lev_idx", "zfull"))
+    return vertical_interpolation(
+        profiles, wanted, x="zfull", above="extrapolate", columns=("var", "time", "dst_id")
+    ).drop("zfull")
+
+
 def _require_same_times(fields: Mapping[str, DataFrame], geopotential: DataFrame, target: DataFrame) -> None:
     """Raise when a variable or the geopotential does not have the times of its target: one job."""
     times = target.select("var", "time").distinct()
@@ -405,3 +442,45 @@ def run_interpolation(
             write_attrs(attrs_table(spark, var, attrs), f"{job.output_path}_attrs")
         for df in group.kept:
             df.unpersist()
+
+
+def run_levels(spark: SparkSession, job: Job, heights: DataFrame, every: str = "6 hours") -> None:
+    """The first version over stored fields: 6-hourly means of all variables of the job at the heights of
+    the target's levels, stored by variable, year and month.
+
+    ``heights`` has lat, lon, lev_idx, zfull. All fields are moved bilinearly from one grid: a variable on
+    other cells than the geopotential's is an error, as is a month that one of the two lacks. Target
+    fields are not read.
+    """
+    z = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)
+    z_months = filter_years(available_months(spark, job.geopotential_path, job.geopotential_var), *job.years)
+    grid = scan_grid(z).persist()
+    fingerprint = grid_fingerprint(grid)
+    sources, attrs = {}, {}
+    for v in job.target_vars:
+        var = map_variable(v, job.input_model)
+        months = filter_years(available_months(spark, job.input_path, var), *job.years)
+        require_nonempty(months, f"variable {var}")
+        if not unmatched(months, z_months, ["year", "month"]).isEmpty():
+            raise ValueError(f"variable {var} and the geopotential do not have the same months")
+        sources[v] = scan_field(spark, job.input_path, var, job.years)
+        if grid_fingerprint(scan_grid(sources[v])) != fingerprint:
+            raise ValueError(f"variable {var} and the geopotential do not have the same cells")
+        attrs[v] = {**read_attrs(spark, f"{job.input_path}_attrs", var), "interpolation_to": job.target_name}
+    cells = scan_grid(heights).persist()
+    weights = load_or_make_weights(
+        spark, job.weights_path, _weights_key("bilinear", job), grid, [cells],
+        lambda: build_weights("bilinear", grid, cells, cells, job.periodic),
+    )
+    out = with_coordinates(interpolate_variables_to_levels(sources, z, weights, with_cells(heights), every))
+    write_field(
+        out.selectExpr(
+            "time", "lev_idx", "CAST(NULL AS DOUBLE) AS lev", "lat", "lon", "value", "var",
+            "year(time) AS year", "month(time) AS month",
+        ),
+        job.output_path,
+    )
+    for v in job.target_vars:
+        write_attrs(attrs_table(spark, v, attrs[v]), f"{job.output_path}_attrs")
+    grid.unpersist()
+    cells.unpersist()

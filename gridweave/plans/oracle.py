@@ -633,3 +633,23 @@ ORACLE["stored_job_all"] = " UNION ALL ".join(
 )
 ORACLE["stored_job_sigma"] = f"""SELECT * FROM ({ORACLE["interp3d_v2_sigma"]})
   WHERE time >= '1996' AND time < '2001'"""
+
+
+def _first_version(value: str, digits: int) -> str:
+    """The first version over the stored years, of one column of the source."""
+    return with_(
+        SRC, TGT, HEIGHTS,
+        f"""means AS (
+  SELECT time_bucket(INTERVAL '6 hours', time) AS time, lev_idx, lat, lon, avg({value}) AS value,
+         avg(geopotential) AS geopotential FROM src WHERE year(time) BETWEEN 1996 AND 2000 GROUP BY ALL)""",
+        bilinear(), regridded("rg", "w", ["value", "geopotential"], "means"), RG_Z,
+        """wanted AS (
+  SELECT m.time, h.* FROM (SELECT DISTINCT time FROM means) m CROSS JOIN heights h)""",
+        lines("li", "prof", "wanted", COLUMN, "zfull", extrapolate=True),
+    ) + f"SELECT {t()}, {_LEV}, lat, lon, {r('line', 'value', digits)} FROM li"
+
+
+ORACLE["stored_job_v1"] = " UNION ALL ".join(
+    f"SELECT *, '{var}' AS var FROM ({_first_version(value, digits)})"
+    for var, value, digits in (("ta", "value", 6), ("hus", "humidity", 8))
+)

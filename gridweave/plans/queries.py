@@ -747,6 +747,28 @@ def stored_job_sigma(spark, sf):
     return shown(out.select("time", "lev_idx", "lat", "lon", "value"))
 
 
+@query
+def stored_job_v1(spark, sf):
+    """The first version over stored fields: two variables beside one geopotential."""
+    folder = store.shared_folder(spark, "v1")
+    source = t.source_field(spark, sf)
+    for var, value in (("t", "value"), ("q", "humidity"), ("z", "geopotential")):
+        store.write_field(coordinates.build_output(source, var, value), f"{folder}/source")
+    job = jobs.Job(
+        f"{folder}/source", f"{folder}/source", f"{folder}/target", f"{folder}/out",
+        f"{folder}/weights", ("ta", "hus"), years=(1996, 2000),
+    )
+    jobs.run_levels(spark, job, t.static_heights(spark, sf))
+    out = [
+        shown(
+            fields.scan_field(spark, job.output_path, var).select("time", "lev_idx", "lat", "lon", "value", "var"),
+            value=digits,
+        )
+        for var, digits in (("ta", 6), ("hus", 8))
+    ]
+    return out[0].unionByName(out[1])
+
+
 @query
 def attrs(spark, sf):
     """Attributes stored with a field: the input's, and the target model's name."""
