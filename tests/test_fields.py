@@ -391,3 +391,33 @@ def test_noleap_has_no_29_february(spark):
         fields.decode_cf(df, "days since 2000-01-01", "lunar")
     with pytest.raises(ValueError):
         fields.decode_cf(df, "fortnights since 2000-01-01")
+
+
+def test_stored_first_version(spark, tmp_path):
+    """Two variables in one run; lines go on at both ends; other cells or months are an error."""
+    source = str(tmp_path / "in")
+    height = lambda k: 100.0 * (k + 1)
+    store.write_field(small_field(spark, "t", lambda k, a, b: 2.0 * height(k) + a), source)
+    store.write_field(small_field(spark, "q", lambda k, a, b: height(k)), source)
+    store.write_field(small_field(spark, "z", lambda k, a, b: 9.80665 * height(k)), source)
+    store.write_field(small_field(spark, "u", lambda k, a, b: 1.0, lats=(0.0, 10.0)), source)
+    store.write_field(small_field(spark, "v", lambda k, a, b: 1.0, months=(1,)), source)
+    xs = {0: 50.0, 1: 250.0, 2: 900.0}
+    levels = spark.createDataFrame(
+        [(a, b, k, x) for a in (5.0, 12.0) for b in (2.5, 7.5) for k, x in xs.items()],
+        "lat double, lon double, lev_idx int, zfull double",
+    )
+    job = jobs.Job(
+        source, source, str(tmp_path / "none"), str(tmp_path / "out"), str(tmp_path / "weights"), ("ta", "hus"),
+        years=(2000, 2000),
+    )
+    jobs.run_levels(spark, job, levels)
+    for var in ("ta", "hus"):
+        rows = fields.scan_field(spark, job.output_path, var).collect()
+        assert len(rows) == 2 * 2 * 3 * 4
+        for r in rows:
+            x = xs[r["lev_idx"]]
+            assert r["value"] == pytest.approx(x if var == "hus" else 2.0 * x + r["lat"])
+    for var in ("ua", "va"):
+        with pytest.raises(ValueError, match="cells" if var == "ua" else "months"):
+            jobs.run_levels(spark, jobs.Job(**{**job.__dict__, "target_vars": (var,)}), levels)
