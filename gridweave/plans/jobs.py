@@ -22,7 +22,13 @@ from gridweave.operators.coordinates import (
 from gridweave.operators.grids import scan_grid
 from gridweave.operators.regrid import at_every_step, merge_weights, regrid, regrid_streams
 from gridweave.operators.resample import resample_mean
-from gridweave.operators.selection import Box, filter_bbox, filter_synoptic, filter_years
+from gridweave.operators.selection import (
+    SYNOPTIC_HOURS,
+    Box,
+    filter_bbox,
+    filter_synoptic,
+    filter_years,
+)
 from gridweave.operators.vertical import vertical_interpolation
 from gridweave.operators.weights import build_weights
 from gridweave.plans.heights import regrid_heights, stored_heights, with_cells
@@ -373,7 +379,9 @@ def plan_interpolation(
         grids[target_var] = scan_grid(scan_field(spark, job.target_path, target_var, job.years)).persist()
         targets.setdefault((grid_fingerprint(grids[target_var]), target_var in stagger), []).append(target_var)
 
-    geopotential = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)
+    geopotential = scan_field(
+        spark, job.geopotential_path, job.geopotential_var, job.years, hours=SYNOPTIC_HOURS
+    )
     z_grid = scan_grid(geopotential).persist()
     for (_, staggered), names in targets.items():
         whole_grid = grids[names[0]]
@@ -389,7 +397,7 @@ def plan_interpolation(
         sources, attrs = {}, {}
         for v in names:
             input_var = map_variable(v, job.input_model)
-            values = scan_field(spark, job.input_path, input_var, job.years)
+            values = scan_field(spark, job.input_path, input_var, job.years, hours=SYNOPTIC_HOURS)
             kept.append(scan_grid(values).persist())
             sources[v] = (values, stored(regrid_method(input_var), kept[-1]))
             attrs[v] = {

@@ -621,6 +621,29 @@ def store_and_scan(spark, sf):
     return shown(scanned.drop("lev"))
 
 
+@query
+def stored_order(spark, sf):
+    """Order of the stored rows, by their positions in the files."""
+    folder = store.shared_folder(spark, "order")
+    # rows come in another order than they are stored in
+    mixed = t.target_field(spark, sf).repartition("lon")
+    store.write_field(coordinates.build_output(mixed, "ta", "value"), folder)
+    return store.stored_order(spark, folder)
+
+
+@query
+def scan_synoptic(spark, sf):
+    """Synoptic hours of an hourly stored series, left out in the scan."""
+    folder = store.shared_folder(spark, "hours")
+    series = t.events_series(spark, sf).selectExpr(
+        "time", "0 AS lev_idx", "0D AS lev", "0D AS lat", "CAST(cell AS DOUBLE) AS lon", "value"
+    )
+    store.write_field(coordinates.build_output(series, "ta", "value"), folder)
+    return shown(
+        fields.scan_field(spark, folder, "ta", hours=selection.SYNOPTIC_HOURS).select("time", "lon", "value")
+    )
+
+
 @query
 def discover_months(spark, sf):
     folder = store.shared_folder(spark, "months")

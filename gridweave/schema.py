@@ -19,6 +19,11 @@ FIELD = T.StructType(
     ]
 )
 
+# as stored: the hour of day is a column of the files, whose statistics let scans skip other hours
+STORED_FIELD = T.StructType(
+    [*FIELD.fields[:6], T.StructField("hour", T.IntegerType()), *FIELD.fields[6:]]
+)
+
 STATIC_FIELD = T.StructType(
     [
         T.StructField("lev_idx", T.IntegerType()),

@@ -8,6 +8,7 @@ means no file is opened to learn its columns.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,18 +17,27 @@ from gridweave import schema
 from gridweave.functions.calendars import decode_packed, decode_time, decode_time_parts
 from gridweave.functions.coords import nan_to_null
 from gridweave.operators.align import combine_by_coords, missing_months
-from gridweave.operators.selection import filter_years
+from gridweave.operators.selection import filter_synoptic, filter_years
 
 
 def scan_field(
     spark: SparkSession, paths: str | Sequence[str], var: str,
     years: tuple[int, int] | None = None, months: Sequence[int] | None = None,
+    hours: Sequence[int] | None = None,
 ) -> DataFrame:
-    """One variable of one or several stored fields; several must not overlap."""
+    """One variable of one or several stored fields; several must not overlap.
+
+    ``hours`` keeps rows of these hours of day. The stored hour is compared in the scan, which leaves
+    out parts of files that have other hours only; files stored without it are read whole.
+    """
     roots = [paths] if isinstance(paths, str) else list(paths)
     pieces = []
     for root in roots:
-        df = spark.read.schema(schema.FIELD).parquet(root).where(F.col("var") == var)
+        df = spark.read.schema(schema.STORED_FIELD).parquet(root).where(F.col("var") == var)
+        if hours is not None:
+            df = df.where(F.col("hour").isin(list(hours)) | F.col("hour").isNull())
+            df = filter_synoptic(df, hours)
+        df = df.drop("hour")
         if years is not None:
             df = filter_years(df, *years)
         if months is not None:
@@ -52,9 +62,21 @@ def scan_heights(
 
 
 def available_months(spark: SparkSession, path: str, var: str) -> DataFrame:
-    """Months (year, month) a variable has files for. Only partition columns are read."""
-    df = spark.read.schema(schema.FIELD).parquet(path).where(F.col("var") == var)
-    return df.select("year", "month").distinct()
+    """Months (year, month) a variable has files for, from the list of files: none is opened."""
+    return spark.createDataFrame(sorted(stored_files(spark, path, var)), "year INT, month INT")
+
+
+def stored_files(spark: SparkSession, path: str, var: str) -> dict[tuple[int, int], list[str]]:
+    """File names of a variable by (year, month), sorted, as Spark lists them to plan any read."""
+    found: dict[tuple[int, int], list[str]] = {}
+    for file in spark.read.schema(schema.STORED_FIELD).parquet(path).inputFiles():
+        *folders, name = file.split("/")
+        # names of folders are escaped once in the store and once in the address
+        keys = dict(unquote(unquote(f)).split("=", 1) for f in folders[-3:] if "=" in unquote(f))
+        year, month = keys.get("year", ""), keys.get("month", "")
+        if keys.get("var") == var and year.isdigit() and month.isdigit():
+            found.setdefault((int(year), int(month)), []).append(name)
+    return {month: sorted(names) for month, names in found.items()}
 
 
 def discover_months(

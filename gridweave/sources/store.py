@@ -8,24 +8,31 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridweave import schema
 from gridweave.operators.coordinates import canonical_order
 
+#: the order of the rows of a stored file
+ORDER = ("time", "lev_idx", "lat", "lon")
+
 
 def write_field(df: DataFrame, path: str) -> None:
     """Store a field by variable, year and month; a re-run replaces only the months it makes.
 
     Rows of a month are brought together, then adaptive execution splits months that are larger
     than the advisory partition size and merges those that are smaller. So a task writes few
-    months, and a big month is written by many tasks.
+    months, and a big month is written by many tasks. Every file is in the order of ``ORDER``, so
+    its pages cover short spans of time and hour.
     """
     out = schema.conform(df if "lev" in df.columns else _without_level(df), schema.FIELD)
     (
-        out.hint("rebalance", "var", "year", "month")
-        .sortWithinPartitions("var", "year", "month", "time", "lev_idx", "lat", "lon")
+        # never NULL and not a constant: else the writer sorts by the partition columns once more, in
+        # place of the order below
+        out.withColumns({"hour": F.hour("time"), "var": F.expr("concat_ws('', var, repeat('', month))")})
+        .hint("rebalance", "var", "year", "month")
+        .sortWithinPartitions("var", "year", "month", *ORDER)
         .write.partitionBy("var", "year", "month")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
@@ -33,6 +40,24 @@ def write_field(df: DataFrame, path: str) -> None:
     )
 
 
+def stored_order(spark: SparkSession, path: str) -> DataFrame:
+    """Rows and misplaced rows per stored variable and month: var, year, month, n, misplaced.
+
+    A row is misplaced if it stands before a row of its file that ``ORDER`` puts first. Positions come
+    from the files themselves; a window holds the rows of one file.
+    """
+    rows = spark.read.schema(schema.STORED_FIELD).parquet(path).selectExpr(
+        "var", "year", "month", "_metadata.file_path AS _file", "_metadata.row_index AS _at",
+        f"struct({', '.join(ORDER)}) AS _here",
+    )
+    following = rows.withColumn(
+        "_next", F.lead("_here").over(Window.partitionBy("_file").orderBy("_at"))
+    )
+    return following.groupBy("var", "year", "month").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_next") < F.col("_here")).alias("misplaced")
+    )
+
+
 def reformat(
     df: DataFrame, names: Mapping[str, str], attrs: Mapping[str, str], path: str
 ) -> None:

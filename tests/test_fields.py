@@ -421,3 +421,60 @@ def test_stored_first_version(spark, tmp_path):
     for var in ("ua", "va"):
         with pytest.raises(ValueError, match="cells" if var == "ua" else "months"):
             jobs.run_levels(spark, jobs.Job(**{**job.__dict__, "target_vars": (var,)}), levels)
+
+
+def hourly_field(spark, cells):
+    """One day with 24 hours of ``cells`` cells, in no order."""
+    return spark.range(24 * cells, numPartitions=4).selectExpr(
+        "TIMESTAMP_NTZ'2000-01-01' + make_interval(0, 0, 0, 0, id % 24) AS time", "0 AS lev_idx", "0D AS lev",
+        "0D AS lat", "CAST(id DIV 24 AS DOUBLE) / 1000 AS lon", "CAST(id AS DOUBLE) AS value",
+        "'t' AS var", "2000 AS year", "1 AS month",
+    )
+
+
+def rows_of_scan(df):
+    """Rows the scan of a plan without exchange gave to the next operator, and its description."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().get("numOutputRows").get().value(), leaf.toString()
+
+
+def test_other_hours_are_left_out_by_the_scan(spark, tmp_path):
+    path = str(tmp_path / "hourly")
+    store.write_field(hourly_field(spark, 40_000), path)
+    df = fields.scan_field(spark, path, "t", hours=(0, 6, 12, 18))
+    read, scan = rows_of_scan(df.selectExpr("time", "value").where("value < 24"))
+    assert "PushedFilters: [Or(In(hour, " in scan
+    assert read < 24 * 40_000 / 2.5  # a sixth, and the other rows of pages that two hours share
+    assert df.count() == 4 * 40_000
+    assert {r["h"] for r in df.selectExpr("hour(time) AS h").distinct().collect()} == {0, 6, 12, 18}
+
+
+def test_hours_of_files_without_the_stored_hour(spark, tmp_path):
+    path = str(tmp_path / "old")
+    hourly_field(spark, 5).write.partitionBy("var", "year", "month").parquet(path)
+    df = fields.scan_field(spark, path, "t", hours=(0, 6))
+    assert df.count() == 10 and "hour" not in df.columns
+    assert fields.scan_field(spark, path, "t").count() == 120
+
+
+def test_stored_order_finds_misplaced_rows(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    store.write_field(hourly_field(spark, 50), good)
+    store.write_field(hourly_field(spark, 50).withColumn("var", F.expr("if(value % 2 < 1, 'u', 'v')")), good)
+    assert [r["misplaced"] for r in store.stored_order(spark, good).collect()] == [0, 0, 0]
+    hourly_field(spark, 50).coalesce(1).write.partitionBy("var", "year", "month").parquet(bad)
+    row = store.stored_order(spark, bad).first()
+    assert row["n"] == 1200 and row["misplaced"] > 0
+
+
+def test_months_come_from_the_list_of_files(spark, tmp_path):
+    path = str(tmp_path / "named")
+    odd = "a b/ä=%1"  # escaped in the names of folders
+    for var, month in ((odd, 3), ("t", 1)):
+        store.write_field(
+            hourly_field(spark, 2).withColumns({"var": F.lit(var), "month": F.lit(month)}), path
+        )
+    assert [tuple(r) for r in fields.available_months(spark, path, odd).collect()] == [(2000, 3)]
+    assert [tuple(r) for r in fields.available_months(spark, path, "t").collect()] == [(2000, 1)]
+    assert fields.available_months(spark, path, "absent").collect() == []
