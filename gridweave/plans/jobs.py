@@ -32,6 +32,7 @@ from gridweave.operators.selection import (
 from gridweave.operators.vertical import vertical_interpolation
 from gridweave.operators.weights import build_weights
 from gridweave.plans.heights import regrid_heights, stored_heights, with_cells
+from gridweave.sources.catalogue import Catalogue, catalogue
 from gridweave.sources.fields import (
     available_months,
     discover_months,
@@ -334,8 +335,8 @@ def run_surface(
     input_var = map_variable(target_var, job.input_model)
     source = scan_field(spark, job.input_path, input_var, job.years)
     method = regrid_method(input_var)
-    src_grid = scan_grid(source).persist()
-    dst_grid = scan_grid(scan_field(spark, job.target_path, target_var)).persist()
+    src_grid = catalogue(spark, job.input_path, input_var, job.weights_path, job.years).cells.persist()
+    dst_grid = catalogue(spark, job.target_path, target_var, job.weights_path).cells.persist()
     weights = load_or_make_weights(
         spark, job.weights_path, _weights_key(method, job), src_grid, [dst_grid],
         lambda: build_weights(method, src_grid, dst_grid, dst_grid, job.periodic),
@@ -364,7 +365,11 @@ def plan_interpolation(
 
     Each is made when it is asked for, as the strict checks run then.
     """
+    def known(path: str, var: str) -> Catalogue:
+        return catalogue(spark, path, var, job.weights_path, job.years)
+
     targets: dict[tuple[str, bool], list[str]] = {}
+    entries: dict[str, Catalogue] = {}
     grids: dict[str, DataFrame] = {}
     for target_var in job.target_vars:
         input_var = map_variable(target_var, job.input_model)
@@ -376,13 +381,15 @@ def plan_interpolation(
             lacking = wanted.join(available_months(spark, path, var), ["year", "month"], "left_anti")
             if not lacking.isEmpty():
                 raise ValueError(f"target months without input of variable {var}")
-        grids[target_var] = scan_grid(scan_field(spark, job.target_path, target_var, job.years)).persist()
+        entries[target_var] = known(job.target_path, target_var)
+        grids[target_var] = entries[target_var].cells.persist()
         targets.setdefault((grid_fingerprint(grids[target_var]), target_var in stagger), []).append(target_var)
 
     geopotential = scan_field(
         spark, job.geopotential_path, job.geopotential_var, job.years, hours=SYNOPTIC_HOURS
     )
-    z_grid = scan_grid(geopotential).persist()
+    z_entry = known(job.geopotential_path, job.geopotential_var)
+    z_grid = z_entry.cells.persist()
     for (_, staggered), names in targets.items():
         whole_grid = grids[names[0]]
         grid = filter_bbox(whole_grid, job.box) if job.box else whole_grid
@@ -394,12 +401,14 @@ def plan_interpolation(
                 lambda: build_weights(method, cells, whole_grid, grid, job.periodic),
             )
 
-        sources, attrs = {}, {}
+        sources, attrs, times, cells = {}, {}, {}, {}
         for v in names:
             input_var = map_variable(v, job.input_model)
             values = scan_field(spark, job.input_path, input_var, job.years, hours=SYNOPTIC_HOURS)
-            kept.append(scan_grid(values).persist())
+            entry = known(job.input_path, input_var)
+            kept.append(entry.cells.persist())
             sources[v] = (values, stored(regrid_method(input_var), kept[-1]))
+            times[v], cells[v] = filter_synoptic(entry.times), (kept[-1], sources[v][1])
             attrs[v] = {
                 **read_attrs(spark, f"{job.input_path}_attrs", input_var), "interpolation_to": job.target_name,
             }
@@ -417,11 +426,17 @@ def plan_interpolation(
             on_grid = regrid_heights(levels, stored(method, kept[-1]))
         else:
             on_grid = with_cells(levels)
+        z_weights = stored("bilinear", z_grid)
+        if job.strict:
+            # by the catalogue: no row of a field is read
+            wanted = [entries[v].times.withColumn("var", F.lit(v)) for v in names]
+            _require_same_times(times, filter_synoptic(z_entry.times), reduce(DataFrame.unionByName, wanted))
+            _require_common_cells({**cells, "geopotential": (z_grid, z_weights)})
         target = reduce(
             DataFrame.unionByName, [scan_field(spark, job.target_path, v, job.years) for v in names]
         )
         filled = interpolate_variables(
-            sources, geopotential, stored("bilinear", z_grid), target, on_grid, job.box, job.strict, job.missing
+            sources, geopotential, z_weights, target, on_grid, job.box, strict=False, missing=job.missing
         )
         out = filled.selectExpr(
             "time", *[c for c in ("lev_idx", "lev") if c in filled.columns], "lat", "lon", "value", "var",
@@ -439,8 +454,9 @@ def run_interpolation(
     ``heights`` has lat, lon, lev_idx, zfull and maybe time, on the grid of the mass variables;
     without it the job takes what the target's levels are from beside the stored target, and reads
     or computes their heights, see ``stored_heights``. For the staggered variables heights are
-    regridded first. A month of the target without input is an error. Finding the cells is one pass over the coordinate columns of each input and target;
-    the cells are then kept, being few. The geopotential is read and regridded once per target grid.
+    regridded first. A month of the target without input is an error. Cells and times of inputs and
+    targets come from their catalogue beside the weights, which reads the coordinate columns of months
+    it does not know yet. The geopotential is read and regridded once per target grid.
     """
     for group in plan_interpolation(spark, job, heights, stagger):
         # a column of one variable carries all of its attributes, the table those of each
@@ -462,7 +478,9 @@ def run_levels(spark: SparkSession, job: Job, heights: DataFrame, every: str = "
     """
     z = scan_field(spark, job.geopotential_path, job.geopotential_var, job.years)
     z_months = filter_years(available_months(spark, job.geopotential_path, job.geopotential_var), *job.years)
-    grid = scan_grid(z).persist()
+    grid = catalogue(
+        spark, job.geopotential_path, job.geopotential_var, job.weights_path, job.years
+    ).cells.persist()
     fingerprint = grid_fingerprint(grid)
     sources, attrs = {}, {}
     for v in job.target_vars:
@@ -472,7 +490,8 @@ def run_levels(spark: SparkSession, job: Job, heights: DataFrame, every: str = "
         if not unmatched(months, z_months, ["year", "month"]).isEmpty():
             raise ValueError(f"variable {var} and the geopotential do not have the same months")
         sources[v] = scan_field(spark, job.input_path, var, job.years)
-        if grid_fingerprint(scan_grid(sources[v])) != fingerprint:
+        own = catalogue(spark, job.input_path, var, job.weights_path, job.years)
+        if grid_fingerprint(own.cells) != fingerprint:
             raise ValueError(f"variable {var} and the geopotential do not have the same cells")
         attrs[v] = {**read_attrs(spark, f"{job.input_path}_attrs", var), "interpolation_to": job.target_name}
     cells = scan_grid(heights).persist()

@@ -593,6 +593,8 @@ ORACLE["stored_weights"] = ORACLE["weights_bilinear"]
 ORACLE["store_and_scan"] = with_(TGT) + f"""SELECT {_FIELD}, 'ta' AS var,
   year(time)::INTEGER AS year, month(time)::INTEGER AS month
   FROM tgt WHERE year(time) BETWEEN 1996 AND 1997 AND month(time) IN (1, 2, 6)"""
+ORACLE["catalogue_cells"] = ORACLE["scan_grid"]
+ORACLE["catalogue_times"] = with_(TGT) + f"SELECT DISTINCT {t()} FROM tgt"
 ORACLE["stored_order"] = with_(TGT) + """SELECT 'ta' AS var, year(time)::INTEGER AS year,
   month(time)::INTEGER AS month, count(*) AS n, 0::BIGINT AS misplaced FROM tgt GROUP BY ALL"""
 ORACLE["scan_synoptic"] = with_(SERIES) + f"""SELECT {t()}, cell::DOUBLE AS lon, {r('value', 'value')}

@@ -27,6 +27,7 @@ from gridweave.operators.regrid import merge_weights, regrid
 from gridweave.plans import heights, jobs
 from gridweave.sources import fields, store
 from gridweave.sources import tables as t
+from gridweave.sources.catalogue import catalogue
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -621,6 +622,33 @@ def store_and_scan(spark, sf):
     return shown(scanned.drop("lev"))
 
 
+def _catalogued(spark, sf):
+    """Catalogue of a field of which one month was written again after it was known."""
+    folder = store.shared_folder(spark, "catalogue")
+    target = t.target_field(spark, sf)
+    again = target.where("year(time) = 1996 AND month(time) = 1")
+    less = coordinates.build_output(target.where("NOT (year(time) = 1996 AND month(time) = 1)"), "ta", "value")
+    # at first one month has other cells and times
+    wrong = coordinates.build_output(again.selectExpr(
+        "time + INTERVAL 1 HOUR AS time", "lev_idx", "lat + 0.25D AS lat", "lon", "value"
+    ), "ta", "value")
+    store.write_field(less, f"{folder}/field")
+    store.write_field(wrong, f"{folder}/field")
+    catalogue(spark, f"{folder}/field", "ta", folder)
+    store.write_field(coordinates.build_output(again, "ta", "value"), f"{folder}/field")
+    return catalogue(spark, f"{folder}/field", "ta", folder)
+
+
+@query
+def catalogue_cells(spark, sf):
+    return shown(_catalogued(spark, sf).cells.select("lat", "lon"))
+
+
+@query
+def catalogue_times(spark, sf):
+    return shown(_catalogued(spark, sf).times)
+
+
 @query
 def stored_order(spark, sf):
     """Order of the stored rows, by their positions in the files."""

@@ -64,6 +64,25 @@ LEVELS = T.StructType(
 )
 
 
+CATALOGUE_MONTHS = T.StructType(
+    [
+        T.StructField("files", T.StringType()),
+        T.StructField("grid", T.StringType()),
+        T.StructField("times", T.ArrayType(T.TimestampNTZType())),
+        *FIELD.fields[6:],
+    ]
+)
+
+CATALOGUE_CELLS = T.StructType(
+    [
+        T.StructField("dst_id", T.LongType()),
+        T.StructField("lat", T.DoubleType()),
+        T.StructField("lon", T.DoubleType()),
+        *FIELD.fields[6:],
+    ]
+)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to ``schema``; a missing column is an error."""
     missing = [f.name for f in schema if f.name not in df.columns]

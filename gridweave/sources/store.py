@@ -127,12 +127,12 @@ def load_or_make_weights(
     """
     dst = "-".join(grid_fingerprint(g) for g in dst_grids)
     path = weights_path(base, method, grid_fingerprint(src_grid), dst)
-    if not _exists(spark, f"{path}/_SUCCESS"):  # a write that was committed
+    if not path_exists(spark, f"{path}/_SUCCESS"):  # a write that was committed
         schema.conform(make(), schema.WEIGHTS).write.mode("overwrite").parquet(path)
     return spark.read.schema(schema.WEIGHTS).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
@@ -158,7 +158,7 @@ def attrs_table(spark: SparkSession, var: str, attrs: Mapping[str, str]) -> Data
 
 def read_attrs(spark: SparkSession, path: str, var: str) -> dict[str, str]:
     """Stored attributes of a variable; none where the folder does not exist."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return {}
     rows = spark.read.schema(schema.FIELD_ATTRS).parquet(path).where(F.col("var") == var)
     return {r["key"]: r["value"] for r in rows.collect()}

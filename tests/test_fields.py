@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridweave.functions import calendars
 from gridweave.operators import align, coordinates, grids, resample, selection, weights
 from gridweave.plans import heights, jobs
+from gridweave.sources import catalogue as catalogues
 from gridweave.sources import fields, store
 
 FIELD = "time timestamp_ntz, lev_idx int, lev double, lat double, lon double, value double"
@@ -478,3 +479,56 @@ def test_months_come_from_the_list_of_files(spark, tmp_path):
     assert [tuple(r) for r in fields.available_months(spark, path, odd).collect()] == [(2000, 3)]
     assert [tuple(r) for r in fields.available_months(spark, path, "t").collect()] == [(2000, 1)]
     assert fields.available_months(spark, path, "absent").collect() == []
+
+
+def test_catalogue_follows_the_files(spark, tmp_path, monkeypatch):
+    """Only months with other files than before are read, and all there is shows."""
+    path, base = str(tmp_path / "field"), str(tmp_path / "base")
+    learned, learn = [], catalogues._learn
+    monkeypatch.setattr(catalogues, "_learn", lambda *a: (learned.append(sorted(a[-1])), learn(*a)))
+
+    def known(years=None, var="t"):
+        entry = catalogues.catalogue(spark, path, var, base, years)
+        cells = sorted((r["lat"], r["lon"]) for r in entry.cells.collect())
+        return cells, sorted(r["time"] for r in entry.times.collect())
+
+    field = lambda months, lats: small_field(spark, "t", lambda k, a, b: 1.0, months, lats=lats, lons=(5.0,))
+    store.write_field(field((1, 2), (0.0, 10.0)), path)
+    cells, times = known()
+    assert cells == [(0.0, 5.0), (10.0, 5.0)] and len(times) == len(set(times)) > 0
+    assert known() == (cells, times) and learned == [[(2000, 1), (2000, 2)]]
+    # a month written again, with a cell of its own, and a new one
+    store.write_field(field((2, 3), (20.0,)), path)
+    again, later = known()
+    assert again == [(0.0, 5.0), (10.0, 5.0), (20.0, 5.0)] and len(later) > len(times)
+    assert learned[1:] == [[(2000, 2), (2000, 3)]]
+    store.write_field(field((1,), (20.0,)), path)
+    assert known()[0] == [(20.0, 5.0)]
+    assert known((1990, 1999)) == ([], []) and known(var="absent") == ([], []) and len(learned) == 3
+    want = grids.scan_grid(fields.scan_field(spark, path, "t")).collect()
+    assert sorted(map(str, catalogues.catalogue(spark, path, "t", base).cells.collect())) == sorted(map(str, want))
+
+
+def test_catalogue_of_rows_without_place(spark, tmp_path):
+    path, base = str(tmp_path / "field"), str(tmp_path / "base")
+    store.write_field(hourly_field(spark, 1).withColumn("lat", F.lit(None).cast("double")), path)
+    entry = catalogues.catalogue(spark, path, "t", base)
+    assert entry.cells.count() == 0 and entry.times.count() == 24
+
+
+def test_strict_checks_read_no_field(spark, tmp_path, monkeypatch):
+    """With the catalogue made, a strict run is planned without a pass over a field."""
+    paths = [str(tmp_path / n) for n in ("in", "gcm", "out", "w")]
+    store.write_field(small_field(spark, "ta", lambda k, a, b: k + a), paths[0])
+    store.write_field(small_field(spark, "zg", lambda k, a, b: 9.80665 * 10 * k), paths[0])
+    store.write_field(small_field(spark, "ta", lambda k, a, b: 0.0, lats=(5.0,), lons=(5.0,), levels=1), paths[1])
+    zfull = spark.createDataFrame([(5.0, 5.0, 0, 15.0)], "lat double, lon double, lev_idx int, zfull double")
+    job = jobs.Job(*paths[:1], *paths, ("ta",), input_model="gcm", geopotential_var="zg", years=(2000, 2000))
+    list(jobs.plan_interpolation(spark, job, zfull))
+    # a plan over values that cannot be read: only running it would fail
+    read = jobs.scan_field
+    broken = F.raise_error(F.lit("a field was read")).cast("double")
+    monkeypatch.setattr(jobs, "scan_field", lambda *a, **k: read(*a, **k).withColumns(
+        {"time": F.expr("CAST(raise_error('a field was read') AS TIMESTAMP_NTZ)"), "lat": broken}
+    ))
+    assert [g.variables for g in jobs.plan_interpolation(spark, job, zfull)] == [("ta",)]
