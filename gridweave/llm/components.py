@@ -14,18 +14,17 @@ def components(edges: DataFrame) -> DataFrame:
     Nodes without an edge are not in the result; an edge from a node to itself is harmless, and
     no edges give no rows. Each round halves the length of chains of labels, so the number of
     rounds grows with the logarithm of a component's diameter. Only a flag reaches the driver.
+    Every round reads the edges: they should be a stored table.
     """
     both = edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
-    both = written(
-        both.union(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(),
-        "edges",
-    )
+    both = both.union(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
     # the first hop needs no join: the smallest neighbour
     labels = written(
         both.groupBy("node").agg(F.min("other").alias("label")).select(
             "node", F.least("node", "label").alias("label")
         ),
         "labels",
+        narrow=True,
     )
     while True:
         old = labels
@@ -43,6 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
                 (F.least("mid", F.coalesce("root", "mid")) != F.col("label")).alias("moved"),
             ),
             "labels",
+            narrow=True,
         )
         if not labels.filter("moved").limit(1).count():
             return labels.drop("moved")

@@ -172,7 +172,9 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame, k: int = 5) -> DataFrame:
         .select("item_id", "text")
     )
     seeds = written(
-        items.mapInArrow(_item_seeds(k), "item_id long, n_words int, i int, seed long"), "seeds"
+        items.mapInArrow(_item_seeds(k), "item_id long, n_words int, i int, seed long"),
+        "seeds",
+        narrow=True,
     )
     # marks in a table of fixed size
     marks = (
@@ -237,4 +239,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, k: int = 5, coverage: floa
     )
     # few ids beside the texts: written first, their exact size plans the join
     keyed = docs.withColumn(own, F.col("doc_id").cast("long"))
-    return keyed.join(written(leaked, "leaked"), own, "left_anti").select(*docs.columns)
+    return keyed.join(written(leaked, "leaked", narrow=True), own, "left_anti").select(*docs.columns)

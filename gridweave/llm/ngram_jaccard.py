@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridweave.llm.common import free_name, written
+from gridweave.llm.common import batches_of, free_name, written
 from gridweave.llm.components import components
 from gridweave.llm.textvec import mix, shingle_sets
 
@@ -38,6 +38,9 @@ RARE = 8  # documents that share a trial key, up to which it is not common
 NEEDED = 1 << 23  # bits of the table of documents whose sets are to be verified
 LEAF = 128
 SLOT = 256  # members of a tree that are sorted into leaves together
+TEXTS = 1000  # rows a task takes at a time
+BLOCK = 4  # slots of a tree that meet the others together
+PAIRED = 16  # cells of two blocks a task takes at a time
 _LOCAL = 1 << 17  # sets a task remembers, so that it sends a copied set once
 COMMON = 128  # members from which a key's tree is dealt out in pieces
 _EMITTED = 1 << 20  # pairs a task remembers, so that trees with the same members give them once
@@ -300,6 +303,7 @@ def _verified(pairs: DataFrame, names: DataFrame, texts: DataFrame, k: int, shar
         .select("a", "b", "least_a", "least_b", "n_a", "n_b", "point_a", "point_b")
         .mapInArrow(_bounded(share), "a long, b long, least_a long, least_b long"),
         "close",
+        narrow=True,
     )
     # the sets are made anew from the texts of the smallest ids only
     ids = close.select(_id_cell("least_a").alias("cell")).union(close.select(_id_cell("least_b")))
@@ -341,55 +345,73 @@ def _bounded(share: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _leaf_pairs(share: int) -> Callable[[Batches], Batches]:
-    """Members of two leaves that lie in different components and that points and places allow to
-    link. Leaves whose boxes cannot reach the overlap are passed over. Most pairs meet in many
+def _cell_pairs(share: int) -> Callable[[Batches], Batches]:
+    """Members of a cell, by two leaves, that lie in different components and that points and places
+    allow to link. Leaves whose boxes cannot reach the overlap are passed over. Most pairs meet in many
     trees: one that met in an earlier tree is left out, and a task sends a pair once."""
 
     def run(batches: Batches) -> Batches:
         sent: set[tuple[int, int]] = set()
         for batch in batches:
-            for x, y in zip(batch["x"], batch["y"], strict=True):
-                a, b = _arrays(x), _arrays(y)
-                need = share * (a["n"][:, None] + b["n"][None, :])
-                room = np.minimum(a["behind"][:, None], b["behind"][None, :])
-                ok = (100 + share) * room >= need
-                ok &= a["label"][:, None] != b["label"][None, :]
-                if x.equals(y):
-                    ok &= a["name"][:, None] < b["name"][None, :]
-                box = np.minimum(a["point"].max(axis=0), b["point"].max(axis=0)).sum()
-                if (100 + share) * box < need.min() or not ok.any():
-                    continue
-                i, j = np.nonzero(ok)
-                good = []
-                for lo in range(0, len(i), 4096):
-                    p, q = i[lo : lo + 4096], j[lo : lo + 4096]
-                    new = ~_met_before(a["earlier"][p], b["earlier"][q])
-                    least = np.minimum(a["point"][p[new]], b["point"][q[new]]).sum(axis=1)
-                    new[new] = (100 + share) * least >= need[p[new], q[new]]
-                    good.append(new)
-                good = np.concatenate(good)
-                left, right = a["name"][i[good]], b["name"][j[good]]
-                low, high = np.minimum(left, right), np.maximum(left, right)
-                new = set(zip(low.tolist(), high.tolist(), strict=True)) - sent
-                if len(sent) > _EMITTED:
-                    sent.clear()
-                sent |= new
-                if new:
-                    pairs = np.array(sorted(new), np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            for rows, apart in zip(batch["rows"], batch["apart"].to_pylist(), strict=True):
+                for a, b in _leaves_met(rows, apart):
+                    need = share * (a["n"][:, None] + b["n"][None, :])
+                    room = np.minimum(a["behind"][:, None], b["behind"][None, :])
+                    ok = (100 + share) * room >= need
+                    ok &= a["label"][:, None] != b["label"][None, :]
+                    if a is b:
+                        ok &= a["name"][:, None] < b["name"][None, :]
+                    box = np.minimum(a["box"], b["box"]).sum()
+                    if (100 + share) * box < need.min() or not ok.any():
+                        continue
+                    i, j = np.nonzero(ok)
+                    good = []
+                    for lo in range(0, len(i), 4096):
+                        p, q = i[lo : lo + 4096], j[lo : lo + 4096]
+                        new = ~_met_before(a["earlier"][p], b["earlier"][q])
+                        least = np.minimum(a["point"][p[new]], b["point"][q[new]]).sum(axis=1)
+                        new[new] = (100 + share) * least >= need[p[new], q[new]]
+                        good.append(new)
+                    good = np.concatenate(good)
+                    left, right = a["name"][i[good]], b["name"][j[good]]
+                    low, high = np.minimum(left, right), np.maximum(left, right)
+                    new = set(zip(low.tolist(), high.tolist(), strict=True)) - sent
+                    if len(sent) > _EMITTED:
+                        sent.clear()
+                    sent |= new
+                    if new:
+                        pairs = np.array(sorted(new), np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"]
+                        )
 
     return run
 
 
+def _leaves_met(rows: pa.Scalar, apart: bool) -> Iterator[tuple[dict[str, np.ndarray], dict[str, np.ndarray]]]:
+    """Each two leaves of a cell, and each with itself; in a cell of two blocks, one leaf of each."""
+    every = _arrays(rows)
+    order = np.argsort(every["leaf"], kind="stable")
+    cuts = np.flatnonzero(np.diff(every["leaf"][order])) + 1
+    leaves = [{c: v[at] for c, v in every.items()} for at in np.split(order, cuts)]
+    for leaf in leaves:
+        leaf["box"] = leaf["point"].max(axis=0)
+    for i, a in enumerate(leaves):
+        for b in leaves[i:]:
+            if not apart or a["block"][0] != b["block"][0]:
+                yield a, b
+
+
 def _met_before(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Whether two members, a row each, name a common earlier tree; 0 stands for none."""
     return ((x[:, :, None] == y[:, None, :]) & (x[:, :, None] != 0)).any(axis=(1, 2))
 
 
-def _arrays(leaf: pa.Scalar) -> dict[str, np.ndarray]:
-    rows = leaf.values
-    flat = {c: rows.field(c).to_numpy(zero_copy_only=False) for c in ("name", "label", "n", "place")}
+def _arrays(cell: pa.Scalar) -> dict[str, np.ndarray]:
+    rows = cell.values
+    flat = {
+        c: rows.field(c).to_numpy(zero_copy_only=False) for c in ("name", "label", "n", "place", "leaf", "block")
+    }
     size = flat["n"].astype(np.int64)
     earlier = rows.field("earlier").flatten().to_numpy().reshape(-1, EARLIER)
     return flat | {
@@ -433,31 +455,24 @@ def _rest(members: DataFrame, names: DataFrame, labels: DataFrame, share: int) -
     # leaves: neighbours by size, then by point, so that their boxes are narrow
     order = Window.partitionBy("key", "slot").orderBy("n", "point", "name")
     number = F.floor((F.row_number().over(order) - 1) / LEAF)
-    leaves = (
+    # a tree is a grid of blocks of leaves. Each two blocks meet in a cell of their own, so no task has
+    # more than two blocks of a tree, and a leaf is sent once to a cell, not once for each leaf it meets
+    blocks = F.ceil(slots / BLOCK)
+    block = F.floor(F.col("slot") / BLOCK)
+    cells = (
         rows.withColumn("leaf", F.col("slot") * F.lit(1 << 32) + number)
-        .groupBy("key", "leaf")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .groupBy("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
         .agg(
-            F.collect_list(F.struct("name", "label", "n", "place", "point", "earlier")).alias("rows"),
-            F.min("n").alias("low"),
-            F.max("n").alias("high"),
-            F.max(F.col("n") - F.col("place")).alias("behind"),
+            F.collect_list(F.struct("name", "label", "n", "place", "leaf", "block", "point", "earlier")).alias("rows"),
             F.min("label").alias("label_low"),
             F.max("label").alias("label_high"),
         )
+        .filter("label_low <> label_high")
+        .select("rows", (F.col("low") < F.col("high")).alias("apart"))
     )
-    x = leaves.select("key", *[F.col(c).alias(f"{c}_x") for c in leaves.columns if c != "key"])
-    y = leaves.select("key", *[F.col(c).alias(f"{c}_y") for c in leaves.columns if c != "key"])
-    room = F.least("behind_x", "behind_y")
-    met = (
-        x.join(y, "key")
-        .filter("leaf_x <= leaf_y")
-        .filter(100 * F.col("high_x") >= share * F.col("low_y"))
-        .filter(100 * F.col("high_y") >= share * F.col("low_x"))
-        .filter((100 + share) * room >= share * (F.col("low_x") + F.col("low_y")))
-        .filter("not (label_low_x = label_high_y and label_high_x = label_low_y)")
-        .select(F.col("rows_x").alias("x"), F.col("rows_y").alias("y"))
-    )
-    return met.mapInArrow(_leaf_pairs(share), "a long, b long").distinct()
+    return cells.mapInArrow(_cell_pairs(share), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
@@ -477,6 +492,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, share: int = 75) -> DataFram
 def _classes(docs: DataFrame, k: int, share: int) -> DataFrame:
     """doc_id, digest (of the text), n_shingles, label, component_id of every row; the label names the
     component, and is null for rows that link with nothing by definition."""
+    with batches_of(docs.sparkSession, TEXTS):
+        return _classified(docs, k, share)
+
+
+def _classified(docs: DataFrame, k: int, share: int) -> DataFrame:
+    """The rows of `_classes`. All Python tasks run here: what is returned reads stored tables."""
     spark = docs.sparkSession
     every = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest")
@@ -534,12 +555,13 @@ def _classes(docs: DataFrame, k: int, share: int) -> DataFrame:
         .distinct()
     )
 
-    links = written(_verified(stars, names, texts, k, share), "links")
+    links = written(_verified(stars, names, texts, k, share), "links", narrow=True)
     labels = components(links)
-    rest = written(_rest(members.drop("head", "common"), names, labels, share), "rest")
+    with batches_of(spark, PAIRED):
+        rest = written(_rest(members.drop("head", "common"), names, labels, share), "rest", narrow=True)
     if rest.limit(1).count():
         more = _verified(rest, names, texts, k, share)
-        labels = components(links.union(more))
+        labels = components(written(links.union(more), "links", narrow=True))
 
     class_of = (
         names.select("name", "least")
@@ -568,7 +590,7 @@ def keep_one(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
     """
     columns = docs.columns
     own, digest = free_name("own", columns), free_name("digest", columns)
-    rows = written(_classes(docs, k, share).filter("doc_id is not null"), "classes")
+    rows = written(_classes(docs, k, share).filter("doc_id is not null"), "classes", narrow=True)
     heads = rows.filter("label is not null").groupBy("label").agg(
         F.min(F.struct("doc_id", "digest")).alias("head")
     )
@@ -576,8 +598,8 @@ def keep_one(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
     repeated = rows.groupBy("doc_id", "digest").count().filter("count > 1")
     # ids and digests are small beside the texts: written first, their exact size plans the joins
     renamed = lambda df: df.select(F.col("doc_id").alias(own), F.col("digest").alias(digest))
-    dropped = written(renamed(others).distinct(), "dropped")
-    twice = written(renamed(repeated), "twice")
+    dropped = written(renamed(others).distinct(), "dropped", narrow=True)
+    twice = written(renamed(repeated), "twice", narrow=True)
     keyed = docs.withColumns({own: F.col("doc_id").cast("long"), digest: F.xxhash64("text")})
     kept = keyed.join(dropped, [own, digest], "left_anti")
     if not twice.isEmpty():

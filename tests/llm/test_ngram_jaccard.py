@@ -1,9 +1,11 @@
 import random
 import re
+from pathlib import Path
 
 import pytest
 
 from gridweave.llm import ngram_jaccard
+from gridweave.llm.common import shared_folder
 from gridweave.llm.ngram_jaccard import jaccard_components, keep_one
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -141,3 +143,62 @@ def test_very_long_texts(docs):
     long = rng.choices(WORDS, k=120_000)
     rows = [(1, " ".join(long)), (2, " ".join(long[:100_000])), (3, " ".join(long[:70_000])), (4, "x" * 500_000)]
     assert sorted(tuple(r) for r in jaccard_components(docs(rows)).collect()) == plain(rows)
+
+
+def test_small_tables_are_not_dealt_over_files_of_a_few_rows(docs, spark):
+    """Each file costs an executor two processes, beside which its memory counts twice."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(150):
+        words = rng.choices(WORDS, k=60)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:-1], "z"]))]
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {c: spark.conf.get(c) for c in held}
+    try:
+        for c, v in held.items():
+            spark.conf.set(c, v)
+        got = sorted(tuple(r) for r in jaccard_components(docs(rows)).collect())
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    assert got == plain(rows)
+    files = {}
+    for d in set(folder.iterdir()) - before:
+        files.setdefault(d.name.split("-")[1], []).append(len(list(d.glob("*.parquet"))))
+    assert max(files["names"]) > 40
+    assert max(max(files[x]) for x in ("close", "links", "labels", "rest")) <= 12
+
+
+def test_a_large_tree_is_dealt_over_cells(docs, spark, monkeypatch):
+    """A task gets two blocks of a tree at most, a few cells at a time, and no pair is lost."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    for constant, value in {"LEAF": 2, "SLOT": 4, "BLOCK": 2, "PAIRED": 3}.items():
+        monkeypatch.setattr(ngram_jaccard, constant, value)
+    inner = ngram_jaccard._cell_pairs
+
+    def counted(share):
+        def run(batches):
+            def few():
+                for batch in batches:
+                    assert batch.num_rows <= 3
+                    # slots are dealt by hash, so that they have their size on average
+                    assert max(len(x) for x in batch["rows"].to_pylist()) < 40
+                    yield batch
+
+            yield from inner(share)(few())
+
+        return run
+
+    monkeypatch.setattr(ngram_jaccard, "_cell_pairs", counted)
+    rng = random.Random(5)
+    base = rng.choices(WORDS, k=100)
+    rows = []
+    for i in range(80):
+        base = list(base)
+        base[rng.randrange(100)] = f"n{i}"
+        rows.append((i, " ".join(base)))
+    assert sorted(tuple(r) for r in jaccard_components(docs(rows)).collect()) == plain(rows)
+    assert spark.conf.get(name) == before
